@@ -32,8 +32,20 @@ def period_start(day: Column, period: str) -> Column:
     return day if period == "day" else F.trunc(day, period)
 
 
-def next_period(start: Column, period: str) -> Column:
-    """First day of the period after the one that starts on ``start``."""
+def period_index(day: Column, period: str) -> Column:
+    """The period as a running integer, so that neighbours differ by one."""
+    if period == "day":
+        return F.unix_date(day)
+    if period == "week":
+        # The week of 1970-01-01, a Thursday, is number 0 and starts three days earlier.
+        return F.floor((F.unix_date(day) + 3) / 7).cast("int")
     if period == "month":
-        return F.add_months(start, 1)
-    return F.date_add(start, {"day": 1, "week": 7}[period])
+        return (F.year(day) - 1970) * 12 + F.month(day) - 1
+    raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
+
+
+def period_from_index(index: Column, period: str) -> Column:
+    """First day of the period numbered by :func:`period_index`."""
+    if period == "month":
+        return F.add_months(F.lit("1970-01-01").cast("date"), index)
+    return F.date_from_unix_date(index * 7 - 3 if period == "week" else index)

@@ -1,17 +1,19 @@
 """Who was active when: distinct activity, daily user rollups and running balances.
 
-All later stages work on these results, where one user has at most one row per day. That
-bounds what a single user can bring to a window, however many events the user has: the
-events of a heavy user are folded on the map side before any row is shuffled.
+All later stages work on these results, where one user has at most one entry per day. That
+bounds what a single user can bring to a task, however many events the user has: the events
+of a heavy user are folded on the map side before any row is shuffled.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from retentide.functions.calendar import period_start
+from retentide.functions.calendar import as_date, period_index, period_start
 from retentide.schemas import EVENT_TYPES, USER_DAILY_ACTIVITY
 
 
@@ -24,6 +26,23 @@ def active_periods(events: DataFrame, period: str = "day") -> DataFrame:
     )
 
 
+def user_calendars(
+    events: DataFrame, as_of: date | str | Column, period: str = "day"
+) -> DataFrame:
+    """One row per user: the sorted distinct periods with activity up to ``as_of``.
+
+    ``periods`` holds period indexes, day numbers for days: four bytes per active day, and
+    never more entries than the calendar has periods. Takes any rows with (user_id,
+    event_date), distinct or not, and needs a single shuffle of already combined sets.
+    """
+    index = period_index(F.col("event_date"), period)
+    return (
+        events.where(F.col("user_id").isNotNull() & (F.col("event_date") <= as_date(as_of)))
+        .groupBy("user_id")
+        .agg(F.sort_array(F.collect_set(index)).alias("periods"))
+    )
+
+
 def user_daily_activity(events: DataFrame) -> DataFrame:
     """One row per user and day: event counts by type and the miles that moved."""
 

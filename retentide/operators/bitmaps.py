@@ -26,27 +26,23 @@ def active_profiles(events: DataFrame) -> DataFrame:
     )
 
 
-def active_devices(events: DataFrame) -> DataFrame:
-    """One row per day and device, with the country and source of its first event that day.
+def _earliest() -> Column:
+    """The attributes of the first event of a group."""
+    return F.min(F.struct("event_time", "country", "utm_source")).alias("earliest")
 
-    Grouping by the whole profile first keeps the large aggregation on a plain timestamp
-    minimum; the second one sees about one row per device and day.
-    """
-    profiles = (
-        events.where(F.col("user_id").isNotNull())
-        .groupBy("event_date", *ATTRIBUTES)
-        .agg(F.min("event_time").alias("seen"))
-    )
+
+def active_devices(events: DataFrame) -> DataFrame:
+    """One row per day and device, with the country and source of its first event that day."""
     return (
-        profiles.groupBy("event_date", "platform", "user_id")
-        .agg(F.min(F.struct("seen", "country", "utm_source")).alias("earliest"))
+        events.where(F.col("user_id").isNotNull())
+        .groupBy("event_date", "platform", "user_id")
+        .agg(_earliest())
         .select(
             "event_date",
             "earliest.country",
             "platform",
             "earliest.utm_source",
             "user_id",
-            "earliest.seen",
             device_id(F.col("platform"), F.col("user_id")).alias("device"),
         )
     )
@@ -125,15 +121,13 @@ def _carry_users(prev: DataFrame, today: DataFrame, day: date | str | Column) ->
 def device_histories(events: DataFrame, as_of: date | str | Column) -> DataFrame:
     """One row per device with its whole bitmap from the first login up to ``as_of``.
 
-    A device brings at most one row per calendar day into its group.
+    A device's set of days has at most one entry per calendar day and is combined before the
+    shuffle.
     """
-    days = active_devices(events).where(F.col("event_date") <= as_date(as_of))
     return (
-        days.groupBy("platform", "user_id")
-        .agg(
-            F.sort_array(F.collect_set(F.unix_date("event_date"))).alias("days"),
-            F.min(F.struct("seen", "country", "utm_source")).alias("earliest"),
-        )
+        events.where(F.col("user_id").isNotNull() & (F.col("event_date") <= as_date(as_of)))
+        .groupBy("platform", "user_id")
+        .agg(F.sort_array(F.collect_set(F.unix_date("event_date"))).alias("days"), _earliest())
         .withColumn("end", F.unix_date(as_date(as_of)))
         .select(
             "earliest.country",

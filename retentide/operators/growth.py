@@ -5,10 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from retentide.functions.calendar import as_date, next_period, period_start
+from retentide.functions.calendar import as_date, period_from_index, period_index
+from retentide.operators.activity import user_calendars
 from retentide.schemas import USER_STATES
 
 RETENTION_OFFSETS = (1, 7, 14, 30)
@@ -20,32 +20,33 @@ def period_states(
     """(user_id, period_start, user_state), comparing each period with the one before it.
 
     A user who stops is churned in the period after the last active one, unless that period
-    lies after ``as_of``. ``activity`` is distinct (user_id, event_date), at day or period
-    grain; the two windows share one shuffle and one sort.
+    lies after ``as_of``. ``activity`` is any rows with (user_id, event_date).
     """
-    by_period = W.partitionBy("user_id").orderBy("p")
-    last_period = period_start(as_date(as_of), period)
-    periods = (
-        activity.where(F.col("event_date") <= as_date(as_of))
-        .select("user_id", period_start(F.col("event_date"), period).alias("p"))
-        .withColumn("prev", F.lag("p").over(by_period))
-        .where(F.col("prev").isNull() | (F.col("prev") != F.col("p")))
-        .withColumn("next", F.lead("p").over(by_period))
-    )
-    after = next_period(F.col("p"), period)
-    state = (
-        F.when(F.col("prev").isNull(), "new")
-        .when(next_period(F.col("prev"), period) == F.col("p"), "retained")
-        .otherwise("resurrected")
-    )
-    left = F.when(
-        (F.col("next").isNull() | (F.col("next") > after)) & (after <= last_period), after
+    periods = F.col("periods")
+
+    def entry(p: Column, i: Column) -> Column:
+        before = F.get(periods, i - 1)
+        state = (
+            F.when(before.isNull(), "new").when(before == p - 1, "retained").otherwise("resurrected")
+        )
+        return F.struct(p.alias("period"), state.alias("user_state"))
+
+    def is_left(p: Column, i: Column) -> Column:
+        following = F.get(periods, i + 1)
+        return (p < F.col("last_period")) & (following.isNull() | (following != p + 1))
+
+    def leaving(p: Column) -> Column:
+        return F.struct((p + 1).alias("period"), F.lit("churned").alias("user_state"))
+
+    rows = F.concat(
+        F.transform(periods, entry), F.transform(F.filter(periods, is_left), leaving)
     )
-    rows = F.array(
-        F.struct(F.col("p").alias("period_start"), state.alias("user_state")),
-        F.struct(left.alias("period_start"), F.lit("churned").alias("user_state")),
+    return (
+        user_calendars(activity, as_of, period)
+        .withColumn("last_period", period_index(as_date(as_of), period))
+        .select("user_id", F.inline(rows))
+        .select("user_id", period_from_index(F.col("period"), period).alias("period_start"), "user_state")
     )
-    return periods.select("user_id", F.inline(rows)).where(F.col("period_start").isNotNull())
 
 
 def growth_accounting(
@@ -70,19 +71,17 @@ def cohort_retention(
 ) -> DataFrame:
     """Share of each first-day cohort that is active again exactly N days later.
 
-    Days after ``as_of`` have not been reached and give NULL, not zero. ``activity`` is
-    distinct (user_id, event_date).
+    Days after ``as_of`` have not been reached and give NULL, not zero. ``activity`` is any
+    rows with (user_id, event_date).
     """
-    so_far = W.partitionBy("user_id").orderBy("event_date").rowsBetween(W.unboundedPreceding, 0)
-    age = F.datediff("event_date", "cohort_date")
+    days = F.col("periods")
+    first = F.get(days, F.lit(0))
     cohorts = (
-        activity.where(F.col("event_date") <= as_date(as_of))
-        .withColumn("cohort_date", F.min("event_date").over(so_far))
-        .where(age.isin(0, *offsets))
-        .groupBy("cohort_date")
+        user_calendars(activity, as_of)
+        .groupBy(F.date_from_unix_date(first).alias("cohort_date"))
         .agg(
-            F.count_if(age == 0).alias("cohort_size"),
-            *[F.count_if(age == n).alias(f"day_{n}") for n in offsets],
+            F.count(F.lit(1)).alias("cohort_size"),
+            *[F.count_if(F.array_contains(days, first + n)).alias(f"day_{n}") for n in offsets],
         )
     )
     by_offset = F.array(

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from retentide.functions.bitmaps import MAX_BIT_WINDOW, active_days_in, bitmap_to_int
 from retentide.functions.calendar import as_date
+from retentide.operators.activity import user_calendars
 from retentide.schemas import DEFAULT_WINDOW
 
 
@@ -46,37 +47,30 @@ def activity_streaks(
 ) -> DataFrame:
     """Collapse active days whose gaps are at most ``window`` days into streaks.
 
-    ``activity`` has (user_id, event_date); repeated rows change nothing, but a caller with
-    raw events reduces them to distinct days first, which bounds the rows of one user.
-    Day numbers: ``first`` and ``last`` of the streak, the ``prev_last`` active day before
-    it and the ``next_first`` after it.
-
-    All windows share one partitioning and one order, so there is one shuffle and one sort.
+    ``activity`` is any rows with (user_id, event_date); repeated ones change nothing. Day
+    numbers: ``first`` and ``last`` of the streak, the ``prev_last`` active day before it and
+    the ``next_first`` after it. The n-th opening day belongs to the n-th closing day.
     """
-    by_day = W.partitionBy("user_id").orderBy("day")
-    days = activity.where(
-        F.col("user_id").isNotNull() & (F.col("event_date") <= as_date(as_of))
-    ).select("user_id", F.unix_date("event_date").alias("day"))
-    neighbours = days.select(
-        "user_id", "day", F.lag("day").over(by_day).alias("prev"), F.lead("day").over(by_day).alias("next")
-    ).select(
-        "*",
-        (F.col("prev").isNull() | (F.col("day") - F.col("prev") > window)).alias("opens"),
-        (F.col("next").isNull() | (F.col("next") - F.col("day") > window)).alias("closes"),
-    )
-    # Among opening and closing days, an opening day is followed by the closing one of its
-    # streak, unless it is that day itself.
-    edges = neighbours.where(F.col("opens") | F.col("closes")).select(
-        "*",
-        F.lead("day").over(by_day).alias("closing_day"),
-        F.lead("next").over(by_day).alias("closing_next"),
-    )
-    return edges.where("opens").select(
-        "user_id",
-        F.col("day").alias("first"),
-        F.when(F.col("closes"), F.col("day")).otherwise(F.col("closing_day")).alias("last"),
-        F.col("prev").alias("prev_last"),
-        F.when(F.col("closes"), F.col("next")).otherwise(F.col("closing_next")).alias("next_first"),
+    days = F.col("periods")
+
+    def opens(day: Column, i: Column) -> Column:
+        return F.coalesce(day - F.get(days, i - 1) > window, F.lit(True))
+
+    def closes(day: Column, i: Column) -> Column:
+        return F.coalesce(F.get(days, i + 1) - day > window, F.lit(True))
+
+    streak = F.col("streak")
+    return (
+        user_calendars(activity, as_of)
+        .select("user_id", F.filter(days, opens).alias("opening"), F.filter(days, closes).alias("closing"))
+        .select("*", F.posexplode("opening").alias("streak", "first"))
+        .select(
+            "user_id",
+            "first",
+            F.get("closing", streak).alias("last"),
+            F.get("closing", streak - 1).alias("prev_last"),
+            F.get("opening", streak + 1).alias("next_first"),
+        )
     )
 
 
@@ -214,24 +208,19 @@ def window_counts(
     An active day enters the current window on that day, moves to the prior one ``window``
     days later and leaves it after as many more; between those days no state changes.
     """
-    end = F.unix_date(as_date(as_of))
-    day = F.unix_date("event_date")
     by_day = W.partitionBy("user_id").orderBy("day")
+    days = F.col("periods")
+    aged = F.transform(days, lambda d: d + window)
+    gone = F.transform(days, lambda d: d + 2 * window)
+    entering = F.transform(days, lambda d: F.struct(d.alias("day"), F.lit(1).alias("active")))
+    leaving = F.transform(
+        F.array_except(F.array_union(aged, gone), days),
+        lambda d: F.struct(d.alias("day"), F.lit(0).alias("active")),
+    )
     points = (
-        activity.where(F.col("user_id").isNotNull())
-        .select(
-            "user_id",
-            F.inline(
-                F.array(
-                    F.struct(day.alias("day"), F.lit(1).alias("active")),
-                    F.struct((day + window).alias("day"), F.lit(0).alias("active")),
-                    F.struct((day + 2 * window).alias("day"), F.lit(0).alias("active")),
-                )
-            ),
-        )
-        .where(F.col("day") <= end)
-        .groupBy("user_id", "day")
-        .agg(F.max("active").alias("active"))
+        user_calendars(activity, as_of)
+        .select("user_id", F.inline(F.concat(entering, leaving)))
+        .where(F.col("day") <= F.unix_date(as_date(as_of)))
     )
     now = by_day.rangeBetween(-(window - 1), 0)
     prior = by_day.rangeBetween(-(2 * window - 1), -window)

@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentide.functions import bitmaps as bits
-from retentide.functions.calendar import last_day_of, next_period, period_start
+from retentide.functions.calendar import (
+    last_day_of,
+    period_from_index,
+    period_index,
+    period_start,
+)
 from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, states
 from retentide.schemas import DEVICE_PATTERN, EVENTS
 from retentide.session import require_utc, scratch_path
@@ -140,8 +145,7 @@ def _earned_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ranges(events: DataFrame, window: int) -> DataFrame:
-    days = activity.active_periods(events)
-    return states.user_states(days, last_day_of(events), window)
+    return states.user_states(events, last_day_of(events), window)
 
 
 @query
@@ -177,14 +181,14 @@ def gold_scd2_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_scd2_from_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = order_events(spark, sf_dir)
-    counts = states.window_counts(activity.active_periods(events), last_day_of(events), 14)
+    counts = states.window_counts(events, last_day_of(events), 14)
     return states.close_ranges(states.segments(states.islands(states.classify(counts, 14))))
 
 
 @query
 def gold_activity_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = order_events(spark, sf_dir)
-    streaks = states.activity_streaks(activity.active_periods(events), last_day_of(events), 90)
+    streaks = states.activity_streaks(events, last_day_of(events), 90)
     return streaks.select(
         "user_id",
         *[F.date_from_unix_date(c).alias(c) for c in ("first", "last", "prev_last", "next_first")],
@@ -216,7 +220,7 @@ def gold_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_window_counts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = order_events(spark, sf_dir)
-    return states.window_counts(activity.active_periods(events), last_day_of(events), 90)
+    return states.window_counts(events, last_day_of(events), 90)
 
 
 @query
@@ -243,9 +247,7 @@ def gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _growth(events: DataFrame, period: str) -> DataFrame:
-    return growth.growth_accounting(
-        activity.active_periods(events, period), period, last_day_of(events)
-    )
+    return growth.growth_accounting(events, period, last_day_of(events))
 
 
 @query
@@ -264,7 +266,7 @@ def growth_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _retention(events: DataFrame) -> DataFrame:
-    cohorts = growth.cohort_retention(activity.active_periods(events), last_day_of(events))
+    cohorts = growth.cohort_retention(events, last_day_of(events))
     return cohorts.withColumn("retention_pct", F.round("retention_pct", 4))
 
 
@@ -451,7 +453,8 @@ def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_sub(day, 1).alias("day_before"),
         period_start(day, "week").alias("week_start"),
         period_start(day, "month").alias("month_start"),
-        next_period(period_start(day, "month"), "month").alias("next_month"),
+        period_from_index(period_index(day, "month") + 1, "month").alias("next_month"),
+        period_from_index(period_index(day, "week") + 1, "week").alias("next_week"),
     )
 
 

@@ -546,7 +546,8 @@ FROM ev GROUP BY event_date""",
   CAST(o_orderdate AS DATE) - 1 AS day_before,
   CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start,
   CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
-  CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE) AS next_month
+  CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE) AS next_month,
+  CAST(date_trunc('week', o_orderdate) + INTERVAL 7 DAY AS DATE) AS next_week
 FROM orders""",
         "scalar_strings": events
         + r"""SELECT event_id, platform || '_' || user_id AS device,
