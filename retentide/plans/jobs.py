@@ -5,14 +5,17 @@ Every job can be run again for the same day. Only this module and ``sources.tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentide import schemas
-from retentide.operators import activity, bitmaps, quality, states
+from retentide.functions.calendar import PERIODS
+from retentide.operators import activity, bitmaps, engagement, growth, quality, states
 from retentide.session import require_utc
 from retentide.sources import raw_events, tables
 
@@ -23,16 +26,28 @@ class TableNames:
     bitmaps: str = "silver.fct_daily_user_login_bitmap"
     activity: str = "silver.dwm_user_daily_activity"
     states: str = "gold.scd2_user_state"
+    balance: str = "silver.dwm_user_miles_balance"
+    growth: str = "gold.dws_growth_accounting"
+    cohorts: str = "gold.dws_cohort_retention"
+    engagement: str = "gold.dws_engagement_depth"
 
 
 class MissingDay(RuntimeError):
     """A daily step whose previous day has not been built."""
 
 
-def create_tables(spark: SparkSession, names: TableNames = TableNames()) -> None:
+def create_tables(
+    spark: SparkSession, names: TableNames = TableNames(), bitmap_buckets: int | None = None
+) -> None:
+    """Create the tables that do not exist.
+
+    ``bitmap_buckets`` splits each day of bitmaps by device. Yesterday's bitmaps, the largest
+    input of the daily step, then stay where they are and only today's devices are shuffled.
+    """
     require_utc(spark)
+    buckets = tables.Buckets("device", bitmap_buckets) if bitmap_buckets else None
     tables.create_day_table(spark, names.events, schemas.BRONZE_EVENTS, "event_date")
-    tables.create_day_table(spark, names.bitmaps, schemas.LOGIN_BITMAPS, "event_date")
+    tables.create_day_table(spark, names.bitmaps, schemas.LOGIN_BITMAPS, "event_date", buckets)
     tables.create_day_table(spark, names.activity, schemas.USER_DAILY_ACTIVITY, "event_date")
     tables.create_day_table(spark, names.states, schemas.USER_STATE_RANGES, "start_date")
 
@@ -61,8 +76,11 @@ def step_bitmaps(
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     prev = tables.day_partition(spark, names.bitmaps, before)
     events = tables.day_partition(spark, names.events, day)
+    in_buckets = (
+        key == "device" and before in built and tables.buckets_of(spark, names.bitmaps) is not None
+    )
     return tables.replace_day(
-        bitmaps.carry_forward(prev, events, day, key), names.bitmaps, day
+        bitmaps.carry_forward(prev, events, day, key), names.bitmaps, day, laid_out=in_buckets
     )
 
 
@@ -91,6 +109,24 @@ def rebuild_states(
     tables.rebuild(ranges, names.states)
 
 
+def rebuild_metrics(spark: SparkSession, as_of: date, names: TableNames = TableNames()) -> None:
+    """Rebuild the balance and the serving tables from the daily user activity."""
+    tables.create_day_table(spark, names.balance, schemas.USER_MILES_BALANCE, "event_date")
+    tables.create_day_table(spark, names.growth, schemas.GROWTH_ACCOUNTING, "period_start")
+    tables.create_day_table(spark, names.cohorts, schemas.COHORT_RETENTION, "cohort_date")
+    tables.create_day_table(spark, names.engagement, schemas.ENGAGEMENT_DEPTH, "period_start")
+    daily = spark.table(names.activity).where(F.col("event_date") <= F.lit(as_of))
+
+    def by_period(metric: Callable[[str], DataFrame]) -> DataFrame:
+        parts = [metric(p).withColumn("period", F.lit(p)) for p in PERIODS]
+        return reduce(DataFrame.unionByName, parts)
+
+    tables.rebuild(activity.user_miles_balance(daily), names.balance)
+    tables.rebuild(by_period(lambda p: growth.growth_accounting(daily, p, as_of)), names.growth)
+    tables.rebuild(growth.cohort_retention(daily, as_of), names.cohorts)
+    tables.rebuild(by_period(lambda p: engagement.engagement_depth(daily, p)), names.engagement)
+
+
 def run_day(
     spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames()
 ) -> dict[str, int]:

@@ -73,3 +73,51 @@ USER_STATE_RANGES = T.StructType(
         T.StructField("end_date", T.DateType()),
     ]
 )
+
+USER_MILES_BALANCE = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("miles_earned_sum", T.DoubleType()),
+        T.StructField("miles_redeemed_sum", T.DoubleType()),
+        T.StructField("net_miles", T.DoubleType()),
+        T.StructField("miles_balance", T.DoubleType()),
+    ]
+)
+
+GROWTH_ACCOUNTING = T.StructType(
+    [
+        T.StructField("period", T.StringType()),
+        T.StructField("period_start", T.DateType()),
+        T.StructField("active_users", T.LongType()),
+        T.StructField("new_users", T.LongType()),
+        T.StructField("retained_users", T.LongType()),
+        T.StructField("resurrected_users", T.LongType()),
+        T.StructField("churned_users", T.LongType()),
+    ]
+)
+
+COHORT_RETENTION = T.StructType(
+    [
+        T.StructField("cohort_date", T.DateType()),
+        T.StructField("cohort_size", T.LongType()),
+        T.StructField("day_offset", T.LongType()),
+        T.StructField("retained_users", T.LongType()),
+        T.StructField("retention_pct", T.DoubleType()),
+    ]
+)
+
+ENGAGEMENT_DEPTH = T.StructType(
+    [
+        T.StructField("period", T.StringType()),
+        T.StructField("period_start", T.DateType()),
+        T.StructField("active_users", T.LongType()),
+        T.StructField("total_events", T.LongType()),
+        T.StructField("miles_earned", T.DoubleType()),
+        T.StructField("earners", T.LongType()),
+        T.StructField("redeemers", T.LongType()),
+        T.StructField("events_per_user", T.DoubleType()),
+        T.StructField("miles_per_user", T.DoubleType()),
+        T.StructField("redemption_rate", T.DoubleType()),
+    ]
+)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,8 +21,20 @@ def table_missing(spark: SparkSession, table: str) -> bool:
     return not spark.catalog.tableExists(table)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Files of a partition split by the hash of a column, for joins without a shuffle."""
+
+    column: str
+    number: int
+
+
 def create_day_table(
-    spark: SparkSession, table: str, schema: T.StructType, partition_field: str
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    partition_field: str,
+    buckets: Buckets | None = None,
 ) -> bool:
     """Create the table, partitioned by its date column, unless it exists."""
     if schema[partition_field].dataType != T.DateType():
@@ -31,10 +44,30 @@ def create_day_table(
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition_field}`)")
+    clustered = f"CLUSTERED BY (`{buckets.column}`) INTO {buckets.number} BUCKETS" if buckets else ""
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet "
+        f"PARTITIONED BY (`{partition_field}`) {clustered}"
+    )
     return True
 
 
+def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
+    bucketed = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+    if not bucketed:
+        return None
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'")
+    return Buckets(bucketed[0], int(described.first()["data_type"]))
+
+
+def _laid_out(df: DataFrame, table: str, *columns: str) -> DataFrame:
+    """Rows moved so that the write produces few files of even size."""
+    buckets = buckets_of(df.sparkSession, table)
+    if buckets:
+        return df.repartition(buckets.number, buckets.column)
+    return df.hint("rebalance", *columns)
+
+
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
     """Run a statement; the rows stay on the cluster until the caller asks for them."""
     return spark.sql(sql)
@@ -85,22 +118,21 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_day(df: DataFrame, table: str, day: date, column: str = "event_date") -> int:
+def replace_day(
+    df: DataFrame, table: str, day: date, column: str = "event_date", laid_out: bool = False
+) -> int:
     """Replace one day of the table with the rows of ``df`` for that day; returns their number.
 
     The rows are rebalanced first, so the partition gets files of even size, however many
-    tasks found rows of the day.
+    tasks found rows of the day. ``laid_out`` skips that for rows that come out of a join on
+    the buckets of this table and so are in place already.
     """
     spark = df.sparkSession
     written = Observation()
-    rows = (
-        df.where(F.col(column) == F.lit(day))
-        .select(*spark.table(table).columns)
-        .hint("rebalance")
-        .observe(written, F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.where(F.col(column) == F.lit(day)).select(*spark.table(table).columns)
+    rows = rows if laid_out else _laid_out(rows, table)
     with _overwrite_mode(spark, "dynamic"):
-        rows.write.insertInto(table, overwrite=True)
+        rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)
     n = written.get["n"]
     if n == 0:
         drop_day(spark, table, day, column)
@@ -113,11 +145,9 @@ def replace_days(
     """Replace all days from ``first`` to ``last`` in one write; days without rows are dropped."""
     spark = df.sparkSession
     written = Observation()
-    rows = (
-        df.where(F.col(column).between(F.lit(first), F.lit(last)))
-        .select(*spark.table(table).columns)
-        .hint("rebalance", column)
-        .observe(written, F.collect_set(column).alias("days"))
+    rows = df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    rows = _laid_out(rows.select(*spark.table(table).columns), table, column).observe(
+        written, F.collect_set(column).alias("days")
     )
     before = {d for d in partition_days(spark, table) if first <= d <= last}
     with _overwrite_mode(spark, "dynamic"):
@@ -130,7 +160,7 @@ def rebuild(df: DataFrame, table: str) -> None:
     """Replace the whole table; an empty ``df`` empties it."""
     spark = df.sparkSession
     partition = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    rows = df.select(*spark.table(table).columns).hint("rebalance", *partition)
+    rows = _laid_out(df.select(*spark.table(table).columns), table, *partition)
     with _overwrite_mode(spark, "static"):
         rows.write.insertInto(table, overwrite=True)
 

@@ -1,6 +1,7 @@
 """Tables, the raw log, and the daily batch end to end."""
 
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,8 @@ from helpers import activity, as_numbers, brute_ranges, day, event, events
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retentide.operators import states
+from retentide.__main__ import parser
+from retentide.operators import bitmaps, states
 from retentide.plans import jobs
 from retentide.schemas import BRONZE_EVENTS, EVENTS, LOGIN_BITMAPS
 from retentide.sources import raw_events, tables
@@ -231,3 +233,68 @@ def test_tables_keep_their_contract(spark, names):
     assert spark.table(names.events).columns == BRONZE_EVENTS.fieldNames()
     assert sorted(spark.table(names.bitmaps).columns) == sorted(LOGIN_BITMAPS.fieldNames())
     assert not tables.has_rows(spark.table(names.states))
+
+
+def test_bucketed_bitmaps_join_without_moving_yesterday(spark, tmp_path, names):
+    raw = write_raw(spark, tmp_path, log(4))
+    jobs.create_tables(spark, names, bitmap_buckets=4)
+    assert tables.buckets_of(spark, names.bitmaps) == tables.Buckets("device", 4)
+    for n in range(5):
+        jobs.run_day(spark, raw, day(n), names)
+    other = jobs.TableNames(*[f"x_{getattr(names, f)}" for f in ("events", "bitmaps", "activity", "states")])
+    jobs.create_tables(spark, other, bitmap_buckets=4)
+    jobs.backfill(spark, raw, day(0), day(4), other)
+    assert snapshot(spark, other) == snapshot(spark, names)
+    for part in range(5):
+        files = spark.table(names.bitmaps).where(F.col("event_date") == F.lit(day(part))).inputFiles()
+        assert len(files) <= 4
+
+    step = bitmaps.carry_forward(
+        tables.day_partition(spark, names.bitmaps, day(3)),
+        tables.day_partition(spark, names.events, day(4)),
+        day(4),
+    )
+    side = joined_side(step, names.bitmaps.split(".")[1])
+    assert "Exchange" not in side and "Bucketed: true" in side
+
+
+def joined_side(df, table):
+    """The part of the plan between the scan of ``table`` and the join above it."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and f".{table}[" in line)
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    depth = lines[scan].index("FileScan")
+    side, low = [], depth
+    for line in reversed(lines[join + 1 : scan + 1]):
+        start = len(line) - len(line.lstrip(" :+-*"))
+        if start <= low:
+            side.append(line)
+            low = start
+    return "\n".join(side)
+
+
+def test_metrics_tables_follow_from_the_activity(spark, tmp_path, names):
+    raw = write_raw(spark, tmp_path, log(6))
+    tag = names.events.split(".")[0]
+    names = replace(
+        names, balance=f"{tag}.balance", growth=f"{tag}.growth", cohorts=f"{tag}.cohorts",
+        engagement=f"{tag}.engagement",
+    )
+    jobs.backfill(spark, raw, day(0), day(6), names)
+    for _ in range(2):
+        jobs.rebuild_metrics(spark, day(6), names)
+    growth = spark.table(names.growth).where("period = 'day'").collect()
+    engaged = spark.table(names.engagement).where("period = 'day'").collect()
+    active = {r.period_start: r.active_users for r in growth if r.active_users}
+    assert active == {r.period_start: r.active_users for r in engaged}
+    assert spark.table(names.growth).select("period").distinct().count() == 3
+    users = spark.table(names.cohorts).where("day_offset = 1").agg(F.sum("cohort_size")).first()[0]
+    assert users == len({r["user_id"] for r in log(6)})
+    assert spark.table(names.balance).count() == spark.table(names.activity).count()
+
+
+def test_command_line_arguments():
+    args = parser().parse_args(["backfill", "20250206", "20250301", "--raw", "x.csv"])
+    assert (args.job, args.first, args.last, args.raw) == ("backfill", day(0), day(23), "x.csv")
+    with pytest.raises(SystemExit):
+        parser().parse_args(["run-day", "2025-02-06", "--raw", "x.csv"])
