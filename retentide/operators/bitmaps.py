@@ -16,6 +16,8 @@ from retentide.functions.calendar import as_date
 from retentide.schemas import LOGIN_BITMAPS
 
 COLUMNS = LOGIN_BITMAPS.fieldNames()
+# Days that are unfolded together in a backfill.
+BLOCK_DAYS = 32
 ATTRIBUTES = ("country", "platform", "utm_source", "user_id")
 
 
@@ -146,32 +148,64 @@ def build_bitmaps(
     events: DataFrame,
     as_of: date | str | Column,
     from_day: date | str | Column | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """What running :func:`carry_forward` on every day up to ``as_of`` adds up to.
 
     Needs one pass over the events instead of one job per day. ``from_day`` leaves out the
     partitions before it, not the history inside the later ones.
+
+    The result is far larger than the histories it comes from, a row and a string per device
+    and day, so the rows are placed before they are unfolded: each block of days is split over
+    a few tasks, and a task then writes only the days of its blocks. With ``buckets``, for a
+    table bucketed by device, the histories go to their bucket instead. Both fix the number of
+    tasks, as the size of the well-compressed histories says little about the work in them.
     """
     start = F.col("first")
     if from_day is not None:
         start = F.greatest(start, F.unix_date(as_date(from_day)))
-    age = F.col("day") - F.col("first") + 1
+    first, end, block, day = F.col("first"), F.col("end"), F.col("block"), F.col("day")
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    histories = device_histories(events, as_of).withColumn("start", start).where("start <= end")
+    if buckets:
+        placed = histories.repartition(buckets, "device")
+        days = F.sequence("start", "end")
+    else:
+        opening = block * BLOCK_DAYS
+        closing = F.least(end, opening + (BLOCK_DAYS - 1))
+        placed = (
+            histories.withColumn("block", F.explode(F.sequence(_block("start"), _block("end"))))
+            .withColumn("history", F.substring("history", F.lit(1), closing - first + 1))
+            .repartition(tasks, "block", F.pmod(F.hash("device"), F.lit(_split(tasks, from_day, as_of))))
+        )
+        days = F.sequence(F.greatest("start", opening), closing)
     return (
-        device_histories(events, as_of)
-        .where(start <= F.col("end"))
-        .withColumn("day", F.explode(F.sequence(start, F.col("end"))))
+        placed.withColumn("day", F.explode(days))
+        .withColumn("age", day - first + 1)
         .select(
-            F.date_from_unix_date("day").alias("event_date"),
+            F.date_from_unix_date(day).alias("event_date"),
             *ATTRIBUTES,
-            F.substring("history", F.lit(1), age).alias("login_bitmap"),
-            F.when(age == 1, "1").otherwise("0").alias("isNew"),
-            F.date_from_unix_date("first").alias("reg_date"),
+            F.substring("history", F.lit(1), F.col("age")).alias("login_bitmap"),
+            F.when(F.col("age") == 1, "1").otherwise("0").alias("isNew"),
+            F.date_from_unix_date(first).alias("reg_date"),
             "device",
         )
         .select(*COLUMNS)
     )
 
 
+def _block(day: str) -> Column:
+    return F.floor(F.col(day) / BLOCK_DAYS).cast("int")
+
+
+def _split(tasks: int, from_day: date | str | Column | None, as_of: date | str | Column) -> int:
+    """Into how many parts a block is split, so that all blocks together fill the tasks."""
+    if isinstance(from_day, date) and isinstance(as_of, date):
+        blocks = (as_of - from_day).days // BLOCK_DAYS + 1
+        return max(1, tasks // blocks)
+    return tasks
+
+
 def activity_of(bitmaps: DataFrame) -> DataFrame:
     """(user_id, event_date) for every '1' of the bitmaps, duplicates across devices kept.
 

@@ -19,9 +19,14 @@ from retentide.functions.calendar import (
 )
 from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, states
 from retentide.schemas import DEVICE_PATTERN, EVENTS
-from retentide.session import require_utc, scratch_path
+from retentide.session import scratch_path
 from retentide.sources import raw_events
-from retentide.sources.sample_tables import loyalty_events, miles_earned, order_events
+from retentide.sources.sample_tables import (
+    loyalty_events,
+    miles_earned,
+    order_events,
+    read_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -444,7 +449,7 @@ def dq_silver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = require_utc(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     return orders.select(
         "o_orderkey",
@@ -479,7 +484,7 @@ def scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scalar_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = require_utc(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     return orders.select(
         "o_orderkey",

@@ -88,8 +88,11 @@ def rebuild_bitmaps(
     spark: SparkSession, from_day: date, as_of: date, names: TableNames = TableNames()
 ) -> None:
     """Rebuild the login bitmaps of all days from ``from_day`` on in one pass over bronze."""
-    built = bitmaps.build_bitmaps(spark.table(names.events), as_of, from_day)
-    tables.replace_days(built, names.bitmaps, from_day, as_of)
+    buckets = tables.buckets_of(spark, names.bitmaps)
+    built = bitmaps.build_bitmaps(
+        spark.table(names.events), as_of, from_day, buckets and buckets.number
+    )
+    tables.replace_days(built, names.bitmaps, from_day, as_of, laid_out=True)
 
 
 def step_activity(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:
@@ -104,6 +107,9 @@ def rebuild_states(
     window: int = schemas.DEFAULT_WINDOW,
 ) -> None:
     """Rebuild the state ranges from the bitmaps of ``as_of``, which hold the whole history."""
+    built = tables.partition_days(spark, names.bitmaps)
+    if built and as_of not in built:
+        raise MissingDay(f"{names.bitmaps} has no {as_of}")
     latest = tables.day_partition(spark, names.bitmaps, as_of)
     ranges = states.user_states(bitmaps.activity_of(latest), as_of, window)
     tables.rebuild(ranges, names.states)

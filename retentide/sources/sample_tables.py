@@ -7,9 +7,37 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentide.session import require_utc
 
+SCHEMAS = {
+    "events": T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+            T.StructField("props", T.StringType()),
+        ]
+    ),
+    "orders": T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType()),
+            T.StructField("o_custkey", T.LongType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_totalprice", T.DoubleType()),
+            T.StructField("o_orderdate", T.TimestampNTZType()),
+            T.StructField("o_orderpriority", T.StringType()),
+        ]
+    ),
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return require_utc(spark).read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
 
 def _one_of(number: Column, values: tuple[str, ...]) -> Column:
     """The value at position ``number % len(values)``."""
@@ -29,10 +57,6 @@ def _padded_id(prefix: str, number: Column, width: int) -> Column:
     )
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return require_utc(spark).read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 def _as_loyalty_events(events: DataFrame) -> DataFrame:
     user, kind = F.col("user_id"), F.col("event_type")
     app = _one_of(user, ("android", "ios", "web"))
@@ -60,19 +84,19 @@ def _as_loyalty_events(events: DataFrame) -> DataFrame:
 
 def loyalty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the event contract, plus ``event_id`` and ``event_date``."""
-    return _as_loyalty_events(_read(spark, sf_dir, "events"))
+    return _as_loyalty_events(read_table(spark, sf_dir, "events"))
 
 
 def miles_earned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the events that earn miles: sparse enough to reach every user state."""
     # Filtered by the stored type, which reaches the scan.
-    purchases = _read(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    purchases = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return _as_loyalty_events(purchases)
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as user activity over several years: (user_id, event_date)."""
-    return _read(spark, sf_dir, "orders").select(
+    return read_table(spark, sf_dir, "orders").select(
         _padded_id("c_", F.col("o_custkey"), 8).alias("user_id"),
         F.to_date("o_orderdate").alias("event_date"),
     )

@@ -124,8 +124,7 @@ def replace_day(
     """Replace one day of the table with the rows of ``df`` for that day; returns their number.
 
     The rows are rebalanced first, so the partition gets files of even size, however many
-    tasks found rows of the day. ``laid_out`` skips that for rows that come out of a join on
-    the buckets of this table and so are in place already.
+    tasks found rows of the day. ``laid_out`` skips that for rows that are in place already.
     """
     spark = df.sparkSession
     written = Observation()
@@ -140,15 +139,20 @@ def replace_day(
 
 
 def replace_days(
-    df: DataFrame, table: str, first: date, last: date, column: str = "event_date"
+    df: DataFrame,
+    table: str,
+    first: date,
+    last: date,
+    column: str = "event_date",
+    laid_out: bool = False,
 ) -> None:
     """Replace all days from ``first`` to ``last`` in one write; days without rows are dropped."""
     spark = df.sparkSession
     written = Observation()
     rows = df.where(F.col(column).between(F.lit(first), F.lit(last)))
-    rows = _laid_out(rows.select(*spark.table(table).columns), table, column).observe(
-        written, F.collect_set(column).alias("days")
-    )
+    rows = rows.select(*spark.table(table).columns)
+    rows = rows if laid_out else _laid_out(rows, table, column)
+    rows = rows.observe(written, F.collect_set(column).alias("days"))
     before = {d for d in partition_days(spark, table) if first <= d <= last}
     with _overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)

@@ -5,7 +5,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from helpers import activity, as_numbers, brute_ranges, day, event, events
+from helpers import as_numbers, brute_ranges, day, event, events
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +218,8 @@ def test_a_skipped_day_is_refused(spark, tmp_path, names):
     jobs.run_day(spark, raw, day(0), names)
     with pytest.raises(jobs.MissingDay):
         jobs.run_day(spark, raw, day(2), names)
+    with pytest.raises(jobs.MissingDay):
+        jobs.rebuild_states(spark, day(1), names)
 
 
 def test_a_day_that_lost_its_events_ends_up_empty(spark, tmp_path, names):
