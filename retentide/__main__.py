@@ -21,6 +21,8 @@ def parser() -> argparse.ArgumentParser:
         if raw:
             sub.add_argument("--raw", required=True, help="path of the raw event log")
 
+    create = commands.add_parser("create", help="create the tables")
+    create.add_argument("--bitmap-buckets", type=int, help="split each day of bitmaps by device")
     command("bronze", "load one day of raw events", "day", raw=True)
     command("bitmaps", "build one day of login bitmaps", "day")
     command("activity", "build one day of user activity", "day")
@@ -33,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    jobs.create_tables(spark)
+    jobs.create_tables(spark, bitmap_buckets=getattr(args, "bitmap_buckets", None))
     if args.job == "bronze":
         print(jobs.load_bronze(spark, args.raw, args.day))
     elif args.job == "bitmaps":

@@ -173,10 +173,11 @@ def build_bitmaps(
     else:
         opening = block * BLOCK_DAYS
         closing = F.least(end, opening + (BLOCK_DAYS - 1))
+        parts = _parts(tasks, from_day, as_of)
         placed = (
             histories.withColumn("block", F.explode(F.sequence(_block("start"), _block("end"))))
             .withColumn("history", F.substring("history", F.lit(1), closing - first + 1))
-            .repartition(tasks, "block", F.pmod(F.hash("device"), F.lit(_split(tasks, from_day, as_of))))
+            .repartitionById(tasks, block * parts + F.pmod(F.hash("device"), F.lit(parts)))
         )
         days = F.sequence(F.greatest("start", opening), closing)
     return (
@@ -198,7 +199,7 @@ def _block(day: str) -> Column:
     return F.floor(F.col(day) / BLOCK_DAYS).cast("int")
 
 
-def _split(tasks: int, from_day: date | str | Column | None, as_of: date | str | Column) -> int:
+def _parts(tasks: int, from_day: date | str | Column | None, as_of: date | str | Column) -> int:
     """Into how many parts a block is split, so that all blocks together fill the tasks."""
     if isinstance(from_day, date) and isinstance(as_of, date):
         blocks = (as_of - from_day).days // BLOCK_DAYS + 1

@@ -87,12 +87,17 @@ def step_bitmaps(
 def rebuild_bitmaps(
     spark: SparkSession, from_day: date, as_of: date, names: TableNames = TableNames()
 ) -> None:
-    """Rebuild the login bitmaps of all days from ``from_day`` on in one pass over bronze."""
+    """Rebuild the login bitmaps of all days from ``from_day`` on in one pass over bronze.
+
+    The rows of a long range come out in the tasks that write them. Those of a short one are
+    spread over all tasks and are rebalanced, so that a day is not cut into many small files.
+    """
     buckets = tables.buckets_of(spark, names.bitmaps)
     built = bitmaps.build_bitmaps(
         spark.table(names.events), as_of, from_day, buckets and buckets.number
     )
-    tables.replace_days(built, names.bitmaps, from_day, as_of, laid_out=True)
+    in_place = buckets is not None or (as_of - from_day).days >= bitmaps.BLOCK_DAYS
+    tables.replace_days(built, names.bitmaps, from_day, as_of, laid_out=in_place)
 
 
 def step_activity(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:

@@ -298,5 +298,20 @@ def test_metrics_tables_follow_from_the_activity(spark, tmp_path, names):
 def test_command_line_arguments():
     args = parser().parse_args(["backfill", "20250206", "20250301", "--raw", "x.csv"])
     assert (args.job, args.first, args.last, args.raw) == ("backfill", day(0), day(23), "x.csv")
+    assert parser().parse_args(["create", "--bitmap-buckets", "8"]).bitmap_buckets == 8
     with pytest.raises(SystemExit):
         parser().parse_args(["run-day", "2025-02-06", "--raw", "x.csv"])
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_a_long_backfill_equals_the_definition(spark, tmp_path, names, buckets):
+    days = {f"u_{u:04d}": [n for n in range(u, 110) if (n * (u + 3)) % 17 == 0 or n == u] for u in range(9)}
+    feed = [event(n, user=u) for u, ns in days.items() for n in ns]
+    jobs.create_tables(spark, names, bitmap_buckets=buckets)
+    jobs.backfill(spark, write_raw(spark, tmp_path, feed), day(0), day(110), names)
+    got = {(r.user_id, r.event_date): r.login_bitmap for r in spark.table(names.bitmaps).collect()}
+    assert got == {
+        (u, day(n)): "".join("1" if d in ns else "0" for d in range(ns[0], n + 1))
+        for u, ns in days.items() for n in range(ns[0], 111)
+    }
+    assert as_numbers(spark.table(names.states)) == brute_ranges(days, 14, 110)
