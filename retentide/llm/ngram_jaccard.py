@@ -34,8 +34,10 @@ FREQUENT = 1 << 19
 #: A task looks for shingles that come up this often among so many shingles.
 LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 22
 BLOCK_ROWS = 2048
-LEADER_ROUNDS = 4
-BITMAP_BITS = 24
+#: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
+LEADERS, LEADERS_EVERY = 8, 16
+LEADER_ROUNDS = ((1, 1), (2, 4), (5, 8))
+BITMAP_BITS = 22
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -154,19 +156,23 @@ def postings(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarra
 
 
 def shared_postings(found: DataFrame, percent: int) -> DataFrame:
-    """Postings of shingles that several nodes have, with the block of the list they are in and the
-    list's leader for their size: the first node that is at most as much smaller as the similarity allows."""
+    """Postings of shingles that several nodes have, with the block of the list they are in and a leader.
+
+    A list is ordered by classes of sizes that can be similar, then by name, which is a random order that
+    all lists share. The first nodes of a class lead it: one of them where it is short, up to LEADERS where
+    it is long, dealt out by shingle, so that the members of a large group are offered several leaders."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the first row of a list, until a second one comes
-        shingle, count, leader, least, last = None, 0, 0, 0, 0
+        shingle, last, count, rank, kind = None, None, 0, 0, None
+        leaders: list[int] = []
         for batch in batches:
-            s, n, v, p = (batch.column(k).to_numpy() for k in range(4))
+            s, n, v, p, c = (batch.column(k).to_numpy() for k in range(5))
             repeated = np.zeros(len(s), bool)
             repeated[1:] = (s[1:] == s[:-1]) & (v[1:] == v[:-1])
             if len(s):
                 repeated[0] = s[0] == shingle and v[0] == last
-            s, n, v, p = (x[~repeated] for x in (s, n, v, p))
+            s, n, v, p, c = (x[~repeated] for x in (s, n, v, p, c))
             if not len(s):
                 continue
             new = np.ones(len(s), bool)
@@ -178,12 +184,16 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
             out: list[tuple] = []
 
             def rows(lo: int, hi: int) -> None:
-                nonlocal count, leader, least
+                nonlocal count, rank, kind, leaders
                 for i in range(lo, hi):
-                    if not count or least * 100 < percent * n[i]:
-                        leader, least = v[i], n[i]
-                    out.append((s[i], n[i], v[i], p[i], count // BLOCK_ROWS, leader))
+                    if not count or c[i] != kind:
+                        kind, rank, leaders = c[i], 0, []
+                    if rank < LEADERS:
+                        leaders.append(v[i])
+                    turns = min(LEADERS, 1 + rank // LEADERS_EVERY)
+                    out.append((s[i], n[i], v[i], p[i], count // BLOCK_ROWS, leaders[(int(s[i]) & 0xFFFF) % turns], turns))
                     count += 1
+                    rank += 1
 
             first = heads[0] if len(heads) else len(s)
             if first:  # the list of the batch before goes on
@@ -191,69 +201,75 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
                     out.append(held)
                     held = None
                 rows(0, first)
-            for lo, hi in zip(heads[ends - heads > 1], ends[ends - heads > 1], strict=True):
+            elif len(heads):
+                held = None
+            several = ends - heads > 1
+            for lo, hi in zip(heads[several], ends[several], strict=True):
                 count = 0
                 rows(lo, hi)
-                if hi == len(s):
-                    held = None
             if len(heads):
                 lo = heads[-1]
                 shingle = s[lo]
-                if ends[-1] - lo == 1:
+                if not several[-1]:
                     count = 0
                     rows(lo, lo + 1)
                     held = out.pop()
-                else:
-                    held = None
             if out:
                 columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(x, t)) for x, t in zip(columns, (np.int64, np.int32, np.int64, np.int32, np.int32, np.int64), strict=True)],
-                    ["shingle", "n", "node", "pos", "block", "leader"],
-                )
+                types = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(x, t)) for x, t in zip(columns, types, strict=True)], ["shingle", "n", "node", "pos", "block", "leader", "turns"])
 
-    return found.repartition("shingle").sortWithinPartitions("shingle", "n", "node").mapInArrow(scan, "shingle long, n int, node long, pos int, block int, leader long")
+    ordered = found.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")).repartition("shingle").sortWithinPartitions("shingle", "class", "node")
+    return ordered.mapInArrow(scan, "shingle long, n int, node long, pos int, block int, leader long, turns int")
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) for the nodes: (node, doc_id of one of its documents). A bitmap of the documents
-    and the names of the sets keep the other ones from being shuffled."""
-    spark = docs.sparkSession
-    wanted = bitmap(spark, nodes, F.xxhash64("doc_id"), BITMAP_BITS)
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents in `ids`; a bitmap of them keeps the other texts from being shuffled."""
+    wanted = bitmap(docs.sparkSession, ids, F.xxhash64("doc_id"), BITMAP_BITS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chosen = in_bitmap(wanted.value, batch.column("key").to_numpy().view(np.uint64))
-            batch = batch.filter(pa.array(chosen))
-            for first, last, values, bounds, names in _sets_in(batch, size):
-                whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(bounds * 8), pa.py_buffer(values)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(names)), whole], ["node", "shingles"])
+            yield batch.select(["doc_id", "text"]).filter(pa.array(chosen))
 
-    scanned = docs.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(scan, "node long, shingles binary")
-    return scanned.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(scan, "doc_id long, text string")
 
 
 def overlaps(docs: DataFrame, pairs: DataFrame, documents: DataFrame, size: int) -> DataFrame:
-    """pairs (a, b) with their sizes and overlap: (a, b, n_a, n_b, shared)."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(documents, "node").select("node", "doc_id")
-    sets = checkpoint(_sets_of(docs, checkpoint(nodes), size))
+    """pairs (a, b) of nodes with their sizes and overlap: (a, b, n_a, n_b, shared).
+
+    Texts are shuffled, not sets: they compress better. A text that has the id of a node's document but
+    another set, as repeated ids can, is told by the set's name."""
+    for side in "ab":
+        pairs = pairs.join(documents.select(F.col("node").alias(side), F.col("doc_id").alias("doc_" + side)), side)
+    pairs = checkpoint(pairs)
+    texts = _texts_of(docs, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            out = np.zeros((3, n), np.int64)
-            for k, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                place = np.searchsorted(large, small)
-                place[place == len(large)] = 0
-                out[:, k] = len(x), len(y), (large[place] == small).sum()
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, out)], ["a", "b", "n_a", "n_b", "shared"])
-
-    joined = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"
-    )
-    return checkpoint(joined.select("a", "b", "set_a", "set_b").mapInArrow(scan, "a long, b long, n_a long, n_b long, shared long"))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 128):
+                batch = whole.slice(lo, 128)
+                sides = []
+                for side in "ab":
+                    column, wanted, found = batch.column("text_" + side), batch.column(side).to_numpy().view(np.uint64), []
+                    for first, last, data, at in slices(column):
+                        values, bounds = shingle_sets(data, at, size)
+                        named = set_names(values, bounds) == wanted[first:last]
+                        found += [values[bounds[k] : bounds[k + 1]] if named[k] else None for k in range(last - first)]
+                    sides.append(found)
+                rows = [k for k, (x, y) in enumerate(zip(*sides, strict=True)) if x is not None and y is not None]
+                out = np.zeros((3, len(rows)), np.int64)
+                for i, k in enumerate(rows):
+                    small, large = sorted((sides[0][k], sides[1][k]), key=len)
+                    place = np.searchsorted(large, small)
+                    place[place == len(large)] = 0
+                    out[:, i] = len(sides[0][k]), len(sides[1][k]), (large[place] == small).sum()
+                kept = batch.select(["a", "b"]).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*kept.columns, *map(pa.array, out)], ["a", "b", "n_a", "n_b", "shared"])
+
+    # the side with a hot leader is joined first, while rows are small
+    joined = pairs.join(texts.toDF("doc_b", "text_b"), "doc_b").join(texts.toDF("doc_a", "text_a"), "doc_a")
+    return checkpoint(joined.select("a", "b", "text_a", "text_b").mapInArrow(scan, "a long, b long, n_a long, n_b long, shared long").distinct())
 
 
 def _linked(percent: int, shared: str = "shared") -> F.Column:
@@ -271,6 +287,7 @@ def cross_pairs(lists: DataFrame, component: DataFrame, percent: int) -> DataFra
     meet = x.join(y, "shingle").where(f"blockx <= blocky AND lowy * {percent} <= highx * 100 AND NOT (c1x = c2x AND c1y = c2y AND c1x = c1y)")
     left, right = (rows.select("shingle", *(F.col(c).alias(c + side) for c in ("block", "n", "node", "pos", "component"))) for side in "xy")
     need = f"ceil({percent} * (nx + ny) / {100 + percent})"
+    beyond = f"greatest(ceil({percent} * nx / 100), ceil({percent} * ny / 100)) - 1"
     pairs = (
         meet.select("shingle", "blockx", "blocky")
         .join(left, ["shingle", "blockx"])
@@ -278,7 +295,9 @@ def cross_pairs(lists: DataFrame, component: DataFrame, percent: int) -> DataFra
         .where(f"componentx <> componenty AND (blockx < blocky OR nodex < nodey) AND nx * 100 >= ny * {percent} AND ny * 100 >= nx * {percent}")
         .where(f"least(posx, posy) + least(nx - posx, ny - posy) >= {need}")
     )
-    return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
+    # shingles beyond a prefix are at most so many: the prefixes have to share the others
+    pairs = pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b"), F.expr(f"{need} - ({beyond})").alias("least"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("least").alias("least")).where("times >= least").select("a", "b")
 
 
 def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -303,13 +322,15 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     links = spark.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
     component = spark.createDataFrame([], "node long, component long")
-    offers = lists.where("leader <> node").groupBy("node", "leader").agg(F.count("*").alias("times"))
+    offers = lists.where("leader <> node").groupBy("node", "leader").agg(F.count("*").alias("times"), F.max("turns").alias("turns"), F.max("n").alias("n"))
+    # half of what prefixes of equal sets share at least; this picks whom to try first and decides nothing
+    offers = offers.where(f"2 * times * turns >= n * {percent * (100 - percent)} / {100 * (100 + percent)}")
     best = Window.partitionBy("node").orderBy(F.desc("times"), "leader")
-    offers = checkpoint(offers.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADER_ROUNDS))
-    for k in range(1, LEADER_ROUNDS + 1):
-        # those that have no component yet, or are in another one than the leader that is offered next
+    offers = checkpoint(offers.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADER_ROUNDS[-1][1]).select("node", "leader", "place"))
+    for low, high in LEADER_ROUNDS:
+        # those that have no component yet, or are in another one than the leaders that are offered next
         a, b = component.toDF("a", "component_a"), component.toDF("b", "component_b")
-        tried = offers.where(F.col("place") == k).select(F.col("node").alias("a"), F.col("leader").alias("b")).join(a, "a", "left").join(b, "b", "left")
+        tried = offers.where(F.col("place").between(low, high)).select(F.col("node").alias("a"), F.col("leader").alias("b")).join(a, "a", "left").join(b, "b", "left")
         tried = checkpoint(tried.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b"))
         if tried.isEmpty():
             continue
