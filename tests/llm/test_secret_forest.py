@@ -1,0 +1,66 @@
+import random
+
+from pyspark.sql import functions as F
+
+from retentide.llm import secret_forest
+from retentide.llm.secret_forest import candidates, find_candidates, fit_forest, judge, redact, scan_secrets
+
+
+def findings(seed=3, n=300):
+    draw = random.Random(seed)
+    hexes = lambda k: "".join(draw.choices("0123456789abcdef", k=k))
+    rows = []
+    for i in range(n):
+        kind = draw.choice(["secret", "number", "path", "ip", "mail", "sample"])
+        value = {
+            "secret": f'{draw.choice(["token", "api_key", "password"])} = "{hexes(40)}"',
+            "number": f"call {draw.randrange(10**15, 10**16)} now",
+            "path": f"see https://example.com/assets/img{draw.randrange(100)}/main.js",
+            "ip": f"from 192.168.100.{draw.randrange(100, 255)} by",
+            "mail": f"write to user{draw.randrange(1000)}@mail.example.com",
+            "sample": 'token = "example1234example1234"',
+        }[kind]
+        rows.append((i, f"some words before {value} and after", kind))
+    return rows
+
+
+def test_held_out_findings(spark):
+    docs = spark.createDataFrame(findings(), "doc_id long, text string, kind string")
+    model = fit_forest(find_candidates(docs.where("doc_id % 3 > 0")))
+    held = docs.where("doc_id % 3 = 0")
+    got = judge(find_candidates(held), model).groupBy("doc_id").agg(F.max("secret").alias("secret"))
+    rows = held.join(got, "doc_id", "left").collect()
+    assert sum((r["secret"] or False) == (r["kind"] == "secret") for r in rows) >= 0.97 * len(rows)
+
+
+def test_candidates_are_where_they_say(spark):
+    text = 'é key="A1b2C3d4E5f6G7h8", 12345 and /usr/lib/x86_64-linux. ' + "z" * 5000 + "9"
+    found = list(candidates(text))
+    assert [text[a:b] for a, b, *_ in found] == ["A1b2C3d4E5f6G7h8", "/usr/lib/x86_64-linux", "z" * 5000 + "9"]
+
+
+def test_redaction_takes_effect(spark):
+    rows = findings()
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t, _ in rows] + [(900, None, 0), (None, "none", 4), (901, "", 0)], "doc_id long, text string, n_chars long")
+    docs = docs.union(docs.where("doc_id = 1"))
+    clean = redact(docs, fit_forest(find_candidates(docs)))
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    text = {r["doc_id"]: (r["text"], r["n_chars"]) for r in clean.collect()}
+    for i, t, kind in rows:
+        assert ("<secret>" in text[i][0]) == (kind == "secret"), t
+        assert text[i][1] == len(text[i][0])
+        if kind == "secret":
+            assert text[i][0].endswith('"<secret>" and after')
+        else:
+            assert text[i][0] == t
+    assert text[900] == (None, 0) and text[None] == ("none", 4) and text[901] == ("", 0)
+
+
+def test_edge_cases(spark):
+    schema = "doc_id long, text string, label string, features string"
+    rows = [(None, 'token = "0123456789abcdef0123456789abcdef"', "x", "y"), (1, None, "x", "y"), (2, "", "x", "y"), (3, "no digits at allllllllllllllllll", "x", "y")]
+    got = scan_secrets(spark.createDataFrame(rows, schema)).collect()
+    # one label only: the rules decide
+    assert [(r["doc_id"], r["secret"], r["first"], r["last"]) for r in got] == [(None, True, 9, 41)]
+    assert scan_secrets(spark.createDataFrame([], schema)).collect() == []
+    assert secret_forest.rule_label("changeme12345678", 'password = "') == 0
