@@ -35,8 +35,8 @@ FREQUENT = 1 << 19
 LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 22
 BLOCK_ROWS = 2048
 #: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
-LEADERS, LEADERS_EVERY = 8, 16
-LEADER_ROUNDS = ((1, 1), (2, 4), (5, 8))
+LEADERS, LEADERS_EVERY = 32, 8
+LEADER_ROUNDS = ((1, 1), (2, 3), (4, 8), (9, 32))
 BITMAP_BITS = 22
 
 
