@@ -5,19 +5,132 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retentide.llm import ngram_jaccard
+from retentide.llm import byte_cnn, decontaminate, language_id, ngram_jaccard, posting_ann, revisits, secret_forest, site_templates, soft_mixing, toxicity
+from retentide.llm.sampling import split_part
+
+#: Weights of the domains that labels give, by tokens.
+TARGETS = {"q1t0": 0.90, "q1t1": 0.05, "q0t0": 0.04, "q0t1": 0.01}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(parts: int, part: int) -> F.Column:
+    return F.coalesce(split_part(F.col("doc_id"), parts) == part, F.lit(False)).alias("held_out")
+
+
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", _held_out(4, 2), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(language_id.training_rows(docs))
+    found = language_id.predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out(4, 2), "lang_pred", "score", F.size("shares").alias("n_languages"))
+
+
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.crawl_of_pages(_table(spark, sf_dir, "pages")))
+    header = lambda name: F.col("headers")[name].alias(name.replace("-", "_"))
+    return found.select("record_id", "url", "url_key", "ts", "verdict", "refers_to", "response_ts", "digest", *map(header, ("cache-control", "content-type", "date", "etag", "server")))
+
+
+def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_templates.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    net = byte_cnn.fit_quality(docs, _table(spark, sf_dir, "labels"))
+    return byte_cnn.score_quality(docs, net).select("doc_id", _held_out(3, 1), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = soft_mixing.label_domains(_table(spark, sf_dir, "labels"))
+    return soft_mixing.mix_documents(_table(spark, sf_dir, "documents"), labelled, TARGETS, ["doc_id"])
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_ngram_jaccard": op10_ngram_jaccard,
+    f.__name__: f
+    for f in (
+        op1_template_decontamination,
+        op2_posting_lists,
+        op3_toxic_segments,
+        op4_language_mixture,
+        op5_revisits,
+        op6_site_templates,
+        op7_secret_forest,
+        op8_byte_cnn,
+        op9_soft_mixing,
+        op10_ngram_jaccard,
+    )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_OP5 = r"""
+WITH pages_ AS (
+  SELECT page_id, url, md5(coalesce(html, '')) AS tag,
+         regexp_extract(url, '^\s*([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2) AS host,
+         regexp_extract(url, '^\s*([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3) AS path,
+         regexp_extract(url, '^\s*([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 4) AS query
+  FROM pages
+), cleaned AS (
+  SELECT page_id, url, tag,
+         regexp_replace(regexp_replace(lower(host), '^.*@', ''), ':(80|443)?$', '') AS host,
+         regexp_replace(regexp_replace(path, '/index\.(html?|php)$', '/'), '/+$', '') AS path,
+         list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[^=]*|ref|fbclid|gclid|sessionid|phpsessid)(=|$)'))) AS kept
+  FROM pages_
+), keyed AS (
+  SELECT page_id, url, tag, 1700000000 + page_id * 60 AS start,
+         CASE WHEN page_id % 7 <> 0 THEN '"' || substr(tag, 1, 16) || '"' END AS etag,
+         CASE WHEN host <> '' THEN host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS url_key
+  FROM cleaned
+), visits AS (
+  SELECT page_id * 2 + 1 AS record_id, url, url_key,
+         start + CASE WHEN page_id % 11 = 0 THEN -600 ELSE 86400 + (page_id % 5) * 1800 END AS ts,
+         CASE WHEN page_id % 10 = 0 THEN 'changed' ELSE tag END AS digest,
+         CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 10 = 0 THEN '"changed"' ELSE 'W/' || etag END END AS etag
+  FROM keyed
+), matched AS (
+  SELECT v.*, f.page_id * 2 AS refers_to, f.start AS response_ts, f.tag AS stored, f.etag AS stored_etag,
+         row_number() OVER (PARTITION BY v.record_id ORDER BY f.start DESC, f.page_id DESC) AS place
+  FROM visits v LEFT JOIN keyed f ON f.url_key = v.url_key AND f.start < v.ts
+), judged AS (
+  SELECT *, CASE WHEN refers_to IS NULL THEN 'missing'
+                 WHEN etag IS NOT NULL AND stored_etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = stored_etag THEN 'resolved' ELSE 'mismatch' END
+                 WHEN digest = stored THEN 'resolved' ELSE 'mismatch' END AS verdict
+  FROM matched WHERE place = 1
+)
+SELECT record_id, url, url_key, ts, verdict, refers_to, response_ts,
+       CASE WHEN verdict = 'resolved' THEN stored ELSE digest END AS digest,
+       'max-age=600' AS cache_control,
+       CASE WHEN verdict = 'resolved' THEN 'text/html' END AS content_type,
+       CAST(ts AS VARCHAR) AS date,
+       CASE WHEN verdict = 'resolved' THEN coalesce(etag, stored_etag) ELSE etag END AS etag,
+       CASE WHEN verdict <> 'resolved' THEN 'edge' END AS server
+FROM judged
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_revisits": _OP5}
