@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentide.llm.arrow_text import PLACES, WORDS, Words, letters_inside, mix, slices, windows, words
+from retentide.llm.arrow_text import PLACES, WORDS, Words, letters_inside, mix, slices, text_buffer, windows, words
 from retentide.llm.spark_util import bitmap, checkpoint, in_bitmap
 
 WINDOW = 8
@@ -45,14 +45,14 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(words(data, np.array([0, len(data)]), WORDS).hashes)
 
 
-def _canonical(data: np.ndarray, at: np.ndarray, w: Words, inside: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word's canonical form in the plain form, and whether it may be a name. A word
-    that only goes on a number (the 000 of 1,000) gets hash 0 and is left out by the callers."""
+def _canonical(data: np.ndarray, w: Words, units: np.ndarray) -> np.ndarray:
+    """The hash of each word's canonical form in the plain form. A word that only goes on a number (the 000
+    of 1,000) gets hash 0 and is left out by the callers."""
     n = len(w.hashes)
     digit = (data[w.starts] >= 48) & (data[w.starts] <= 57)
     out = np.where(digit, _NUMBER, w.hashes)
     if not n:
-        return out, digit
+        return out
     follows = np.zeros(n, bool)
     follows[1:] = w.texts[1:] == w.texts[:-1]
     previous = np.zeros(n, bool)
@@ -63,7 +63,14 @@ def _canonical(data: np.ndarray, at: np.ndarray, w: Words, inside: np.ndarray, u
     one[1:] = w.starts[1:] - w.ends[:-1] == 1
     before = data[np.maximum(w.starts - 1, 0)]
     out = np.where(follows & previous & digit & one & ((before == 44) | (before == 46)), np.uint64(0), out)
-    # a capital that doesn't begin a sentence or line
+    return out
+
+
+def _names(data: np.ndarray, w: Words) -> np.ndarray:
+    """Which words have a capital and don't begin a sentence or line."""
+    n = len(w.hashes)
+    follows = np.zeros(n, bool)
+    follows[1:] = w.texts[1:] == w.texts[:-1]
     capital = (data[w.starts] >= 65) & (data[w.starts] <= 90)
     wide = np.flatnonzero((data[w.starts] == 0xC3) & (w.ends - w.starts > 1))
     second = data[w.starts[wide] + 1]
@@ -71,18 +78,25 @@ def _canonical(data: np.ndarray, at: np.ndarray, w: Words, inside: np.ndarray, u
     stops = np.concatenate([[0], np.cumsum(np.isin(data, np.frombuffer(b".!?:;\n\r", np.uint8)))])
     begins = np.ones(n, bool)
     begins[1:] = stops[w.starts[1:]] > stops[w.ends[:-1]]
-    return out, capital & follows & ~begins & ~digit
+    return capital & follows & ~begins
 
 
-def _forms(data: np.ndarray, at: np.ndarray, units: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For the plain (0) and the named form (1): canonical hashes, texts, first and last bytes."""
-    inside = letters_inside(data)
-    w = words(data, at, WORDS, inside)
-    plain, name = _canonical(data, at, w, inside, units)
+def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], units: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For the plain (0) and the named form (1): canonical hashes, texts, first and last bytes in the
+    lower-cased text. Capitals are those of the raw text."""
+    data, at = lower
+    w = words(data, at, WORDS, letters_inside(data))
+    plain = _canonical(data, w, units)
     kept = plain != 0
     yield 0, plain[kept], w.texts[kept], w.starts[kept], w.ends[kept]
+    cased = words(*raw, WORDS, letters_inside(raw[0]))
+    name = np.zeros(len(plain), bool)
+    mine, theirs = np.bincount(w.texts, minlength=len(at)), np.bincount(cased.texts, minlength=len(at))
+    # lower case hardly ever has other words; such a text has no names
+    same = mine == theirs
+    name[same[w.texts]] = _names(raw[0], cased)[same[cased.texts]]
     if name.any():
-        named = np.where(name & (plain != _UNIT), _NAME, plain)
+        named = np.where(name & (plain != _UNIT) & (plain != _NUMBER) & (plain != 0), _NAME, plain)
         goes_on = np.zeros(len(named), bool)
         goes_on[1:] = (named[1:] == _NAME) & (named[:-1] == _NAME) & (w.texts[1:] == w.texts[:-1])
         kept = (plain != 0) & ~goes_on
@@ -91,14 +105,14 @@ def _forms(data: np.ndarray, at: np.ndarray, units: np.ndarray) -> Iterator[tupl
         yield 1, named[kept], w.texts[kept], w.starts[kept], ends
 
 
-def _windows(data: np.ndarray, at: np.ndarray, sizes: list[int], units: np.ndarray, whole: bool) -> Iterator[tuple]:
+def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], sizes: list[int], units: np.ndarray, whole: bool) -> Iterator[tuple]:
     """(form, text, place of the window in the text, hash, size, canonical hashes, starts, ends, first word of
     each window). With `whole`, a text of fewer than WINDOW words gives one window, else every size is slid."""
-    for form, canonical, texts, starts, ends in _forms(data, at, units):
+    for form, canonical, texts, starts, ends in _forms(lower, raw, units):
         slot = (canonical == _NUMBER) | (canonical == _UNIT) | (canonical == _NAME)
         slots = np.concatenate([[0], np.cumsum(slot)])
         names = np.concatenate([[0], np.cumsum(canonical == _NAME)])
-        bounds = np.searchsorted(texts, np.arange(len(at)))
+        bounds = np.searchsorted(texts, np.arange(len(lower[1])))
         lengths = np.diff(bounds)
         for size in sizes:
             hashes = windows(canonical, size)
@@ -127,21 +141,23 @@ def _rows(table: DataFrame, id_column: str, sizes: list[int], wanted=None) -> Da
         units = _unit_hashes()
         for batch in batches:
             ids = batch.column("id")
-            for first_text, _, data, at in slices(batch.column("text")):
-                for form, texts, pos, hashes, size, slot, starts, ends, first in _windows(data, at, sizes, units, wanted is None):
+            cased, edges = text_buffer(batch.column("text"))
+            for first_text, last_text, data, at in slices(batch.column("lowered")):
+                raw = cased[edges[first_text] : edges[last_text]], edges[first_text : last_text + 1] - edges[first_text]
+                for form, texts, pos, hashes, size, slot, starts, ends, first in _windows((data, at), raw, sizes, units, wanted is None):
                     if wanted is not None:
                         hit = in_bitmap(wanted.value, hashes)
                         texts, pos, hashes, first = texts[hit], pos[hit], hashes[hit], first[hit]
                     if not len(first):
                         continue
-                    slots = [[f"{k} {bytes(data[starts[i + k] : ends[i + k]]).decode(errors='replace').lower()}" for k in np.flatnonzero(slot[i : i + size])] for i in first.tolist()]
+                    slots = [[f"{k} {bytes(data[starts[i + k] : ends[i + k]]).decode(errors='replace')}" for k in np.flatnonzero(slot[i : i + size])] for i in first.tolist()]
                     n = len(first)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(texts + first_text)), pa.array(np.full(n, form, np.int32)), pa.array(hashes.view(np.int64)), pa.array(pos.astype(np.int32)), pa.array(np.full(n, size, np.int32)), pa.array(slots, pa.list_(pa.string()))],
                         _COLUMNS,
                     )
 
-    return table.select(F.col(id_column).cast("long").alias("id"), "text").mapInArrow(scan, _SCHEMA)
+    return table.select(F.col(id_column).cast("long").alias("id"), "text", F.lower("text").alias("lowered")).mapInArrow(scan, _SCHEMA)
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

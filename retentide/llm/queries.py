@@ -11,7 +11,7 @@ from retentide.llm import byte_cnn, decontaminate, language_id, ngram_jaccard, p
 from retentide.llm.sampling import split_part
 
 #: Weights of the domains that labels give, by tokens.
-TARGETS = {"q1t0": 0.90, "q1t1": 0.05, "q0t0": 0.04, "q0t1": 0.01}
+TARGETS = {"q1t0": 0.86, "q1t1": 0.06, "q0t0": 0.07, "q0t1": 0.01}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -29,7 +29,9 @@ WORD_BITS, SHAPE_BITS = 16, 12
 #: The sample that the classifier is fitted on: so many labelled documents, none of more bytes than this.
 LABELLED_ROWS, LONGEST = 6000, 1 << 16
 #: Passes over the sample, more of them if that gives fewer steps than this.
-EPOCHS, STEPS, BATCH = 12, 400, 100
+EPOCHS, STEPS, BATCH, RATE = 12, 400, 100, 0.2
+#: The power of a text's words that the sum of their weights is divided by: between a sum and a mean.
+POWER = 0.25
 #: Weight of staying at rate 1; rounds at most; the change of a domain's share that ends them.
 STAY, ROUNDS, TOLERANCE = 1e-3, 80, 1e-5
 
@@ -48,7 +50,7 @@ class DomainModel:
         full = np.flatnonzero(counts)
         if len(full):
             sums = np.add.reduceat(self.weights[word] + self.weights[shape], bounds[:-1][full], axis=0)
-            logits[full] = sums / np.sqrt(counts[full])[:, None]
+            logits[full] = sums / (counts[full] ** POWER)[:, None]
         logits += self.bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         return counts, p / p.sum(axis=1, keepdims=True)
@@ -89,7 +91,7 @@ def fit_classifier(data: np.ndarray, at: np.ndarray, y: np.ndarray, domains: lis
             edges = np.concatenate([[0], np.cumsum(sizes)])
             place = np.arange(edges[-1]) + np.repeat(bounds[rows] - edges[:-1], sizes)
             both = np.concatenate([word[place], shape[place]])
-            scale = 1 / np.sqrt(sizes)
+            scale = 1 / sizes**POWER
             logits = np.add.reduceat(weights[word[place]] + weights[shape[place]], edges[:-1], axis=0) * scale[:, None] + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -98,7 +100,7 @@ def fit_classifier(data: np.ndarray, at: np.ndarray, y: np.ndarray, domains: lis
             used, inverse = np.unique(both, return_inverse=True)
             grad = np.stack([np.bincount(inverse, weights=each[:, d], minlength=len(used)) for d in range(k)], axis=1) + 1e-6 * weights[used]
             squares[used] += (grad**2).astype(np.float32)
-            weights[used] -= (0.05 * grad / np.sqrt(squares[used])).astype(np.float32)
+            weights[used] -= (RATE * grad / np.sqrt(squares[used])).astype(np.float32)
             bias -= 0.1 * p.mean(axis=0)
     return model
 

@@ -23,11 +23,11 @@ from retentide.llm.arrow_text import WORDS, letters_inside, slices, words
 from retentide.llm.sampling import labelled_sample, split_part
 
 BUCKET_BITS = 17
-HEAD_BYTES = 6
+HEAD_BYTES = 5
 #: Labelled documents that scores are learned from, at most.
 LABELLED_ROWS = 20000
 #: What a score loses, so that clean text drifts down, and the most that it may lose.
-DRIFT, LOWEST = 1.0, -3.0
+DRIFT, LOWEST = 2.0, -3.0
 SIGNIFICANT = 0.05
 
 
@@ -40,18 +40,46 @@ class ToxicityModel:
     intercept: float
     slope: float
 
-    def scores(self, tokens: np.ndarray, heads: np.ndarray) -> np.ndarray:
-        """Shifted log-odds of tokens, by their buckets."""
+    def scores(self, tokens: np.ndarray, heads: np.ndarray, label: int | None = None) -> np.ndarray:
+        """Shifted log-odds of tokens, by their buckets; for a document that was learned from, given its
+        label, as if it hadn't been."""
         total, rest = self.counts.sum(axis=1, dtype=np.float64), self.heads.sum(axis=1, dtype=np.float64)
         share = (self.counts[0, tokens] + 1.0) / (total[0] + self.counts.shape[1])
         head_share = (self.heads[0, heads] + 1.0) / (rest[0] + self.heads.shape[1])
         strength = max(1.0, min(total[1], total[2]))
         sides = []
         for k in (1, 2):
-            rate = (self.heads[k, heads] + 1.0) / (rest[k] * head_share + 1.0)
-            sides.append((self.counts[k, tokens] + strength * share * rate) / (total[k] + strength))
+            count, head, n, m = self.counts[k, tokens], self.heads[k, heads], total[k], rest[k]
+            if label is not None and k == 1 + label:
+                count, head, n, m = count - _own(tokens), head - _own(heads), n - len(tokens), m - len(heads)
+            rate = (head + 1.0) / (m * head_share + 1.0)
+            sides.append((count + strength * share * rate) / (n + strength))
         return np.maximum(np.log(sides[1] / sides[0]) - DRIFT, LOWEST)
 
+    def text_scores(self, tokens: np.ndarray, heads: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Scores of the words of several texts, as segments are made of."""
+        return damped(self.scores(tokens, heads), tokens, bounds)
+
+
+def damped(scores: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The k-th time that a token speaks for toxicity in a text, it counts by 1 / k**2: repeats tell little."""
+    at = np.flatnonzero(scores > 0)
+    if not len(at):
+        return scores
+    key = (np.searchsorted(bounds, at, side="right") << BUCKET_BITS) | tokens[at]
+    order = np.argsort(key, kind="stable")
+    new = np.flatnonzero(np.diff(key[order], prepend=-1))
+    times = np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at)))) + 1
+    scores = scores.copy()
+    scores[at[order]] /= times.astype(float) ** 2
+    return scores
+
+
+def _own(buckets: np.ndarray) -> np.ndarray:
+    """How often each bucket is among the buckets."""
+    _, place, times = np.unique(buckets, return_inverse=True, return_counts=True)
+    return times[place]
+
 
 def _tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of the words and of their heads, and the offsets of each text's words."""
@@ -161,12 +189,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
         for batch in batches:
             for first, last, data, at in slices(batch.column("text")):
                 tokens, ends, bounds = _tokens(data, at)
-                scores = model.scores(tokens, ends)
-                own = [scores[bounds[k] : bounds[k + 1]] for k in range(last - first)]
+                labels = batch.column("label").slice(first, last - first).to_pylist()
+                cut = [slice(bounds[k], bounds[k + 1]) for k in range(last - first)]
+                own = [damped(model.scores(tokens[c], ends[c], label), tokens[c], np.zeros(1, np.int64)) for c, label in zip(cut, labels, strict=True)]
                 histogram = [np.unique(np.round(x, 1), return_counts=True) for x in own]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("label").slice(first, last - first),
+                        pa.array(labels, pa.int32()),
                         pa.array(np.diff(bounds)),
                         pa.array([[s for _, _, s in segments(x)] for x in own], pa.list_(pa.float64())),
                         pa.array([h[0] for h in histogram], pa.list_(pa.float64())),
@@ -187,8 +216,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
     decay = _decay(scores, times / times.sum())
     found = np.sort(np.concatenate(clean["found"].to_list()))
     high = found[int(0.9 * len(found)) :] if len(found) else np.zeros(1)
-    # of n tokens, K * n * exp(-lambda * x) segments reach x: the mean over the upper tenth of the segments
-    space = float(np.mean(np.arange(len(high), 0, -1) * np.exp(np.minimum(decay * high, 500.0)) / max(int(clean["n"].sum()), 1)))
+    # of n tokens, K * n * exp(-lambda * x) segments reach x: the median over the upper tenth of the segments
+    space = float(np.median(np.arange(len(high), 0, -1) * np.exp(np.minimum(decay * high, 500.0)) / max(int(clean["n"].sum()), 1)))
     space = max(space, 1e-9)
     evidence = np.array([_evidence(list(f), n, decay, space) for f, n in zip(seen["found"], seen["n"], strict=True)])
     intercept, slope = _logistic(np.log1p(evidence), toxic.astype(float))
@@ -210,7 +239,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             for first, last, data, at in slices(batch.column("text")):
                 w = words(data, at, WORDS, letters_inside(data))
                 tokens, heads, bounds = _tokens(data, at)
-                scores = model.scores(tokens, heads)
+                scores = model.text_scores(tokens, heads, bounds)
                 passages, out = [], np.zeros(last - first)
                 for k in range(last - first):
                     lo, n = bounds[k], int(bounds[k + 1] - bounds[k])
