@@ -36,7 +36,7 @@ LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 22
 BLOCK_ROWS = 2048
 #: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
 LEADERS, LEADERS_EVERY = 32, 8
-LEADER_ROUNDS = ((1, 1), (2, 3), (4, 8), (9, 32))
+LEADER_ROUNDS = ((1, 3), (4, 32))
 BITMAP_BITS = 22
 
 
