@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +20,12 @@ def parser() -> argparse.ArgumentParser:
         for day in days:
             sub.add_argument(day, type=parse_day, metavar="YYYYMMDD")
         if raw:
-            sub.add_argument("--raw", required=True, help="path of the raw event log")
+            sub.add_argument("--raw", required=True, help="path of the raw event log; {day} in it stands for the day, as YYYY-MM-DD")
 
     create = commands.add_parser("create", help="create the tables")
     create.add_argument("--bitmap-buckets", type=int, help="split each day of bitmaps by device")
     command("bronze", "load one day of raw events", "day", raw=True)
-    command("bitmaps", "build one day of login bitmaps", "day")
+    command("bitmaps", "clean a day, build its login bitmaps and those of the days after", "day")
     command("activity", "build one day of user activity", "day")
     command("states", "rebuild the user state ranges", "day")
     command("metrics", "rebuild the balance and serving tables", "day")
@@ -34,27 +35,40 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> None:
+def run(spark: SparkSession, args: argparse.Namespace) -> int:
+    """The exit code: 1 if a check found something or stopped a load."""
     jobs.create_tables(spark, bitmap_buckets=getattr(args, "bitmap_buckets", None))
-    if args.job == "bronze":
-        print(jobs.load_bronze(spark, args.raw, args.day))
-    elif args.job == "bitmaps":
-        print(jobs.step_bitmaps(spark, args.day))
-    elif args.job == "activity":
-        print(jobs.step_activity(spark, args.day))
-    elif args.job == "states":
-        jobs.rebuild_states(spark, args.day)
-    elif args.job == "metrics":
-        jobs.rebuild_metrics(spark, args.day)
-    elif args.job == "run-day":
-        print(jobs.run_day(spark, args.raw, args.day))
-    elif args.job == "backfill":
-        jobs.backfill(spark, args.raw, args.first, args.last)
-    elif args.job == "check":
-        checks = jobs.check_bronze(spark, args.raw, args.day)
-        checks.unionByName(jobs.check_bitmaps(spark, args.day)).show(truncate=False)
+    try:
+        if args.job == "bronze":
+            print(jobs.load_bronze(spark, args.raw, args.day))
+        elif args.job == "bitmaps":
+            print(jobs.bitmaps_and_later(spark, args.day))
+        elif args.job == "activity":
+            print(jobs.step_activity(spark, args.day))
+        elif args.job == "states":
+            jobs.rebuild_states(spark, args.day)
+        elif args.job == "metrics":
+            jobs.rebuild_metrics(spark, args.day)
+        elif args.job == "run-day":
+            print(jobs.run_day(spark, args.raw, args.day))
+        elif args.job == "backfill":
+            jobs.backfill(spark, args.raw, args.first, args.last)
+        elif args.job == "check":
+            checks = jobs.check_bronze(spark, args.raw, args.day)
+            found = checks.unionByName(jobs.check_bitmaps(spark, args.day)).collect()
+            for row in found:
+                print(f"{row['check']}: {row['n_bad']}")
+            return int(any(row["n_bad"] for row in found))
+    except jobs.FailedChecks as failed:
+        print(f"stopped by checks: {failed}")
+        return 1
+    return 0
 
 
 if __name__ == "__main__":
     arguments = parser().parse_args()
-    run(SparkSession.builder.appName("retentide").getOrCreate(), arguments)
+    # Tables are found again by their folders below the warehouse, so any catalog will do.
+    session = SparkSession.builder.appName("retentide").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    code = run(session, arguments)
+    session.stop()
+    sys.exit(code)

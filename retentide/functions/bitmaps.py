@@ -5,28 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A bigint holds 63 value bits, and two windows are read from it.
-MAX_BIT_WINDOW = 31
+# Bits of a word: a bigint holds so many without its sign.
+WORD_BITS = 63
 
 
 def device_id(platform: Column, user_id: Column) -> Column:
     return F.concat(platform, F.lit("_"), user_id)
 
 
-def bitmap_to_int(bitmap: Column, keep_bits: int) -> Column:
-    """The last ``keep_bits`` characters as an integer, the newest day in the lowest bit.
+def bitmap_to_words(bitmap: Column) -> Column:
+    """The whole bitmap as integers of 63 bits, the newest days first: the newest day is the lowest bit
+    of the first word, so that bitmaps of any length that end on the same day line up."""
+    count = F.greatest(F.lit(1), F.ceil(F.length(bitmap) / WORD_BITS).cast("int"))
 
-    Only the bits that are read later are converted, so a history of any length fits.
-    """
-    if not 1 <= keep_bits <= 63:
-        raise ValueError("keep_bits must be between 1 and 63")
-    return F.conv(F.right(bitmap, F.lit(keep_bits)), 2, 10).cast("bigint")
+    def word(k: Column) -> Column:
+        end = F.length(bitmap) - k * WORD_BITS
+        start = F.greatest(F.lit(1), end - (WORD_BITS - 1))
+        return F.conv(F.substring(bitmap, start, end - start + 1), 2, 10).cast("bigint")
+
+    return F.transform(F.sequence(F.lit(0), count - 1), word)
+
+
+def word_at(words: Column, k: int | Column) -> Column:
+    """A word, or zero beyond the last one."""
+    return F.coalesce(F.get(words, F.lit(k) if isinstance(k, int) else k), F.lit(0).cast("bigint"))
 
 
-def active_days_in(bits: Column, window: int, skip: int = 0) -> Column:
+def active_days_in(words: Column, window: int, skip: int = 0) -> Column:
     """Set bits among the ``window`` days that end ``skip`` days before the newest one."""
-    mask = F.lit((1 << window) - 1).cast("bigint")
-    return F.bit_count(F.shiftright(bits, skip).bitwiseAND(mask)).cast("bigint")
+    total = F.lit(0)
+    for k in range(skip // WORD_BITS, (skip + window - 1) // WORD_BITS + 1):
+        low, high = max(skip - k * WORD_BITS, 0), min(skip + window - k * WORD_BITS, WORD_BITS)
+        mask = F.lit((1 << (high - low)) - 1).cast("bigint")
+        total = total + F.bit_count(F.shiftright(word_at(words, k), low).bitwiseAND(mask))
+    return total.cast("bigint")
 
 
 def bitmap_of_days(days: Column, end: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from retentide.functions.bitmaps import bitmap_of_days, device_id
 from retentide.functions.calendar import as_date
+from retentide.operators.activity import placed
 from retentide.schemas import LOGIN_BITMAPS
 
 COLUMNS = LOGIN_BITMAPS.fieldNames()
@@ -24,7 +25,7 @@ ATTRIBUTES = ("country", "platform", "utm_source", "user_id")
 def active_profiles(events: DataFrame) -> DataFrame:
     """Distinct (event_date, country, platform, utm_source, user_id) with activity."""
     return (
-        events.where(F.col("user_id").isNotNull()).select("event_date", *ATTRIBUTES).distinct()
+        placed(events).select("event_date", *ATTRIBUTES).distinct()
     )
 
 
@@ -36,7 +37,7 @@ def _earliest() -> Column:
 def active_devices(events: DataFrame) -> DataFrame:
     """One row per day and device, with the country and source of its first event that day."""
     return (
-        events.where(F.col("user_id").isNotNull())
+        placed(events)
         .groupBy("event_date", "platform", "user_id")
         .agg(_earliest())
         .select(
@@ -120,12 +121,16 @@ def _carry_users(prev: DataFrame, today: DataFrame, day: date | str | Column) ->
     return known.select(*COLUMNS).unionByName(fresh.select(*COLUMNS))
 
 
-def device_histories(events: DataFrame, as_of: date | str | Column) -> DataFrame:
+def device_histories(
+    events: DataFrame, as_of: date | str | Column, from_day: date | str | Column | None = None
+) -> DataFrame:
     """One row per device with its whole bitmap from the first login up to ``as_of``.
 
-    A device's set of days has at most one entry per calendar day and is combined before the
-    shuffle.
+    ``from_day`` leaves out the events before it. A device's set of days has at most one entry per
+    calendar day and is combined before the shuffle.
     """
+    if from_day is not None:
+        events = events.where(F.col("event_date") >= as_date(from_day))
     return (
         events.where(F.col("user_id").isNotNull() & (F.col("event_date") <= as_date(as_of)))
         .groupBy("platform", "user_id")
@@ -144,40 +149,72 @@ def device_histories(events: DataFrame, as_of: date | str | Column) -> DataFrame
     )
 
 
+def extended_histories(
+    prev: DataFrame, events: DataFrame, from_day: date | str | Column, as_of: date | str | Column
+) -> DataFrame:
+    """The histories up to ``as_of`` from the bitmaps of the day before ``from_day`` and the events since.
+
+    Devices of ``prev`` keep their attributes and get a bit for each new day, others start anew. Only
+    the events from ``from_day`` on are read.
+    """
+    start = F.unix_date(as_date(from_day))
+    fresh = device_histories(events, as_of, from_day).select(
+        *[F.col(c).alias(f"new_{c}") for c in (*ATTRIBUTES, "first", "history")], "device"
+    )
+    known = prev.select(*ATTRIBUTES, "device", F.unix_date("reg_date").alias("known_first"), "login_bitmap")
+    both = known.join(fresh, "device", "full_outer").withColumn("end", F.unix_date(as_date(as_of)))
+    is_known = F.col("known_first").isNotNull()
+    idle = F.repeat(F.lit("0"), F.coalesce("new_first", F.col("end") + 1) - start)
+    since = F.concat(idle, F.coalesce("new_history", F.lit("")))
+    return both.select(
+        *[F.when(is_known, F.col(c)).otherwise(F.col(f"new_{c}")).alias(c) for c in ATTRIBUTES],
+        "device",
+        F.coalesce("known_first", "new_first").alias("first"),
+        "end",
+        F.when(is_known, F.concat("login_bitmap", since)).otherwise(F.col("new_history")).alias("history"),
+    )
+
+
 def build_bitmaps(
     events: DataFrame,
     as_of: date | str | Column,
     from_day: date | str | Column | None = None,
     buckets: int | None = None,
+    prev: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """What running :func:`carry_forward` on every day up to ``as_of`` adds up to.
 
     Needs one pass over the events instead of one job per day. ``from_day`` leaves out the
-    partitions before it, not the history inside the later ones.
+    partitions before it, not the history inside the later ones: that comes from all events or,
+    with ``prev``, from the bitmaps of the day before.
 
     The result is far larger than the histories it comes from, a row and a string per device
-    and day, so the rows are placed before they are unfolded: each block of days is split over
-    a few tasks, and a task then writes only the days of its blocks. With ``buckets``, for a
-    table bucketed by device, the histories go to their bucket instead. Both fix the number of
-    tasks, as the size of the well-compressed histories says little about the work in them.
+    and day, so the rows are placed before they are unfolded: blocks of BLOCK_DAYS days of a device
+    are dealt out to ``tasks`` tasks (as many as a shuffle has, if not given), and a task then writes
+    only the days of its blocks. With ``buckets``, for a table bucketed by device, the histories go to
+    their bucket instead.
     """
     start = F.col("first")
     if from_day is not None:
         start = F.greatest(start, F.unix_date(as_date(from_day)))
     first, end, block, day = F.col("first"), F.col("end"), F.col("block"), F.col("day")
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    histories = device_histories(events, as_of).withColumn("start", start).where("start <= end")
+    if prev is None:
+        histories = device_histories(events, as_of)
+    else:
+        histories = extended_histories(prev, events, from_day, as_of)
+    histories = histories.withColumn("start", start).where("start <= end")
     if buckets:
         placed = histories.repartition(buckets, "device")
         days = F.sequence("start", "end")
     else:
         opening = block * BLOCK_DAYS
         closing = F.least(end, opening + (BLOCK_DAYS - 1))
-        parts = _parts(tasks, from_day, as_of)
+        tasks = tasks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = (
             histories.withColumn("block", F.explode(F.sequence(_block("start"), _block("end"))))
             .withColumn("history", F.substring("history", F.lit(1), closing - first + 1))
-            .repartitionById(tasks, block * parts + F.pmod(F.hash("device"), F.lit(parts)))
+            .repartitionById(tasks, F.pmod(F.hash("block", "device"), F.lit(tasks)))
         )
         days = F.sequence(F.greatest("start", opening), closing)
     return (
@@ -199,14 +236,6 @@ def _block(day: str) -> Column:
     return F.floor(F.col(day) / BLOCK_DAYS).cast("int")
 
 
-def _parts(tasks: int, from_day: date | str | Column | None, as_of: date | str | Column) -> int:
-    """Into how many parts a block is split, so that all blocks together fill the tasks."""
-    if isinstance(from_day, date) and isinstance(as_of, date):
-        blocks = (as_of - from_day).days // BLOCK_DAYS + 1
-        return max(1, tasks // blocks)
-    return tasks
-
-
 def activity_of(bitmaps: DataFrame) -> DataFrame:
     """(user_id, event_date) for every '1' of the bitmaps, duplicates across devices kept.
 

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from retentide.functions.calendar import period_start
+from retentide.operators.activity import placed
+from retentide.schemas import MILES
 
 SESSION_GAP_SECONDS = 30 * 60
 
@@ -30,14 +32,14 @@ def engagement_depth(daily: DataFrame, period: str = "day") -> DataFrame:
     totals = per_user.groupBy(F.col("event_date").alias("period_start")).agg(
         F.count(F.lit(1)).alias("active_users"),
         F.sum("total_events").alias("total_events"),
-        F.sum("miles_earned_sum").alias("miles_earned"),
+        F.sum("miles_earned_sum").cast(MILES).alias("miles_earned"),
         F.count_if(F.col("cnt_miles_earned") > 0).alias("earners"),
         F.count_if(F.col("cnt_miles_redeemed") > 0).alias("redeemers"),
     )
     return totals.select(
         "*",
         F.try_divide("total_events", "active_users").alias("events_per_user"),
-        F.try_divide("miles_earned", "active_users").alias("miles_per_user"),
+        F.try_divide(F.col("miles_earned").cast("double"), "active_users").alias("miles_per_user"),
         F.try_divide("redeemers", "earners").alias("redemption_rate"),
     )
 
@@ -55,7 +57,7 @@ def session_frequency(
     micros = F.unix_micros("event_time")
     gap = F.lit(gap_seconds * 1_000_000)
     slots = (
-        events.where(F.col("user_id").isNotNull())
+        placed(events)
         .groupBy("user_id", "event_date", (micros - F.pmod(micros, gap)).alias("slot"))
         .agg(F.min(micros).alias("begins"), F.max(micros).alias("ends"))
     )

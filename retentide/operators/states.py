@@ -15,9 +15,8 @@ There are three ways to the same ranges:
 * :func:`user_states`  from streaks of activity. The default: its work grows with the number
   of active days, and with any window length.
 * :func:`user_states_from_bitmaps`  from the daily bitmaps, one row per user and day, both
-  windows read from one integer.
-* :func:`window_counts`  exact window counts at the only days on which a state can change,
-  for windows that do not fit into an integer.
+  windows read from the words of the whole history.
+* :func:`window_counts`  exact window counts at the only days on which a state can change.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
-from retentide.functions.bitmaps import MAX_BIT_WINDOW, active_days_in, bitmap_to_int
+from retentide.functions.bitmaps import active_days_in, bitmap_to_words
 from retentide.functions.calendar import as_date
 from retentide.operators.activity import user_calendars
 from retentide.schemas import DEFAULT_WINDOW
@@ -141,27 +140,30 @@ def with_user_epoch(bitmaps: DataFrame) -> DataFrame:
     return bitmaps.join(user_epochs(bitmaps), "user_id")
 
 
-def user_daily_bits(bitmaps: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
-    """The last two windows of each user and day as one integer, devices or-ed together.
+def user_daily_bits(bitmaps: DataFrame) -> DataFrame:
+    """The whole history of each user and day as words of 63 days, devices or-ed together.
 
-    All bitmaps of a day end on that day, so they line up at the low bit as they are; padding
-    them to the user's epoch would only add leading zeros.
+    All bitmaps of a day end on that day, so they line up at the low bit of the first word as they
+    are; padding them to the user's epoch would only add leading zeros. Words are or-ed one by one, so
+    a user's devices are combined on the map side, however many there are.
     """
-    if not 1 <= window <= MAX_BIT_WINDOW:
-        raise ValueError(f"window must be between 1 and {MAX_BIT_WINDOW}; use user_states beyond")
-    return (
-        bitmaps.where(F.col("user_id").isNotNull())
-        .groupBy("user_id", "event_date")
-        .agg(
-            F.bit_or(bitmap_to_int("login_bitmap", 2 * window)).alias("uid_bits"),
-            F.min("reg_date").alias("reg_date"),
-        )
-        .select(
-            "user_id",
-            "event_date",
-            F.min("reg_date").over(W.partitionBy("user_id")).alias("uid_reg_date"),
-            "uid_bits",
-        )
+    words = bitmaps.where(F.col("user_id").isNotNull()).select(
+        "user_id", "event_date", "reg_date", F.posexplode(bitmap_to_words(F.col("login_bitmap"))).alias("place", "word")
+    )
+    ored = words.groupBy("user_id", "event_date", "place").agg(
+        F.bit_or("word").alias("word"), F.min("reg_date").alias("reg_date")
+    )
+    whole = ored.groupBy("user_id", "event_date").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("place", "word"))), lambda w: w["word"]
+        ).alias("uid_bits"),
+        F.min("reg_date").alias("reg_date"),
+    )
+    return whole.select(
+        "user_id",
+        "event_date",
+        F.min("reg_date").over(W.partitionBy("user_id")).alias("uid_reg_date"),
+        "uid_bits",
     )
 
 
@@ -183,17 +185,17 @@ def classify(counts: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     return counts.where((now > 0) | (prior > 0)).select(
         "user_id",
         "event_date",
-        F.when((seen_for < window) & (now > 0), "new")
-        .when((now > 0) & (prior == 0) & (seen_for >= window), "resurrected")
-        .when((now > 0) & (prior > 0), "retained")
-        .when((now == 0) & (prior > 0), "churned")
+        F.when(now == 0, "churned")
+        .when(seen_for < window, "new")
+        .when(prior > 0, "retained")
+        .otherwise("resurrected")
         .alias("user_state"),
     )
 
 
 def user_states_from_bitmaps(bitmaps: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
     """State ranges per user from the daily bitmaps of all days."""
-    counts = counts_from_bits(user_daily_bits(bitmaps, window), window)
+    counts = counts_from_bits(user_daily_bits(bitmaps), window)
     return close_ranges(segments(islands(classify(counts, window))))
 
 
@@ -255,9 +257,9 @@ def islands(states: DataFrame) -> DataFrame:
 
 
 def segments(numbered: DataFrame) -> DataFrame:
-    """One row per run with its first and last observed day."""
+    """One row per run with its first and last day."""
     return numbered.groupBy("user_id", "user_state", "segment_id").agg(
-        F.min("event_date").alias("start_date"), F.max("event_date").alias("end_date_raw")
+        F.min("event_date").alias("start_date"), F.max("event_date").alias("last_date")
     )
 
 

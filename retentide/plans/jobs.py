@@ -1,12 +1,14 @@
-"""The daily batch: raw CSV to bronze events, to silver bitmaps and activity, to gold states.
+"""The daily batch: raw CSV to bronze events, cleaned events, silver bitmaps and activity, gold tables.
 
-Every job can be run again for the same day. Only this module and ``sources.tables`` write.
+Every job can be run again for the same day, and days can be loaded in any order as long as they
+leave no gap: a day before the latest one also rebuilds what follows from it. Only this module and
+``sources.tables`` write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date, timedelta
 from functools import reduce
 
@@ -14,11 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentide import schemas
-from retentide.functions.calendar import PERIODS
-from retentide.operators import activity, bitmaps, engagement, growth, quality, states
+from retentide.functions.calendar import PERIODS, period_start
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, states
 from retentide.session import require_utc
 from retentide.sources import raw_events, tables
 
+# Rows of bitmaps that a task of a backfill writes.
+TASK_ROWS = 2_000_000
+SESSION_PERIOD = "week"
+# Checks that report but don't stop a load: a day may have no events.
+REPORTED_ONLY = ("table_not_empty", "source_not_empty")
+
 
 @dataclass(frozen=True)
 class TableNames:
@@ -26,20 +34,33 @@ class TableNames:
     bitmaps: str = "silver.fct_daily_user_login_bitmap"
     activity: str = "silver.dwm_user_daily_activity"
     states: str = "gold.scd2_user_state"
+    clean: str = "bronze.events_clean"
     balance: str = "silver.dwm_user_miles_balance"
+    sources: str = "silver.dwm_active_users_by_source"
+    sessions: str = "silver.dwm_session_frequency"
     growth: str = "gold.dws_growth_accounting"
     cohorts: str = "gold.dws_cohort_retention"
     engagement: str = "gold.dws_engagement_depth"
+    active_users: str = "gold.dws_active_users"
+
+    @classmethod
+    def prefixed(cls, prefix: str) -> TableNames:
+        """The same tables in databases of their own."""
+        return cls(*(f"{prefix}_{f.default}" for f in fields(cls)))
 
 
 class MissingDay(RuntimeError):
-    """A daily step whose previous day has not been built."""
+    """A step whose neighbouring day has not been built."""
+
+
+class FailedChecks(RuntimeError):
+    """A load that its data-quality checks stopped."""
 
 
 def create_tables(
     spark: SparkSession, names: TableNames = TableNames(), bitmap_buckets: int | None = None
 ) -> None:
-    """Create the tables that do not exist.
+    """Create the tables that do not exist, or register those that an earlier process wrote.
 
     ``bitmap_buckets`` splits each day of bitmaps by device. Yesterday's bitmaps, the largest
     input of the daily step, then stay where they are and only today's devices are shuffled.
@@ -47,20 +68,53 @@ def create_tables(
     require_utc(spark)
     buckets = tables.Buckets("device", bitmap_buckets) if bitmap_buckets else None
     tables.create_day_table(spark, names.events, schemas.BRONZE_EVENTS, "event_date")
+    tables.create_day_table(spark, names.clean, schemas.CLEAN_EVENTS, "event_date")
     tables.create_day_table(spark, names.bitmaps, schemas.LOGIN_BITMAPS, "event_date", buckets)
     tables.create_day_table(spark, names.activity, schemas.USER_DAILY_ACTIVITY, "event_date")
     tables.create_day_table(spark, names.states, schemas.USER_STATE_RANGES, "start_date")
+    tables.create_day_table(spark, names.balance, schemas.USER_MILES_BALANCE, "event_date")
+    tables.create_day_table(spark, names.sources, schemas.ACTIVE_BY_SOURCE, "event_date")
+    tables.create_day_table(spark, names.sessions, schemas.SESSION_FREQUENCY, "period_start")
+    # Serving tables of a few rows a day: a partition for each period or offset, not for each day.
+    tables.create_table(spark, names.growth, schemas.GROWTH_ACCOUNTING, "period")
+    tables.create_table(spark, names.engagement, schemas.ENGAGEMENT_DEPTH, "period")
+    tables.create_table(spark, names.active_users, schemas.ACTIVE_USERS, "period")
+    tables.create_table(spark, names.cohorts, schemas.COHORT_RETENTION, "day_offset")
+
+
+def read_raw(spark: SparkSession, raw_path: str, first: date, last: date | None = None) -> DataFrame:
+    return raw_events.read_raw_events(spark, raw_events.paths_of_days(raw_path, first, last))
 
 
 def load_bronze(
     spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames()
 ) -> int:
     """Replace one day of bronze events from the raw log; returns the number of rows."""
-    raw = raw_events.read_raw_events(spark, raw_path)
+    raw = read_raw(spark, raw_path, day)
     events = raw_events.with_event_date(raw_events.day_slice(raw, day))
     return tables.replace_day(events, names.events, day)
 
 
+def load_bronze_days(
+    spark: SparkSession, raw_path: str, first: date, last: date, names: TableNames = TableNames()
+) -> None:
+    """Replace many days of bronze events in one pass over the raw log."""
+    raw = raw_events.day_slice(read_raw(spark, raw_path, first, last), first, last)
+    tables.replace_days(raw_events.with_event_date(raw), names.events, first, last)
+
+
+def _days(spark: SparkSession, table: str, first: date, last: date) -> DataFrame:
+    return spark.table(table).where(F.col("event_date").between(F.lit(first), F.lit(last)))
+
+
+def clean_days(
+    spark: SparkSession, first: date, last: date, names: TableNames = TableNames()
+) -> None:
+    """Replace the cleaned events of some days; bronze itself stays as it was loaded."""
+    events = _days(spark, names.events, first, last)
+    tables.replace_days(cleaning.clean(events), names.clean, first, last)
+
+
 def step_bitmaps(
     spark: SparkSession, day: date, names: TableNames = TableNames(), key: str = "device"
 ) -> int:
@@ -75,7 +129,7 @@ def step_bitmaps(
     if before not in built and any(d < day for d in built):
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     prev = tables.day_partition(spark, names.bitmaps, before)
-    events = tables.day_partition(spark, names.events, day)
+    events = tables.day_partition(spark, names.clean, day)
     in_buckets = (
         key == "device" and before in built and tables.buckets_of(spark, names.bitmaps) is not None
     )
@@ -87,116 +141,227 @@ def step_bitmaps(
 def rebuild_bitmaps(
     spark: SparkSession, from_day: date, as_of: date, names: TableNames = TableNames()
 ) -> None:
-    """Rebuild the login bitmaps of all days from ``from_day`` on in one pass over bronze.
+    """Rebuild the login bitmaps of all days from ``from_day`` to ``as_of`` at once.
 
-    The rows of a long range come out in the tasks that write them. Those of a short one are
-    spread over all tasks and are rebalanced, so that a day is not cut into many small files.
+    Reads the bitmaps of the day before ``from_day`` and the events since, nothing older.
     """
+    before = from_day - timedelta(days=1)
+    built = tables.partition_days(spark, names.bitmaps)
+    if before not in built and any(d < from_day for d in built):
+        raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     buckets = tables.buckets_of(spark, names.bitmaps)
-    built = bitmaps.build_bitmaps(
-        spark.table(names.events), as_of, from_day, buckets and buckets.number
-    )
-    in_place = buckets is not None or (as_of - from_day).days >= bitmaps.BLOCK_DAYS
-    tables.replace_days(built, names.bitmaps, from_day, as_of, laid_out=in_place)
+    prev = tables.day_partition(spark, names.bitmaps, before)
+    events = _days(spark, names.clean, from_day, as_of)
+    # At most so many rows come out: a bound of the devices for each day of the range.
+    devices = prev.count() + events.select("platform", "user_id").distinct().count()
+    tasks = max(1, -(-devices * ((as_of - from_day).days + 1) // TASK_ROWS))
+    rows = bitmaps.build_bitmaps(events, as_of, from_day, buckets and buckets.number, prev, tasks)
+    tables.replace_days(rows, names.bitmaps, from_day, as_of, laid_out=True)
+
+
+def bitmaps_and_later(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:
+    """Clean a day, build its bitmaps and rebuild those of the days after it; returns the day's rows."""
+    end = _range_end(spark, day, day, names)
+    clean_days(spark, day, day, names)
+    if end == day:
+        return step_bitmaps(spark, day, names)
+    rebuild_bitmaps(spark, day, end, names)
+    return tables.partition_row_count(spark, names.bitmaps, day)
 
 
 def step_activity(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:
-    events = tables.day_partition(spark, names.events, day)
+    events = tables.day_partition(spark, names.clean, day)
     return tables.replace_day(activity.user_daily_activity(events), names.activity, day)
 
 
+def step_activity_days(
+    spark: SparkSession, first: date, last: date, names: TableNames = TableNames()
+) -> None:
+    daily = activity.user_daily_activity(_days(spark, names.clean, first, last))
+    tables.replace_days(daily, names.activity, first, last)
+
+
 def rebuild_states(
     spark: SparkSession,
     as_of: date,
     names: TableNames = TableNames(),
     window: int = schemas.DEFAULT_WINDOW,
 ) -> None:
-    """Rebuild the state ranges from the bitmaps of ``as_of``, which hold the whole history."""
+    """Rebuild the state ranges from the active days of all users up to ``as_of``."""
     built = tables.partition_days(spark, names.bitmaps)
     if built and as_of not in built:
         raise MissingDay(f"{names.bitmaps} has no {as_of}")
-    latest = tables.day_partition(spark, names.bitmaps, as_of)
-    ranges = states.user_states(bitmaps.activity_of(latest), as_of, window)
-    tables.rebuild(ranges, names.states)
+    active = spark.table(names.activity).select("user_id", "event_date")
+    tables.rebuild(states.user_states(active, as_of, window), names.states)
 
 
-def rebuild_metrics(spark: SparkSession, as_of: date, names: TableNames = TableNames()) -> None:
-    """Rebuild the balance and the serving tables from the daily user activity."""
-    tables.create_day_table(spark, names.balance, schemas.USER_MILES_BALANCE, "event_date")
-    tables.create_day_table(spark, names.growth, schemas.GROWTH_ACCOUNTING, "period_start")
-    tables.create_day_table(spark, names.cohorts, schemas.COHORT_RETENTION, "cohort_date")
-    tables.create_day_table(spark, names.engagement, schemas.ENGAGEMENT_DEPTH, "period_start")
+def rebuild_metrics(
+    spark: SparkSession, as_of: date, names: TableNames = TableNames(), from_day: date | None = None
+) -> None:
+    """Rebuild the serving tables up to ``as_of``.
+
+    ``from_day`` is the first day that changed: balances, channels and sessions of the days before
+    stay as they are. Growth, cohorts and depth depend on every user's whole history and are rebuilt.
+    """
     daily = spark.table(names.activity).where(F.col("event_date") <= F.lit(as_of))
+    first = from_day or _first_day(spark, names)
+    if first:
+        tables.replace_days(activity.user_miles_balance(daily, first), names.balance, first, as_of)
+        events = _days(spark, names.clean, first, as_of)
+        tables.replace_days(activity.active_users_by_source(events), names.sources, first, as_of)
+        _rebuild_sessions(spark, first, as_of, names)
 
     def by_period(metric: Callable[[str], DataFrame]) -> DataFrame:
         parts = [metric(p).withColumn("period", F.lit(p)) for p in PERIODS]
         return reduce(DataFrame.unionByName, parts)
 
-    tables.rebuild(activity.user_miles_balance(daily), names.balance)
     tables.rebuild(by_period(lambda p: growth.growth_accounting(daily, p, as_of)), names.growth)
     tables.rebuild(growth.cohort_retention(daily, as_of), names.cohorts)
     tables.rebuild(by_period(lambda p: engagement.engagement_depth(daily, p)), names.engagement)
+    # Active and new users are columns of the growth table by now.
+    counted = spark.table(names.growth).select("period", "period_start", "active_users", "new_users")
+    tables.rebuild(counted.where("active_users > 0"), names.active_users)
+
+
+def _first_day(spark: SparkSession, names: TableNames) -> date | None:
+    return next(iter(tables.partition_days(spark, names.activity)), None)
+
+
+def _rebuild_sessions(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
+    """Session counts of the periods that ``first`` to ``last`` touch.
+
+    A session that goes on from the day before such a period counts where it started, so that day is
+    read as well.
+    """
+    edge = spark.range(1).select(
+        period_start(F.lit(first), SESSION_PERIOD).alias("low"), period_start(F.lit(last), SESSION_PERIOD).alias("high")
+    ).first()
+    after = edge["high"] + timedelta(days=6 if SESSION_PERIOD == "week" else 31)
+    events = _days(spark, names.clean, edge["low"] - timedelta(days=1), after)
+    found = engagement.session_frequency(events, SESSION_PERIOD)
+    tables.replace_where(
+        found,
+        names.sessions,
+        F.col("period_start").between(F.lit(edge["low"]), F.lit(edge["high"])),
+        lambda v: edge["low"] <= date.fromisoformat(v) <= edge["high"],
+    )
+
+
+def _range_end(spark: SparkSession, first: date, last: date, names: TableNames) -> date:
+    """The day up to which a load of ``first`` to ``last`` rebuilds; refuses to leave a gap."""
+    built = tables.partition_days(spark, names.bitmaps)
+    if not built:
+        return last
+    if first - timedelta(days=1) > built[-1]:
+        raise MissingDay(f"{names.bitmaps} ends on {built[-1]}; {built[-1] + timedelta(days=1)} is missing")
+    if last + timedelta(days=1) < built[0]:
+        raise MissingDay(f"{names.bitmaps} starts on {built[0]}; {built[0] - timedelta(days=1)} is missing")
+    return max(last, built[-1])
+
+
+def _stop_if_bad(checks: DataFrame, what: str) -> None:
+    bad = {r["check"]: r["n_bad"] for r in checks.where("n_bad > 0").collect() if r["check"] not in REPORTED_ONLY}
+    if bad:
+        raise FailedChecks(f"{what}: {bad}")
+
+
+def _derive(
+    spark: SparkSession, first: date, last: date, names: TableNames, strict: bool, metrics: bool
+) -> None:
+    """Everything that follows from the bronze events of ``first`` to ``last``."""
+    end = _range_end(spark, first, last, names)
+    if first == last:
+        bitmaps_and_later(spark, first, names)
+    else:
+        clean_days(spark, first, last, names)
+        rebuild_bitmaps(spark, first, end, names)
+    step_activity_days(spark, first, last, names)
+    if strict:
+        _stop_if_bad(check_bitmaps(spark, first, names, last), f"bitmaps of {first} to {last}")
+    rebuild_states(spark, end, names)
+    if metrics:
+        rebuild_metrics(spark, end, names, first)
 
 
 def run_day(
-    spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames()
+    spark: SparkSession,
+    raw_path: str,
+    day: date,
+    names: TableNames = TableNames(),
+    strict: bool = True,
+    metrics: bool = True,
 ) -> dict[str, int]:
     """Load a day and everything that follows from it; returns the rows of each partition.
 
-    A day before the latest one also rebuilds the bitmaps of the days after it.
+    A day before the latest one also rebuilds the days after it. With ``strict``, events that break their
+    contract stop the load after bronze, and wrong bitmaps stop it before gold.
     """
     create_tables(spark, names)
+    _range_end(spark, day, day, names)
     counts = {"events": load_bronze(spark, raw_path, day, names)}
-    later = [d for d in tables.partition_days(spark, names.bitmaps) if d > day]
-    if later:
-        rebuild_bitmaps(spark, day, later[-1], names)
-        counts["bitmaps"] = tables.partition_row_count(spark, names.bitmaps, day)
-    else:
-        counts["bitmaps"] = step_bitmaps(spark, day, names)
-    counts["activity"] = step_activity(spark, day, names)
-    rebuild_states(spark, later[-1] if later else day, names)
+    if strict:
+        _stop_if_bad(check_bronze(spark, raw_path, day, names), f"events of {day}")
+    _derive(spark, day, day, names, strict, metrics)
+    for key, table in (("clean", names.clean), ("bitmaps", names.bitmaps), ("activity", names.activity)):
+        counts[key] = tables.partition_row_count(spark, table, day)
     return counts
 
 
 def backfill(
-    spark: SparkSession, raw_path: str, first: date, last: date, names: TableNames = TableNames()
+    spark: SparkSession,
+    raw_path: str,
+    first: date,
+    last: date,
+    names: TableNames = TableNames(),
+    strict: bool = True,
+    metrics: bool = True,
 ) -> None:
-    """Load many days at once: one pass over the raw log, then one per table."""
+    """Load many days at once: one pass over the raw log, then one per table.
+
+    Days that are built already and come after ``last`` are rebuilt on the new ones.
+    """
     create_tables(spark, names)
-    raw = raw_events.day_slice(raw_events.read_raw_events(spark, raw_path), first, last)
-    tables.replace_days(raw_events.with_event_date(raw), names.events, first, last)
-    rebuild_bitmaps(spark, first, last, names)
-    loaded = spark.table(names.events).where(F.col("event_date").between(F.lit(first), F.lit(last)))
-    tables.replace_days(activity.user_daily_activity(loaded), names.activity, first, last)
-    rebuild_states(spark, last, names)
+    _range_end(spark, first, last, names)
+    load_bronze_days(spark, raw_path, first, last, names)
+    if strict:
+        _stop_if_bad(check_bronze(spark, raw_path, first, names, last), f"events of {first} to {last}")
+    _derive(spark, first, last, names, strict, metrics)
 
 
 def check_bronze(
-    spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames()
+    spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames(), last: date | None = None
 ) -> DataFrame:
-    """(check, n_bad) for one loaded day: same row count as the raw log, no side empty."""
-    raw = raw_events.day_slice(raw_events.read_raw_events(spark, raw_path), day)
-    table = tables.day_partition(spark, names.events, day)
-    differences = quality.row_count_differences(raw_events.with_event_date(raw), table)
-    totals = differences.agg(
-        F.coalesce(F.sum("source_rows"), F.lit(0)).alias("source_rows"),
-        F.coalesce(F.sum("table_rows"), F.lit(0)).alias("table_rows"),
+    """(check, n_bad) for the loaded days: same row counts as the raw log, no side empty, every raw event
+    with a time, and the contract of each event.
+
+    Events without a time belong to no day and never reach the table, so they are counted in the log.
+    """
+    raw = read_raw(spark, raw_path, day, last)
+    of_days = raw.agg(
+        F.count_if(raw_events.is_on(day, last)).alias("source_rows"),
+        F.count_if(F.col("event_time").isNull()).alias("without_time"),
     )
-    return quality.violations(
+    table = _days(spark, names.events, day, last or day)
+    loaded = table.agg(F.count(F.lit(1)).alias("table_rows"))
+    totals = of_days.withColumn("side", F.lit(0)).join(loaded.withColumn("side", F.lit(0)), "side")
+    whole = quality.violations(
         totals,
         {
             "row_counts_match": F.col("source_rows") == F.col("table_rows"),
             "table_not_empty": F.col("table_rows") > 0,
             "source_not_empty": F.col("source_rows") > 0,
         },
-    ).unionByName(quality.event_assertions(table))
+    )
+    without_time = of_days.select(F.lit("event_time_not_null").alias("check"), F.col("without_time").alias("n_bad"))
+    contract = quality.event_assertions(table).where("check <> 'event_time_not_null'")
+    return whole.unionByName(without_time).unionByName(contract)
 
 
 def check_bitmaps(
-    spark: SparkSession, day: date, names: TableNames = TableNames()
+    spark: SparkSession, day: date, names: TableNames = TableNames(), last: date | None = None
 ) -> DataFrame:
-    """(check, n_bad) for one day of bitmaps against the devices of its events."""
+    """(check, n_bad) for some days of bitmaps against the devices of their events."""
     return quality.bitmap_checks(
-        tables.day_partition(spark, names.bitmaps, day),
-        bitmaps.active_devices(tables.day_partition(spark, names.events, day)),
+        _days(spark, names.bitmaps, day, last or day),
+        bitmaps.active_devices(_days(spark, names.clean, day, last or day)),
     )

@@ -1,7 +1,8 @@
 """The registered queries as plain SQL for DuckDB, written from the definitions.
 
-States come from a dense calendar, bitmaps from concatenating one character per day; none of
-it follows the way the Spark queries compute the same rows.
+States come from counting active days by a range join on a dense calendar, runs from the difference of
+two row numbers, range ends from the least later start; bitmaps from concatenating one character per
+day, a day's step from who was there yesterday and who is there today.
 """
 
 from __future__ import annotations
@@ -41,7 +42,35 @@ CONTRACT = (
     "event_time, user_id, gender, event_type, transaction_category, miles_amount, platform, "
     "utm_source, country"
 )
-EARNED = "SELECT * FROM ev WHERE event_type = 'miles_earned'"
+ALL = "SELECT * FROM ev"
+W = 2  # the window of the queries on the sample events
+
+# The raw log of the batch: the events with categories that CSV has to quote.
+ODD = (
+    EVENTS.replace("ev AS (", "plain_ev AS (", 1)
+    + r""",
+ev AS (
+  SELECT * REPLACE (CASE event_id % 6
+    WHEN 0 THEN 'Joe "X" ' || coalesce(transaction_category, '')
+    WHEN 1 THEN 'C:\dir' || coalesce(transaction_category, '') || '"'
+    WHEN 2 THEN 'Bob "Y", ' || coalesce(transaction_category, '')
+    WHEN 3 THEN '  ' || coalesce(transaction_category, '') || ' x '
+    WHEN 4 THEN '"' || coalesce(transaction_category, '') || '\"'
+    ELSE transaction_category END AS transaction_category)
+  FROM plain_ev
+)""".replace("\\\\", "\\")
+)
+
+FIRST_ROW = (
+    "row_number() OVER (PARTITION BY event_time, user_id, event_type ORDER BY "
+    "gender NULLS FIRST, transaction_category NULLS FIRST, miles_amount NULLS FIRST, "
+    "platform NULLS FIRST, utm_source NULLS FIRST, country NULLS FIRST, event_date NULLS FIRST)"
+)
+# What the batch builds silver from: one row per event key.
+CLEAN = ODD.replace("\nev AS (", "\nodd_ev AS (", 1) + f""",
+ev AS (SELECT * EXCLUDE rn FROM (SELECT *, {FIRST_ROW} AS rn FROM odd_ev) WHERE rn = 1)"""
+BOUNDS = "bounds AS (SELECT min(event_date) AS low, max(event_date) AS high, " \
+    "min(event_date) + CAST((max(event_date) - min(event_date)) // 2 AS INT) AS middle FROM ev)"
 
 
 def _with(*ctes: str) -> str:
@@ -91,14 +120,12 @@ cal AS (
 ),
 counts AS (
   SELECT c.user_id, c.event_date,
-    CAST(sum(CASE WHEN a.user_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY c.user_id
-      ORDER BY c.event_date ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS BIGINT)
-      AS active_now,
-    CAST(coalesce(sum(CASE WHEN a.user_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY c.user_id
-      ORDER BY c.event_date ROWS BETWEEN {2 * window - 1} PRECEDING AND {window} PRECEDING), 0)
-      AS BIGINT) AS active_prior,
-    CAST(date_diff('day', c.reg_date, c.event_date) AS BIGINT) AS days_since_reg
-  FROM cal c LEFT JOIN act a ON a.user_id = c.user_id AND a.event_date = c.event_date
+    count(a.event_date) FILTER (WHERE a.event_date > c.event_date - {window}) AS active_now,
+    count(a.event_date) FILTER (WHERE a.event_date <= c.event_date - {window}) AS active_prior,
+    CAST(c.event_date - c.reg_date AS BIGINT) AS days_since_reg
+  FROM cal c LEFT JOIN act a ON a.user_id = c.user_id
+    AND a.event_date <= c.event_date AND a.event_date > c.event_date - {2 * window}
+  GROUP BY c.user_id, c.event_date, c.reg_date
 )"""
 
 
@@ -108,32 +135,23 @@ def _states(activity: str, window: int) -> str:
         + f""",
 states AS (
   SELECT user_id, event_date,
-    CASE WHEN days_since_reg < {window} AND active_now > 0 THEN 'new'
-         WHEN active_now > 0 AND active_prior = 0 AND days_since_reg >= {window} THEN 'resurrected'
-         WHEN active_now > 0 AND active_prior > 0 THEN 'retained'
-         WHEN active_now = 0 AND active_prior > 0 THEN 'churned' END AS user_state
-  FROM counts WHERE active_now > 0 OR active_prior > 0
+    CASE WHEN active_now = 0 THEN 'churned' WHEN days_since_reg < {window} THEN 'new'
+         WHEN active_prior = 0 THEN 'resurrected' ELSE 'retained' END AS user_state
+  FROM counts WHERE active_now + active_prior > 0
 ),
-changes AS (
-  SELECT *, CASE WHEN user_state = lag(user_state) OVER (PARTITION BY user_id ORDER BY event_date)
-                 THEN 0 ELSE 1 END AS is_new_segment
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_date)
+    - row_number() OVER (PARTITION BY user_id, user_state ORDER BY event_date) AS shift
   FROM states
 ),
-numbered AS (
-  SELECT user_id, event_date, user_state,
-    CAST(sum(is_new_segment) OVER (PARTITION BY user_id ORDER BY event_date) AS BIGINT) AS segment_id
-  FROM changes
-),
-segments AS (
-  SELECT user_id, user_state, segment_id, min(event_date) AS start_date,
-    max(event_date) AS end_date_raw
-  FROM numbered GROUP BY user_id, user_state, segment_id
+runs AS (
+  SELECT user_id, user_state, shift, min(event_date) AS opened, max(event_date) AS closed
+  FROM placed GROUP BY user_id, user_state, shift
 ),
 ranges AS (
-  SELECT user_id, user_state, start_date,
-    CAST(lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) - INTERVAL 1 DAY AS DATE)
-      AS end_date
-  FROM segments
+  SELECT r.user_id, r.user_state, r.opened AS start_date, CAST(min(l.opened) - 1 AS DATE) AS end_date
+  FROM runs r LEFT JOIN runs l ON l.user_id = r.user_id AND l.opened > r.opened
+  GROUP BY r.user_id, r.user_state, r.opened
 )"""
     )
 
@@ -216,6 +234,29 @@ daily AS (
 )"""
 
 
+BALANCE = """SELECT user_id, event_date, miles_earned_sum, miles_redeemed_sum,
+  round(miles_earned_sum - miles_redeemed_sum, 2) AS net_miles,
+  CAST(sum(CAST(miles_earned_sum AS DECIMAL(18, 2)) - CAST(miles_redeemed_sum AS DECIMAL(18, 2)))
+    OVER (PARTITION BY user_id ORDER BY event_date) AS DOUBLE) AS miles_balance
+FROM daily"""
+
+SESSIONS = """, g AS (
+  SELECT user_id, event_date, event_time,
+    lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time) AS prev FROM ev
+)
+SELECT user_id, CAST(date_trunc('week', event_date) AS DATE) AS period_start,
+  count(DISTINCT event_date) AS active_days,
+  count(*) FILTER (WHERE prev IS NULL OR event_time - prev > INTERVAL 30 MINUTE) AS sessions,
+  round(CAST(count(*) FILTER (WHERE prev IS NULL OR event_time - prev > INTERVAL 30 MINUTE) AS DOUBLE)
+    / count(DISTINCT event_date), 4) AS sessions_per_active_day
+FROM g GROUP BY 1, 2"""
+
+BY_SOURCE = (
+    "SELECT event_date, utm_source, count(DISTINCT user_id) AS active_users FROM ev "
+    "GROUP BY event_date, utm_source"
+)
+
+
 def _depth(period: str) -> str:
     return (
         _with(
@@ -246,48 +287,82 @@ def _active(source: str, activity: str, period: str) -> str:
 
 
 def _step(key: str) -> str:
-    prev = _silver("SELECT * FROM ev", "(SELECT max(event_date) - 1 FROM ev)", "prev")
-    today = """
-today_day AS (SELECT max(event_date) AS d FROM ev),
-ytd AS (SELECT * FROM prev WHERE event_date = (SELECT d - 1 FROM today_day)),"""
-    if key == "device":
-        today += """
-tdy AS (
-  SELECT platform, user_id, platform || '_' || user_id AS device,
-    first(country ORDER BY event_time, country, utm_source) AS country,
-    first(utm_source ORDER BY event_time, country, utm_source) AS utm_source
-  FROM ev, today_day WHERE event_date = d GROUP BY platform, user_id
-)"""
-        on = "tdy.device = ytd.device"
-    else:
-        today += """
-tdy AS (
-  SELECT DISTINCT country, platform, utm_source, user_id, platform || '_' || user_id AS device
-  FROM ev, today_day WHERE event_date = d
-)"""
-        on = "tdy.user_id = ytd.user_id"
+    """Who was there yesterday gets a digit by whether the key is among today's; the others start."""
+    prev = _silver(ALL, "(SELECT max(event_date) - 1 FROM ev)", "prev")
+    of_key = "device" if key == "device" else "user_id"
+    grain = "" if key == "device" else ", country, utm_source"
+    pick = (
+        "first(country ORDER BY event_time, country, utm_source) AS country, "
+        "first(utm_source ORDER BY event_time, country, utm_source) AS utm_source"
+        if key == "device"
+        else "country, utm_source"
+    )
+    copies = "1" if key == "device" else "greatest(1, (SELECT count(*) FROM today t WHERE t.user_id = y.user_id))"
     return (
-        _with(EVENTS, prev, today)
-        + f"""SELECT (SELECT d FROM today_day) AS event_date,
-  coalesce(ytd.country, tdy.country) AS country, coalesce(ytd.platform, tdy.platform) AS platform,
-  coalesce(ytd.utm_source, tdy.utm_source) AS utm_source,
-  coalesce(ytd.user_id, tdy.user_id) AS user_id,
-  CASE WHEN ytd.user_id IS NULL THEN '1' WHEN tdy.user_id IS NULL THEN ytd.login_bitmap || '0'
-       ELSE ytd.login_bitmap || '1' END AS login_bitmap,
-  CASE WHEN ytd.user_id IS NULL THEN '1' ELSE '0' END AS "isNew",
-  coalesce(ytd.reg_date, (SELECT d FROM today_day)) AS reg_date,
-  coalesce(ytd.device, tdy.device) AS device
-FROM tdy FULL OUTER JOIN ytd ON {on}"""
+        _with(
+            EVENTS,
+            prev,
+            f"""
+now_day AS (SELECT max(event_date) AS d FROM ev),
+yesterday AS (SELECT * FROM prev WHERE event_date = (SELECT d - 1 FROM now_day)),
+today AS (
+  SELECT platform, user_id, platform || '_' || user_id AS device, {pick}
+  FROM ev, now_day WHERE event_date = d GROUP BY platform, user_id{grain}
+),
+kept AS (
+  SELECT country, platform, utm_source, user_id, device, reg_date, '0' AS fresh,
+    login_bitmap || CASE WHEN {of_key} IN (SELECT {of_key} FROM today) THEN '1' ELSE '0' END AS bits,
+    unnest(generate_series(1, {copies})) AS copy
+  FROM yesterday y
+),
+started AS (
+  SELECT country, platform, utm_source, user_id, device, d AS reg_date, '1' AS fresh, '1' AS bits, 1 AS copy
+  FROM today, now_day WHERE {of_key} NOT IN (SELECT {of_key} FROM yesterday)
+)""",
+        )
+        + """SELECT (SELECT d FROM now_day) AS event_date, country, platform, utm_source, user_id,
+  bits AS login_bitmap, fresh AS "isNew", reg_date, device
+FROM (SELECT * FROM kept UNION ALL SELECT * FROM started)"""
     )
 
 
+def _words(source: str, keys: str) -> str:
+    """The characters of bitmaps as bits of words of 63, the newest in the lowest bit of the first."""
+    return f"""SELECT {keys}, CAST(age // 63 AS INT) AS place,
+  CAST(sum(CAST(substr(login_bitmap, CAST(length(login_bitmap) - age AS INT), 1) AS BIGINT) << CAST(age % 63 AS INT))
+    AS BIGINT) AS bits
+FROM (SELECT *, unnest(generate_series(0, length(login_bitmap) - 1)) AS age FROM {source}) GROUP BY {keys}, age // 63"""
+
+
+def _uid_words(days: str, activity: str) -> str:
+    """A word for each 63 days since a user's first, counted back from the days in ``days``."""
+    return f"""act AS (SELECT DISTINCT user_id, event_date AS d FROM ({activity})),
+reg AS (SELECT user_id, min(d) AS uid_reg_date FROM act GROUP BY user_id),
+grid AS (
+  SELECT c.user_id, c.event_date, r.uid_reg_date,
+    unnest(generate_series(0, (c.event_date - r.uid_reg_date) // 63)) AS place
+  FROM ({days}) c JOIN reg r USING (user_id)
+)
+SELECT g.user_id, g.event_date, g.uid_reg_date, CAST(g.place AS INT) AS place,
+  CAST(coalesce(sum(CAST(1 AS BIGINT) << CAST((g.event_date - a.d) % 63 AS INT)), 0) AS BIGINT) AS bits
+FROM grid g LEFT JOIN act a ON a.user_id = g.user_id AND a.d <= g.event_date AND (g.event_date - a.d) // 63 = g.place
+GROUP BY ALL"""
+
+
 def _feeds() -> str:
+    """Bitmaps with damaged columns, and the devices that were active."""
     return _with(
         EVENTS,
-        _silver("SELECT * FROM ev WHERE event_type <> 'share'"),
-        """src AS (
-  SELECT DISTINCT event_date, platform || '_' || user_id AS device FROM ev WHERE event_type <> 'like'
+        _silver(ALL, name="whole"),
+        """silver AS (
+  SELECT event_date,
+    CASE WHEN user_id LIKE '%3' THEN left(login_bitmap, length(login_bitmap) - 1)
+      || CASE WHEN login_bitmap LIKE '%1' THEN '0' ELSE '1' END ELSE login_bitmap END AS login_bitmap,
+    CASE WHEN user_id LIKE '%5' AND login_bitmap LIKE '%0' THEN '1' ELSE "isNew" END AS "isNew",
+    CASE WHEN user_id LIKE '%7' THEN device || 'x' ELSE device END AS device
+  FROM whole
 )""",
+        """src AS (SELECT DISTINCT event_date, platform || '_' || user_id AS device FROM ev)""",
     )
 
 
@@ -342,28 +417,24 @@ cov AS (
 
 def build() -> dict[str, str]:
     events = _with(EVENTS)
-    all_silver = _with(EVENTS, _silver("SELECT * FROM ev"))
-    earned_end = f"(SELECT max(event_date) FROM ({EARNED}))"
-    earned_silver = _with(EVENTS, _silver(EARNED, earned_end))
-    earned_states = _with(EVENTS, _states(EARNED, 7))
+    all_silver = _with(EVENTS, _silver(ALL))
+    clean_silver = _with(CLEAN, _silver(ALL))
+    all_states = _with(EVENTS, _states(ALL, W))
     feeds = _feeds()
     hourly = (
         "SELECT date_trunc('hour', event_time) AS event_time, user_id, gender, event_type, "
         "transaction_category, miles_amount, platform, utm_source, country, event_date FROM ev"
     )
-    first_row = (
-        "row_number() OVER (PARTITION BY event_time, user_id, event_type ORDER BY "
-        "gender NULLS FIRST, transaction_category NULLS FIRST, miles_amount NULLS FIRST, "
-        "platform NULLS FIRST, utm_source NULLS FIRST, country NULLS FIRST, event_date NULLS FIRST)"
-    )
+    first_row = FIRST_ROW
     return {
         # Bronze
         "bronze_events": events + f"SELECT {CONTRACT}, event_date FROM ev",
-        "bronze_csv_roundtrip": events + f"SELECT {CONTRACT}, event_date FROM ev",
+        "bronze_csv_roundtrip": _with(ODD) + f"SELECT {CONTRACT}, event_date FROM ev",
+        "bronze_csv_two_columns": _with(ODD) + "SELECT platform, country, count(*) AS n FROM ev GROUP BY platform, country",
         "bronze_day_slice": events
         + f"SELECT {CONTRACT} FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)",
-        "partition_exists": _with(ORDERS, ORDER_CALENDAR) + "SELECT * FROM cov",
-        "partition_row_count": events
+        "calendar_has_rows": _with(ORDERS, ORDER_CALENDAR) + "SELECT * FROM cov",
+        "calendar_day_counts": events
         + "SELECT event_date, count(*) AS row_count FROM ev GROUP BY event_date",
         "bronze_dedup": events
         + f"SELECT {CONTRACT}, event_date FROM (SELECT *, {first_row} AS rn FROM ({hourly})) "
@@ -383,26 +454,26 @@ def build() -> dict[str, str]:
         "silver_login_bitmap": all_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
         "silver_step_device_key": _step("device"),
         "silver_step_user_key": _step("user_id"),
-        "bitmap_to_int": all_silver
-        + """SELECT event_date, device,
-  CAST(sum(CAST(substr(login_bitmap, length(login_bitmap) - CAST(k AS INT), 1) AS BIGINT)
-    * CAST(pow(2, k) AS BIGINT)) AS BIGINT) AS bits
-FROM silver, (SELECT unnest(generate_series(0, 27)) AS k)
-WHERE k < length(login_bitmap) GROUP BY event_date, device""",
+        "bitmap_to_words": all_silver + _words("silver", "event_date, device"),
+        "bitmap_to_words_orders": _with(ORDERS)
+        + """, d AS (SELECT DISTINCT user_id, event_date FROM ord),
+u AS (SELECT user_id, min(event_date) AS reg, (SELECT max(event_date) FROM ord) AS last_day FROM d GROUP BY user_id),
+cal AS (SELECT user_id, CAST(unnest(generate_series(reg, last_day, INTERVAL 1 DAY)) AS DATE) AS day FROM u),
+maps AS (
+  SELECT c.user_id, string_agg(CASE WHEN d.user_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY c.day) AS login_bitmap
+  FROM cal c LEFT JOIN d ON d.user_id = c.user_id AND d.event_date = c.day GROUP BY c.user_id
+)
+"""
+        + _words("maps", "user_id"),
         "user_daily_activity": _with(EVENTS, DAILY) + "SELECT * FROM daily",
-        "user_miles_balance": _with(EVENTS, DAILY)
-        + """SELECT user_id, event_date, miles_earned_sum, miles_redeemed_sum,
-  round(miles_earned_sum - miles_redeemed_sum, 2) AS net_miles,
-  CAST(sum(CAST(miles_earned_sum AS DECIMAL(18, 2)) - CAST(miles_redeemed_sum AS DECIMAL(18, 2)))
-    OVER (PARTITION BY user_id ORDER BY event_date) AS DOUBLE) AS miles_balance
-FROM daily""",
+        "user_miles_balance": _with(EVENTS, DAILY) + BALANCE,
         # State ranges
-        "gold_scd2_user_state": _ranges(EVENTS, EARNED, 7),
-        "gold_scd2_short_window": _ranges(EVENTS, EARNED, 3),
-        "gold_scd2_all_events": _ranges(EVENTS, "SELECT * FROM ev", 2),
+        "gold_scd2_user_state": _ranges(EVENTS, ALL, W),
+        "gold_scd2_short_window": _ranges(EVENTS, ALL, 1),
+        "gold_scd2_all_events": _ranges(EVENTS, ALL, 3),
         "gold_scd2_orders": _ranges(ORDERS, "SELECT * FROM ord", 14),
         "gold_scd2_orders_quarter": _ranges(ORDERS, "SELECT * FROM ord", 90),
-        "gold_scd2_from_bitmaps": _ranges(EVENTS, EARNED, 7),
+        "gold_scd2_from_bitmaps": _ranges(EVENTS, ALL, W),
         "gold_scd2_from_counts": _ranges(ORDERS, "SELECT * FROM ord", 14),
         "gold_activity_streaks": _with(
             ORDERS,
@@ -421,68 +492,57 @@ runs AS (
         "first(prev ORDER BY event_date) AS prev_last, last(nxt ORDER BY event_date) AS next_first "
         "FROM runs GROUP BY user_id, run",
         "gold_uid_epoch": events
-        + f"SELECT user_id, min(event_date) AS uid_reg_date FROM ({EARNED}) GROUP BY user_id",
-        "gold_uid_epoch_join": earned_silver
+        + "SELECT user_id, min(event_date) AS uid_reg_date FROM ev GROUP BY user_id",
+        "gold_uid_epoch_join": all_silver
         + """SELECT s.user_id, s.device, s.event_date, s.reg_date, e.uid_reg_date, s.login_bitmap
 FROM silver s JOIN (SELECT user_id, min(reg_date) AS uid_reg_date FROM silver GROUP BY user_id) e
 USING (user_id)""",
-        "gold_uid_daily_bits": earned_silver
-        + f""", act AS (SELECT DISTINCT user_id, event_date AS d FROM ({EARNED})),
-cal AS (SELECT DISTINCT user_id, event_date FROM silver),
-reg AS (SELECT user_id, min(d) AS uid_reg_date FROM act GROUP BY user_id)
-SELECT c.user_id, c.event_date, r.uid_reg_date,
-  CAST(coalesce(sum(CAST(pow(2, date_diff('day', a.d, c.event_date)) AS BIGINT)), 0) AS BIGINT)
-    AS uid_bits
-FROM cal c JOIN reg r USING (user_id) LEFT JOIN act a
-  ON a.user_id = c.user_id AND a.d <= c.event_date AND a.d > c.event_date - 14
-GROUP BY c.user_id, c.event_date, r.uid_reg_date""",
-        "gold_window_counts": _with(EVENTS, _dense(EARNED, 7)) + "SELECT * FROM counts",
+        "gold_uid_daily_bits": all_silver.rstrip()
+        + ",\n"
+        + _uid_words("SELECT DISTINCT user_id, event_date FROM silver", ALL),
+        "gold_uid_daily_bits_orders": _with(ORDERS).rstrip()
+        + ",\n"
+        + _uid_words("SELECT DISTINCT user_id, (SELECT max(event_date) FROM ord) AS event_date FROM ord", "SELECT * FROM ord"),
+        "gold_window_counts": _with(EVENTS, _dense(ALL, W)) + "SELECT * FROM counts",
         "gold_window_counts_orders": _with(ORDERS, _dense("SELECT * FROM ord", 90))
         + """SELECT c.* FROM counts c JOIN (
   SELECT DISTINCT user_id, CAST(event_date + CAST(k AS INT) AS DATE) AS event_date
   FROM act, (SELECT unnest([0, 90, 180]) AS k)) p
 ON p.user_id = c.user_id AND p.event_date = c.event_date""",
-        "gold_user_state_daily": earned_states + "SELECT * FROM states",
-        "gold_state_change": earned_states
-        + "SELECT user_id, event_date, user_state, CAST(is_new_segment AS INT) AS is_new_segment "
-        "FROM changes",
-        "gold_islands": earned_states + "SELECT * FROM numbered",
-        "gold_segments": earned_states + "SELECT * FROM segments",
+        "gold_user_state_daily": all_states + "SELECT * FROM states",
+        "gold_state_change": all_states
+        + "SELECT p.user_id, p.event_date, p.user_state, CAST(p.event_date = r.opened AS INT) AS is_new_segment "
+        "FROM placed p JOIN runs r USING (user_id, user_state, shift)",
+        "gold_islands": all_states
+        + "SELECT p.user_id, p.event_date, p.user_state, (SELECT count(*) FROM runs e WHERE e.user_id = p.user_id "
+        "AND e.opened <= p.event_date) AS segment_id FROM placed p",
+        "gold_segments": all_states
+        + "SELECT r.user_id, r.user_state, (SELECT count(*) FROM runs e WHERE e.user_id = r.user_id "
+        "AND e.opened <= r.opened) AS segment_id, r.opened AS start_date, r.closed AS last_date FROM runs r",
         # Serving metrics
-        "growth_daily": _growth(EVENTS, EARNED, "day"),
+        "growth_daily": _growth(EVENTS, ALL, "day"),
         "growth_weekly": _growth(ORDERS, "SELECT * FROM ord", "week"),
         "growth_monthly": _growth(ORDERS, "SELECT * FROM ord", "month"),
         "cohort_retention": _retention(ORDERS, "SELECT * FROM ord"),
-        "cohort_retention_events": _retention(EVENTS, EARNED),
+        "cohort_retention_events": _retention(EVENTS, ALL),
         "engagement_depth": _depth("day"),
         "engagement_depth_weekly": _depth("week"),
         "engagement_depth_monthly": _depth("month"),
-        "session_frequency": events
-        + """, g AS (
-  SELECT user_id, event_date, event_time,
-    lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time) AS prev FROM ev
-)
-SELECT user_id, CAST(date_trunc('week', event_date) AS DATE) AS period_start,
-  count(DISTINCT event_date) AS active_days,
-  count(*) FILTER (WHERE prev IS NULL OR event_time - prev > INTERVAL 30 MINUTE) AS sessions,
-  round(CAST(count(*) FILTER (WHERE prev IS NULL OR event_time - prev > INTERVAL 30 MINUTE) AS DOUBLE)
-    / count(DISTINCT event_date), 4) AS sessions_per_active_day
-FROM g GROUP BY 1, 2""",
+        "session_frequency": events + SESSIONS,
         "dau": _active(EVENTS, "SELECT * FROM ev", "day"),
         "wau": _active(EVENTS, "SELECT * FROM ev", "week"),
         "mau": _active(ORDERS, "SELECT * FROM ord", "month"),
         "new_users_daily": _with(ORDERS)
         + "SELECT f AS period_start, count(*) AS new_users FROM "
         "(SELECT user_id, min(event_date) AS f FROM ord GROUP BY user_id) GROUP BY f",
-        "active_by_utm": events
-        + "SELECT event_date, utm_source, count(DISTINCT user_id) AS active_users FROM ev "
-        "GROUP BY event_date, utm_source",
+        "active_by_utm": events + BY_SOURCE,
         # Data quality
         "dq_bronze_row_count": events
-        + """SELECT event_date, count(*) AS source_rows,
-  count(*) FILTER (WHERE event_type <> 'share') AS table_rows,
-  count(*) = count(*) FILTER (WHERE event_type <> 'share') AS matches
-FROM ev GROUP BY event_date""",
+        + """SELECT event_date, CAST(sum(s) AS BIGINT) AS source_rows, CAST(sum(t) AS BIGINT) AS table_rows, sum(s) = sum(t) AS matches
+FROM (
+  SELECT event_date, 1 AS s, 0 AS t FROM ev
+  UNION ALL SELECT event_date + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, 0, 1 FROM ev
+) GROUP BY event_date""",
         "dq_bronze_not_empty": _with(ORDERS, ORDER_CALENDAR)
         + _rules({"table_not_empty": "has_rows"}, "cov"),
         "dq_source_not_empty": events
@@ -540,6 +600,35 @@ FROM ev GROUP BY event_date""",
             },
             "both_sides",
         ),
+        # The table layer and the daily batch
+        "table_lifecycle": _with(ODD)
+        + """SELECT true AS missing, true AS created, false AS created_again, false AS had_rows,
+  count(*) AS loaded, count(*) AS loaded_again, true AS has_rows, count(*) AS n_rows
+FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)""",
+        "table_day_partition": _with(ODD)
+        + f"SELECT {CONTRACT}, event_date FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)",
+        "table_history_counts": clean_silver
+        + "SELECT event_date, count(*) AS n_rows, CAST(sum(length(login_bitmap)) AS BIGINT) AS n_bits FROM silver GROUP BY event_date",
+        "table_replaced_days": _with(EVENTS, BOUNDS)
+        + """SELECT event_date, CASE WHEN event_date >= middle THEN 'changed' ELSE utm_source END AS utm_source,
+  count(*) AS n_rows FROM ev, bounds WHERE event_date < high GROUP BY 1, 2""",
+        "table_rebuilt": _with(EVENTS, BOUNDS)
+        + "SELECT event_date, count(DISTINCT user_id) AS n_users FROM ev, bounds WHERE event_date > middle GROUP BY 1",
+        "job_bronze_events": _with(ODD) + f"SELECT {CONTRACT}, event_date FROM ev",
+        "job_login_bitmaps": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
+        "job_user_states": _ranges(CLEAN, ALL, 14),
+        "job_miles_balance": _with(CLEAN, DAILY) + BALANCE,
+        "job_growth": _growth(CLEAN, ALL, "day"),
+        "job_active_users": _active(CLEAN, ALL, "week"),
+        "job_active_by_source": _with(CLEAN) + BY_SOURCE,
+        "job_session_frequency": _with(CLEAN) + SESSIONS,
+        "job_check_bronze": _with(ODD)
+        + _rules({"row_counts_match": "true", "table_not_empty": "true", "source_not_empty": "true"}, "ev")
+        + "\nUNION ALL\n"
+        + _rules(EVENT_RULES, "ev"),
+        "job_check_bitmaps": "SELECT unnest(['active_device_present', 'device_not_null', 'device_format', "
+        "'active_bitmap_ends_1', 'inactive_bitmap_ends_0', 'new_device_has_single_login', 'new_device_is_active']) "
+        'AS "check", CAST(0 AS BIGINT) AS n_bad',
         # Scalar functions and predicates
         "scalar_dates": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day,
   CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS days_since,

@@ -35,6 +35,20 @@ EVENTS = T.StructType(
 # The stored form carries the UTC day, so that a day filter prunes partitions.
 BRONZE_EVENTS = T.StructType(EVENTS.fields + [T.StructField("event_date", T.DateType())])
 
+# Events after cleaning: see operators.cleaning.
+CLEAN_EVENTS = T.StructType(
+    [f for f in EVENTS.fields if f.name != "transaction_category"]
+    + [
+        T.StructField("miles_category", T.StringType()),
+        T.StructField("search_brand", T.StringType()),
+        T.StructField("is_transactional", T.BooleanType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+# Sums of miles are exact: amounts have two decimals.
+MILES = T.DecimalType(28, 2)
+
 LOGIN_BITMAPS = T.StructType(
     [
         T.StructField("event_date", T.DateType()),
@@ -55,8 +69,8 @@ USER_DAILY_ACTIVITY = T.StructType(
         T.StructField("user_id", T.StringType()),
         T.StructField("is_active", T.BooleanType()),
         T.StructField("total_events", T.LongType()),
-        T.StructField("miles_earned_sum", T.DoubleType()),
-        T.StructField("miles_redeemed_sum", T.DoubleType()),
+        T.StructField("miles_earned_sum", MILES),
+        T.StructField("miles_redeemed_sum", MILES),
         T.StructField("cnt_miles_earned", T.LongType()),
         T.StructField("cnt_miles_redeemed", T.LongType()),
         T.StructField("cnt_like", T.LongType()),
@@ -78,10 +92,10 @@ USER_MILES_BALANCE = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
         T.StructField("event_date", T.DateType()),
-        T.StructField("miles_earned_sum", T.DoubleType()),
-        T.StructField("miles_redeemed_sum", T.DoubleType()),
-        T.StructField("net_miles", T.DoubleType()),
-        T.StructField("miles_balance", T.DoubleType()),
+        T.StructField("miles_earned_sum", MILES),
+        T.StructField("miles_redeemed_sum", MILES),
+        T.StructField("net_miles", MILES),
+        T.StructField("miles_balance", MILES),
     ]
 )
 
@@ -113,7 +127,7 @@ ENGAGEMENT_DEPTH = T.StructType(
         T.StructField("period_start", T.DateType()),
         T.StructField("active_users", T.LongType()),
         T.StructField("total_events", T.LongType()),
-        T.StructField("miles_earned", T.DoubleType()),
+        T.StructField("miles_earned", MILES),
         T.StructField("earners", T.LongType()),
         T.StructField("redeemers", T.LongType()),
         T.StructField("events_per_user", T.DoubleType()),
@@ -121,3 +135,30 @@ ENGAGEMENT_DEPTH = T.StructType(
         T.StructField("redemption_rate", T.DoubleType()),
     ]
 )
+
+ACTIVE_USERS = T.StructType(
+    [
+        T.StructField("period", T.StringType()),
+        T.StructField("period_start", T.DateType()),
+        T.StructField("active_users", T.LongType()),
+        T.StructField("new_users", T.LongType()),
+    ]
+)
+
+ACTIVE_BY_SOURCE = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        T.StructField("utm_source", T.StringType()),
+        T.StructField("active_users", T.LongType()),
+    ]
+)
+
+SESSION_FREQUENCY = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("period_start", T.DateType()),
+        T.StructField("active_days", T.LongType()),
+        T.StructField("sessions", T.LongType()),
+        T.StructField("sessions_per_active_day", T.DoubleType()),
+    ]
+)

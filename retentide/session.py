@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def require_utc(spark: SparkSession) -> SparkSession:
-    """Days are UTC days everywhere, so the session has to read timestamps as UTC."""
+    """Days are UTC days everywhere, so the session has to read timestamps as UTC; it is set to."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -30,14 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one the cluster names in spark.checkpoint.dir.
-
-    Only a session without that setting (tests, a laptop) gets a folder of its own.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a shared folder on a cluster")
-        shared = tempfile.mkdtemp(prefix="retentide-")
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder that all executors share: below spark.checkpoint.dir or, where that is not
+    set, below the warehouse."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_shared")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

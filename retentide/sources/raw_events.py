@@ -1,24 +1,29 @@
-"""The raw event log: CSV files with a header, one event per record."""
+"""The raw event log: CSV files with a header, one event per record, quotes doubled inside quotes."""
 
 from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentide.schemas import EVENTS
 from retentide.session import require_utc
 
+# Quoting as in RFC 4180; blanks belong to a value.
+DIALECT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
-    """Typed scan of the raw CSV; a bad record or a differing header fails the load."""
+
+def read_raw_events(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """Typed scan of the raw CSV; a bad record or a differing header fails the load.
+
+    Every column of a record is checked, also when a query reads only some. A line break inside quotes
+    fails as well, as files are split at line ends; ``multiline`` reads such files, each in one task.
+    """
     return (
         require_utc(spark)
         .read.schema(EVENTS)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .options(**DIALECT, enforceSchema=False, mode="FAILFAST", columnPruning=False, multiLine=multiline)
         .csv(path)
     )
 
@@ -27,25 +32,36 @@ def write_raw_events(events: DataFrame, path: str) -> None:
     """Write events in the raw log's CSV form, timestamps with microseconds and the UTC offset."""
     (
         events.select(*EVENTS.fieldNames())
-        .write.option("header", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+        .write.options(**DIALECT, timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
         .csv(path)
     )
 
 
-def day_slice(events: DataFrame, first: date, last: date | None = None) -> DataFrame:
-    """Events of the UTC day ``first``, or of all days from ``first`` to ``last``.
+def paths_of_days(path: str, first: date, last: date | None = None) -> str | list[str]:
+    """The files to read for some days. A path with ``{day}`` has a part for each day, as YYYY-MM-DD,
+    and only those of the days are read; any other path is one log for all days."""
+    if "{day}" not in path:
+        return path
+    n = ((last or first) - first).days + 1
+    return [path.replace("{day}", str(first + timedelta(days=k))) for k in range(n)]
+
+
+def is_on(first: date, last: date | None = None) -> Column:
+    """Whether an event is on the UTC day ``first``, or on one from ``first`` to ``last``.
 
     The half-open range on the timestamp itself reaches the scan as a filter, which a
     cast to a date does not.
     """
     after = (last or first) + timedelta(days=1)
-    return events.where(
-        (F.col("event_time") >= F.lit(f"{first} 00:00:00").cast("timestamp"))
-        & (F.col("event_time") < F.lit(f"{after} 00:00:00").cast("timestamp"))
+    return (F.col("event_time") >= F.lit(f"{first} 00:00:00").cast("timestamp")) & (
+        F.col("event_time") < F.lit(f"{after} 00:00:00").cast("timestamp")
     )
 
 
+def day_slice(events: DataFrame, first: date, last: date | None = None) -> DataFrame:
+    return events.where(is_on(first, last))
+
+
 def with_event_date(events: DataFrame) -> DataFrame:
     """Add the UTC day as the last column, where the partitioned table has it."""
     return events.withColumn("event_date", F.to_date("event_time"))

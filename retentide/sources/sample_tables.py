@@ -77,7 +77,7 @@ def _as_loyalty_events(events: DataFrame) -> DataFrame:
         F.when(kind.isin("purchase", "signup"), F.col("value")).alias("miles_amount"),
         F.when(F.col("event_id") % 10 == 0, "web").otherwise(app).alias("platform"),
         _one_of(user, ("organic", "facebook", "tiktok", "google", "referral")).alias("utm_source"),
-        _one_of(F.floor(user / 5), ("MY", "PH", "TH", "ID", "SG")).alias("country"),
+        _one_of(F.expr("user_id DIV 5"), ("MY", "PH", "TH", "ID", "SG")).alias("country"),
         F.to_date("ts").alias("event_date"),
     )
 
@@ -87,13 +87,6 @@ def loyalty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_loyalty_events(read_table(spark, sf_dir, "events"))
 
 
-def miles_earned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the events that earn miles: sparse enough to reach every user state."""
-    # Filtered by the stored type, which reaches the scan.
-    purchases = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    return _as_loyalty_events(purchases)
-
-
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as user activity over several years: (user_id, event_date)."""
     return read_table(spark, sf_dir, "orders").select(

@@ -1,21 +1,25 @@
-"""Day-partitioned parquet tables: create, probe, replace days, rebuild.
+"""Partitioned parquet tables: create, probe, replace days, rebuild.
 
-Replacing a day is one write in dynamic overwrite mode, so a failed job leaves the old day in
-place, a repeated job gives the same table, and a job may read other days of the table it
-writes. A day that turns out empty is dropped, as an overwrite with no rows would keep it.
+Tables lie at fixed folders below the warehouse and are registered over them, so that a later
+process with a catalog of its own finds what an earlier one wrote; no metastore is needed.
+
+Writes use dynamic overwrite, which puts new files in place when all of them are written: a failed
+job leaves the old rows, a repeated job gives the same table, and a job may read other days of the
+table it writes. Partitions that get no rows are dropped, as an overwrite would keep them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A folder beside the partitions that readers skip; it holds the number of buckets.
+LAYOUT = "_layout"
+
 
 def table_missing(spark: SparkSession, table: str) -> bool:
     return not spark.catalog.tableExists(table)
@@ -29,29 +33,68 @@ class Buckets:
     number: int
 
 
-def create_day_table(
+def location_of(spark: SparkSession, table: str) -> str:
+    """The folder of a table: that of its database below the warehouse."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    database, _, name = table.rpartition(".")
+    return f"{warehouse}/{database}.db/{name}" if database else f"{warehouse}/{name}"
+
+
+def _path(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, location: str) -> bool:
+    path, fs = _path(spark, location)
+    return fs.exists(path)
+
+
+def create_table(
     spark: SparkSession,
     table: str,
     schema: T.StructType,
     partition_field: str,
     buckets: Buckets | None = None,
 ) -> bool:
-    """Create the table, partitioned by its date column, unless it exists."""
-    if schema[partition_field].dataType != T.DateType():
-        raise ValueError(f"{partition_field} has to be a date")
+    """Create the table, or register it over the files that an earlier process wrote; False if this
+    session has it already. Files that are there keep the buckets they were written with."""
     if not table_missing(spark, table):
         return False
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    location = location_of(spark, table)
+    layout = f"{location}/{LAYOUT}"
+    if _exists(spark, layout):
+        kept = spark.read.schema("bucket_column string, buckets int").json(layout).first()
+        buckets = Buckets(*kept) if kept and kept["buckets"] else None
+    else:
+        kept = [(buckets.column, buckets.number) if buckets else (None, None)]
+        spark.createDataFrame(kept, "bucket_column string, buckets int").coalesce(1).write.json(layout)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     clustered = f"CLUSTERED BY (`{buckets.column}`) INTO {buckets.number} BUCKETS" if buckets else ""
+    # Dynamic overwrite is an option of the table, so that no write has to change the session.
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{partition_field}`) {clustered}"
+        f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+        f"PARTITIONED BY (`{partition_field}`) {clustered} LOCATION '{location}'"
     )
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return True
 
 
+def create_day_table(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    partition_field: str,
+    buckets: Buckets | None = None,
+) -> bool:
+    """Create the table, partitioned by its date column, unless it exists."""
+    if schema[partition_field].dataType != T.DateType():
+        raise ValueError(f"{partition_field} has to be a date")
+    return create_table(spark, table, schema, partition_field, buckets)
+
+
 def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
     bucketed = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
     if not bucketed:
@@ -60,6 +103,10 @@ def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
     return Buckets(bucketed[0], int(described.first()["data_type"]))
 
 
+def _partition_column(spark: SparkSession, table: str) -> str:
+    return next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+
+
 def _laid_out(df: DataFrame, table: str, *columns: str) -> DataFrame:
     """Rows moved so that the write produces few files of even size."""
     buckets = buckets_of(df.sparkSession, table)
@@ -68,11 +115,6 @@ def _laid_out(df: DataFrame, table: str, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def run_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """Run a statement; the rows stay on the cluster until the caller asks for them."""
-    return spark.sql(sql)
-
-
 def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
@@ -96,26 +138,38 @@ def partition_row_count(
     return day_partition(spark, table, day, column).count()
 
 
-def partition_days(spark: SparkSession, table: str) -> list[date]:
-    """The days the table has partitions for, from the catalog: one entry per day."""
+def partition_values(spark: SparkSession, table: str) -> list[str]:
+    """The values the table has partitions for, as text, from the catalog: one entry each."""
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
     values = [row[0].split("=", 1)[1] for row in rows]
-    return sorted(date.fromisoformat(v) for v in values if not v.startswith("__"))
+    return sorted(v for v in values if not v.startswith("__"))
+
+
+def partition_days(spark: SparkSession, table: str) -> list[date]:
+    """The days the table has partitions for."""
+    return [date.fromisoformat(v) for v in partition_values(spark, table)]
 
 
-def drop_day(spark: SparkSession, table: str, day: date, column: str = "event_date") -> None:
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = DATE '{day}')")
+def drop_partition(spark: SparkSession, table: str, value: str) -> None:
+    """Take a partition out of the catalog and delete its files."""
+    column = _partition_column(spark, table)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
+    path, fs = _path(spark, f"{location_of(spark, table)}/{column}={value}")
+    fs.delete(path, True)
 
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def drop_day(spark: SparkSession, table: str, day: date) -> None:
+    drop_partition(spark, table, str(day))
+
+
+def _overwrite(df: DataFrame, table: str) -> set[str]:
+    """Replace the partitions that ``df`` has rows for; returns their values as text."""
+    spark = df.sparkSession
+    column = _partition_column(spark, table)
+    written = Observation()
+    rows = df.observe(written, F.collect_set(F.col(column).cast("string")).alias("found"))
+    rows.write.insertInto(table, overwrite=True)
+    return set(written.get["found"])
 
 
 def replace_day(
@@ -127,14 +181,13 @@ def replace_day(
     tasks found rows of the day. ``laid_out`` skips that for rows that are in place already.
     """
     spark = df.sparkSession
-    written = Observation()
+    counted = Observation()
     rows = df.where(F.col(column) == F.lit(day)).select(*spark.table(table).columns)
     rows = rows if laid_out else _laid_out(rows, table)
-    with _overwrite_mode(spark, "dynamic"):
-        rows.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=True)
-    n = written.get["n"]
+    _overwrite(rows.observe(counted, F.count(F.lit(1)).alias("n")), table)
+    n = counted.get["n"]
     if n == 0:
-        drop_day(spark, table, day, column)
+        drop_day(spark, table, day)
     return n
 
 
@@ -147,24 +200,24 @@ def replace_days(
     laid_out: bool = False,
 ) -> None:
     """Replace all days from ``first`` to ``last`` in one write; days without rows are dropped."""
+    replace_where(df, table, F.col(column).between(F.lit(first), F.lit(last)), lambda v: first <= date.fromisoformat(v) <= last, laid_out)
+
+
+def replace_where(df: DataFrame, table: str, rows_of: Column, is_part, laid_out: bool = False) -> None:
+    """Replace the partitions whose value ``is_part`` accepts by the rows that ``rows_of`` picks."""
     spark = df.sparkSession
-    written = Observation()
-    rows = df.where(F.col(column).between(F.lit(first), F.lit(last)))
-    rows = rows.select(*spark.table(table).columns)
-    rows = rows if laid_out else _laid_out(rows, table, column)
-    rows = rows.observe(written, F.collect_set(column).alias("days"))
-    before = {d for d in partition_days(spark, table) if first <= d <= last}
-    with _overwrite_mode(spark, "dynamic"):
-        rows.write.insertInto(table, overwrite=True)
-    for day in sorted(before - set(written.get["days"])):
-        drop_day(spark, table, day, column)
+    rows = df.where(rows_of).select(*spark.table(table).columns)
+    rows = rows if laid_out else _laid_out(rows, table, _partition_column(spark, table))
+    before = {v for v in partition_values(spark, table) if is_part(v)}
+    found = _overwrite(rows, table)
+    for value in sorted(before - found):
+        drop_partition(spark, table, value)
 
 
 def rebuild(df: DataFrame, table: str) -> None:
-    """Replace the whole table; an empty ``df`` empties it."""
-    spark = df.sparkSession
-    partition = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    rows = _laid_out(df.select(*spark.table(table).columns), table, *partition)
-    with _overwrite_mode(spark, "static"):
-        rows.write.insertInto(table, overwrite=True)
+    """Replace the whole table; an empty ``df`` empties it.
 
+    New partitions are put in place when all are written, and those that are no longer produced are
+    dropped after that, so a job that fails while it writes leaves the old rows.
+    """
+    replace_where(df, table, F.lit(True), lambda v: True)

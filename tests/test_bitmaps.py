@@ -3,7 +3,7 @@
 from helpers import day, event, events
 from pyspark.sql import functions as F
 
-from retentide.functions.bitmaps import bitmap_to_int
+from retentide.functions.bitmaps import active_days_in, bitmap_to_words
 from retentide.operators import bitmaps
 from retentide.schemas import LOGIN_BITMAPS
 
@@ -83,8 +83,28 @@ def test_activity_comes_back_from_the_last_day(spark):
     assert got == {("u_0001", day(n)) for n in (0, 3, 70)}
 
 
-def test_bitmap_to_int_reads_only_the_last_bits(spark):
-    df = spark.createDataFrame([("1",), ("10",), ("0011",), ("1" * 80,), ("1" + "0" * 70,)], "b string")
-    got = [r[0] for r in df.select(bitmap_to_int(F.col("b"), 28)).collect()]
-    assert got == [1, 2, 3, 2**28 - 1, 0]
-    assert df.select(F.max(bitmap_to_int(F.col("b"), 63))).first()[0] == 2**63 - 1
+def test_words_hold_the_whole_bitmap(spark):
+    maps = ["1", "10", "0011", "1" * 63, "1" * 80, "1" + "0" * 70, "10" * 100, ""]
+    df = spark.createDataFrame([(b,) for b in maps], "b string")
+    got = [r[0] for r in df.select(bitmap_to_words(F.col("b"))).collect()]
+    for b, words in zip(maps, got, strict=True):
+        assert sum((w or 0) << (63 * k) for k, w in enumerate(words)) == int(b or "0", 2), b
+    for window, skip in [(1, 0), (14, 14), (63, 0), (60, 10), (90, 90), (5, 63)]:
+        counts = [r[0] for r in df.select(active_days_in(bitmap_to_words(F.col("b")), window, skip)).collect()]
+        assert counts == [b[::-1][skip : skip + window].count("1") for b in maps], (window, skip)
+
+
+def test_histories_extended_by_new_days_equal_those_of_all_events(spark):
+    rows = [
+        event(n, user=f"u_{u:04d}", platform=("android", "ios")[(u + n) % 2], country=("MY", "SG")[(u + n) % 2])
+        for u in range(9) for n in range(12) if (u * 5 + n * n) % 4 < 2 and (u != 8 or n > 8)
+    ]
+    source = events(spark, rows).cache()
+    whole = {tuple(r) for r in bitmaps.build_bitmaps(source, day(14), from_day=day(6)).collect()}
+    prev = bitmaps.build_bitmaps(source, day(5), from_day=day(5))
+    late = source.where(F.col("event_date") >= F.lit(day(6)))
+    for buckets in (None, 3):
+        built = bitmaps.build_bitmaps(late, day(14), day(6), buckets, prev)
+        assert {tuple(r) for r in built.collect()} == whole
+    first = bitmaps.build_bitmaps(source, day(14), day(0), None, empty(spark))
+    assert {tuple(r) for r in first.collect()} == {tuple(r) for r in bitmaps.build_bitmaps(source, day(14)).collect()}

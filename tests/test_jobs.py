@@ -1,8 +1,13 @@
 """Tables, the raw log, and the daily batch end to end."""
 
+import csv
+import os
+import subprocess
+import sys
 import uuid
-from dataclasses import replace
+from dataclasses import fields
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from helpers import as_numbers, brute_ranges, day, event, events
@@ -20,10 +25,11 @@ HEADER = ",".join(EVENTS.fieldNames())
 
 @pytest.fixture
 def names():
-    tag = uuid.uuid4().hex[:8]
-    return jobs.TableNames(
-        f"bronze_{tag}.events", f"silver_{tag}.bitmaps", f"silver_{tag}.activity", f"gold_{tag}.states"
-    )
+    return jobs.TableNames.prefixed(f"t{uuid.uuid4().hex[:8]}")
+
+
+def other_names():
+    return jobs.TableNames.prefixed(f"x{uuid.uuid4().hex[:8]}")
 
 
 def table_rows(spark, table):
@@ -59,7 +65,6 @@ def test_replace_day_is_idempotent_and_keeps_other_days(spark):
     assert tables.partition_exists(spark, table, day(0)) is True
     assert tables.partition_exists(spark, table, day(5)) is False
     assert tables.partition_row_count(spark, table, day(1)) == 1
-    assert tables.run_sql(spark, f"SELECT count(*) FROM {table}").first()[0] == 2
 
 
 def test_replacing_with_no_rows_empties_the_day(spark):
@@ -168,14 +173,14 @@ def log(last):
 
 
 def snapshot(spark, names):
-    return [table_rows(spark, t) for t in (names.events, names.bitmaps, names.activity, names.states)]
+    return [table_rows(spark, getattr(names, f.name)) for f in fields(names)]
 
 
 def test_daily_runs_equal_the_backfill(spark, tmp_path, names):
     rows = log(6)
     raw = write_raw(spark, tmp_path, rows)
     for n in range(7):
-        counts = jobs.run_day(spark, raw, day(n), names)
+        counts = jobs.run_day(spark, raw, day(n), names, metrics=False)
         assert counts["events"] == sum(1 for r in rows if r["event_time"].date() == day(n))
         assert {r.n_bad for r in jobs.check_bitmaps(spark, day(n), names).collect()} == {0}
         bad = {r.check: r.n_bad for r in jobs.check_bronze(spark, raw, day(n), names).collect()}
@@ -188,46 +193,48 @@ def test_daily_runs_equal_the_backfill(spark, tmp_path, names):
         days.setdefault(r["user_id"], set()).add((r["event_time"].date() - day(0)).days)
     assert as_numbers(spark.table(names.states)) == brute_ranges(days, 14, 6)
 
-    other = jobs.TableNames(*[f"x_{getattr(names, f)}" for f in ("events", "bitmaps", "activity", "states")])
-    jobs.backfill(spark, raw, day(0), day(6), other)
+    other = other_names()
+    jobs.backfill(spark, raw, day(0), day(6), other, metrics=False)
     assert snapshot(spark, other) == daily
 
     # All partitions read as bitmaps give the same ranges as the last one read as activity.
     whole = states.user_states_from_bitmaps(spark.table(names.bitmaps))
     assert as_numbers(whole) == as_numbers(spark.table(names.states))
 
-    jobs.run_day(spark, raw, day(6), names)
+    jobs.run_day(spark, raw, day(6), names, metrics=False)
     assert snapshot(spark, names) == daily
 
 
 def test_late_events_rebuild_the_days_after(spark, tmp_path, names):
     rows = log(5)
     early = [r for r in rows if not (r["user_id"] == "u_0001" and r["event_time"].date() == day(1))]
-    jobs.backfill(spark, write_raw(spark, tmp_path, early + [event(5, user="u_0009")]), day(0), day(5), names)
+    jobs.backfill(spark, write_raw(spark, tmp_path, early + [event(5, user="u_0009")]), day(0), day(5), names, metrics=False)
     late = write_raw(spark, tmp_path, rows + [event(2, user="u_0009"), event(5, user="u_0009")])
-    jobs.run_day(spark, late, day(1), names)
-    jobs.run_day(spark, late, day(2), names)
+    jobs.run_day(spark, late, day(1), names, metrics=False)
+    jobs.run_day(spark, late, day(2), names, metrics=False)
     rerun = snapshot(spark, names)
-    other = jobs.TableNames(*[f"x_{getattr(names, f)}" for f in ("events", "bitmaps", "activity", "states")])
-    jobs.backfill(spark, late, day(0), day(5), other)
+    other = other_names()
+    jobs.backfill(spark, late, day(0), day(5), other, metrics=False)
     assert snapshot(spark, other) == rerun
 
 
 def test_a_skipped_day_is_refused(spark, tmp_path, names):
     raw = write_raw(spark, tmp_path, log(4))
-    jobs.run_day(spark, raw, day(0), names)
+    jobs.run_day(spark, raw, day(0), names, metrics=False)
     with pytest.raises(jobs.MissingDay):
-        jobs.run_day(spark, raw, day(2), names)
+        jobs.run_day(spark, raw, day(2), names, metrics=False)
+    with pytest.raises(jobs.MissingDay):
+        jobs.backfill(spark, raw, day(2), day(4), names, metrics=False)
     with pytest.raises(jobs.MissingDay):
         jobs.rebuild_states(spark, day(1), names)
 
 
 def test_a_day_that_lost_its_events_ends_up_empty(spark, tmp_path, names):
-    jobs.run_day(spark, write_raw(spark, tmp_path, log(1)), day(0), names)
+    jobs.run_day(spark, write_raw(spark, tmp_path, log(1)), day(0), names, metrics=False)
     nothing = write_raw(spark, tmp_path, [r for r in log(1) if r["event_time"].date() != day(0)])
-    counts = jobs.run_day(spark, nothing, day(0), names)
-    assert counts == {"events": 0, "bitmaps": 0, "activity": 0}
-    assert snapshot(spark, names) == [[], [], [], []]
+    counts = jobs.run_day(spark, nothing, day(0), names, metrics=False)
+    assert counts == {"events": 0, "clean": 0, "bitmaps": 0, "activity": 0}
+    assert not any(snapshot(spark, names))
 
 
 def test_tables_keep_their_contract(spark, names):
@@ -242,10 +249,10 @@ def test_bucketed_bitmaps_join_without_moving_yesterday(spark, tmp_path, names):
     jobs.create_tables(spark, names, bitmap_buckets=4)
     assert tables.buckets_of(spark, names.bitmaps) == tables.Buckets("device", 4)
     for n in range(5):
-        jobs.run_day(spark, raw, day(n), names)
-    other = jobs.TableNames(*[f"x_{getattr(names, f)}" for f in ("events", "bitmaps", "activity", "states")])
+        jobs.run_day(spark, raw, day(n), names, metrics=False)
+    other = other_names()
     jobs.create_tables(spark, other, bitmap_buckets=4)
-    jobs.backfill(spark, raw, day(0), day(4), other)
+    jobs.backfill(spark, raw, day(0), day(4), other, metrics=False)
     assert snapshot(spark, other) == snapshot(spark, names)
     for part in range(5):
         files = spark.table(names.bitmaps).where(F.col("event_date") == F.lit(day(part))).inputFiles()
@@ -277,11 +284,6 @@ def joined_side(df, table):
 
 def test_metrics_tables_follow_from_the_activity(spark, tmp_path, names):
     raw = write_raw(spark, tmp_path, log(6))
-    tag = names.events.split(".")[0]
-    names = replace(
-        names, balance=f"{tag}.balance", growth=f"{tag}.growth", cohorts=f"{tag}.cohorts",
-        engagement=f"{tag}.engagement",
-    )
     jobs.backfill(spark, raw, day(0), day(6), names)
     for _ in range(2):
         jobs.rebuild_metrics(spark, day(6), names)
@@ -308,10 +310,141 @@ def test_a_long_backfill_equals_the_definition(spark, tmp_path, names, buckets):
     days = {f"u_{u:04d}": [n for n in range(u, 110) if (n * (u + 3)) % 17 == 0 or n == u] for u in range(9)}
     feed = [event(n, user=u) for u, ns in days.items() for n in ns]
     jobs.create_tables(spark, names, bitmap_buckets=buckets)
-    jobs.backfill(spark, write_raw(spark, tmp_path, feed), day(0), day(110), names)
+    jobs.backfill(spark, write_raw(spark, tmp_path, feed), day(0), day(110), names, metrics=False)
     got = {(r.user_id, r.event_date): r.login_bitmap for r in spark.table(names.bitmaps).collect()}
     assert got == {
         (u, day(n)): "".join("1" if d in ns else "0" for d in range(ns[0], n + 1))
         for u, ns in days.items() for n in range(ns[0], 111)
     }
     assert as_numbers(spark.table(names.states)) == brute_ranges(days, 14, 110)
+
+
+def test_backfills_in_any_order_give_the_same_tables(spark, tmp_path, names):
+    raw = write_raw(spark, tmp_path, log(7))
+    for first, last in ((6, 7), (3, 5), (0, 2), (4, 4)):
+        jobs.backfill(spark, raw, day(first), day(last), names)
+    other = other_names()
+    jobs.backfill(spark, raw, day(0), day(7), other)
+    assert snapshot(spark, names) == snapshot(spark, other)
+    with pytest.raises(jobs.MissingDay):
+        jobs.backfill(spark, raw, day(-5), day(-3), names)
+
+
+def test_a_rebuild_reads_only_what_changed(spark, tmp_path, names):
+    raw = write_raw(spark, tmp_path, log(8))
+    jobs.backfill(spark, raw, day(0), day(8), names, metrics=False)
+    whole = table_rows(spark, names.bitmaps)
+    # events before the range may be gone
+    for n in range(5):
+        tables.drop_day(spark, names.clean, day(n))
+        tables.drop_day(spark, names.events, day(n))
+    jobs.rebuild_bitmaps(spark, day(5), day(8), names)
+    assert table_rows(spark, names.bitmaps) == whole
+    prev = tables.day_partition(spark, names.bitmaps, day(4))
+    built = bitmaps.build_bitmaps(jobs._days(spark, names.clean, day(5), day(8)), day(8), day(5), None, prev)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and ".events_clean[" in line)
+    assert f"(event_date" in scan and f">= {day(5)}" in scan and f"<= {day(8)}" in scan
+
+
+def test_states_come_from_active_days(spark, tmp_path, names):
+    jobs.backfill(spark, write_raw(spark, tmp_path, log(8)), day(0), day(8), names, metrics=False)
+    active = spark.table(names.activity).select("user_id", "event_date")
+    plan = states.user_states(active, day(8))._jdf.queryExecution().executedPlan().toString()
+    assert "login_bitmap" not in plan
+
+
+def test_copies_and_rows_without_time(spark, tmp_path, names):
+    rows = [event(0, kind="miles_earned"), event(0, kind="miles_earned"), event(0, user="u_0002")]
+    jobs.run_day(spark, write_raw(spark, tmp_path, rows), day(0), names, metrics=False)
+    daily = {r.user_id: r for r in spark.table(names.activity).collect()}
+    assert (daily["u_0001"].total_events, float(daily["u_0001"].miles_earned_sum)) == (1, 10.0)
+    assert spark.table(names.events).count() == 3 and spark.table(names.clean).count() == 2
+    lost = write_raw(spark, tmp_path, rows + [event(None)])
+    assert {r.check: r.n_bad for r in jobs.check_bronze(spark, lost, day(0), names).collect()}["event_time_not_null"] == 1
+    with pytest.raises(jobs.FailedChecks, match="event_time_not_null"):
+        jobs.run_day(spark, lost, day(0), names, metrics=False)
+    assert jobs.run_day(spark, lost, day(0), names, strict=False, metrics=False)["clean"] == 2
+
+
+def test_bad_events_stop_the_load_before_silver(spark, tmp_path, names):
+    raw = write_raw(spark, tmp_path, [event(0), event(0, user="u_0002", country="US")])
+    with pytest.raises(jobs.FailedChecks, match="country_known"):
+        jobs.run_day(spark, raw, day(0), names, metrics=False)
+    assert table_rows(spark, names.bitmaps) == []
+
+
+def test_balances_are_exact_and_go_on(spark, tmp_path, names):
+    rows = [event(n, kind="miles_earned", hour=h, miles_amount=0.1) for n in range(3) for h in range(10)]
+    raw = write_raw(spark, tmp_path, rows)
+    for n in range(3):
+        jobs.run_day(spark, raw, day(n), names)
+    jobs.run_day(spark, raw, day(1), names)
+    got = {r.event_date: str(r.miles_balance) for r in spark.table(names.balance).collect()}
+    assert got == {day(n): f"{n + 1}.00" for n in range(3)}
+
+
+def test_a_failing_rebuild_keeps_the_old_rows(spark):
+    table = one_column_table(spark)
+    tables.rebuild(days_frame(spark, (1, 0), (2, 1)), table)
+    broken = days_frame(spark, (3, 1), (4, 2)).repartition(1).withColumn("n", F.expr("if(n = 4, raise_error('no')::long, n)"))
+    with pytest.raises(Exception, match="no"):
+        tables.rebuild(broken, table)
+    assert table_rows(spark, table) == [(1, day(0)), (2, day(1))]
+
+
+def test_days_below_a_dated_path(spark, tmp_path, names):
+    for n in range(3):
+        raw_events.write_raw_events(events(spark, [event(n, user=f"u_000{n}")]), str(tmp_path / "landing" / str(day(n))))
+    pattern = str(tmp_path / "landing" / "{day}")
+    jobs.backfill(spark, pattern, day(0), day(1), names, metrics=False)
+    jobs.run_day(spark, pattern, day(2), names, metrics=False)
+    assert spark.table(names.events).count() == 3
+    assert len(jobs.read_raw(spark, pattern, day(1)).inputFiles()) < 3
+
+
+def test_csv_written_by_the_csv_module(spark, tmp_path):
+    odd = ['Joe "X" Cafe', 'C:\\dir"', 'Bob "Y", Inc', "  blanks  ", "\\", '"', 'a\\"b', ",", "'"]
+    path = tmp_path / "odd.csv"
+    with path.open("w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(EVENTS.fieldNames())
+        for i, text in enumerate(odd):
+            writer.writerow([f"2025-02-06 10:00:{i:02d}", f"u_{i:04d}", "Male", "miles_earned", text, 1.5, "web", "google", "SG"])
+    raw = raw_events.read_raw_events(spark, str(path))
+    assert [r.transaction_category for r in raw.orderBy("user_id").collect()] == odd
+    # also when only some columns are read
+    assert {tuple(r) for r in raw.select("platform", "country").collect()} == {("web", "SG")}
+    back = str(tmp_path / "back")
+    raw_events.write_raw_events(raw, back)
+    assert [r.transaction_category for r in raw_events.read_raw_events(spark, back).orderBy("user_id").collect()] == odd
+
+
+def test_line_breaks_in_quotes_are_refused_or_read_whole(spark, tmp_path):
+    path = csv_file(tmp_path, '2025-02-06 10:00:00,u_0001,Female,miles_earned,"two\nlines",1.0,web,google,SG')
+    for columns in (["*"], ["platform"]):
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            raw_events.read_raw_events(spark, path).select(*columns).collect()
+    assert raw_events.read_raw_events(spark, path, multiline=True).first().transaction_category == "two\nlines"
+
+
+def test_two_processes_work_on_one_warehouse(spark, tmp_path, names):
+    """Each day in a process of its own, as the command line runs; then the tables of one backfill."""
+    raw = write_raw(spark, tmp_path, log(1))
+    conf = f"--conf spark.sql.warehouse.dir={tmp_path}/wh --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2"
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": f"--master local[2] {conf} pyspark-shell", "PYTHONPATH": str(Path(jobs.__file__).parents[2])}
+    command = lambda *args: subprocess.run([sys.executable, "-m", "retentide", *args], env=env, capture_output=True, text=True, timeout=300)
+    text = lambda n: day(n).strftime("%Y%m%d")
+    assert command("create", "--bitmap-buckets", "2").returncode == 0
+    for n in range(2):
+        done = command("run-day", text(n), "--raw", raw)
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert command("check", text(1), "--raw", raw).returncode == 0
+    assert command("check", text(1), "--raw", write_raw(spark, tmp_path, log(0))).returncode == 1
+    jobs.backfill(spark, raw, day(0), day(1), names)
+    defaults = jobs.TableNames()
+    for f in fields(names):
+        database, table = getattr(defaults, f.name).split(".")
+        mine = spark.table(getattr(names, f.name))
+        theirs = spark.read.schema(mine.schema).parquet(f"{tmp_path}/wh/{database}.db/{table}")
+        assert sorted(map(tuple, theirs.collect()), key=str) == sorted(map(tuple, mine.collect()), key=str), f.name

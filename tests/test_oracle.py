@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle_compare import differences, duck
+from retentide.plans import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog.REGISTRY, oracle.build()
 EMPTY_AT_SMALLEST = {"dq_silver_new_not_in_source"}
 
 

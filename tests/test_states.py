@@ -107,10 +107,12 @@ def test_history_longer_than_an_integer(spark):
     assert as_numbers(from_bitmaps(spark, days, 14, 130)) == brute_ranges(days, 14, 130)
 
 
-def test_too_wide_a_window_for_bits_is_refused(spark):
-    built = bitmaps.build_bitmaps(events(spark, [event(0)]), day(0))
-    with pytest.raises(ValueError):
-        states.user_daily_bits(built, 32)
+@pytest.mark.parametrize("window", [32, 63, 90])
+def test_wide_windows_from_bitmaps(spark, window):
+    days = {"u_0001": [0, 40, 41, 150], "u_0002": [3, 200], "u_0003": [100]}
+    source = events(spark, [event(n, user=u) for u, ns in days.items() for n in ns])
+    built = bitmaps.build_bitmaps(source, day(260))
+    assert as_numbers(states.user_states_from_bitmaps(built, window)) == brute_ranges(days, window, 260)
 
 
 def test_null_users_are_left_out(spark):
