@@ -2,7 +2,7 @@
 
 Each stage takes what its predecessor kept; all but the last return the columns of documents.
 
-1. language_id: a document goes if no text is left to tell a language by, or if no language has half of it.
+1. language_id: a document goes if no text is left to tell a language by, or if no language has a good part of it (LEAST_SHARE).
 2. ngram_jaccard: of each group of near copies the document of the least doc_id stays.
 3. decontamination: documents that hold a benchmark item go.
 4. secret_scan: secrets are replaced in the text; every document stays.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from retentide.llm import decontaminate, language_id, ngram_jaccard, secret_forest, soft_mixing
 from retentide.llm.queries import TARGETS
 
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
