@@ -337,24 +337,25 @@ def check_bronze(
     Events without a time belong to no day and never reach the table, so they are counted in the log.
     """
     raw = read_raw(spark, raw_path, day, last)
-    of_days = raw.agg(
+    of_log = raw.agg(
         F.count_if(raw_events.is_on(day, last)).alias("source_rows"),
+        F.lit(0).cast("bigint").alias("table_rows"),
         F.count_if(F.col("event_time").isNull()).alias("without_time"),
     )
     table = _days(spark, names.events, day, last or day)
-    loaded = table.agg(F.count(F.lit(1)).alias("table_rows"))
-    totals = of_days.withColumn("side", F.lit(0)).join(loaded.withColumn("side", F.lit(0)), "side")
-    whole = quality.violations(
-        totals,
-        {
-            "row_counts_match": F.col("source_rows") == F.col("table_rows"),
-            "table_not_empty": F.col("table_rows") > 0,
-            "source_not_empty": F.col("source_rows") > 0,
-        },
-    )
-    without_time = of_days.select(F.lit("event_time_not_null").alias("check"), F.col("without_time").alias("n_bad"))
+    zero = F.lit(0).cast("bigint")
+    loaded = table.agg(zero.alias("source_rows"), F.count(F.lit(1)).alias("table_rows"), zero.alias("without_time"))
+    totals = of_log.unionByName(loaded).agg(*(F.sum(c).alias(c) for c in of_log.columns))
+    bad = {
+        "row_counts_match": F.col("source_rows") != F.col("table_rows"),
+        "table_not_empty": F.col("table_rows") == 0,
+        "source_not_empty": F.col("source_rows") == 0,
+        "event_time_not_null": F.col("without_time"),
+    }
+    # one scan of the log for all of them
+    rows = F.array(*[F.struct(F.lit(k).alias("check"), n.cast("bigint").alias("n_bad")) for k, n in bad.items()])
     contract = quality.event_assertions(table).where("check <> 'event_time_not_null'")
-    return whole.unionByName(without_time).unionByName(contract)
+    return totals.select(F.inline(rows)).unionByName(contract)
 
 
 def check_bitmaps(
