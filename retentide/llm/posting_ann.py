@@ -4,8 +4,8 @@ Vectors get one more component that makes all of them equally long, so the large
 the least distance. Centroids come from a balanced k-means of a bounded sample; they are searched by
 a graph of their nearest neighbours, which every task holds. A vector goes to its nearest centroid's
 list and, at a boundary, to further lists about as near that lie in other directions. A query reads
-the lists whose centroids are at most `ratio` times as far as the nearest one; the ratio is fitted
-on the sample. Scores are then computed exactly on the original vectors.
+the lists whose centroids are at most `ratio` times as far as the nearest one (or as that usually is,
+for a query that happens to lie on a centroid); the ratio is fitted on the sample. Scores are then computed exactly on the original vectors.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ class ListIndex:
     entries: np.ndarray
     longest: float  # the norm that vectors are brought to
     ratio: float
+    floor: float  # the usual distance of a query from its nearest centroid
 
     def place(self, vectors: np.ndarray) -> np.ndarray:
         """Vectors with the component that makes them all as long as the longest."""
@@ -154,7 +155,7 @@ def query_lists(index: ListIndex, points: np.ndarray, sizes: np.ndarray, enough:
     while len(left):
         nodes, dist = search_graph(index, points[left], breadth)
         held = np.cumsum(sizes[nodes], axis=1)
-        inside = (dist <= index.ratio * dist[:, :1] + 1e-12) | (held - sizes[nodes] < enough)
+        inside = (dist <= index.ratio * np.maximum(dist[:, :1], index.floor) + 1e-12) | (held - sizes[nodes] < enough)
         done = ~inside[:, -1] | (breadth >= k)
         for i in np.flatnonzero(done):
             out[left[i]] = nodes[i][inside[i]]
@@ -165,21 +166,22 @@ def query_lists(index: ListIndex, points: np.ndarray, sizes: np.ndarray, enough:
 def fit_index(sample: np.ndarray, rows: int, longest: float, neighbours: int) -> ListIndex:
     """Centroids for `rows` vectors, and the ratio that reaches the sample's own nearest neighbours."""
     k = max(1, min(rows // LIST_ROWS, len(sample) // SAMPLE_PER_CENTROID))
-    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf)
+    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf, 0.0)
     points = index.place(sample)
     if k == 1:
         return index
     centroids = balanced_centroids(points, k)
     near, entries = _graph(centroids)
-    index = ListIndex(centroids, near, entries, longest, np.inf)
+    index = ListIndex(centroids, near, entries, longest, np.inf, 0.0)
     asked = index.direction(sample[: min(400, len(sample))])
     scores = sample[: len(asked)] @ sample.T
     scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
     best = np.argsort(-scores, axis=1)[:, : min(neighbours, len(sample) - 1)]
     far = np.sqrt(_squared(asked, centroids))
     homes = dict(zip(needed := np.unique(best).tolist(), home_lists(index, points[needed]), strict=True))
-    need = [far[i, homes[j]].min() / max(far[i].min(), 1e-300) for i in range(len(asked)) for j in best[i].tolist()]
-    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))))
+    floor = float(np.median(far.min(axis=1)))
+    need = [far[i, homes[j]].min() / max(far[i].min(), floor, 1e-300) for i in range(len(asked)) for j in best[i].tolist()]
+    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))), floor)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
