@@ -25,7 +25,7 @@ SAMPLE_ROWS = 40000
 LIST_ROWS, SAMPLE_PER_CENTROID = 200, 16
 DEGREE, BOUNDARY, REPLICAS, BREADTH = 16, 1.1, 8, 32
 #: Share of the sample's true neighbours whose lists the ratio must reach.
-REACH = 0.985
+REACH = 0.998
 BLOCK_ROWS, QUERY_ROWS = 1024, 256
 
 
