@@ -5,7 +5,8 @@ the least distance. Centroids come from a balanced k-means of a bounded sample;
 a graph of their nearest neighbours, which every task holds. A vector goes to its nearest centroid's
 list and, at a boundary, to further lists about as near that lie in other directions. A query reads
 the lists whose centroids are at most `ratio` times as far as the nearest one (or as that usually is,
-for a query that happens to lie on a centroid); the ratio is fitted on the sample. Scores are then computed exactly on the original vectors.
+for a query that happens to lie on a centroid), and the few nearest ones in any case; both are fitted on
+the sample. Scores are then computed exactly on the original vectors.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ LIST_ROWS, SAMPLE_PER_CENTROID = 200, 16
 DEGREE, BOUNDARY, REPLICAS, BREADTH = 16, 1.1, 8, 32
 #: Share of the sample's true neighbours whose lists the ratio must reach.
 REACH = 0.998
+#: Share of them that the nearest lists must reach that every query reads, however the distances are.
+REACH_BY_RANK = 0.9
 BLOCK_ROWS, QUERY_ROWS = 1024, 256
 
 
@@ -37,6 +40,7 @@ class ListIndex:
     longest: float  # the norm that vectors are brought to
     ratio: float
     floor: float  # the usual distance of a query from its nearest centroid
+    fewest: int  # so many nearest lists are read in any case
 
     def place(self, vectors: np.ndarray) -> np.ndarray:
         """Vectors with the component that makes them all as long as the longest."""
@@ -85,6 +89,8 @@ def _graph(centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         far[np.arange(len(far)), np.arange(lo, lo + len(far))] = np.inf
         near[lo : lo + 2048] = np.argsort(far, axis=1)[:, :degree]
     ring = (np.arange(k)[:, None] + 1) % k
+    # a successor that is a near neighbour already is replaced by the centroid itself, which is known
+    ring = np.where((near == ring).any(axis=1, keepdims=True), np.arange(k)[:, None], ring)
     return np.concatenate([near, ring], axis=1), np.unique(np.linspace(0, k - 1, 8).astype(np.int64))
 
 
@@ -155,7 +161,7 @@ def query_lists(index: ListIndex, points: np.ndarray, sizes: np.ndarray, enough:
     while len(left):
         nodes, dist = search_graph(index, points[left], breadth)
         held = np.cumsum(sizes[nodes], axis=1)
-        inside = (dist <= index.ratio * np.maximum(dist[:, :1], index.floor) + 1e-12) | (held - sizes[nodes] < enough)
+        inside = (dist <= index.ratio * np.maximum(dist[:, :1], index.floor) + 1e-12) | (held - sizes[nodes] < enough) | (np.arange(nodes.shape[1]) < index.fewest)
         done = ~inside[:, -1] | (breadth >= k)
         for i in np.flatnonzero(done):
             out[left[i]] = nodes[i][inside[i]]
@@ -166,13 +172,13 @@ def query_lists(index: ListIndex, points: np.ndarray, sizes: np.ndarray, enough:
 def fit_index(sample: np.ndarray, rows: int, longest: float, neighbours: int) -> ListIndex:
     """Centroids for `rows` vectors, and the ratio that reaches the sample's own nearest neighbours."""
     k = max(1, min(rows // LIST_ROWS, len(sample) // SAMPLE_PER_CENTROID))
-    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf, 0.0)
+    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf, 0.0, 1)
     points = index.place(sample)
     if k == 1:
         return index
     centroids = balanced_centroids(points, k)
     near, entries = _graph(centroids)
-    index = ListIndex(centroids, near, entries, longest, np.inf, 0.0)
+    index = ListIndex(centroids, near, entries, longest, np.inf, 0.0, 1)
     asked = index.direction(sample[: min(400, len(sample))])
     scores = sample[: len(asked)] @ sample.T
     scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
@@ -181,7 +187,9 @@ def fit_index(sample: np.ndarray, rows: int, longest: float, neighbours: int) ->
     homes = dict(zip(needed := np.unique(best).tolist(), home_lists(index, points[needed]), strict=True))
     floor = float(np.median(far.min(axis=1)))
     need = [far[i, homes[j]].min() / max(far[i].min(), floor, 1e-300) for i in range(len(asked)) for j in best[i].tolist()]
-    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))), floor)
+    rank = np.argsort(np.argsort(far, axis=1), axis=1)
+    fewest = 1 + int(np.quantile([rank[i, homes[j]].min() for i in range(len(asked)) for j in best[i].tolist()], REACH_BY_RANK))
+    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))), floor, fewest)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:

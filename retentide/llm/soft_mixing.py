@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentide.llm.arrow_text import WORDS, letters_inside, mix, slices, words
+from retentide.llm.arrow_text import WORDS, letters_inside, mix, slices, text_buffer, text_groups, words
 from retentide.llm.spark_util import checkpoint
 
 WORD_BITS, SHAPE_BITS = 16, 12
 #: The sample that the classifier is fitted on: so many labelled documents, none of more bytes than this.
-LABELLED_ROWS, LONGEST = 6000, 1 << 16
+LABELLED_ROWS, LONGEST = 4000, 1 << 16
 #: Passes over the sample, more of them if that gives fewer steps than this.
 EPOCHS, STEPS, BATCH, RATE = 12, 400, 100, 0.2
 #: The power of a text's words that the sum of their weights is divided by: between a sum and a mean.
@@ -74,6 +74,17 @@ def _buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return (w.hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64), shape, bounds
 
 
+def _all_buckets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets of many texts, taken a group at a time to keep what is held small."""
+    parts, counts = [(np.empty(0, np.int32), np.empty(0, np.int32))], [np.zeros(1, np.int64)]
+    for first, last in text_groups(at):
+        word, shape, bounds = _buckets(data[at[first] : at[last]], at[first : last + 1] - at[first])
+        parts.append((word.astype(np.int32), shape.astype(np.int32)))
+        counts.append(np.diff(bounds))
+    word, shape = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return word, shape, np.cumsum(np.concatenate(counts))
+
+
 def fit_classifier(data: np.ndarray, at: np.ndarray, y: np.ndarray, domains: list[str], seed: int = 3) -> DomainModel:
     """Softmax regression by AdaGrad over batches of texts."""
     size, k = (1 << WORD_BITS) + (1 << SHAPE_BITS), len(domains)
@@ -81,7 +92,7 @@ def fit_classifier(data: np.ndarray, at: np.ndarray, y: np.ndarray, domains: lis
     weights, bias = np.zeros((size, k), np.float32), np.log(share)
     model = DomainModel(domains, weights, bias)
     squares, draw = np.full((size, k), 1e-3, np.float32), np.random.default_rng(seed)
-    word, shape, bounds = _buckets(data, at)
+    word, shape, bounds = _all_buckets(data, at)
     counts = np.diff(bounds)
     for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(len(y), 1)))):
         order = draw.permutation(np.flatnonzero(counts))
@@ -114,11 +125,11 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, rows: int = LABELLED_ROWS)
     domains = sorted(r["domain"] for r in known.select("domain").distinct().collect()) or ["all"]
     sample = known.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= LONGEST)
-    got = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id", "text").toPandas()
-    raw = [x.encode() for x in got["text"]]
-    at = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    got = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id", "text").select("text", "domain").toArrow().combine_chunks()
     place = {name: k for k, name in enumerate(domains)}
-    return fit_classifier(np.frombuffer(b"".join(raw), np.uint8), at, np.array([place[x] for x in got["domain"]], np.int64), domains)
+    y = np.array([place[x] for x in got["domain"].to_pylist()], np.int64)
+    data, at = text_buffer(got["text"].combine_chunks()) if got.num_rows else (np.empty(0, np.uint8), np.zeros(1, np.int64))
+    return fit_classifier(data, at, y, domains)
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
