@@ -30,6 +30,8 @@ REACH = 0.998
 #: Share of them that the nearest lists must reach that every query reads, however the distances are.
 REACH_BY_RANK = 0.9
 BLOCK_ROWS, QUERY_ROWS = 1024, 256
+#: Vectors that every query is compared with beforehand.
+PROBE_ROWS = 8192
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,8 @@ class ListIndex:
     ratio: float
     floor: float  # the usual distance of a query from its nearest centroid
     fewest: int  # so many nearest lists are read in any case
+    probe: np.ndarray  # some of the sample's vectors, which tell every query a score it can count on
+    probe_home: np.ndarray  # the list of each
 
     def place(self, vectors: np.ndarray) -> np.ndarray:
         """Vectors with the component that makes them all as long as the longest."""
@@ -172,13 +176,15 @@ def query_lists(index: ListIndex, points: np.ndarray, sizes: np.ndarray, enough:
 def fit_index(sample: np.ndarray, rows: int, longest: float, neighbours: int) -> ListIndex:
     """Centroids for `rows` vectors, and the ratio that reaches the sample's own nearest neighbours."""
     k = max(1, min(rows // LIST_ROWS, len(sample) // SAMPLE_PER_CENTROID))
-    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf, 0.0, 1)
+    index = ListIndex(np.zeros((1, sample.shape[1] + 1)), np.zeros((1, 1), np.int64), np.zeros(1, np.int64), longest, np.inf, 0.0, 1, sample[:PROBE_ROWS], np.zeros(len(sample[:PROBE_ROWS]), np.int64))
     points = index.place(sample)
     if k == 1:
         return index
     centroids = balanced_centroids(points, k)
     near, entries = _graph(centroids)
-    index = ListIndex(centroids, near, entries, longest, np.inf, 0.0, 1)
+    index = ListIndex(centroids, near, entries, longest, np.inf, 0.0, 1, sample[:PROBE_ROWS], np.zeros(len(sample[:PROBE_ROWS]), np.int64))
+    probe = sample[:PROBE_ROWS]
+    probe_home = np.array([h[0] for lo in range(0, len(probe), 1024) for h in home_lists(index, index.place(probe[lo : lo + 1024]))], np.int64)
     asked = index.direction(sample[: min(400, len(sample))])
     scores = sample[: len(asked)] @ sample.T
     scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
@@ -189,7 +195,18 @@ def fit_index(sample: np.ndarray, rows: int, longest: float, neighbours: int) ->
     need = [far[i, homes[j]].min() / max(far[i].min(), floor, 1e-300) for i in range(len(asked)) for j in best[i].tolist()]
     rank = np.argsort(np.argsort(far, axis=1), axis=1)
     fewest = 1 + int(np.quantile([rank[i, homes[j]].min() for i in range(len(asked)) for j in best[i].tolist()], REACH_BY_RANK))
-    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))), floor, fewest)
+    return ListIndex(centroids, near, entries, longest, float(max(1.0, np.quantile(need, REACH))), floor, fewest, probe, probe_home)
+
+
+def sure_scores(index: ListIndex, queries: np.ndarray, lists: list[list[int]], keep: int) -> np.ndarray:
+    """A score that `keep` vectors in the lists of each query reach: no lesser one can be among its best."""
+    if len(index.probe) < keep:
+        return np.full(len(queries), -np.inf)
+    read = np.zeros((len(queries), len(index.centroids)), bool)
+    for k, own in enumerate(lists):
+        read[k, own] = True
+    scores = np.where(read[:, index.probe_home], queries @ index.probe.T, -np.inf)
+    return np.partition(scores, len(index.probe) - keep, axis=1)[:, len(index.probe) - keep]
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -241,13 +258,20 @@ def nearest(vectors: DataFrame, asked: F.Column, neighbours: int = 20) -> DataFr
     sizes[counted["list"].to_numpy()] = counted["n"].to_numpy()
     # a vector is in REPLICAS lists at most, so that many entries hold enough vectors
     enough = REPLICAS * (neighbours + 1)
-    reads = checkpoint(unique.repartition("rep").mapInArrow(placed(lambda i, x: query_lists(i, i.direction(x), sizes, enough)), schema).select("rep", "v", F.explode("lists").alias("list")))
+    keep = neighbours + 1
+
+    def asked_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = placed(lambda i, x: query_lists(i, i.direction(x), sizes, enough))
+        for batch in find(batches):
+            least = sure_scores(shared.value, _matrix(batch.column("v")), batch.column("lists").to_pylist(), keep)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least)], [*batch.schema.names, "least"])
+
+    reads = checkpoint(unique.repartition("rep").mapInArrow(asked_lists, f"{schema}, least double").select("rep", "v", "least", F.explode("lists").alias("list")))
     # long lists and lists that many queries read are dealt out as blocks of rows and blocks of queries
     parts = posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).join(reads.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("shares")), "list")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = posted.join(parts, "list").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("share", every("shares"))
     right = reads.join(parts, "list").withColumn("share", F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int")).withColumn("block", every("blocks"))
-    keep = neighbours + 1
 
     def score(key: tuple, own: pa.Table, ask: pa.Table) -> pa.Table:
         query, vec_id, value = [], [], []
@@ -256,12 +280,14 @@ def nearest(vectors: DataFrame, asked: F.Column, neighbours: int = 20) -> DataFr
             ids, asking = own["rep"].to_numpy(), ask["rep"].to_numpy()
             rough = q @ x.T
             least = np.partition(rough, max(0, len(ids) - keep), axis=1)[:, max(0, len(ids) - keep)]
-            i, j = np.nonzero(rough >= (least - 1e-9 * np.abs(least) - 1e-12)[:, None])
+            # what others are sure to reach needn't be beaten here
+            least = np.maximum(least, ask["least"].to_numpy())
+            i, j = np.nonzero(rough >= (least - 1e-9 * np.abs(np.nan_to_num(least, neginf=0.0)) - 1e-12)[:, None])
             query, vec_id, value = asking[i], ids[j], np.einsum("ij,ij->i", q[i], x[j])
         return pa.table({"query": pa.array(query, pa.int64()), "rep": pa.array(vec_id, pa.int64()), "score": pa.array(value, pa.float64())})
 
     key = ["list", "block", "share"]
-    found = left.select(*key, "rep", "v").groupBy(*key).cogroup(right.select(*key, "rep", "v").groupBy(*key)).applyInArrow(score, "query long, rep long, score double")
+    found = left.select(*key, "rep", "v").groupBy(*key).cogroup(right.select(*key, "rep", "v", "least").groupBy(*key)).applyInArrow(score, "query long, rep long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep", "place")
     # a vector at a boundary comes from several lists, with the same score
     found = found.withColumn("place", F.row_number().over(Window.partitionBy("query", "rep").orderBy("score"))).where("place = 1")

@@ -66,7 +66,7 @@ def test_graph_search_finds_the_nearest():
     draw = np.random.default_rng(6)
     c = draw.standard_normal((500, 8))
     near, entries = posting_ann._graph(c)
-    index = posting_ann.ListIndex(c, near, entries, 1.0, np.inf, 0.0, 1)
+    index = posting_ann.ListIndex(c, near, entries, 1.0, np.inf, 0.0, 1, c, np.arange(500))
     points = draw.standard_normal((200, 8))
     nodes, dist = posting_ann.search_graph(index, points, 32)
     exact = np.sqrt(posting_ann._squared(points, c))
