@@ -35,9 +35,11 @@ FREQUENT = 1 << 19
 LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 22
 BLOCK_ROWS = 2048
 #: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
-LEADERS, LEADERS_EVERY = 32, 8
-LEADER_ROUNDS = ((1, 3), (4, 32))
+LEADERS, LEADERS_EVERY = 64, 4
+LEADER_ROUNDS = ((1, 3), (4, 12), (13, 64))
 BITMAP_BITS = 22
+#: Of the shingles that two prefixes must share, one in so many is looked for.
+SHARE_JOINED = 4
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -156,11 +158,11 @@ def postings(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarra
 
 
 def shared_postings(found: DataFrame, percent: int) -> DataFrame:
-    """Postings of shingles that several nodes have, with the block of the list they are in and a leader.
+    """Postings of shingles that several nodes have, with the block of the list they are in and two leaders.
 
     A list is ordered by classes of sizes that can be similar, then by name, which is a random order that
     all lists share. The first nodes of a class lead it: one of them where it is short, up to LEADERS where
-    it is long, dealt out by shingle, so that the members of a large group are offered several leaders."""
+    it is long, dealt out by shingle (two a list), so that the members of a large group are offered several leaders."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the first row of a list, until a second one comes
@@ -191,7 +193,8 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
                     if rank < LEADERS:
                         leaders.append(v[i])
                     turns = min(LEADERS, 1 + rank // LEADERS_EVERY)
-                    out.append((s[i], n[i], v[i], p[i], count // BLOCK_ROWS, leaders[(int(s[i]) & 0xFFFF) % turns], turns))
+                    pick = int(s[i])
+                    out.append((s[i], n[i], v[i], p[i], count // BLOCK_ROWS, leaders[(pick & 0xFFFF) % turns], leaders[(pick >> 16 & 0xFFFF) % turns], turns))
                     count += 1
                     rank += 1
 
@@ -216,11 +219,11 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
                     held = out.pop()
             if out:
                 columns = list(zip(*out, strict=True))
-                types = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(x, t)) for x, t in zip(columns, types, strict=True)], ["shingle", "n", "node", "pos", "block", "leader", "turns"])
+                types = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(x, t)) for x, t in zip(columns, types, strict=True)], ["shingle", "n", "node", "pos", "block", "leader", "second", "turns"])
 
     ordered = found.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")).repartition("shingle").sortWithinPartitions("shingle", "class", "node")
-    return ordered.mapInArrow(scan, "shingle long, n int, node long, pos int, block int, leader long, turns int")
+    return ordered.mapInArrow(scan, "shingle long, n int, node long, pos int, block int, leader long, second long, turns int")
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -287,17 +290,20 @@ def cross_pairs(lists: DataFrame, component: DataFrame, percent: int) -> DataFra
     meet = x.join(y, "shingle").where(f"blockx <= blocky AND lowy * {percent} <= highx * 100 AND NOT (c1x = c2x AND c1y = c2y AND c1x = c1y)")
     left, right = (rows.select("shingle", *(F.col(c).alias(c + side) for c in ("block", "n", "node", "pos", "component"))) for side in "xy")
     need = f"ceil({percent} * (nx + ny) / {100 + percent})"
-    beyond = f"greatest(ceil({percent} * nx / 100), ceil({percent} * ny / 100)) - 1"
+    # Shingles beyond a prefix are at most so many: the prefixes have to share the others. The first `first`
+    # of those stand where enough places follow in both prefixes, so the entries after that aren't joined.
+    shared = f"greatest(1, {need} - greatest(ceil({percent} * nx / 100), ceil({percent} * ny / 100)) + 1)"
+    first = f"ceil({shared} / {SHARE_JOINED})"
+    reach = lambda side: f"pos{side} < n{side} - ceil({percent} * n{side} / 100) + 1 - {shared} + {first}"
     pairs = (
         meet.select("shingle", "blockx", "blocky")
         .join(left, ["shingle", "blockx"])
         .join(right, ["shingle", "blocky"])
         .where(f"componentx <> componenty AND (blockx < blocky OR nodex < nodey) AND nx * 100 >= ny * {percent} AND ny * 100 >= nx * {percent}")
-        .where(f"least(posx, posy) + least(nx - posx, ny - posy) >= {need}")
+        .where(f"least(posx, posy) + least(nx - posx, ny - posy) >= {need} AND {reach('x')} AND {reach('y')}")
     )
-    # shingles beyond a prefix are at most so many: the prefixes have to share the others
-    pairs = pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b"), F.expr(f"{need} - ({beyond})").alias("least"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("least").alias("least")).where("times >= least").select("a", "b")
+    pairs = pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b"), F.expr(first).alias("first"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("first").alias("first")).where("times >= first").select("a", "b")
 
 
 def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -322,11 +328,16 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     links = spark.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
     component = spark.createDataFrame([], "node long, component long")
-    offers = lists.where("leader <> node").groupBy("node", "leader").agg(F.count("*").alias("times"), F.max("turns").alias("turns"), F.max("n").alias("n"))
-    # half of what prefixes of equal sets share at least; this picks whom to try first and decides nothing
-    offers = offers.where(f"2 * times * turns >= n * {percent * (100 - percent)} / {100 * (100 + percent)}")
-    best = Window.partitionBy("node").orderBy(F.desc("times"), "leader")
-    offers = checkpoint(offers.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADER_ROUNDS[-1][1]).select("node", "leader", "place"))
+    each = lists.select("node", "turns", "n", F.explode(F.array_distinct(F.array("leader", "second"))).alias("leader"))
+    # whom to try first: leaders of many lists, short lists counting more; this decides nothing
+    offers = each.where("leader <> node").groupBy("node", "leader").agg(
+        F.sum(1 / F.col("turns")).alias("weight"), F.sum("turns").alias("turns"), F.max("n").alias("n")
+    )
+    best = Window.partitionBy("node").orderBy(F.desc("weight"), "leader")
+    offers = offers.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADER_ROUNDS[-1][1])
+    # beyond the first round, only those that share about a quarter of what prefixes of equal sets must share
+    likely = F.expr(f"4 * turns >= n * {percent * (100 - percent)} / {100 * (100 + percent)}")
+    offers = checkpoint(offers.where((F.col("place") <= LEADER_ROUNDS[0][1]) | likely).select("node", "leader", "place"))
     for low, high in LEADER_ROUNDS:
         # those that have no component yet, or are in another one than the leaders that are offered next
         a, b = component.toDF("a", "component_a"), component.toDF("b", "component_b")
