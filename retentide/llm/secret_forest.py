@@ -1,7 +1,7 @@
 """Secret scanning: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a long run of the characters that keys are made of, with a digit. What tells keys from
-other such runs is learned from labelled findings: length, character transitions, how much of it words
+A candidate is a long run of the characters that keys are made of, with a digit, or whatever is assigned
+to a secret's name, of any length. What tells keys from other such values is learned from labelled findings: length, character transitions, how much of it words
 of a dictionary cover, whether it is part of a path or URL, and the neighbouring words.
 """
 
@@ -15,14 +15,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled findings that the forest is fitted on, at most; its size.
 LABELLED_ROWS, TREES, DEPTH = 20000, 30, 8
 THRESHOLD = 0.5
 SHORTEST = 12
-_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=@-]{{{SHORTEST},}}")
+#: A `=` parts a name from its value, so a run holds it only at its end, as padding.
+_RUN = rf"[A-Za-z0-9+/_.@-]{{{SHORTEST},}}"
+_CANDIDATE = re.compile(_RUN + r"""(?:={1,2}(?![\w+/="'`]))?""")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words whose presence speaks for text that people wrote.
 DICTIONARY = (
@@ -32,7 +34,13 @@ DICTIONARY = (
 ).split()
 _KNOWN = re.compile("|".join(sorted(DICTIONARY, key=len, reverse=True)))
 #: Names that a secret is assigned to, and well-known key formats.
-_ASSIGNED = re.compile(r"""(?i)\b[\w.-]*(?:token|secret|passwd|password|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)s?["']?\s*(?:=|:|=>|\s)\s*["']?$""")
+_SECRET_NAME = "(?:token|secret|passwd|password|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)s?"
+_ASSIGNED = re.compile(rf"""(?i)\b[\w.-]*{_SECRET_NAME}["'`]?\]?\s*(?:=>|:=|={{1,3}}|:|\s)\s*(?:(?:bearer|basic)\s+)?["'`]?$""")
+#: What comes before an assigned value; the same to Python and to Java.
+_ASSIGNS = rf"""(?i)(?:{_SECRET_NAME}["'`]?\]?[ \t]*(?:=>|:=|={{1,3}}|:(?!:))|--[A-Za-z0-9_-]{{0,30}}{_SECRET_NAME}[ \t])"""
+_VALUE = re.compile(_ASSIGNS.replace("(?i)", "(?ai)") + r"""[ \t]*(?:(?:bearer|basic)[ \t]+)?(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`|["'`]?([^\s"'`,;&<>(){}\[\]]+))""")
+_LITERAL = re.compile(r"(?i)(?:null|none|nil|true|false|undefined|\d{1,5}|[\W_]+)$")
+_REFERENCE = re.compile(r"\$?[^\W\d][^\W\d]*(?:[./-][^\W\d]+)*$")
 _FORMAT = re.compile(r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$")
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|changeme|your|redacted|placeholder|x{4}|(.)\1{7}")
 _EXTENSION = re.compile(r"\.[a-z]{1,5}$")
@@ -65,29 +73,57 @@ def features(value: str, before: str, after: str) -> list[float]:
     return [float(n), *counts, changes / n, hexes, entropy, repeats, steps, vowels, covered, *path, *quoted, float(assigned == "="), float(assigned == ":"), *near]
 
 
-def rule_label(value: str, before: str) -> int | None:
+def rule_label(value: str, before: str, after: str = "") -> int | None:
     """The label that a reviewer's rules give a finding: a known format, or a value assigned to a secret's
-    name that isn't a placeholder, is a secret; other findings next to no such name aren't."""
+    name that isn't a placeholder, literal or call, is a secret; other findings next to no such name aren't.
+    Unquoted words and phrases after such a name may be either and have no label."""
     if _PLACEHOLDER.search(value):
         return 0
     if _FORMAT.match(value):
         return 1
-    if _ASSIGNED.search(before):
-        return 1 if len(value) >= 16 else None
-    return 0
+    if not _ASSIGNED.search(before):
+        return 0
+    quoted = before[-1:] in ("'", '"', "`")
+    if _LITERAL.match(value) or not quoted and after[:1] in ("(", "["):
+        return 0
+    if any(c.isspace() for c in value) or not quoted and _REFERENCE.match(value):
+        return None
+    if len(value) >= 16:
+        return 1
+    # short values are only labelled where the name is sure to be assigned to, not just to stand before them
+    return 1 if before.rstrip("\"'` \t")[-1:] in ("=", ":", ">") and not value.isdigit() else None
+
+
+def _spans(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the assigned values and, between them, of the long runs with a digit."""
+    at = 0
+    for found in [*_VALUE.finditer(text), None]:
+        a, b = found.span(found.lastindex) if found else (len(text), len(text))
+        if found and found.lastindex == 4:
+            while a < b and text[b - 1] == ".":
+                b -= 1
+        for run in _CANDIDATE.finditer(text, at, a):
+            first, last = run.span()
+            while first < last and text[first] in ".-@+":
+                first += 1
+            while first < last and text[last - 1] in ".-@+":
+                last -= 1
+            if last - first >= SHORTEST and any(c.isdigit() for c in text[first:last]):
+                yield first, last
+        if a < b:
+            yield a, b
+        at = b
 
 
 def candidates(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     """(first, last, value, before, after) of each candidate; places are in characters."""
-    for found in _CANDIDATE.finditer(text):
-        a, b = found.span()
-        while a < b and text[a] in "=.-@+":
-            a += 1
-        while a < b and text[b - 1] in ".-@+":
-            b -= 1
-        value = text[a:b]
-        if b - a >= SHORTEST and any(c.isdigit() for c in value):
-            yield a, b, value, text[max(0, a - 60) : a], text[b : b + 30]
+    for a, b in _spans(text):
+        yield a, b, text[a:b], text[max(0, a - 60) : a], text[b : b + 30]
+
+
+def _may_have_candidates(text: Column) -> Column:
+    """False only for texts without a candidate, which needn't leave the JVM."""
+    return F.coalesce(text.rlike("[0-9]") & text.rlike(_RUN) | text.rlike(_ASSIGNS), F.lit(False))
 
 
 def find_candidates(docs: DataFrame) -> DataFrame:
@@ -97,13 +133,12 @@ def find_candidates(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                rows += [(doc, a, b, rule_label(value, before), features(value, before, after)) for a, b, value, before, after in candidates(text.as_py())]
+                rows += [(doc, a, b, rule_label(value, before, after), features(value, before, after)) for a, b, value, before, after in candidates(text.as_py())]
             if rows:
                 types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "first", "last", "label", "features"])
 
-    # texts without a digit have no candidate and needn't leave the JVM
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike("[0-9]"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(_may_have_candidates(F.col("text")))
     return texts.mapInArrow(scan, "doc_id long, first int, last int, label int, features array<double>")
 
 
@@ -146,7 +181,7 @@ def redact(docs: DataFrame, model: RandomForestClassificationModel | None, mark:
     """`docs` (doc_id, text, n_chars, ...) with the secrets in text replaced by `mark`. Rows whose text has no
     candidate aren't touched or moved. n_chars follows the text."""
     columns = docs.columns
-    touched = F.coalesce(F.col("text").rlike("[0-9]") & F.col("text").rlike(rf"[A-Za-z0-9+/_.=@-]{{{SHORTEST},}}"), F.lit(False))
+    touched = _may_have_candidates(F.col("text"))
     spans = judge(find_candidates(docs.where(touched).withColumn("doc_id", F.xxhash64("text")).dropDuplicates(["doc_id"])), model).where("secret")
     spans = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last")), asc=False).alias("spans")).withColumnRenamed("doc_id", "__h")
     rest = docs.where(~touched)
