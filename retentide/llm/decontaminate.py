@@ -5,8 +5,9 @@ WINDOW canonical words of documents and benchmark items meet in a hash join. Wha
 must agree: along one alignment, each value of the item has to stand for one value of the document, so
 a question with other numbers or names is caught and a chance meeting of templates is not.
 
-Two forms are compared. The plain form keeps names as words and so doesn't depend on capitals; the
-named form, only for windows that have a name, replaces runs of capitalised words within sentences.
+Three forms are compared. The plain form keeps names as words and so doesn't depend on capitals; the
+named form, only for windows that have a name, replaces runs of capitalised words within sentences. The
+verbatim form, for items with windows of little but placeholders, keeps all words, numbers too.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ PERCENT, RUN_WINDOWS = 50, 13
 CONSISTENT = 0.8
 #: A window needs this share of plain words.
 LITERAL = 0.5
+VERBATIM = 2
 BITMAP_BITS = 24
 SALTS = 8
 #: Words that count as units after a number.
@@ -82,7 +84,7 @@ def _names(data: np.ndarray, w: Words) -> np.ndarray:
 
 
 def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], units: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For the plain (0) and the named form (1): canonical hashes, texts, first and last bytes in the
+    """For the plain (0), the named (1) and the verbatim form (2): canonical hashes, texts, first and last bytes in the
     lower-cased text. Capitals are those of the raw text."""
     data, at = lower
     w = words(data, at, WORDS, letters_inside(data))
@@ -103,13 +105,17 @@ def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarr
         last = np.append(np.flatnonzero(kept)[1:], len(named)) - 1  # the end of a run of names
         ends = np.where(named[kept] == _NAME, w.ends[last], w.ends[kept])
         yield 1, named[kept], w.texts[kept], w.starts[kept], ends
+    yield VERBATIM, w.hashes, w.texts, w.starts, w.ends
 
 
 def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], sizes: list[int], units: np.ndarray, whole: bool) -> Iterator[tuple]:
     """(form, text, place of the window in the text, hash, size, canonical hashes, starts, ends, first word of
-    each window). With `whole`, a text of fewer than WINDOW words gives one window, else every size is slid."""
+    each window). With `whole`, a text of fewer than WINDOW words gives one window, else every size is slid;
+    the verbatim form is then only of texts that the plain form leaves windows out of."""
+    left_out = np.zeros(len(lower[1]) - 1, np.int64)  # windows of the plain form less those that count
+    none = np.ones(len(lower[1]) - 1, bool)
     for form, canonical, texts, starts, ends in _forms(lower, raw, units):
-        slot = (canonical == _NUMBER) | (canonical == _UNIT) | (canonical == _NAME)
+        slot = (canonical == _NUMBER) | (canonical == _UNIT) | (canonical == _NAME) if form != VERBATIM else np.zeros(len(canonical), bool)
         slots = np.concatenate([[0], np.cumsum(slot)])
         names = np.concatenate([[0], np.cumsum(canonical == _NAME)])
         bounds = np.searchsorted(texts, np.arange(len(lower[1])))
@@ -120,10 +126,18 @@ def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.nda
             if not len(first):
                 continue
             good = texts[first] == texts[first + size - 1]
-            good &= (slots[first + size] - slots[first]) <= (1 - LITERAL) * size
             if whole and size < WINDOW:
                 good &= lengths[texts[first]] == size
-            if form:
+            if form == 0 and whole:
+                left_out += np.bincount(texts[first[good]], minlength=len(left_out))
+            good &= (slots[first + size] - slots[first]) <= (1 - LITERAL) * size
+            if form == 0 and whole:
+                counted = np.bincount(texts[first[good]], minlength=len(left_out))
+                left_out -= counted
+                none &= counted == 0
+            if form == VERBATIM and whole:
+                good &= (none | (left_out > 0))[texts[first]]
+            if form == 1:
                 good &= names[first + size] > names[first]
             first = first[good]
             yield form, texts[first], first - bounds[texts[first]], mix(hashes[first] + PLACES[50 + form]), size, slot, starts, ends, first
@@ -167,8 +181,8 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     An item is held if the share of its windows in the document reaches PERCENT, or RUN_WINDOWS of them
     do, counted on the alignments whose slots are consistent. kind is `verbatim` if every slot has the
     item's own value, else `reparameterised`. The better form counts. Items of fewer than WINDOW words
-    are one window; windows of which less than LITERAL is plain words never count, so items of nothing
-    else are never found. NULL texts are empty, empty texts hold and are nothing; NULL ids are left out;
+    are one window. Windows of which less than LITERAL is plain words don't count as templates; an item that
+    has such windows is also looked for word by word, numbers included (the verbatim form). NULL texts are empty, empty texts hold and are nothing; NULL ids are left out;
     repeated documents or items count once; other columns are ignored."""
     spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL")

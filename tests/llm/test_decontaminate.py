@@ -55,3 +55,10 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, ITEM, 5, "x", 1)], "doc_id long, text string, hash long, slots string, item_id long")
     items = spark.createDataFrame([(2, ITEM, "y")], "item_id long, text string, doc_id string")
     assert [(r["doc_id"], r["item_id"], r["kind"]) for r in find_contaminated(docs, items).collect()] == [(1, 2, "verbatim")]
+
+
+def test_items_of_numbers(spark):
+    items = [(1, "Continue the sequence 2 4 6 8 10 12 14 16 18 20 22"), (2, "Compute 12 + 5 * 7 - 30 / 6 + 9"), (3, "1,000 2,000 3,000 4,000 5,000")]
+    docs = [(i, f"{prose(i, 30)} {t} {prose(i + 50, 30)}") for i, t in items]
+    docs += [(11, f"{prose(11, 30)} Continue the sequence 3 5 7 9 11 13 15 17 19 21 23 {prose(12, 30)}"), (12, "Compute 13 + 5 * 7 - 30 / 6 + 9")]
+    assert run(spark, docs, items) == {(k, k): ("verbatim", 1.0) for k in (1, 2, 3)}
