@@ -5,9 +5,11 @@ WINDOW canonical words of documents and benchmark items meet in a hash join. Wha
 must agree: along one alignment, each value of the item has to stand for one value of the document, so
 a question with other numbers or names is caught and a chance meeting of templates is not.
 
-Three forms are compared. The plain form keeps names as words and so doesn't depend on capitals; the
+Four forms are compared. The plain form keeps names as words and so doesn't depend on capitals; the
 named form, only for windows that have a name, replaces runs of capitalised words within sentences. The
-verbatim form, for items with windows of little but placeholders, keeps all words, numbers too.
+verbatim form, for items with windows of little but placeholders, keeps all words, numbers too. The
+opening form takes capitalised words that open sentences for names as well, unless they are words that
+commonly do (OPENERS); it is for texts that have such a name and counts all their windows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ PERCENT, RUN_WINDOWS = 50, 13
 CONSISTENT = 0.8
 #: A window needs this share of plain words.
 LITERAL = 0.5
-VERBATIM = 2
+NAMED, VERBATIM, OPENING = 1, 2, 3
 BITMAP_BITS = 24
 SALTS = 8
 #: Words that count as units after a number.
@@ -38,12 +40,21 @@ UNITS = (
     "ml l liter liters litre litres gallon gallons ms s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
     "hz khz mhz ghz b kb mb gb tb w kw v a ohm ohms j kj n pa c f k percent dollar dollars euro euros cent cents usd eur degree degrees"
 ).split()
+#: Words that open sentences and aren't names.
+OPENERS = (
+    "a an the this that these those it its he she they we you i his her their our your my there here what which who whom whose when where why how "
+    "is are was were am be been do does did has have had can could will would shall should may might must if then else while after before during since until unless although though because "
+    "as so thus hence therefore however but and or nor yet not no in on at of for from by with without to into over under between among about each every all any some both either neither "
+    "many most more few several one two three four five six seven eight nine ten first second third next last finally now later also only just suppose assume given let consider imagine "
+    "find calculate compute determine evaluate solve simplify write give name list choose select complete continue fill answer explain describe state show prove use using convert estimate round "
+    "read question options true false yes please today yesterday tomorrow once again another other"
+).split()
 
 _NUMBER, _NAME, _UNIT = mix(np.array([101, 102, 103], np.uint64))
 
 
-def _unit_hashes() -> np.ndarray:
-    data = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
+def _word_hashes(of: list[str]) -> np.ndarray:
+    data = np.frombuffer(" ".join(of).encode(), np.uint8)
     return np.sort(words(data, np.array([0, len(data)]), WORDS).hashes)
 
 
@@ -68,8 +79,8 @@ def _canonical(data: np.ndarray, w: Words, units: np.ndarray) -> np.ndarray:
     return out
 
 
-def _names(data: np.ndarray, w: Words) -> np.ndarray:
-    """Which words have a capital and don't begin a sentence or line."""
+def _names(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Which words have a capital, and which begin a text, sentence or line."""
     n = len(w.hashes)
     follows = np.zeros(n, bool)
     follows[1:] = w.texts[1:] == w.texts[:-1]
@@ -80,11 +91,11 @@ def _names(data: np.ndarray, w: Words) -> np.ndarray:
     stops = np.concatenate([[0], np.cumsum(np.isin(data, np.frombuffer(b".!?:;\n\r", np.uint8)))])
     begins = np.ones(n, bool)
     begins[1:] = stops[w.starts[1:]] > stops[w.ends[:-1]]
-    return capital & follows & ~begins
+    return capital, begins | ~follows
 
 
-def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], units: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For the plain (0), the named (1) and the verbatim form (2): canonical hashes, texts, first and last bytes in the
+def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], units: np.ndarray, openers: np.ndarray, whole: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For the plain (0), the named (1), the opening (3) and the verbatim form (2): canonical hashes, texts, first and last bytes in the
     lower-cased text. Capitals are those of the raw text."""
     data, at = lower
     w = words(data, at, WORDS, letters_inside(data))
@@ -92,29 +103,37 @@ def _forms(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarr
     kept = plain != 0
     yield 0, plain[kept], w.texts[kept], w.starts[kept], w.ends[kept]
     cased = words(*raw, WORDS, letters_inside(raw[0]))
-    name = np.zeros(len(plain), bool)
+    capital, begins = np.zeros(len(plain), bool), np.zeros(len(plain), bool)
     mine, theirs = np.bincount(w.texts, minlength=len(at)), np.bincount(cased.texts, minlength=len(at))
     # lower case hardly ever has other words; such a text has no names
     same = mine == theirs
-    name[same[w.texts]] = _names(raw[0], cased)[same[cased.texts]]
-    if name.any():
+    for here, there in zip((capital, begins), _names(raw[0], cased), strict=True):
+        here[same[w.texts]] = there[same[cased.texts]]
+    opens = capital & begins & (openers[np.minimum(np.searchsorted(openers, w.hashes), len(openers) - 1)] != w.hashes)
+    for form, name in ((NAMED, capital & ~begins), (OPENING, capital & ~begins | opens)):
+        if not name.any():
+            continue
         named = np.where(name & (plain != _UNIT) & (plain != _NUMBER) & (plain != 0), _NAME, plain)
         goes_on = np.zeros(len(named), bool)
-        goes_on[1:] = (named[1:] == _NAME) & (named[:-1] == _NAME) & (w.texts[1:] == w.texts[:-1])
+        goes_on[1:] = (named[1:] == _NAME) & (named[:-1] == _NAME) & (w.texts[1:] == w.texts[:-1]) & ~begins[1:]
         kept = (plain != 0) & ~goes_on
         last = np.append(np.flatnonzero(kept)[1:], len(named)) - 1  # the end of a run of names
         ends = np.where(named[kept] == _NAME, w.ends[last], w.ends[kept])
-        yield 1, named[kept], w.texts[kept], w.starts[kept], ends
+        if form == OPENING:
+            # an item of no such name has nothing to gain; in documents the name may also stand elsewhere
+            use = np.bincount(w.texts[opens if whole else name], minlength=len(at)) > 0
+            kept, ends = kept & use[w.texts], ends[use[w.texts[kept]]]
+        yield form, named[kept], w.texts[kept], w.starts[kept], ends
     yield VERBATIM, w.hashes, w.texts, w.starts, w.ends
 
 
-def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], sizes: list[int], units: np.ndarray, whole: bool) -> Iterator[tuple]:
+def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.ndarray], sizes: list[int], units: np.ndarray, openers: np.ndarray, whole: bool) -> Iterator[tuple]:
     """(form, text, place of the window in the text, hash, size, canonical hashes, starts, ends, first word of
     each window). With `whole`, a text of fewer than WINDOW words gives one window, else every size is slid;
     the verbatim form is then only of texts that the plain form leaves windows out of."""
     left_out = np.zeros(len(lower[1]) - 1, np.int64)  # windows of the plain form less those that count
     none = np.ones(len(lower[1]) - 1, bool)
-    for form, canonical, texts, starts, ends in _forms(lower, raw, units):
+    for form, canonical, texts, starts, ends in _forms(lower, raw, units, openers, whole):
         slot = (canonical == _NUMBER) | (canonical == _UNIT) | (canonical == _NAME) if form != VERBATIM else np.zeros(len(canonical), bool)
         slots = np.concatenate([[0], np.cumsum(slot)])
         names = np.concatenate([[0], np.cumsum(canonical == _NAME)])
@@ -137,7 +156,7 @@ def _windows(lower: tuple[np.ndarray, np.ndarray], raw: tuple[np.ndarray, np.nda
                 none &= counted == 0
             if form == VERBATIM and whole:
                 good &= (none | (left_out > 0))[texts[first]]
-            if form == 1:
+            if form == NAMED:
                 good &= names[first + size] > names[first]
             first = first[good]
             yield form, texts[first], first - bounds[texts[first]], mix(hashes[first] + PLACES[50 + form]), size, slot, starts, ends, first
@@ -152,13 +171,13 @@ def _rows(table: DataFrame, id_column: str, sizes: list[int], wanted=None) -> Da
     slots are the texts in the placeholders, lower-cased, each with its place in the window."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _unit_hashes()
+        units, openers = _word_hashes(UNITS), _word_hashes(OPENERS)
         for batch in batches:
             ids = batch.column("id")
             cased, edges = text_buffer(batch.column("text"))
             for first_text, last_text, data, at in slices(batch.column("lowered")):
                 raw = cased[edges[first_text] : edges[last_text]], edges[first_text : last_text + 1] - edges[first_text]
-                for form, texts, pos, hashes, size, slot, starts, ends, first in _windows((data, at), raw, sizes, units, wanted is None):
+                for form, texts, pos, hashes, size, slot, starts, ends, first in _windows((data, at), raw, sizes, units, openers, wanted is None):
                     if wanted is not None:
                         hit = in_bitmap(wanted.value, hashes)
                         texts, pos, hashes, first = texts[hit], pos[hit], hashes[hit], first[hit]

@@ -62,3 +62,23 @@ def test_items_of_numbers(spark):
     docs = [(i, f"{prose(i, 30)} {t} {prose(i + 50, 30)}") for i, t in items]
     docs += [(11, f"{prose(11, 30)} Continue the sequence 3 5 7 9 11 13 15 17 19 21 23 {prose(12, 30)}"), (12, "Compute 13 + 5 * 7 - 30 / 6 + 9")]
     assert run(spark, docs, items) == {(k, k): ("verbatim", 1.0) for k in (1, 2, 3)}
+
+
+def test_names_that_open_sentences(spark):
+    item = "Natalia sold 5 clips. Natalia gave 3 clips to friends. Natalia kept 2 clips. How many clips are left now?"
+    other = item.replace("Natalia", "Bertram").replace("5", "9")
+    different = "Bertram sold 5 clips. Corinna gave 3 clips to friends. Desmond kept 2 clips. How many clips are left now?"
+    short = "Natalia sold 5 clips today"
+    docs = [(1, f"{prose(1, 40)}. {other} {prose(2, 40)}"), (2, f"{prose(3, 40)} {other}"), (3, f"{prose(4, 40)}. {item}"), (4, f"{prose(5, 40)}. Bertram sold 7 clips today"), (5, f"{prose(6, 40)}. {different}")]
+    got = run(spark, docs, [(100, item), (101, short), (102, "Which colour is it")])
+    assert {k: v[0] for k, v in got.items()} == {(1, 100): "reparameterised", (2, 100): "reparameterised", (3, 100): "verbatim", (4, 101): "reparameterised"}
+    assert run(spark, [(1, "What colour is it")], [(102, "Which colour is it")]) == {}
+
+
+def test_other_and_inconsistent_names(spark):
+    before, after = prose(1, 50), prose(2, 50)
+    other = "Ann has 7 apples and gives 15 apples to Bob on the way to school. How many apples does Ann have after she walks 9 miles home?"
+    broken = "Ann has 3 apples and gives 1,200 apples to Ann on the way to school. How many apples does Bob have after he walks 5 km home?"
+    got = run(spark, [(4, f"{before}. {other} {after}"), (8, f"{before}\n{broken}")], [(100, ITEM)])
+    # Tom stands for Ann and Bob in document 8, but 5 of the item's 6 values for one each, which is CONSISTENT
+    assert {k: v[0] for k, v in got.items()} == {(4, 100): "reparameterised", (8, 100): "reparameterised"}
