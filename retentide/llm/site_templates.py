@@ -158,14 +158,15 @@ def _regions(root: Element) -> list[Element]:
     return out
 
 
-def template_candidates(page: str) -> list[int]:
-    """Hashes of the page's subtrees that may be template, each once."""
+def template_candidates(page: str) -> tuple[int, list[int]]:
+    """A hash of the page's text outside of what is dropped in any case, by which copies of a page are known,
+    and the hashes of its subtrees that may be template, each once."""
     root = parse(page)
     hashes: dict[int, int] = {}
     lengths: dict[int, tuple[int, int]] = {}
     _hashes(root, hashes, lengths)
     regions = {id(x) for x in _regions(root)}
-    found, queue = set(), [(root, False)]
+    found, texts, queue = set(), [], [(root, False)]
     while queue:
         node, inside = queue.pop()
         inside |= id(node) in regions
@@ -174,7 +175,8 @@ def template_candidates(page: str) -> list[int]:
             found.add(hashes[id(node)])
         if not (node.marked or node.tag in DROPPED):
             queue.extend((c, inside) for c in node.children if c.tag != "#text")
-    return sorted(found)
+            texts += [hashes[id(c)] for c in node.children if c.tag == "#text" and hashes[id(c)]]
+    return xxhash.xxh64_intdigest(np.array(texts, np.uint64).tobytes()), sorted(found)
 
 
 def main_text(page: str, template: set[int]) -> str:
@@ -226,7 +228,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
     joined by line feeds, empty blocks are left out. NULL or empty html gives empty text; pages without a
-    host are counted together; repeated rows each get a row and count as pages; other columns are ignored.
+    host are counted together; repeated rows each get a row; pages of the same text count as one page of
+    their host, whatever their urls; other columns are ignored.
     n_templates counts the page's subtrees that its host repeats."""
     spark = pages.sparkSession
     # rows have no key of their own: ids and urls may be NULL or come twice
@@ -235,14 +238,18 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.array(template_candidates(x), np.uint64).view(np.int64).tolist() for x in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "found"])
+            both = [template_candidates(x) for x in batch.column("html").to_pylist()]
+            content = np.array([c for c, _ in both], np.uint64).view(np.int64)
+            found = [np.array(x, np.uint64).view(np.int64).tolist() for _, x in both]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(content), pa.array(found, pa.list_(pa.int64()))], ["host", "page", "content", "found"])
 
     # a page without candidates counts for its host all the same
-    seen = checkpoint(keyed.mapInArrow(scan, "host string, page long, found array<long>"))
-    hosts = seen.groupBy("host").agg(F.count("*").alias("pages"))
+    seen = checkpoint(keyed.mapInArrow(scan, "host string, page long, content long, found array<long>"))
+    hosts = seen.groupBy("host").agg(F.countDistinct("content").alias("pages"))
+    # copies of a page have one vote
+    votes = seen.groupBy("host", "content").agg(F.min("found").alias("found")).select("host", F.explode("found").alias("subtree"))
     each = seen.select("host", "page", F.explode("found").alias("subtree"))
-    counted = each.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).join(hosts, "host")
+    counted = votes.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).join(hosts, "host")
     repeated = counted.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "subtree")
     # pages are told their template subtrees; only hashes are moved for that
     of_page = each.join(repeated, ["host", "subtree"]).groupBy("page").agg(F.collect_set("subtree").alias("template"))

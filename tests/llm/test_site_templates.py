@@ -64,3 +64,16 @@ def test_host(spark):
     urls = [("https://User@Example.COM:80/x?y", "example.com"), ("nothing", ""), (None, "")]
     assert [r[0] for r in spark.createDataFrame([(u,) for u, _ in urls], "u string").select(host_of(F.col("u"))).collect()] == [h for _, h in urls]
     assert parse("<p>").children[0].tag == "p"
+
+
+def test_copies_of_a_page_have_one_vote(spark):
+    boiler = "<div><span>Our great site</span></div>"
+    story = f"<script>t={{}}</script>{boiler}<div><p>A story</p><p>in two paragraphs</p></div>"
+    rows = [(i, f"http://a.example/{i}", story.format(i)) for i in range(6)]
+    rows += [(100 + i, f"http://a.example/other{i}", f"{boiler}<div><p>Story number {i}</p></div>") for i in range(10)]
+    # a host of nothing but copies has no template
+    rows += [(200, "http://b.example/", story)] * 5
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert {got[i] for i in range(6)} == {"A story\nin two paragraphs"}
+    assert got[103] == "Story number 3"
+    assert got[200] == "Our great site\nA story\nin two paragraphs"
