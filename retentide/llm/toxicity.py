@@ -5,8 +5,11 @@ mean of a token is its share of the whole corpus, moved by the rates of tokens w
 and length. Scores are shifted so that clean text drifts down. One linear scan (Ruzzo and Tompa)
 finds all maximal scoring segments of a document. Their scores follow an extreme-value law in
 clean text, with lambda and K fitted there, so a segment of score S in n tokens has the e-value
-K * n * exp(-lambda * S). A document's evidence is the sum of -ln(e-value) over its segments that
-chance doesn't explain, brought to a probability by a logistic fit.
+K * n * exp(-lambda * S). All significant ones are passages, however often their words come.
+
+A document's evidence is the sum of -ln(e-value) over the segments of its damped scores that chance
+doesn't explain, brought to a probability by a logistic fit. Repeats of a token are damped there, its
+times in strong segments being the first ones; the damped scores have a lambda and K of their own.
 """
 
 from __future__ import annotations
@@ -35,8 +38,10 @@ SIGNIFICANT = 0.05
 class ToxicityModel:
     counts: np.ndarray  # (corpus, clean, toxic) by bucket of the token
     heads: np.ndarray  # the same by bucket of head and length
-    decay: float  # lambda of the extreme-value law
+    decay: float  # lambda of the extreme-value law of damped scores, that evidence is measured by
     space: float  # its K
+    passage_decay: float  # lambda and K of scores as they are, that passages are found by
+    passage_space: float
     intercept: float
     slope: float
 
@@ -56,19 +61,19 @@ class ToxicityModel:
             sides.append((count + strength * share * rate) / (n + strength))
         return np.maximum(np.log(sides[1] / sides[0]) - DRIFT, LOWEST)
 
-    def text_scores(self, tokens: np.ndarray, heads: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Scores of the words of several texts, as segments are made of."""
-        return damped(self.scores(tokens, heads), tokens, bounds)
-
 
-def damped(scores: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The k-th time that a token speaks for toxicity in a text, it counts by 1 / k**2: repeats tell little."""
+def damped(scores: np.ndarray, tokens: np.ndarray, found: list[tuple[int, int, float]]) -> np.ndarray:
+    """Scores of a text for its evidence: the k-th time that a token speaks for toxicity, it counts by
+    1 / k**2, as repeats tell little. Times are told from the strongest of the segments `found` to the weakest,
+    so mentions elsewhere take nothing from a passage."""
     at = np.flatnonzero(scores > 0)
     if not len(at):
         return scores
-    key = (np.searchsorted(bounds, at, side="right") << BUCKET_BITS) | tokens[at]
-    order = np.argsort(key, kind="stable")
-    new = np.flatnonzero(np.diff(key[order], prepend=-1))
+    strength = np.zeros(len(scores))
+    for first, end, score in found:
+        strength[first:end] = score
+    order = np.lexsort((at, -strength[at], tokens[at]))
+    new = np.flatnonzero(np.diff(tokens[at][order], prepend=-1))
     times = np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at)))) + 1
     scores = scores.copy()
     scores[at[order]] /= times.astype(float) ** 2
@@ -161,6 +166,17 @@ def _decay(scores: np.ndarray, weights: np.ndarray) -> float:
     return low
 
 
+def _extreme_value(scores, times, found, n: int) -> tuple[float, float]:
+    """lambda and K from clean texts: histograms of their scores, their segments' scores and n tokens in all."""
+    scores, times = np.concatenate(scores.to_list()), np.concatenate(times.to_list())
+    decay = _decay(scores, times / times.sum())
+    found = np.sort(np.concatenate(found.to_list()))
+    high = found[int(0.9 * len(found)) :] if len(found) else np.zeros(1)
+    # of n tokens, K * n * exp(-lambda * x) segments reach x: the median over the upper tenth of the segments
+    space = float(np.median(np.arange(len(high), 0, -1) * np.exp(np.minimum(decay * high, 500.0)) / max(n, 1)))
+    return decay, max(space, 1e-9)
+
+
 def _evidence(found: list[float], n: int, decay: float, space: float) -> float:
     return float(np.maximum(decay * np.array(found) - np.log(space * max(n, 1)), 0).sum()) if found else 0.0
 
@@ -181,7 +197,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
     Without a label of either class every document gets the share of toxic labels, or 0."""
     sample = labelled_sample(labels, "toxic", 4, 2, rows).cache()
     counts, heads = _count(docs, sample)
-    model = ToxicityModel(counts, heads, 1.0, 1.0, 0.0, 0.0)
+    model = ToxicityModel(counts, heads, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,37 +207,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
                 tokens, ends, bounds = _tokens(data, at)
                 labels = batch.column("label").slice(first, last - first).to_pylist()
                 cut = [slice(bounds[k], bounds[k + 1]) for k in range(last - first)]
-                own = [damped(model.scores(tokens[c], ends[c], label), tokens[c], np.zeros(1, np.int64)) for c, label in zip(cut, labels, strict=True)]
-                histogram = [np.unique(np.round(x, 1), return_counts=True) for x in own]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(labels, pa.int32()),
-                        pa.array(np.diff(bounds)),
-                        pa.array([[s for _, _, s in segments(x)] for x in own], pa.list_(pa.float64())),
+                plain = [model.scores(tokens[c], ends[c], label) for c, label in zip(cut, labels, strict=True)]
+                passages = [segments(x) for x in plain]
+                own = [damped(x, tokens[c], p) for x, c, p in zip(plain, cut, passages, strict=True)]
+                columns = [pa.array(labels, pa.int32()), pa.array(np.diff(bounds))]
+                for rows, found in ((plain, passages), (own, [segments(x) for x in own])):
+                    histogram = [np.unique(np.round(x, 1), return_counts=True) for x in rows]
+                    columns += [
+                        pa.array([[s for _, _, s in x] for x in found], pa.list_(pa.float64())),
                         pa.array([h[0] for h in histogram], pa.list_(pa.float64())),
                         pa.array([h[1] for h in histogram], pa.list_(pa.int64())),
-                    ],
-                    ["label", "n", "found", "score", "times"],
-                )
+                    ]
+                yield pa.RecordBatch.from_arrays(columns, ["label", "n", *(f"{kind}{c}" for kind in ("passage_", "") for c in ("found", "score", "times"))])
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text")).join(F.broadcast(sample), "doc_id").select("label", "text")
-    seen = rows_in.mapInArrow(scan, "label int, n long, found array<double>, score array<double>, times array<long>").toPandas()
+    seen = rows_in.mapInArrow(scan, "label int, n long, " + ", ".join(f"{kind}found array<double>, {kind}score array<double>, {kind}times array<long>" for kind in ("passage_", ""))).toPandas()
     sample.unpersist()
     toxic = seen["label"].to_numpy() == 1
     if not toxic.any() or toxic.all():
         share = float(toxic.mean()) if len(toxic) else 0.0
-        return ToxicityModel(counts, heads, 1.0, 1e12, 40.0 if share else -40.0, 0.0)
+        return ToxicityModel(counts, heads, 1.0, 1e12, 1.0, 1e12, 40.0 if share else -40.0, 0.0)
     clean = seen[~toxic]
-    scores, times = np.concatenate(clean["score"].to_list()), np.concatenate(clean["times"].to_list())
-    decay = _decay(scores, times / times.sum())
-    found = np.sort(np.concatenate(clean["found"].to_list()))
-    high = found[int(0.9 * len(found)) :] if len(found) else np.zeros(1)
-    # of n tokens, K * n * exp(-lambda * x) segments reach x: the median over the upper tenth of the segments
-    space = float(np.median(np.arange(len(high), 0, -1) * np.exp(np.minimum(decay * high, 500.0)) / max(int(clean["n"].sum()), 1)))
-    space = max(space, 1e-9)
+    decay, space = _extreme_value(clean["score"], clean["times"], clean["found"], int(clean["n"].sum()))
+    passage_law = _extreme_value(clean["passage_score"], clean["passage_times"], clean["passage_found"], int(clean["n"].sum()))
     evidence = np.array([_evidence(list(f), n, decay, space) for f, n in zip(seen["found"], seen["n"], strict=True)])
     intercept, slope = _logistic(np.log1p(evidence), toxic.astype(float))
-    return ToxicityModel(counts, heads, decay, space, intercept, slope)
+    return ToxicityModel(counts, heads, decay, space, *passage_law, intercept, slope)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -239,13 +250,14 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             for first, last, data, at in slices(batch.column("text")):
                 w = words(data, at, WORDS, letters_inside(data))
                 tokens, heads, bounds = _tokens(data, at)
-                scores = model.text_scores(tokens, heads, bounds)
+                scores = model.scores(tokens, heads)
                 passages, out = [], np.zeros(last - first)
                 for k in range(last - first):
                     lo, n = bounds[k], int(bounds[k + 1] - bounds[k])
-                    found = segments(scores[lo : lo + n])
-                    out[k] = _evidence([s for _, _, s in found], n, model.decay, model.space)
-                    values = [(a, b, s, model.space * n * float(np.exp(-model.decay * s))) for a, b, s in found]
+                    mine = scores[lo : lo + n]
+                    found = segments(mine)
+                    out[k] = _evidence([s for _, _, s in segments(damped(mine, tokens[lo : lo + n], found))], n, model.decay, model.space)
+                    values = [(a, b, s, model.passage_space * n * float(np.exp(-model.passage_decay * s))) for a, b, s in found]
                     passages.append([(int(w.starts[lo + a] - at[k]), int(w.ends[lo + b - 1] - at[k]), s, e) for a, b, s, e in values if e <= SIGNIFICANT])
                 score = 1 / (1 + np.exp(-(model.intercept + model.slope * np.log1p(out))))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), pa.array(score), pa.array(passages, kind)], ["doc_id", "score", "passages"])

@@ -73,3 +73,26 @@ def test_edge_cases(spark):
     assert toxicity.score_toxicity(docs.limit(0), model).collect() == []
     nothing = toxicity.fit_toxicity(docs, labels.limit(0))
     assert {round(r["score"]) for r in toxicity.score_toxicity(docs, nothing).collect()} == {0}
+
+
+def test_passages_that_share_words_in_a_long_text(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    clean = [w for i, t, y in rows if not y for w in t.split()]
+    bad = "grubble snorkface dimwort clodpole"
+    filler = lambda k: " ".join(clean[k * 200 : k * 200 + 200])
+    several = " ".join(f"{filler(k)} {bad}" for k in range(6)) + f" {filler(6)}"
+    # lone mentions first, far apart, then a passage
+    lone = " ".join(f"{filler(k)} {w}" for k, w in enumerate(bad.split() * 2))
+    late, early = f"{lone} {filler(8)} {bad} {filler(9)}", f"{filler(8)} {bad} {filler(9)} {lone}"
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(spark.createDataFrame([(1, several), (2, late), (3, early)], "doc_id long, text string"), model).collect()}
+    assert sum(bad in several[p["first"] : p["last"]] for p in got[1]["passages"]) == 6
+    assert any(bad in late[p["first"] : p["last"]] for p in got[2]["passages"])
+    assert abs(got[2]["score"] - got[3]["score"]) < 0.05 and got[2]["score"] > 0.5
+
+
+def test_repeats_are_damped_from_the_strongest_segment_on():
+    scores, tokens = np.array([2.0, -9.0, 2.0, 3.0]), np.array([5, 6, 5, 7])
+    assert toxicity.damped(scores, tokens, toxicity.segments(scores)).tolist() == [0.5, -9.0, 2.0, 3.0]
