@@ -87,24 +87,30 @@ def _sets_in(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.nd
         yield first, last, values, bounds, set_names(values, bounds)
 
 
+def row_key() -> F.Column:
+    """A key of the rows of documents, also of those whose doc_id is NULL or comes with several texts."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def describe_sets(docs: DataFrame, size: int) -> DataFrame:
-    """A row (doc_id, n, node) for each document, and rows (shingle, n) for shingles that a task has seen often."""
+    """A row (doc_id, key, n, node) for each document, and rows (shingle, n) for shingles that a task has seen often."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[np.ndarray] = []
         room = LOCAL_WINDOW
+        columns = ["doc_id", "key", "n", "node", "shingle"]
 
         def frequent() -> pa.RecordBatch:
             found, counts = np.unique(np.concatenate(pending), return_counts=True)
             found, counts = found[counts >= LOCALLY_FREQUENT], counts[counts >= LOCALLY_FREQUENT]
             none = pa.nulls(len(found), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(counts, pa.int64()), none, pa.array(_signed(found))], ["doc_id", "n", "node", "shingle"])
+            return pa.RecordBatch.from_arrays([none, none, pa.array(counts, pa.int64()), none, pa.array(_signed(found))], columns)
 
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("key")
             for first, last, values, bounds, names in _sets_in(batch, size):
                 n = last - first
-                yield pa.RecordBatch.from_arrays([ids.slice(first, n), pa.array(np.diff(bounds), pa.int64()), pa.array(_signed(names)), pa.nulls(n, pa.int64())], ["doc_id", "n", "node", "shingle"])
+                yield pa.RecordBatch.from_arrays([ids.slice(first, n), keys.slice(first, n), pa.array(np.diff(bounds), pa.int64()), pa.array(_signed(names)), pa.nulls(n, pa.int64())], columns)
                 pending.append(values)
                 room -= len(values)
                 if room <= 0:
@@ -113,7 +119,7 @@ def describe_sets(docs: DataFrame, size: int) -> DataFrame:
         if pending:
             yield frequent()
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n long, node long, shingle long")
+    return docs.select("doc_id", "text", row_key().alias("key")).mapInArrow(scan, "doc_id long, key long, n long, node long, shingle long")
 
 
 def _ordered(values: np.ndarray, bounds: np.ndarray, known: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -226,27 +232,29 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(scan, "shingle long, n int, node long, pos int, block int, leader long, second long, turns int")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in `ids`; a bitmap of them keeps the other texts from being shuffled."""
-    wanted = bitmap(docs.sparkSession, ids, F.xxhash64("doc_id"), BITMAP_BITS)
+def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of the documents in `keys`; a bitmap of them keeps the other texts from being shuffled."""
+    wanted = bitmap(docs.sparkSession, keys, F.col("key"), BITMAP_BITS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chosen = in_bitmap(wanted.value, batch.column("key").to_numpy().view(np.uint64))
-            yield batch.select(["doc_id", "text"]).filter(pa.array(chosen))
+            yield batch.filter(pa.array(chosen))
 
-    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(scan, "doc_id long, text string")
+    of = lambda rows: rows.select(row_key().alias("key"), "text").mapInArrow(scan, "key long, text string")
+    # without an id, all rows of a text have one key
+    return of(docs.where("doc_id IS NOT NULL")).union(of(docs.where("doc_id IS NULL")).distinct())
 
 
 def overlaps(docs: DataFrame, pairs: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     """pairs (a, b) of nodes with their sizes and overlap: (a, b, n_a, n_b, shared).
 
-    Texts are shuffled, not sets: they compress better. A text that has the id of a node's document but
-    another set, as repeated ids can, is told by the set's name."""
+    Texts are shuffled, not sets: they compress better. A text that has the key of a node's document but
+    another set, as equal hashes can, is told by the set's name."""
     for side in "ab":
-        pairs = pairs.join(documents.select(F.col("node").alias(side), F.col("doc_id").alias("doc_" + side)), side)
+        pairs = pairs.join(documents.select(F.col("node").alias(side), F.col("key").alias("key_" + side)), side)
     pairs = checkpoint(pairs)
-    texts = _texts_of(docs, pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")))
+    texts = _texts_of(docs, pairs.select(F.explode(F.array("key_a", "key_b")).alias("key")))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -271,7 +279,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, documents: DataFrame, size: int)
                 yield pa.RecordBatch.from_arrays([*kept.columns, *map(pa.array, out)], ["a", "b", "n_a", "n_b", "shared"])
 
     # the side with a hot leader is joined first, while rows are small
-    joined = pairs.join(texts.toDF("doc_b", "text_b"), "doc_b").join(texts.toDF("doc_a", "text_a"), "doc_a")
+    joined = pairs.join(texts.toDF("key_b", "text_b"), "key_b").join(texts.toDF("key_a", "text_a"), "key_a")
     return checkpoint(joined.select("a", "b", "text_a", "text_b").mapInArrow(scan, "a long, b long, n_a long, n_b long, shared long").distinct())
 
 
@@ -318,8 +326,8 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     described = checkpoint(describe_sets(docs, size))
-    members = described.where("shingle IS NULL").select("doc_id", "n", "node")
-    documents = members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    members = described.where("shingle IS NULL").select("doc_id", "key", "n", "node")
+    documents = members.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
     counted = described.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     known = counted["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(known)

@@ -91,3 +91,25 @@ def test_components_of_a_long_chain(spark):
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 200: 100}
     assert connected_components(edges.where("a < 0")).collect() == []
+
+
+def test_null_ids_link_others(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = lambda a, b: 100 * len(shingles(a) & shingles(b)) >= 80 * len(shingles(a) | shingles(b))
+    first, bridge, last = " ".join(base), " ".join(base[7:] + ["y"]), " ".join(base[14:] + ["y"])
+    assert near(first, bridge) and near(bridge, last) and not near(first, last)
+    rows = [(7, first), (None, bridge), (None, bridge), (3, last)]
+    got = similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    # brute force with ids beyond the others in place of NULL
+    expected = brute([(1000 if i is None else i, t) for i, t in rows])
+    assert sorted((1000 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == expected
+    assert {r["component_id"] for r in got} == {3}
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_null_ids_equal_brute_force(spark, seed):
+    rows = [(None if i % 2 else i, t) for i, t in corpus(seed, 15, 12)]
+    got = similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    expected = brute([(10**9 if i is None else i, t) for i, t in rows])
+    fill = lambda x: 10**9 if x is None else x
+    assert sorted((fill(r["doc_id"]), r["n_shingles"], fill(r["component_id"])) for r in got) == expected
