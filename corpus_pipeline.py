@@ -3,12 +3,13 @@
 Each stage takes what its predecessor kept; all but the last return the columns of documents.
 
 1. language_id: a document goes if no text is left to tell a language by, or if no language has a good part of it (LEAST_SHARE).
-2. ngram_jaccard: of each group of near copies the document of the least doc_id stays.
+2. ngram_jaccard: of each group of near copies the document of the least doc_id stays, one text if it has several.
 3. decontamination: documents that hold a benchmark item go.
 4. secret_scan: secrets are replaced in the text; every document stays.
 5. mixing: documents get rates that bring quality and toxicity to target weights; those of rate 0 go.
 
-Rows of a NULL doc_id can't be told from one another and stay in stages 2 and 3.
+Stages 2 and 3 tell rows by doc_id and text, as an id can come with several texts. Rows of a NULL doc_id
+can't be told from one another and stay there.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from retentide.llm import decontaminate, language_id, ngram_jaccard, secret_forest, soft_mixing
 from retentide.llm.queries import TARGETS
+from retentide.llm.spark_util import checkpoint
 
 LEAST_SHARE = 0.3
 
@@ -31,17 +33,28 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """`docs` without the rows whose key (and doc_id, if given) is in `gone`."""
+    return docs.withColumn("key", ngram_jaccard.row_key()).join(gone, gone.columns, "left_anti").select(*docs.columns)
+
+
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_jaccard.similar_components(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    groups = checkpoint(ngram_jaccard.similar_components(docs, keyed=True).where("doc_id IS NOT NULL AND n_shingles > 0"))
+    # an id can come with several texts: of those that name a component, one stays
+    named = groups.where("doc_id = component_id")
+    several = named.groupBy("component").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last").select("component", "first")
+    gone = groups.where("doc_id <> component_id").select("doc_id", "key").union(named.join(several, "component").where("key <> first").select("doc_id", "key"))
+    kept = _without(docs, gone.distinct())
     # a row that is there twice is a group, too
     return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # each text is judged by itself, also where an id comes with several
+    rows = docs.where("doc_id IS NOT NULL").select(ngram_jaccard.row_key().alias("doc_id"), "text")
+    found = decontaminate.find_contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = found.select(F.col("doc_id").alias("key")).distinct()
+    return _without(docs.where("doc_id IS NOT NULL"), gone).unionByName(docs.where("doc_id IS NULL"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

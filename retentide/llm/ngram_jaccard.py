@@ -314,7 +314,7 @@ def cross_pairs(lists: DataFrame, component: DataFrame, percent: int) -> DataFra
     return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("first").alias("first")).where("times >= first").select("a", "b")
 
 
-def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of `docs` (doc_id, text, ...).
 
     Words are runs without ASCII white space, A-Z as a-z. A set holds the distinct windows of `size`
@@ -322,7 +322,8 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     with nothing. Two documents link when 100 * intersection >= percent * union. component_id is the
     least doc_id that links reach, the row's own included. Repeated rows each get a row and link with one
     another; a NULL doc_id takes part and never names a component, unless the component has no other.
-    An empty table gives no rows; other columns are ignored."""
+    An empty table gives no rows; other columns are ignored. With `keyed`, rows also have their row_key as
+    `key` and `component`, which tells apart components that a repeated id names alike."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     described = checkpoint(describe_sets(docs, size))
@@ -382,5 +383,5 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rows = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     name = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("name"))
     return rows.join(name, "component", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"), *(["key", "component"] if keyed else [])
     )
