@@ -80,5 +80,5 @@ def test_other_and_inconsistent_names(spark):
     other = "Ann has 7 apples and gives 15 apples to Bob on the way to school. How many apples does Ann have after she walks 9 miles home?"
     broken = "Ann has 3 apples and gives 1,200 apples to Ann on the way to school. How many apples does Bob have after he walks 5 km home?"
     got = run(spark, [(4, f"{before}. {other} {after}"), (8, f"{before}\n{broken}")], [(100, ITEM)])
-    # Tom stands for Ann and Bob in document 8, but 5 of the item's 6 values for one each, which is CONSISTENT
+    # document 8 has the whole template and the item's numbers; its names alone don't make it chance
     assert {k: v[0] for k, v in got.items()} == {(4, 100): "reparameterised", (8, 100): "reparameterised"}
