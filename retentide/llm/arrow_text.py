@@ -73,6 +73,8 @@ def _letters() -> np.ndarray:
 
 #: Runs without ASCII white space, A-Z as a-z.
 TOKENS = _alphabet(_not_blank())
+#: The same, letters as they are.
+EXACT = _alphabet(_not_blank(), fold=False)
 #: Runs of letters and digits; every byte of a character beyond ASCII counts as a letter.
 WORDS = _alphabet(_letters())
 

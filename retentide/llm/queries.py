@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentide.llm import byte_cnn, decontaminate, language_id, ngram_jaccard, posting_ann, revisits, secret_forest, site_templates, soft_mixing, toxicity
+from retentide.llm import byte_cnn, conversation_repair, decontaminate, fertility, hard_negatives, language_id, ngram_jaccard, posting_ann, revisits, secret_forest, site_templates, soft_mixing, toxicity
 from retentide.llm.sampling import split_part
 
 #: Weights of the domains that labels give, by tokens.
@@ -73,6 +73,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op12_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.apply_rules(_table(spark, sf_dir, "documents"), language=F.col("lang")).drop("outside")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS bigint) + 1) % 10 ELSE label END")
+    return hard_negatives.mine_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_cnn,
         op9_soft_mixing,
         op10_ngram_jaccard,
+        op11_conversation_repair,
+        op12_tokeniser_fertility,
+        op13_hard_negatives,
     )
 }
 
