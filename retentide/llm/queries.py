@@ -149,4 +149,93 @@ SELECT record_id, url, url_key, ts, verdict, refers_to, response_ts,
 FROM judged
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_revisits": _OP5}
+# The rows in order, then one step a row over the four states: (cost, audit, repaired text) compares by cost and audit.
+_OP11 = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS BIGINT))),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 20 AS kind
+  FROM keyed
+), copied AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE kind <> 0
+), placed AS (
+  SELECT conv_id AS conv, turn, role, text, substr(role, 1, 1) AS i,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS k
+  FROM copied
+), faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 THEN 'duplicate'
+                 WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(i) OVER (PARTITION BY conv ORDER BY k) || i AS pair
+  FROM placed
+), faults AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM faulty
+), steps AS (
+  SELECT conv_id AS conv, 0 AS k, {'c': 0, 'a': '', 'r': ''} AS s0, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, r VARCHAR)) AS s1,
+         {'c': 5, 'a': 'I', 'r': 'user:'} AS s2, {'c': 10, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'} AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv, k, t0, t1, u2, u3
+  FROM (
+    SELECT *, list_min([u2_, CASE WHEN u3 IS NOT NULL THEN {'c': u3.c + 5, 'a': u3.a || 'I', 'r': u3.r || chr(10) || 'user:'} END]) AS u2
+    FROM (
+      SELECT *, list_min([t3, CASE WHEN u2_ IS NOT NULL THEN {'c': u2_.c + 5, 'a': u2_.a || 'I', 'r': u2_.r || chr(10) || 'assistant:'} END]) AS u3
+      FROM (
+        SELECT *, list_min([t2, CASE WHEN t0 IS NOT NULL THEN {'c': t0.c + 5, 'a': t0.a || 'I', 'r': 'user:'} END,
+                                CASE WHEN t1 IS NOT NULL THEN {'c': t1.c + 5, 'a': t1.a || 'I', 'r': t1.r || chr(10) || 'user:'} END]) AS u2_
+        FROM (
+          SELECT s.conv, f.k,
+                 {'c': s0.c + 2, 'a': s0.a || 'D', 'r': s0.r} AS t0,
+                 list_min([CASE WHEN s1 IS NOT NULL THEN {'c': s1.c + 2, 'a': s1.a || 'D', 'r': s1.r} END,
+                           CASE WHEN NOT gone AND i = 's' THEN {'c': s0.c + extra, 'a': s0.a || 'K', 'r': role || ':' || text} END]) AS t1,
+                 list_min([CASE WHEN s2 IS NOT NULL THEN {'c': s2.c + 2, 'a': s2.a || 'D', 'r': s2.r} END,
+                           CASE WHEN NOT gone THEN {'c': s0.c + extra + CASE WHEN i = 'u' THEN 0 ELSE 1 END, 'a': s0.a || CASE WHEN i = 'u' THEN 'K' ELSE 'R' END, 'r': CASE WHEN i = 'u' THEN role ELSE 'user' END || ':' || text} END,
+                           CASE WHEN NOT gone AND s1 IS NOT NULL THEN {'c': s1.c + extra + CASE WHEN i = 'u' THEN 0 ELSE 1 END, 'a': s1.a || CASE WHEN i = 'u' THEN 'K' ELSE 'R' END, 'r': s1.r || chr(10) || CASE WHEN i = 'u' THEN role ELSE 'user' END || ':' || text} END,
+                           CASE WHEN NOT gone AND s3 IS NOT NULL THEN {'c': s3.c + extra + CASE WHEN i = 'u' THEN 0 ELSE 1 END, 'a': s3.a || CASE WHEN i = 'u' THEN 'K' ELSE 'R' END, 'r': s3.r || chr(10) || CASE WHEN i = 'u' THEN role ELSE 'user' END || ':' || text} END]) AS t2,
+                 list_min([CASE WHEN s3 IS NOT NULL THEN {'c': s3.c + 2, 'a': s3.a || 'D', 'r': s3.r} END,
+                           CASE WHEN NOT gone AND s2 IS NOT NULL THEN {'c': s2.c + extra + CASE WHEN i = 'a' THEN 0 ELSE 1 END, 'a': s2.a || CASE WHEN i = 'a' THEN 'K' ELSE 'R' END, 'r': s2.r || chr(10) || CASE WHEN i = 'a' THEN role ELSE 'assistant' END || ':' || text} END]) AS t3
+          FROM steps s JOIN faults f ON f.conv IS NOT DISTINCT FROM s.conv AND f.k = s.k + 1
+        )
+      )
+    )
+  )
+), counted AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv
+)
+SELECT s.conv AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(list_min([s0, s3]).c AS BIGINT) AS cost, list_min([s0, s3]).a AS audit, sha256(list_min([s0, s3]).r) AS repaired_sha256
+FROM steps s LEFT JOIN counted c ON c.conv IS NOT DISTINCT FROM s.conv
+WHERE s.k = coalesce(c.n, 0)
+"""
+
+_OP13 = """
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_revisits": _OP5, "op11_conversation_repair": _OP11, "op13_hard_negatives": _OP13}
