@@ -55,8 +55,9 @@ class Measure:
     levels: tuple[tuple[str, ...], ...]  # the rows that share a band; the first with enough documents counts
 
 
-#: Entropy grows with the length of a text, so its bands are per class of length, too.
-LEVELS = (("group",), (), ("group", "length"), ("length",))
+#: A language of few documents is judged by its script. Entropy grows with the length of a text, so its bands
+#: are per class of length, too.
+LEVELS = (("group",), ("script",), ("group", "length"), ("script", "length"))
 MEASURES = (
     Measure("chars_per_piece", 0.2, True, True, LEVELS[:2]),
     Measure("chars_per_byte_token", 0.2, True, True, LEVELS[:2]),

@@ -94,7 +94,7 @@ def test_bands_are_per_language(spark, make_docs, monkeypatch):
     docs = docs.union(make_docs([(200, coded())])).union(make_docs([(201, prose(draw, 100))], lang="rare"))
     kept = {r.doc_id: r.kept for r in fertility.apply_rules(docs, language=F.col("lang")).collect()}
     assert all(kept[k] for k in range(200)) and not kept[200]
-    assert kept[201]  # a language of too few documents is judged by all documents of its length
+    assert kept[201]  # a language of too few documents is judged by its script
 
 
 def test_odd_rows(spark):
