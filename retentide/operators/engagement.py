@@ -36,6 +36,11 @@ def engagement_depth(daily: DataFrame, period: str = "day") -> DataFrame:
         F.count_if(F.col("cnt_miles_earned") > 0).alias("earners"),
         F.count_if(F.col("cnt_miles_redeemed") > 0).alias("redeemers"),
     )
+    return with_ratios(totals)
+
+
+def with_ratios(totals: DataFrame) -> DataFrame:
+    """Totals of a period with what they make per user."""
     return totals.select(
         "*",
         F.try_divide("total_events", "active_users").alias("events_per_user"),

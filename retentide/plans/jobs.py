@@ -12,12 +12,13 @@ from dataclasses import dataclass, fields
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retentide import schemas
-from retentide.functions.calendar import PERIODS, period_start
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, states
+from retentide.functions.calendar import PERIODS, period_from_index, period_index, period_start
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, rolling, snapshot, states
 from retentide.session import require_utc
 from retentide.sources import raw_events, tables
 
@@ -28,6 +29,11 @@ SESSION_PERIOD = "week"
 REPORTED_ONLY = ("table_not_empty", "source_not_empty")
 
 
+def _beside(table: str, name: str) -> str:
+    """Another table of the same database."""
+    return f"{table.rpartition('.')[0]}.{name}"
+
+
 @dataclass(frozen=True)
 class TableNames:
     events: str = "bronze.events"
@@ -43,6 +49,28 @@ class TableNames:
     engagement: str = "gold.dws_engagement_depth"
     active_users: str = "gold.dws_active_users"
 
+    # What the batch itself keeps, beside the tables of its contract.
+
+    @property
+    def ledger(self) -> str:
+        return _beside(self.events, "load_ledger")
+
+    @property
+    def snapshot(self) -> str:
+        return _beside(self.activity, "dwm_user_snapshot")
+
+    @property
+    def numbers(self) -> str:
+        return _beside(self.activity, "dwm_user_numbers")
+
+    @property
+    def active_bitmaps(self) -> str:
+        return _beside(self.activity, "dwm_active_bitmaps")
+
+    @property
+    def rolling(self) -> str:
+        return _beside(self.growth, "dws_rolling_active_users")
+
     @classmethod
     def prefixed(cls, prefix: str) -> TableNames:
         """The same tables in databases of their own."""
@@ -75,11 +103,58 @@ def create_tables(
     tables.create_day_table(spark, names.balance, schemas.USER_MILES_BALANCE, "event_date")
     tables.create_day_table(spark, names.sources, schemas.ACTIVE_BY_SOURCE, "event_date")
     tables.create_day_table(spark, names.sessions, schemas.SESSION_FREQUENCY, "period_start")
+    tables.create_day_table(spark, names.snapshot, schemas.USER_SNAPSHOT, "event_date")
+    tables.create_day_table(spark, names.numbers, schemas.USER_NUMBERS, "event_date")
+    tables.create_day_table(spark, names.active_bitmaps, schemas.ACTIVE_BITMAPS, "event_date")
     # Serving tables of a few rows a day: a partition for each period or offset, not for each day.
+    tables.create_table(spark, names.rolling, schemas.ROLLING_USERS, "window_days")
     tables.create_table(spark, names.growth, schemas.GROWTH_ACCOUNTING, "period")
     tables.create_table(spark, names.engagement, schemas.ENGAGEMENT_DEPTH, "period")
     tables.create_table(spark, names.active_users, schemas.ACTIVE_USERS, "period")
     tables.create_table(spark, names.cohorts, schemas.COHORT_RETENTION, "day_offset")
+    if tables.create_day_table(spark, names.ledger, schemas.LOAD_LEDGER, "event_date"):
+        # tables that were written before there was a ledger
+        old = tables.partition_days(spark, names.bitmaps)
+        if old and not built_days(spark, names):
+            _record(spark, old[0], old[-1], names)
+
+
+# The ledger of loaded days
+
+
+def built_days(spark: SparkSession, names: TableNames = TableNames()) -> list[date]:
+    """The days whose load is complete up to the bitmaps, those without events included."""
+    return tables.partition_days(spark, names.ledger)
+
+
+def fingerprint() -> Column:
+    """An order-free fingerprint of the rows of a group: the sum of their hashes."""
+    columns = schemas.EVENTS.fieldNames()
+    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
+
+
+def ledger_rows(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> DataFrame:
+    """What the ledger has to say of some days: rows of bronze and of the cleaned events, and the fingerprint
+    of bronze; a row for each day."""
+    calendar = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("event_date"))
+    events = _days(spark, names.events, first, last).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events"), fingerprint().alias("fingerprint"))
+    clean = _days(spark, names.clean, first, last).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_clean"))
+    found = calendar.join(events, "event_date", "left").join(clean, "event_date", "left")
+    return found.fillna(0, ["n_events", "n_clean"]).fillna("0", ["fingerprint"])
+
+
+def _record(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
+    """Enter days into the ledger; written last, so that a day of a broken load doesn't count as built."""
+    tables.replace_days(ledger_rows(spark, first, last, names), names.ledger, first, last)
+
+
+def _forget(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
+    """Take days out of the ledger before their events change, until they are built again."""
+    if tables.table_missing(spark, names.ledger):
+        return
+    for day in built_days(spark, names):
+        if first <= day <= last:
+            tables.drop_day(spark, names.ledger, day)
 
 
 def read_raw(spark: SparkSession, raw_path: str, first: date, last: date | None = None) -> DataFrame:
@@ -90,6 +165,7 @@ def load_bronze(
     spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames()
 ) -> int:
     """Replace one day of bronze events from the raw log; returns the number of rows."""
+    _forget(spark, day, day, names)
     raw = read_raw(spark, raw_path, day)
     events = raw_events.with_event_date(raw_events.day_slice(raw, day))
     return tables.replace_day(events, names.events, day)
@@ -99,6 +175,7 @@ def load_bronze_days(
     spark: SparkSession, raw_path: str, first: date, last: date, names: TableNames = TableNames()
 ) -> None:
     """Replace many days of bronze events in one pass over the raw log."""
+    _forget(spark, first, last, names)
     raw = raw_events.day_slice(read_raw(spark, raw_path, first, last), first, last)
     tables.replace_days(raw_events.with_event_date(raw), names.events, first, last)
 
@@ -124,29 +201,38 @@ def step_bitmaps(
     would turn every user into a new one. Later days are built on this one, so they have to
     be rebuilt with :func:`rebuild_bitmaps` when it changes.
     """
-    built = tables.partition_days(spark, names.bitmaps)
+    built = built_days(spark, names)
     before = day - timedelta(days=1)
     if before not in built and any(d < day for d in built):
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     prev = tables.day_partition(spark, names.bitmaps, before)
     events = tables.day_partition(spark, names.clean, day)
     in_buckets = (
-        key == "device" and before in built and tables.buckets_of(spark, names.bitmaps) is not None
+        key == "device"
+        and before in tables.partition_days(spark, names.bitmaps)
+        and tables.buckets_of(spark, names.bitmaps) is not None
     )
-    return tables.replace_day(
+    n = tables.replace_day(
         bitmaps.carry_forward(prev, events, day, key), names.bitmaps, day, laid_out=in_buckets
     )
+    _record(spark, day, day, names)
+    return n
 
 
 def rebuild_bitmaps(
-    spark: SparkSession, from_day: date, as_of: date, names: TableNames = TableNames()
+    spark: SparkSession,
+    from_day: date,
+    as_of: date,
+    names: TableNames = TableNames(),
+    loaded_to: date | None = None,
 ) -> None:
     """Rebuild the login bitmaps of all days from ``from_day`` to ``as_of`` at once.
 
-    Reads the bitmaps of the day before ``from_day`` and the events since, nothing older.
+    Reads the bitmaps of the day before ``from_day`` and the events since, nothing older. The days up to
+    ``loaded_to``, or all of them, are entered in the ledger.
     """
     before = from_day - timedelta(days=1)
-    built = tables.partition_days(spark, names.bitmaps)
+    built = built_days(spark, names)
     if before not in built and any(d < from_day for d in built):
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     buckets = tables.buckets_of(spark, names.bitmaps)
@@ -157,6 +243,7 @@ def rebuild_bitmaps(
     tasks = max(1, -(-devices * ((as_of - from_day).days + 1) // TASK_ROWS))
     rows = bitmaps.build_bitmaps(events, as_of, from_day, buckets and buckets.number, prev, tasks)
     tables.replace_days(rows, names.bitmaps, from_day, as_of, laid_out=True)
+    _record(spark, from_day, loaded_to or as_of, names)
 
 
 def bitmaps_and_later(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:
@@ -165,11 +252,12 @@ def bitmaps_and_later(spark: SparkSession, day: date, names: TableNames = TableN
     clean_days(spark, day, day, names)
     if end == day:
         return step_bitmaps(spark, day, names)
-    rebuild_bitmaps(spark, day, end, names)
+    rebuild_bitmaps(spark, day, end, names, day)
     return tables.partition_row_count(spark, names.bitmaps, day)
 
 
 def step_activity(spark: SparkSession, day: date, names: TableNames = TableNames()) -> int:
+    _forget_snapshots(spark, day, names)
     events = tables.day_partition(spark, names.clean, day)
     return tables.replace_day(activity.user_daily_activity(events), names.activity, day)
 
@@ -177,6 +265,7 @@ def step_activity(spark: SparkSession, day: date, names: TableNames = TableNames
 def step_activity_days(
     spark: SparkSession, first: date, last: date, names: TableNames = TableNames()
 ) -> None:
+    _forget_snapshots(spark, first, names)
     daily = activity.user_daily_activity(_days(spark, names.clean, first, last))
     tables.replace_days(daily, names.activity, first, last)
 
@@ -188,9 +277,10 @@ def rebuild_states(
     window: int = schemas.DEFAULT_WINDOW,
 ) -> None:
     """Rebuild the state ranges from the active days of all users up to ``as_of``."""
-    built = tables.partition_days(spark, names.bitmaps)
+    built = built_days(spark, names)
     if built and as_of not in built:
         raise MissingDay(f"{names.bitmaps} has no {as_of}")
+    _forget_snapshots(spark, date.min, names)
     active = spark.table(names.activity).select("user_id", "event_date")
     tables.rebuild(states.user_states(active, as_of, window), names.states)
 
@@ -203,6 +293,7 @@ def rebuild_metrics(
     ``from_day`` is the first day that changed: balances, channels and sessions of the days before
     stay as they are. Growth, cohorts and depth depend on every user's whole history and are rebuilt.
     """
+    _forget_snapshots(spark, date.min, names)
     daily = spark.table(names.activity).where(F.col("event_date") <= F.lit(as_of))
     first = from_day or _first_day(spark, names)
     if first:
@@ -210,6 +301,8 @@ def rebuild_metrics(
         events = _days(spark, names.clean, first, as_of)
         tables.replace_days(activity.active_users_by_source(events), names.sources, first, as_of)
         _rebuild_sessions(spark, first, as_of, names)
+        number_users_of(spark, first, as_of, names)
+        _rolling(spark, first, as_of, names)
 
     def by_period(metric: Callable[[str], DataFrame]) -> DataFrame:
         parts = [metric(p).withColumn("period", F.lit(p)) for p in PERIODS]
@@ -218,11 +311,135 @@ def rebuild_metrics(
     tables.rebuild(by_period(lambda p: growth.growth_accounting(daily, p, as_of)), names.growth)
     tables.rebuild(growth.cohort_retention(daily, as_of), names.cohorts)
     tables.rebuild(by_period(lambda p: engagement.engagement_depth(daily, p)), names.engagement)
-    # Active and new users are columns of the growth table by now.
+    _active_users(spark, names)
+
+
+def _active_users(spark: SparkSession, names: TableNames) -> None:
+    """Active and new users are columns of the growth table by now."""
     counted = spark.table(names.growth).select("period", "period_start", "active_users", "new_users")
     tables.rebuild(counted.where("active_users > 0"), names.active_users)
 
 
+def number_users_of(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> None:
+    """Number the users that come up in some days for the first time, and rebuild these days' bitmaps of users.
+
+    A number stays with its user, whatever happens to the day on which it was given, so only days that changed
+    are built again."""
+    active = _days(spark, names.activity, first, last).select("user_id", "event_date")
+    fresh = rolling.number_users(spark.table(names.numbers), active).withColumn("event_date", F.lit(first))
+    given = tables.day_partition(spark, names.numbers, first)
+    tables.replace_day(given.unionByName(fresh), names.numbers, first)
+    tables.replace_days(rolling.daily_bitmaps(active, spark.table(names.numbers)), names.active_bitmaps, first, last)
+
+
+def _rolling(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
+    """Rolling counts of the days from ``first`` to ``last``; a window that reaches back reads bitmaps only."""
+    found = rolling.rolling_active_users(spark.table(names.active_bitmaps), first, last)
+    older = spark.table(names.rolling).where(F.col("event_date") < F.lit(first))
+    tables.rebuild(older.unionByName(found), names.rolling)
+
+
+# The step of one new day
+
+
+def _forget_snapshots(spark: SparkSession, day: date, names: TableNames) -> None:
+    """Drop the snapshots that include ``day``, as what they were made of is about to change."""
+    if not tables.table_missing(spark, names.snapshot):
+        for held in tables.partition_days(spark, names.snapshot):
+            if held >= day:
+                tables.drop_day(spark, names.snapshot, held)
+
+
+def step_gold(spark: SparkSession, day: date, names: TableNames = TableNames(), metrics: bool = True) -> bool:
+    """Bring the gold and serving tables from the day before to ``day``; False if that needs a rebuild.
+
+    Reads the snapshot of the day before and the activity and events of ``day``. The new snapshot is written
+    first and the old one dropped last: where both are there, or none, a load was broken, and the tables are rebuilt.
+    """
+    if tables.partition_days(spark, names.snapshot) != [day - timedelta(days=1)]:
+        return False
+    before = tables.day_partition(spark, names.snapshot, day - timedelta(days=1))
+    held = before.select("window", "metrics").first()
+    if held is None or held["window"] != schemas.DEFAULT_WINDOW or metrics and not held["metrics"]:
+        return False
+    daily = tables.day_partition(spark, names.activity, day)
+    tables.replace_day(snapshot.advance(before, daily, day, metrics=metrics), names.snapshot, day)
+    now = tables.day_partition(spark, names.snapshot, day)
+    _step_states(spark, now, day, names)
+    if metrics:
+        _step_metrics(spark, now, daily, day, names)
+    tables.drop_day(spark, names.snapshot, day - timedelta(days=1))
+    return True
+
+
+def _step_states(spark: SparkSession, now: DataFrame, day: date, names: TableNames) -> None:
+    """Add the ranges that begin on ``day`` and close those that they follow. Only the partitions in which
+    ranges end are read and written; there are at most as many as days."""
+    starts = now.where("closed_since IS NOT NULL").select(F.date_from_unix_date("closed_since").alias("start_date")).distinct()
+    touched = {r["start_date"] for r in starts.collect()}
+    at = F.col("start_date").isin([*touched]) if touched else F.lit(False)
+    kept = snapshot.close_ranges(spark.table(names.states).where(at), now, day)
+    touched.add(day)
+    rows = kept.unionByName(snapshot.opened_ranges(now, day))
+    tables.replace_where(rows, names.states, F.col("start_date").isin([*touched]), lambda v: date.fromisoformat(v) in touched)
+
+
+def _step_metrics(spark: SparkSession, now: DataFrame, daily: DataFrame, day: date, names: TableNames) -> None:
+    """Add ``day`` to the serving tables. Those of growth, depth and cohorts have a few rows a day."""
+    counts = snapshot.day_counts(now, day).first().asDict()
+    totals = daily.agg(F.coalesce(F.sum("total_events"), F.lit(0)).alias("events"), F.coalesce(F.sum("miles_earned_sum"), F.lit(0)).cast(schemas.MILES).alias("miles")).first()
+    starts = spark.range(1).select(
+        *[period_start(F.lit(day), p).alias(p) for p in PERIODS],
+        *[period_from_index(period_index(F.lit(day), p) - 1, p).alias(f"{p}_before") for p in PERIODS],
+    ).first()
+
+    def held(table: str, period: str, start: date) -> dict:
+        row = spark.table(table).where((F.col("period") == period) & (F.col("period_start") == F.lit(start))).first()
+        return row.asDict() if row else {}
+
+    grown, depth = [], []
+    for p in PERIODS:
+        start, so_far = starts[p], held(names.growth, p, starts[p])
+        new, retained, resurrected = (so_far.get(c, 0) + counts[f"{p}_{c}"] for c in ("new_users", "retained_users", "resurrected_users"))
+        active, churned = new + retained + resurrected, held(names.growth, p, starts[f"{p}_before"]).get("active_users", 0) - retained
+        if active or churned:
+            grown.append((p, start, active, new, retained, resurrected, churned))
+        if active:
+            so_far = held(names.engagement, p, start)
+            sums = (so_far.get("total_events", 0) + totals["events"], so_far.get("miles_earned", 0) + totals["miles"])
+            depth.append((p, start, active, *sums, *(so_far.get(c, 0) + counts[f"{p}_{c}"] for c in ("earners", "redeemers"))))
+
+    def put(rows: DataFrame, table: str) -> None:
+        others = spark.table(table).join(rows.select("period", "period_start"), ["period", "period_start"], "left_anti")
+        tables.rebuild(others.unionByName(rows.select(*others.columns)), table)
+
+    put(spark.createDataFrame(grown, schemas.GROWTH_ACCOUNTING), names.growth)
+    of_depth = T.StructType(schemas.ENGAGEMENT_DEPTH.fields[:7])
+    put(engagement.with_ratios(spark.createDataFrame(depth, of_depth)), names.engagement)
+    _active_users(spark, names)
+
+    offsets = growth.RETENTION_OFFSETS
+    back = spark.createDataFrame([(day - timedelta(days=n), n, counts[f"back_{n}"]) for n in offsets], "cohort_date date, day_offset long, back long")
+    share = F.try_divide(F.lit(100.0) * F.col("back"), "cohort_size")
+    reached = spark.table(names.cohorts).join(back, ["cohort_date", "day_offset"], "left").select(
+        "cohort_date", "cohort_size", "day_offset",
+        F.coalesce("back", "retained_users").alias("retained_users"),
+        F.coalesce(share, "retention_pct").alias("retention_pct"),
+    )
+    begun = [(day, counts["new"], n, None, None) for n in offsets if counts["new"]]
+    tables.rebuild(reached.unionByName(spark.createDataFrame(begun, schemas.COHORT_RETENTION)), names.cohorts)
+
+    net = (F.col("miles_earned_sum") - F.col("miles_redeemed_sum")).cast(schemas.MILES)
+    paid = daily.select("user_id", "event_date", "miles_earned_sum", "miles_redeemed_sum", net.alias("net_miles"))
+    balances = paid.join(now.select("user_id", F.col("balance").alias("miles_balance")), "user_id")
+    tables.replace_day(balances, names.balance, day)
+    events = tables.day_partition(spark, names.clean, day)
+    tables.replace_day(activity.active_users_by_source(events), names.sources, day)
+    _rebuild_sessions(spark, day, day, names)
+    number_users_of(spark, day, day, names)
+    _rolling(spark, day, day, names)
+
+
 def _first_day(spark: SparkSession, names: TableNames) -> date | None:
     return next(iter(tables.partition_days(spark, names.activity)), None)
 
@@ -249,7 +466,7 @@ def _rebuild_sessions(spark: SparkSession, first: date, last: date, names: Table
 
 def _range_end(spark: SparkSession, first: date, last: date, names: TableNames) -> date:
     """The day up to which a load of ``first`` to ``last`` rebuilds; refuses to leave a gap."""
-    built = tables.partition_days(spark, names.bitmaps)
+    built = built_days(spark, names)
     if not built:
         return last
     if first - timedelta(days=1) > built[-1]:
@@ -274,13 +491,17 @@ def _derive(
         bitmaps_and_later(spark, first, names)
     else:
         clean_days(spark, first, last, names)
-        rebuild_bitmaps(spark, first, end, names)
+        rebuild_bitmaps(spark, first, end, names, last)
     step_activity_days(spark, first, last, names)
     if strict:
         _stop_if_bad(check_bitmaps(spark, first, names, last), f"bitmaps of {first} to {last}")
+    if first == end and step_gold(spark, end, names, metrics):
+        return
     rebuild_states(spark, end, names)
     if metrics:
         rebuild_metrics(spark, end, names, first)
+    daily = spark.table(names.activity)
+    tables.replace_day(snapshot.user_snapshot(daily, end, metrics=metrics), names.snapshot, end)
 
 
 def run_day(

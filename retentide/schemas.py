@@ -162,3 +162,57 @@ SESSION_FREQUENCY = T.StructType(
         T.StructField("sessions_per_active_day", T.DoubleType()),
     ]
 )
+
+# Days are numbers since 1970-01-01; see operators.snapshot.
+USER_SNAPSHOT = T.StructType(
+    [T.StructField("user_id", T.StringType())]
+    + [
+        T.StructField(name, T.IntegerType())
+        for name in (
+            "epoch", "first", "last", "prev_last", "before", "earn_day", "earn_before", "redeem_day",
+            "redeem_before", "since", "closed_since",
+        )
+    ]
+    + [
+        T.StructField("user_state", T.StringType()),
+        T.StructField("balance", MILES),
+        T.StructField("window", T.IntegerType()),
+        T.StructField("metrics", T.BooleanType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+# A row for each loaded day, also for one without events.
+LOAD_LEDGER = T.StructType(
+    [
+        T.StructField("n_events", T.LongType()),
+        T.StructField("n_clean", T.LongType()),
+        T.StructField("fingerprint", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+# Dense numbers of users, by the day on which they were given, and the users of a day as bitmaps of them.
+USER_NUMBERS = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("user_no", T.LongType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+ACTIVE_BITMAPS = T.StructType(
+    [
+        T.StructField("bucket", T.LongType()),
+        T.StructField("users", T.BinaryType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+ROLLING_USERS = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        T.StructField("window_days", T.LongType()),
+        T.StructField("active_users", T.LongType()),
+    ]
+)

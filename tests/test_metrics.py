@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from retentide.functions.calendar import parse_day
 from retentide.operators import cleaning, engagement, growth
 from retentide.operators import activity as act
-from retentide.sources.sample_tables import miles_earned, order_events
+from retentide.sources.sample_tables import loyalty_events, order_events
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,7 +34,7 @@ def test_growth_by_day(spark):
 
 
 @pytest.mark.parametrize("period", ["day", "week", "month"])
-@pytest.mark.parametrize("source", [miles_earned, order_events])
+@pytest.mark.parametrize("source", [loyalty_events, order_events])
 def test_active_users_follow_from_the_changes(spark, source, period):
     feed = source(spark, SF_DIR)
     last = feed.agg(F.max("event_date")).first()[0]
