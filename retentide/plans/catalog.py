@@ -23,9 +23,10 @@ from retentide.functions.calendar import (
     period_index,
     period_start,
 )
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, states
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, rolling, states
 from retentide.schemas import (
     BRONZE_EVENTS,
+    CLEAN_EVENTS,
     DEVICE_PATTERN,
     EVENTS,
     MILES,
@@ -212,14 +213,86 @@ def job_miles_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_doubles(spark.table(_warehouse(spark, sf_dir).balance)).select(*USER_MILES_BALANCE.fieldNames())
 
 
+@lru_cache(maxsize=None)
+def _stepped(spark: SparkSession, sf_dir: str) -> jobs.TableNames:
+    """Tables of which the batch has built the last five days one by one, each from the snapshot of the day before."""
+    names, raw = _fresh_names(), _raw_log(spark, sf_dir)
+    first, last = _bounds(spark, sf_dir)
+    start = max(first, last - timedelta(days=5))
+    jobs.backfill(spark, raw, first, start, names, strict=False)
+    for n in range((last - start).days):
+        jobs.run_day(spark, raw, start + timedelta(days=n + 1), names, strict=False)
+    return names
+
+
+@query
+def job_load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger, and whether bronze still is what it says."""
+    names = _warehouse(spark, sf_dir)
+    first, last = _bounds(spark, sf_dir)
+    now = jobs.ledger_rows(spark, first, last, names).select("event_date", F.col("fingerprint").alias("now"))
+    held = spark.table(names.ledger).join(now, "event_date", "left")
+    return held.select("event_date", "n_events", "n_clean", F.col("fingerprint").eqNullSafe(F.col("now")).alias("unchanged"))
+
+
+@query
+def job_user_states_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_stepped(spark, sf_dir).states).select("user_id", "user_state", "start_date", "end_date")
+
+
 @query
 def job_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_warehouse(spark, sf_dir).growth).where("period = 'day'").drop("period")
+    return spark.table(_warehouse(spark, sf_dir).growth)
+
+
+@query
+def job_growth_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_stepped(spark, sf_dir).growth)
+
+
+@query
+def job_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_stepped(spark, sf_dir).cohorts).withColumn("retention_pct", F.round("retention_pct", 4))
+
+
+@query
+def job_engagement_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    depth = spark.table(_stepped(spark, sf_dir).engagement).withColumn("miles_earned", F.col("miles_earned").cast("double"))
+    return depth.withColumns({c: F.round(c, 4) for c in ("events_per_user", "miles_per_user", "redemption_rate")})
 
 
 @query
 def job_active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(_warehouse(spark, sf_dir).active_users).where("period = 'week'").select("period_start", "active_users")
+    return spark.table(_stepped(spark, sf_dir).active_users)
+
+
+@query
+def job_miles_balance_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_doubles(spark.table(_stepped(spark, sf_dir).balance)).select(*USER_MILES_BALANCE.fieldNames())
+
+
+@query
+def job_rolling_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_stepped(spark, sf_dir).rolling)
+
+
+@query
+def job_events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_warehouse(spark, sf_dir).clean).select(*CLEAN_EVENTS.fieldNames())
+
+
+@query
+def job_daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_doubles(spark.table(_warehouse(spark, sf_dir).activity)).select(*USER_DAILY_ACTIVITY.fieldNames())
+
+
+@query
+def rolling_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of 7 and 28 days up to every day of the years of ``orders``."""
+    orders = order_events(spark, sf_dir)
+    first, last = orders.agg(F.min("event_date"), F.max("event_date")).first()
+    nobody = spark.createDataFrame([], "user_id string, user_no long")
+    return rolling.rolling_active_users(rolling.daily_bitmaps(orders, rolling.number_users(nobody, orders)), first, last)
 
 
 @query

@@ -317,7 +317,7 @@ def rebuild_metrics(
 def _active_users(spark: SparkSession, names: TableNames) -> None:
     """Active and new users are columns of the growth table by now."""
     counted = spark.table(names.growth).select("period", "period_start", "active_users", "new_users")
-    tables.rebuild(counted.where("active_users > 0"), names.active_users)
+    tables.rebuild_small(counted.where("active_users > 0"), names.active_users)
 
 
 def number_users_of(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> None:
@@ -336,7 +336,7 @@ def _rolling(spark: SparkSession, first: date, last: date, names: TableNames) ->
     """Rolling counts of the days from ``first`` to ``last``; a window that reaches back reads bitmaps only."""
     found = rolling.rolling_active_users(spark.table(names.active_bitmaps), first, last)
     older = spark.table(names.rolling).where(F.col("event_date") < F.lit(first))
-    tables.rebuild(older.unionByName(found), names.rolling)
+    tables.rebuild_small(older.unionByName(found), names.rolling)
 
 
 # The step of one new day
@@ -393,25 +393,26 @@ def _step_metrics(spark: SparkSession, now: DataFrame, daily: DataFrame, day: da
         *[period_from_index(period_index(F.lit(day), p) - 1, p).alias(f"{p}_before") for p in PERIODS],
     ).first()
 
-    def held(table: str, period: str, start: date) -> dict:
-        row = spark.table(table).where((F.col("period") == period) & (F.col("period_start") == F.lit(start))).first()
-        return row.asDict() if row else {}
+    def held(table: str) -> dict[tuple, dict]:
+        """The rows of the running periods and the ones before."""
+        rows = spark.table(table).where(F.col("period_start").isin([*starts])).collect()
+        return {(r["period"], r["period_start"]): r.asDict() for r in rows}
 
-    grown, depth = [], []
+    grown, depth, old_growth, old_depth = [], [], held(names.growth), held(names.engagement)
     for p in PERIODS:
-        start, so_far = starts[p], held(names.growth, p, starts[p])
+        start, so_far = starts[p], old_growth.get((p, starts[p]), {})
         new, retained, resurrected = (so_far.get(c, 0) + counts[f"{p}_{c}"] for c in ("new_users", "retained_users", "resurrected_users"))
-        active, churned = new + retained + resurrected, held(names.growth, p, starts[f"{p}_before"]).get("active_users", 0) - retained
+        active, churned = new + retained + resurrected, old_growth.get((p, starts[f"{p}_before"]), {}).get("active_users", 0) - retained
         if active or churned:
             grown.append((p, start, active, new, retained, resurrected, churned))
         if active:
-            so_far = held(names.engagement, p, start)
+            so_far = old_depth.get((p, start), {})
             sums = (so_far.get("total_events", 0) + totals["events"], so_far.get("miles_earned", 0) + totals["miles"])
             depth.append((p, start, active, *sums, *(so_far.get(c, 0) + counts[f"{p}_{c}"] for c in ("earners", "redeemers"))))
 
     def put(rows: DataFrame, table: str) -> None:
         others = spark.table(table).join(rows.select("period", "period_start"), ["period", "period_start"], "left_anti")
-        tables.rebuild(others.unionByName(rows.select(*others.columns)), table)
+        tables.rebuild_small(others.unionByName(rows.select(*others.columns)), table)
 
     put(spark.createDataFrame(grown, schemas.GROWTH_ACCOUNTING), names.growth)
     of_depth = T.StructType(schemas.ENGAGEMENT_DEPTH.fields[:7])
@@ -427,7 +428,7 @@ def _step_metrics(spark: SparkSession, now: DataFrame, daily: DataFrame, day: da
         F.coalesce(share, "retention_pct").alias("retention_pct"),
     )
     begun = [(day, counts["new"], n, None, None) for n in offsets if counts["new"]]
-    tables.rebuild(reached.unionByName(spark.createDataFrame(begun, schemas.COHORT_RETENTION)), names.cohorts)
+    tables.rebuild_small(reached.unionByName(spark.createDataFrame(begun, schemas.COHORT_RETENTION)), names.cohorts)
 
     net = (F.col("miles_earned_sum") - F.col("miles_redeemed_sum")).cast(schemas.MILES)
     paid = daily.select("user_id", "event_date", "miles_earned_sum", "miles_redeemed_sum", net.alias("net_miles"))

@@ -7,6 +7,8 @@ day, a day's step from who was there yesterday and who is there today.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 EVENTS = """
 ev AS (
   SELECT event_id, ts AS event_time,
@@ -69,6 +71,15 @@ FIRST_ROW = (
 # What the batch builds silver from: one row per event key.
 CLEAN = ODD.replace("\nev AS (", "\nodd_ev AS (", 1) + f""",
 ev AS (SELECT * EXCLUDE rn FROM (SELECT *, {FIRST_ROW} AS rn FROM odd_ev) WHERE rn = 1)"""
+CLEANED = (
+    "SELECT event_time, user_id, gender, event_type, "
+    "CASE WHEN event_type IN ('miles_earned', 'miles_redeemed') THEN miles_amount "
+    "ELSE coalesce(miles_amount, 0.0) END AS miles_amount, platform, utm_source, country, "
+    "event_date, CASE WHEN event_type IN ('miles_earned', 'miles_redeemed') "
+    "THEN transaction_category END AS miles_category, "
+    "CASE WHEN event_type = 'reward_search' THEN transaction_category END AS search_brand, "
+    "event_type IN ('miles_earned', 'miles_redeemed') AS is_transactional FROM {rows}"
+)
 BOUNDS = "bounds AS (SELECT min(event_date) AS low, max(event_date) AS high, " \
     "min(event_date) + CAST((max(event_date) - min(event_date)) // 2 AS INT) AS middle FROM ev)"
 
@@ -257,10 +268,10 @@ BY_SOURCE = (
 )
 
 
-def _depth(period: str) -> str:
+def _depth(period: str, source: str = EVENTS) -> str:
     return (
         _with(
-            EVENTS,
+            source,
             f"""
 per AS (SELECT *, CAST(date_trunc('{period}', event_date) AS DATE) AS p FROM ev),
 tot AS (
@@ -286,6 +297,23 @@ def _active(source: str, activity: str, period: str) -> str:
     )
 
 
+def _periods(sql: Callable[[str], str], columns: str = "*", rows: str = "true") -> str:
+    """The same for days, weeks and months, one below the other."""
+    parts = (f"SELECT '{p}' AS period, {columns} FROM ({sql(p)}) WHERE {rows}" for p in ("day", "week", "month"))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _rolling(source: str, activity: str) -> str:
+    """Distinct users of the 7 and 28 days up to each day."""
+    return _with(
+        source,
+        f"""act AS (SELECT DISTINCT user_id, event_date FROM ({activity}) WHERE user_id IS NOT NULL),
+cal AS (SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS day FROM act),
+spans AS (SELECT day, w FROM cal, (SELECT CAST(unnest([7, 28]) AS BIGINT) AS w))""",
+    ) + """SELECT s.day AS event_date, s.w AS window_days, count(DISTINCT a.user_id) AS active_users
+FROM spans s LEFT JOIN act a ON a.event_date <= s.day AND a.event_date > s.day - CAST(s.w AS INT) GROUP BY s.day, s.w"""
+
+
 def _step(key: str) -> str:
     """Who was there yesterday gets a digit by whether the key is among today's; the others start."""
     prev = _silver(ALL, "(SELECT max(event_date) - 1 FROM ev)", "prev")
@@ -439,15 +467,7 @@ def build() -> dict[str, str]:
         "bronze_dedup": events
         + f"SELECT {CONTRACT}, event_date FROM (SELECT *, {first_row} AS rn FROM ({hourly})) "
         "WHERE rn = 1",
-        "bronze_clean": events
-        + "SELECT event_time, user_id, gender, event_type, "
-        "CASE WHEN event_type IN ('miles_earned', 'miles_redeemed') THEN miles_amount "
-        "ELSE coalesce(miles_amount, 0.0) END AS miles_amount, platform, utm_source, country, "
-        "event_date, CASE WHEN event_type IN ('miles_earned', 'miles_redeemed') "
-        "THEN transaction_category END AS miles_category, "
-        "CASE WHEN event_type = 'reward_search' THEN transaction_category END AS search_brand, "
-        "event_type IN ('miles_earned', 'miles_redeemed') AS is_transactional "
-        f"FROM (SELECT *, {first_row} AS rn FROM ev) WHERE rn = 1",
+        "bronze_clean": events + CLEANED.format(rows=f"(SELECT *, {first_row} AS rn FROM ev) WHERE rn = 1"),
         # Silver
         "silver_active_today": events
         + "SELECT DISTINCT event_date, country, platform, utm_source, user_id FROM ev",
@@ -617,9 +637,23 @@ FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)""",
         "job_bronze_events": _with(ODD) + f"SELECT {CONTRACT}, event_date FROM ev",
         "job_login_bitmaps": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
         "job_user_states": _ranges(CLEAN, ALL, 14),
+        "job_user_states_stepped": _ranges(CLEAN, ALL, 14),
+        "job_load_ledger": _with(ODD.replace("\nev AS (", "\nodd_ev AS (", 1))
+        + f""", loaded AS (SELECT *, {FIRST_ROW} AS rn FROM odd_ev),
+days AS (SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS event_date FROM odd_ev)
+SELECT d.event_date, count(l.event_id) AS n_events, count(l.event_id) FILTER (rn = 1) AS n_clean, true AS unchanged
+FROM days d LEFT JOIN loaded l ON l.event_date = d.event_date GROUP BY d.event_date""",
         "job_miles_balance": _with(CLEAN, DAILY) + BALANCE,
-        "job_growth": _growth(CLEAN, ALL, "day"),
-        "job_active_users": _active(CLEAN, ALL, "week"),
+        "job_miles_balance_stepped": _with(CLEAN, DAILY) + BALANCE,
+        "job_growth": _periods(lambda p: _growth(CLEAN, ALL, p)),
+        "job_growth_stepped": _periods(lambda p: _growth(CLEAN, ALL, p)),
+        "job_cohort_retention": _retention(CLEAN, ALL),
+        "job_engagement_depth": _periods(lambda p: _depth(p, CLEAN)),
+        "job_active_users": _periods(lambda p: _growth(CLEAN, ALL, p), "period_start, active_users, new_users", "active_users > 0"),
+        "job_rolling_users": _rolling(CLEAN, ALL),
+        "rolling_users": _rolling(ORDERS, "SELECT * FROM ord"),
+        "job_events_clean": _with(CLEAN) + CLEANED.format(rows="ev"),
+        "job_daily_activity": _with(CLEAN, DAILY) + "SELECT * FROM daily",
         "job_active_by_source": _with(CLEAN) + BY_SOURCE,
         "job_session_frequency": _with(CLEAN) + SESSIONS,
         "job_check_bronze": _with(ODD)

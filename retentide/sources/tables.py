@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,8 @@ def create_table(
     session has it already. Files that are there keep the buckets they were written with."""
     if not table_missing(spark, table):
         return False
+    buckets_of.cache_clear()
+    _partition_column.cache_clear()
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     location = location_of(spark, table)
@@ -95,6 +98,8 @@ def create_day_table(
     return create_table(spark, table, schema, partition_field, buckets)
 
 
+# Both are fixed when a table is created, and asked for by every write.
+@lru_cache(maxsize=None)
 def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
     bucketed = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
     if not bucketed:
@@ -103,6 +108,7 @@ def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
     return Buckets(bucketed[0], int(described.first()["data_type"]))
 
 
+@lru_cache(maxsize=None)
 def _partition_column(spark: SparkSession, table: str) -> str:
     return next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
 
@@ -221,3 +227,8 @@ def rebuild(df: DataFrame, table: str) -> None:
     dropped after that, so a job that fails while it writes leaves the old rows.
     """
     replace_where(df, table, F.lit(True), lambda v: True)
+
+
+def rebuild_small(df: DataFrame, table: str) -> None:
+    """The same for a table with a few rows a day, which one task writes."""
+    replace_where(df.coalesce(1), table, F.lit(True), lambda v: True, laid_out=True)
