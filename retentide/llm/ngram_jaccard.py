@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from retentide.llm.arrow_text import PLACES, TOKENS, mix, slices, windows, words
 from retentide.llm.components import connected_components
-from retentide.llm.spark_util import bitmap, checkpoint, in_bitmap
+from retentide.llm.spark_util import bitmap_of, checkpoint, in_bitmap
 
 #: Frequent shingles whose counts decide the order; the order changes the work, never the result.
 FREQUENT = 1 << 19
@@ -37,7 +37,8 @@ BLOCK_ROWS = 2048
 #: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
 LEADERS, LEADERS_EVERY = 64, 4
 LEADER_ROUNDS = ((1, 3), (4, 12), (13, 64))
-BITMAP_BITS = 22
+#: Places of a set's sketch for each of its shingles, at least.
+SKETCH_BITS = 2
 #: Of the shingles that two prefixes must share, one in so many is looked for.
 SHARE_JOINED = 4
 
@@ -77,6 +78,27 @@ def set_names(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, np.maximum(names, np.uint64(1)), np.uint64(0))
 
 
+def parity_sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set, the parity of its shingles in each of as many places as SKETCH_BITS times its size, rounded up
+    to a power of two: a shingle that only one of two sets has flips one place, so two sketches never differ in more
+    places than the sets do in shingles."""
+    sizes = np.diff(bounds)
+    bits = np.where(sizes > 0, np.maximum(64, 1 << np.ceil(np.log2(np.maximum(sizes * SKETCH_BITS, 1))).astype(np.int64)), 0)
+    starts = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    flips = np.bincount(starts[owner] + (values & (bits[owner] - 1).astype(np.uint64)).astype(np.int64), minlength=starts[-1]) & 1
+    packed = np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """The places in which two sketches differ, the longer one folded to the shorter: at most |A xor B|."""
+    x, y = sorted((np.frombuffer(s, np.uint64) for s in (a, b)), key=len)
+    if not len(x):
+        return 0
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -93,24 +115,30 @@ def row_key() -> F.Column:
 
 
 def describe_sets(docs: DataFrame, size: int) -> DataFrame:
-    """A row (doc_id, key, n, node) for each document, and rows (shingle, n) for shingles that a task has seen often."""
+    """A row (doc_id, key, n, node, sketch) for each document, and rows (shingle, n) for shingles that a task has seen often.
+    A task writes the sketch of a set once."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[np.ndarray] = []
-        room = LOCAL_WINDOW
-        columns = ["doc_id", "key", "n", "node", "shingle"]
+        room, drawn = LOCAL_WINDOW, set()
+        columns = ["doc_id", "key", "n", "node", "shingle", "sketch"]
 
         def frequent() -> pa.RecordBatch:
             found, counts = np.unique(np.concatenate(pending), return_counts=True)
             found, counts = found[counts >= LOCALLY_FREQUENT], counts[counts >= LOCALLY_FREQUENT]
             none = pa.nulls(len(found), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.array(counts, pa.int64()), none, pa.array(_signed(found))], columns)
+            return pa.RecordBatch.from_arrays([none, none, pa.array(counts, pa.int64()), none, pa.array(_signed(found)), pa.nulls(len(found), pa.binary())], columns)
 
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("key")
             for first, last, values, bounds, names in _sets_in(batch, size):
                 n = last - first
-                yield pa.RecordBatch.from_arrays([ids.slice(first, n), keys.slice(first, n), pa.array(np.diff(bounds), pa.int64()), pa.array(_signed(names)), pa.nulls(n, pa.int64())], columns)
+                sketches: list[bytes | None] = parity_sketches(values, bounds)
+                for k, name in enumerate(names.tolist()):
+                    if name in drawn or not name:
+                        sketches[k] = None
+                    drawn.add(name)
+                yield pa.RecordBatch.from_arrays([ids.slice(first, n), keys.slice(first, n), pa.array(np.diff(bounds), pa.int64()), pa.array(_signed(names)), pa.nulls(n, pa.int64()), pa.array(sketches, pa.binary())], columns)
                 pending.append(values)
                 room -= len(values)
                 if room <= 0:
@@ -119,7 +147,7 @@ def describe_sets(docs: DataFrame, size: int) -> DataFrame:
         if pending:
             yield frequent()
 
-    return docs.select("doc_id", "text", row_key().alias("key")).mapInArrow(scan, "doc_id long, key long, n long, node long, shingle long")
+    return docs.select("doc_id", "text", row_key().alias("key")).mapInArrow(scan, "doc_id long, key long, n long, node long, shingle long, sketch binary")
 
 
 def _ordered(values: np.ndarray, bounds: np.ndarray, known: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -234,7 +262,7 @@ def shared_postings(found: DataFrame, percent: int) -> DataFrame:
 
 def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, text) of the documents in `keys`; a bitmap of them keeps the other texts from being shuffled."""
-    wanted = bitmap(docs.sparkSession, keys, F.col("key"), BITMAP_BITS)
+    wanted = bitmap_of(keys, "key")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,6 +274,22 @@ def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return of(docs.where("doc_id IS NOT NULL")).union(of(docs.where("doc_id IS NULL")).distinct())
 
 
+def possible(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches don't rule out the similarity: 100 * shared >= percent * union means that
+    the sets differ in at most (100 - percent) / (100 + percent) of n_a + n_b shingles. No text is moved for the others."""
+    for side in "ab":
+        pairs = pairs.join(documents.select(F.col("node").alias(side), F.col("n").alias("n_" + side), F.col("sketch").alias("sketch_" + side)), side)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = (100 - percent) * sizes // (100 + percent)
+            near = [sketch_distance(a, b) <= m for a, b, m in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), most.tolist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.mapInArrow(scan, "a long, b long")
+
+
 def overlaps(docs: DataFrame, pairs: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     """pairs (a, b) of nodes with their sizes and overlap: (a, b, n_a, n_b, shared).
 
@@ -328,7 +372,7 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     described = checkpoint(describe_sets(docs, size))
     members = described.where("shingle IS NULL").select("doc_id", "key", "n", "node")
-    documents = members.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
+    documents = described.where("shingle IS NULL AND n > 0").groupBy("node").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     counted = described.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     known = counted["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(known)
@@ -351,7 +395,7 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed:
         # those that have no component yet, or are in another one than the leaders that are offered next
         a, b = component.toDF("a", "component_a"), component.toDF("b", "component_b")
         tried = offers.where(F.col("place").between(low, high)).select(F.col("node").alias("a"), F.col("leader").alias("b")).join(a, "a", "left").join(b, "b", "left")
-        tried = checkpoint(tried.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b"))
+        tried = checkpoint(possible(tried.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b"), documents, percent))
         if tried.isEmpty():
             continue
         links = checkpoint(links.union(overlaps(docs, tried, documents, size).where(_linked(percent))))
@@ -361,7 +405,7 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed:
     first = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
     lead = links.withColumn("place", F.row_number().over(first)).where("place = 1").select("a", "b", F.expr("n_a - shared").alias("own"), F.expr("n_b - shared").alias("lost"))
     lead = checkpoint(lead)
-    pairs = checkpoint(cross_pairs(lists, component, percent))
+    pairs = checkpoint(possible(cross_pairs(lists, component, percent), documents, percent))
     for side in "ab":
         of = lead.select(F.col("a").alias(side), F.col("b").alias("lead_" + side), F.col("own").alias("own_" + side), F.col("lost").alias("lost_" + side))
         pairs = pairs.join(of, side, "left").withColumn("lead_" + side, F.coalesce("lead_" + side, side)).fillna(0, ["own_" + side, "lost_" + side])

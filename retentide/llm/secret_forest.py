@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retentide.llm.sampling import cut_by_hash
+from retentide.llm.spark_util import checkpoint, shared_folder
+
 #: Labelled findings that the forest is fitted on, at most; its size.
 LABELLED_ROWS, TREES, DEPTH = 20000, 30, 8
 THRESHOLD = 0.5
@@ -126,8 +130,9 @@ def _may_have_candidates(text: Column) -> Column:
     return F.coalesce(text.rlike("[0-9]") & text.rlike(_RUN) | text.rlike(_ASSIGNS), F.lit(False))
 
 
-def find_candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, first, last, label, features) of each candidate in `docs` (doc_id, text); label is the rules'."""
+def find_candidates(docs: DataFrame, id_type: str = "long") -> DataFrame:
+    """(doc_id, first, last, label, features) of each candidate in `docs` (doc_id, text); label is the rules'.
+    doc_id is a long, or a string if `id_type` says so."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,27 +140,31 @@ def find_candidates(docs: DataFrame) -> DataFrame:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 rows += [(doc, a, b, rule_label(value, before, after), features(value, before, after)) for a, b, value, before, after in candidates(text.as_py())]
             if rows:
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()))
+                types = (pa.int64() if id_type == "long" else pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "first", "last", "label", "features"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(_may_have_candidates(F.col("text")))
-    return texts.mapInArrow(scan, "doc_id long, first int, last int, label int, features array<double>")
+    texts = docs.select(F.col("doc_id").cast(id_type).alias("doc_id"), "text").where(_may_have_candidates(F.col("text")))
+    return texts.mapInArrow(scan, f"doc_id {id_type}, first int, last int, label int, features array<double>")
 
 
 def fit_forest(findings: DataFrame, rows: int = LABELLED_ROWS) -> RandomForestClassificationModel | None:
-    """A forest from labelled findings (label, features), at most `rows` of each label by a hash; None if
-    either label is missing."""
-    known = findings.where("label IS NOT NULL").select("label", "features").withColumn("h", F.xxhash64("features", "label"))
-    parts = [known.where(F.col("label") == k).orderBy("h").limit(rows) for k in (0, 1)]
-    sample = parts[0].union(parts[1]).select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector")).coalesce(4).cache()
+    """A forest from labelled findings (label, features), about `rows` of each label at most, by a hash; None if
+    either label is missing. Findings are counted and then sampled, so they should be a checkpoint."""
+    spark = findings.sparkSession
+    known = findings.where("label IN (0, 1)").select("label", "features")
+    totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(totals) < 2:
+        return None
+    parts = [cut_by_hash(known.where(F.col("label") == k), F.xxhash64("features", "label"), rows, n) for k, n in sorted(totals.items())]
+    sample = checkpoint(parts[0].union(parts[1]).select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector")).coalesce(4))
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    model = None
-    if len(counts) == 2:
-        # both labels weigh the same
-        weighted = sample.withColumn("weight", F.when(F.col("label") == 1, sum(counts.values()) / (2 * counts[1.0])).otherwise(sum(counts.values()) / (2 * counts[0.0])))
-        model = RandomForestClassifier(featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=11).fit(weighted)
-    sample.unpersist()
-    return model
+    # both labels weigh the same
+    weight = F.when(F.col("label") == 1, sum(counts.values()) / (2 * counts[1.0])).otherwise(sum(counts.values()) / (2 * counts[0.0]))
+    forest = RandomForestClassifier(featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=11)
+    # a fitted model holds on to its training data and so to the session, which can't always go to tasks; one that was read doesn't
+    folder = f"{shared_folder(spark)}/forest-{uuid.uuid4().hex}"
+    forest.fit(sample.withColumn("weight", weight)).write().save(folder)
+    return RandomForestClassificationModel.load(folder)
 
 
 def judge(findings: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
@@ -173,21 +182,24 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFram
     first and last are places in characters of the whole text. The forest learns from `labelled` (label,
     features) or, if not given, from the findings of `docs` by the rules. NULL and empty texts have no
     candidates; NULL ids are kept; repeated rows give their findings each; other columns are ignored."""
-    findings = find_candidates(docs)
+    findings = checkpoint(find_candidates(docs))
     return judge(findings, fit_forest(findings if labelled is None else labelled))
 
 
 def redact(docs: DataFrame, model: RandomForestClassificationModel | None, mark: str = "<secret>") -> DataFrame:
-    """`docs` (doc_id, text, n_chars, ...) with the secrets in text replaced by `mark`. Rows whose text has no
-    candidate aren't touched or moved. n_chars follows the text."""
-    columns = docs.columns
+    """`docs` (doc_id, text, n_chars, ...) with the secrets in text replaced by `mark`. n_chars follows the text.
+
+    Rows whose text has no candidate aren't touched or moved. Texts are told by their md5, so doc_id may be NULL or repeated, and
+    repeated rows stay; NULL and empty texts stay as they are; an empty table gives no rows; all columns are returned."""
+    columns, key, found = docs.columns, "__md5", "__spans"
     touched = _may_have_candidates(F.col("text"))
-    spans = judge(find_candidates(docs.where(touched).withColumn("doc_id", F.xxhash64("text")).dropDuplicates(["doc_id"])), model).where("secret")
-    spans = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last")), asc=False).alias("spans")).withColumnRenamed("doc_id", "__h")
+    texts = docs.where(touched).select(F.md5(F.col("text").cast("binary")).alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    spans = judge(find_candidates(texts, "string"), model).where("secret")
+    spans = spans.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list(F.struct("first", "last")), asc=False).alias(found))
     rest = docs.where(~touched)
     cut = lambda t, s: F.concat(F.substring(t, F.lit(1), s["first"]), F.lit(mark), F.substring(t, s["last"] + 1, F.length(t)))
-    rows = docs.where(touched).withColumn("__h", F.xxhash64("text")).join(spans, "__h", "left")
-    clean = rows.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.aggregate("spans", F.col("text"), cut)))
+    rows = docs.where(touched).withColumn(key, F.md5(F.col("text").cast("binary"))).join(spans, key, "left")
+    clean = rows.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(F.aggregate(found, F.col("text"), cut)))
     if "n_chars" in columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        clean = clean.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return clean.select(*columns).unionByName(rest)

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir or, where that is missing, one below the
+    warehouse, which is shared too."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints").rstrip("/")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint below spark.checkpoint.dir, or below the warehouse,
-    which is shared too, where that setting is missing."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Cut the lineage by a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -30,6 +37,28 @@ def bitmap(spark: SparkSession, keys: DataFrame, key: Column, bits: int) -> Broa
     return spark.sparkContext.broadcast(table.view(np.uint64))
 
 
+#: A bitmap has so many places for each key, within these bounds, as powers of two.
+PLACES_PER_KEY, BITMAP_BITS = 5, (16, 26)
+
+
+def bitmap_of(keys: DataFrame, key: str) -> Broadcast:
+    """A bitmap whose size goes with the number of keys, up to eight megabytes."""
+    low, high = BITMAP_BITS
+    return bitmap(keys.sparkSession, keys, F.col(key), min(high, max(low, keys.count().bit_length() + PLACES_PER_KEY)))
+
+
+def flag_keys(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """`rows` with a boolean column `flag`: false only where `keys` doesn't have the row's `key` (a hash, not NULL)."""
+    wanted = bitmap_of(keys, key)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = in_bitmap(wanted.value, batch.column(key).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], [*batch.schema.names, flag])
+
+    return rows.mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {flag} boolean")
+
+
 def in_bitmap(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the uint64 hashes may be among the keys; a key is never missed."""
     bits = len(table).bit_length() - 1 + 6

@@ -113,3 +113,18 @@ def test_null_ids_equal_brute_force(spark, seed):
     expected = brute([(10**9 if i is None else i, t) for i, t in rows])
     fill = lambda x: 10**9 if x is None else x
     assert sorted((fill(r["doc_id"]), r["n_shingles"], fill(r["component_id"])) for r in got) == expected
+
+
+def test_sketches_never_differ_in_more_places_than_the_sets():
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    for _ in range(60):
+        pool = np.unique(draw.integers(0, 1 << 63, 900).astype(np.uint64))
+        sets = [np.sort(draw.choice(pool, draw.integers(1, len(pool)), replace=False)) for _ in range(2)]
+        bounds = np.array([0, len(sets[0]), len(sets[0]), len(sets[0]) + len(sets[1])])
+        a, empty, b = ngram_jaccard.parity_sketches(np.concatenate(sets), bounds)
+        assert empty == b"" and ngram_jaccard.sketch_distance(a, a) == 0
+        apart = len(np.setxor1d(*sets))
+        assert ngram_jaccard.sketch_distance(a, b) <= apart
+        assert (ngram_jaccard.sketch_distance(a, b) - apart) % 2 == 0
