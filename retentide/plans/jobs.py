@@ -8,10 +8,12 @@ leave no gap: a day before the latest one also rebuilds what follows from it. On
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -296,22 +298,37 @@ def rebuild_metrics(
     _forget_snapshots(spark, date.min, names)
     daily = spark.table(names.activity).where(F.col("event_date") <= F.lit(as_of))
     first = from_day or _first_day(spark, names)
-    if first:
-        tables.replace_days(activity.user_miles_balance(daily, first), names.balance, first, as_of)
-        events = _days(spark, names.clean, first, as_of)
-        tables.replace_days(activity.active_users_by_source(events), names.sources, first, as_of)
-        _rebuild_sessions(spark, first, as_of, names)
-        number_users_of(spark, first, as_of, names)
-        _rolling(spark, first, as_of, names)
 
     def by_period(metric: Callable[[str], DataFrame]) -> DataFrame:
         parts = [metric(p).withColumn("period", F.lit(p)) for p in PERIODS]
         return reduce(DataFrame.unionByName, parts)
 
-    tables.rebuild(by_period(lambda p: growth.growth_accounting(daily, p, as_of)), names.growth)
-    tables.rebuild(growth.cohort_retention(daily, as_of), names.cohorts)
-    tables.rebuild(by_period(lambda p: engagement.engagement_depth(daily, p)), names.engagement)
-    _active_users(spark, names)
+    def grown() -> None:
+        tables.rebuild(by_period(lambda p: growth.growth_accounting(daily, p, as_of)), names.growth)
+        _active_users(spark, names)
+
+    work = [
+        grown,
+        lambda: tables.rebuild(growth.cohort_retention(daily, as_of), names.cohorts),
+        lambda: tables.rebuild(by_period(lambda p: engagement.engagement_depth(daily, p)), names.engagement),
+    ]
+    if first:
+        events = _days(spark, names.clean, first, as_of)
+        work += [
+            lambda: tables.replace_days(activity.user_miles_balance(daily, first), names.balance, first, as_of),
+            lambda: tables.replace_days(activity.active_users_by_source(events), names.sources, first, as_of),
+            lambda: _rebuild_sessions(spark, first, as_of, names),
+            lambda: _rolling(spark, first, as_of, names),
+        ]
+    _at_once(spark, work)
+
+
+def _at_once(spark: SparkSession, work: list[Callable[[], object]]) -> None:
+    """Run jobs that write different tables side by side, as each leaves tasks free while it starts and ends;
+    fails, once all have ended, if one of them fails."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in work]:
+            done.result()
 
 
 def _active_users(spark: SparkSession, names: TableNames) -> None:
@@ -334,6 +351,7 @@ def number_users_of(spark: SparkSession, first: date, last: date, names: TableNa
 
 def _rolling(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
     """Rolling counts of the days from ``first`` to ``last``; a window that reaches back reads bitmaps only."""
+    number_users_of(spark, first, last, names)
     found = rolling.rolling_active_users(spark.table(names.active_bitmaps), first, last)
     older = spark.table(names.rolling).where(F.col("event_date") < F.lit(first))
     tables.rebuild_small(older.unionByName(found), names.rolling)
@@ -414,31 +432,42 @@ def _step_metrics(spark: SparkSession, now: DataFrame, daily: DataFrame, day: da
         others = spark.table(table).join(rows.select("period", "period_start"), ["period", "period_start"], "left_anti")
         tables.rebuild_small(others.unionByName(rows.select(*others.columns)), table)
 
-    put(spark.createDataFrame(grown, schemas.GROWTH_ACCOUNTING), names.growth)
-    of_depth = T.StructType(schemas.ENGAGEMENT_DEPTH.fields[:7])
-    put(engagement.with_ratios(spark.createDataFrame(depth, of_depth)), names.engagement)
-    _active_users(spark, names)
-
-    offsets = growth.RETENTION_OFFSETS
-    back = spark.createDataFrame([(day - timedelta(days=n), n, counts[f"back_{n}"]) for n in offsets], "cohort_date date, day_offset long, back long")
-    share = F.try_divide(F.lit(100.0) * F.col("back"), "cohort_size")
-    reached = spark.table(names.cohorts).join(back, ["cohort_date", "day_offset"], "left").select(
-        "cohort_date", "cohort_size", "day_offset",
-        F.coalesce("back", "retained_users").alias("retained_users"),
-        F.coalesce(share, "retention_pct").alias("retention_pct"),
-    )
-    begun = [(day, counts["new"], n, None, None) for n in offsets if counts["new"]]
-    tables.rebuild_small(reached.unionByName(spark.createDataFrame(begun, schemas.COHORT_RETENTION)), names.cohorts)
+    def growing() -> None:
+        put(spark.createDataFrame(grown, schemas.GROWTH_ACCOUNTING), names.growth)
+        _active_users(spark, names)
+
+    def cohorts() -> None:
+        offsets = growth.RETENTION_OFFSETS
+        back = spark.createDataFrame([(day - timedelta(days=n), n, counts[f"back_{n}"]) for n in offsets], "cohort_date date, day_offset long, back long")
+        share = F.try_divide(F.lit(100.0) * F.col("back"), "cohort_size")
+        reached = spark.table(names.cohorts).join(back, ["cohort_date", "day_offset"], "left").select(
+            "cohort_date", "cohort_size", "day_offset",
+            F.coalesce("back", "retained_users").alias("retained_users"),
+            F.coalesce(share, "retention_pct").alias("retention_pct"),
+        )
+        begun = [(day, counts["new"], n, None, None) for n in offsets if counts["new"]]
+        tables.rebuild_small(reached.unionByName(spark.createDataFrame(begun, schemas.COHORT_RETENTION)), names.cohorts)
+
+    def balances() -> None:
+        net = (F.col("miles_earned_sum") - F.col("miles_redeemed_sum")).cast(schemas.MILES)
+        paid = daily.select("user_id", "event_date", "miles_earned_sum", "miles_redeemed_sum", net.alias("net_miles"))
+        held_now = now.select("user_id", F.col("balance").alias("miles_balance"))
+        tables.replace_day(paid.join(held_now, "user_id"), names.balance, day)
 
-    net = (F.col("miles_earned_sum") - F.col("miles_redeemed_sum")).cast(schemas.MILES)
-    paid = daily.select("user_id", "event_date", "miles_earned_sum", "miles_redeemed_sum", net.alias("net_miles"))
-    balances = paid.join(now.select("user_id", F.col("balance").alias("miles_balance")), "user_id")
-    tables.replace_day(balances, names.balance, day)
+    of_depth = T.StructType(schemas.ENGAGEMENT_DEPTH.fields[:7])
     events = tables.day_partition(spark, names.clean, day)
-    tables.replace_day(activity.active_users_by_source(events), names.sources, day)
-    _rebuild_sessions(spark, day, day, names)
-    number_users_of(spark, day, day, names)
-    _rolling(spark, day, day, names)
+    _at_once(
+        spark,
+        [
+            growing,
+            cohorts,
+            balances,
+            lambda: put(engagement.with_ratios(spark.createDataFrame(depth, of_depth)), names.engagement),
+            lambda: tables.replace_day(activity.active_users_by_source(events), names.sources, day),
+            lambda: _rebuild_sessions(spark, day, day, names),
+            lambda: _rolling(spark, day, day, names),
+        ],
+    )
 
 
 def _first_day(spark: SparkSession, names: TableNames) -> date | None:
