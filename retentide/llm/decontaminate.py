@@ -198,7 +198,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     `docs` (doc_id, text) and item of `benchmark` (item_id, text) that the document holds.
 
     An item is held if the share of its windows in the document reaches PERCENT, or RUN_WINDOWS of them
-    do, counted on the alignments whose slots are consistent. kind is `verbatim` if every slot has the
+    do, on one alignment whose slots are consistent or on all of these together, if they are consistent with one another. kind is `verbatim` if every slot has the
     item's own value, else `reparameterised`. The better form counts. Items of fewer than WINDOW words
     are one window. Windows of which less than LITERAL is plain words don't count as templates; an item that
     has such windows is also looked for word by word, numbers included (the verbatim form). NULL texts are empty, empty texts hold and are nothing; NULL ids are left out;
@@ -224,10 +224,20 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     line = ["doc_id", "item_id", "form", "shift"]
     met = met.withColumn("shift", F.col("at") - F.col("pos"))
     filled = met.select(*line, "pos", F.explode(F.arrays_zip("slots", "filled")).alias("slot")).select(*line, F.expr("substr(slot.slots, instr(slot.slots, ' ') + 1)").alias("theirs"), F.expr("substr(slot.filled, instr(slot.filled, ' ') + 1)").alias("ours"))
-    values = filled.groupBy(*line, "theirs").agg((F.min("ours") == F.max("ours")).cast("int").alias("one"), ((F.min("ours") == F.col("theirs")) & (F.max("ours") == F.col("theirs"))).cast("int").alias("same"))
-    lines = values.groupBy(*line).agg(F.avg("one").alias("consistency"), F.min("same").alias("same"))
-    judged = met.join(lines, line, "left").fillna(1.0, ["consistency"]).fillna(1, ["same"]).where(F.col("consistency") >= CONSISTENT)
-    shares = judged.groupBy("doc_id", "item_id", "form").agg(F.countDistinct("pos").cast("int").alias("windows"), F.min("consistency").alias("consistency"), F.min("same").alias("same"))
+
+    def judged(rows: DataFrame, slots: DataFrame, keys: list[str]) -> DataFrame:
+        """`rows` of keys whose values each stand for one value of the document, for the most part."""
+        only = lambda c: (F.min("ours") == c) & (F.max("ours") == c)
+        values = slots.groupBy(*keys, "theirs").agg((F.min("ours") == F.max("ours")).cast("int").alias("one"), only(F.col("theirs")).cast("int").alias("same"))
+        lines = values.groupBy(*keys).agg(F.avg("one").alias("consistency"), F.min("same").alias("same"))
+        return rows.join(lines, keys, "left").fillna(1.0, ["consistency"]).fillna(1, ["same"]).where(F.col("consistency") >= CONSISTENT)
+
+    # an item can lie on several alignments, as words were put in; then its values stand for one value over all of them
+    pair = ["doc_id", "item_id", "form"]
+    along = checkpoint(judged(met.select(*line, "pos"), filled, line))
+    whole = judged(along.select(*line, "pos"), filled.join(along.select(*line).distinct(), line, "left_semi"), pair)
+    share = lambda rows, keys: rows.groupBy(*keys).agg(F.countDistinct("pos").cast("int").alias("windows"), F.min("consistency").alias("consistency"), F.min("same").alias("same"))
+    shares = share(along, line).drop("shift").unionByName(share(whole, pair))
     shares = shares.join(totals, ["item_id", "form"]).where(f"100 * windows >= {PERCENT} * item_windows OR windows >= {RUN_WINDOWS}")
     shares = shares.withColumn("coverage", F.round(F.col("windows") / F.col("item_windows"), 4))
     best = shares.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("form", "windows", "item_windows", "coverage", "consistency", "same"), F.struct("coverage", -F.col("form"))).alias("best"))

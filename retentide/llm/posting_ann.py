@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retentide.llm.sampling import cut_by_hash
 from retentide.llm.spark_util import checkpoint
 
 #: The sample that centroids and the ratio are fitted on: so many vectors at most, picked by hash.
@@ -235,7 +236,7 @@ def nearest(vectors: DataFrame, asked: F.Column, neighbours: int = 20) -> DataFr
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     equal = checkpoint(few.groupBy("h", "v").agg(F.min("vec_id").alias("rep"), F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("norm", norm))
     size = equal.agg(F.count("*").alias("n"), F.max("norm").alias("longest")).first()
-    sample = equal.select("h", "rep", "v").orderBy("h", "rep").limit(SAMPLE_ROWS).select("v").toArrow()["v"]
+    sample = cut_by_hash(equal.select("h", "v"), F.col("h"), SAMPLE_ROWS, size["n"]).select("v").toArrow()["v"]
     shared = spark.sparkContext.broadcast(fit_index(_matrix(sample), size["n"], size["longest"], neighbours))
 
     def placed(lists_of):
@@ -252,6 +253,7 @@ def nearest(vectors: DataFrame, asked: F.Column, neighbours: int = 20) -> DataFr
     queries = rows.where("asked").select("h", "v", F.col("vec_id").alias("query_id")).distinct().join(equal.select("h", "v", "rep"), ["h", "v"])
     queries = checkpoint(queries.select("query_id", "rep", "v"))
     unique = queries.groupBy("rep").agg(F.first("v").alias("v"))
+    tasks = max(1, -(-unique.count() // QUERY_ROWS))
     posted = checkpoint(equal.select("rep", "v").mapInArrow(placed(lambda i, x: home_lists(i, i.place(x))), schema).select("rep", "v", F.explode("lists").alias("list")))
     counted = posted.groupBy("list").agg(F.count("*").alias("n")).toPandas()
     sizes = np.zeros(len(shared.value.centroids), np.int64)
@@ -266,7 +268,7 @@ def nearest(vectors: DataFrame, asked: F.Column, neighbours: int = 20) -> DataFr
             least = sure_scores(shared.value, _matrix(batch.column("v")), batch.column("lists").to_pylist(), keep)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least)], [*batch.schema.names, "least"])
 
-    reads = checkpoint(unique.repartition("rep").mapInArrow(asked_lists, f"{schema}, least double").select("rep", "v", "least", F.explode("lists").alias("list")))
+    reads = checkpoint(unique.repartition(tasks, "rep").mapInArrow(asked_lists, f"{schema}, least double").select("rep", "v", "least", F.explode("lists").alias("list")))
     # long lists and lists that many queries read are dealt out as blocks of rows and blocks of queries
     parts = posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).join(reads.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("shares")), "list")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -82,3 +82,19 @@ def test_other_and_inconsistent_names(spark):
     got = run(spark, [(4, f"{before}. {other} {after}"), (8, f"{before}\n{broken}")], [(100, ITEM)])
     # document 8 has the whole template and the item's numbers; its names alone don't make it chance
     assert {k: v[0] for k, v in got.items()} == {(4, 100): "reparameterised", (8, 100): "reparameterised"}
+
+
+def test_alignments_have_to_agree_on_the_values(spark):
+    """An item that uses 3 and 5 twice: words between its halves don't hide it, but other values in the second half do."""
+    first = "a farmer brings 3 baskets of pears and 5 crates of plums to the old market"
+    second = "on monday she sells 3 baskets and gives away 5 crates before the evening bell rings"
+    items = spark.createDataFrame([(1, f"{first} {second}")], "item_id long, text string")
+    swap = lambda text, x, y: text.replace("3", x).replace("5", y)
+    texts = {
+        1: f"{swap(first, '7', '9')} then later {swap(second, '7', '9')}",
+        2: f"{swap(first, '7', '9')} then later {swap(second, '41', '66')}",
+        3: f"{swap(first, '7', '9')} {swap(second, '7', '9')} and once more {swap(first, '41', '66')} {swap(second, '41', '66')}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.kind for r in find_contaminated(docs, items).collect()}
+    assert found == {1: "reparameterised", 3: "reparameterised"}
