@@ -3,14 +3,16 @@
 Every element's subtree is hashed. The hashes of elements outside the main content are counted per
 host in Spark; a subtree that comes back on many pages of its host is template and is deleted, like the
 elements that by their tag or class are menus, headers, footers, forms, notices, adverts or comments.
-Inside the main content (article or main) text that comes back is kept, as it is part of the article:
-there only subtrees that consist of links mostly are deleted as template.
+Inside the main content (article or main) paragraphs that come back are kept, as they are part of the article:
+there subtrees that consist of links mostly are deleted as template, and containers (div, section, lists and the
+like) that come back on a larger share of the host's pages and are a small part of their article, as notices are.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,6 +26,8 @@ from retentide.llm.spark_util import checkpoint
 
 #: A subtree is template if at least so many pages of its host, and this share of them, have it.
 MIN_PAGES, MIN_SHARE = 3, 0.05
+#: The same for containers inside the main content, and the greatest part of its letters that they may have.
+INNER_PAGES, INNER_SHARE, INNER_PART = 5, 0.2, 0.25
 #: Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
@@ -46,6 +50,8 @@ MARKS = frozenset(
     "recommended recommendations pagination pager toolbar contentinfo complementary search form alert skip skiplink hidden copyright disclaimer legal tags".split()
 )
 MAIN = frozenset(["article", "main"])
+#: What can be deleted as a whole inside the main content.
+CONTAINERS = frozenset("blockquote center details div dl figure ol section table ul".split())
 NEVER = frozenset("#text #root html body head script style noscript template title".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|[^<]+|<""", re.S)
@@ -82,7 +88,13 @@ def parse(page: str) -> Element:
     """The tree of a page; whatever is wrong with it, as browsers do in the common cases."""
     root = Element("#root")
     stack = [root]
+    opened: Counter[str] = Counter()
     at, n = 0, len(page)
+
+    def close(k: int) -> None:
+        opened.subtract(e.tag for e in stack[k:])
+        del stack[k:]
+
     while at < n:
         found = _TOKEN.match(page, at)
         whole = found.group()
@@ -94,9 +106,10 @@ def parse(page: str) -> Element:
             continue
         name = name.lower()
         if found.group(1):
-            for k in range(len(stack) - 1, 0, -1):
+            # without a start tag there is nothing to look for
+            for k in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[k].tag == name:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in FENCES and name in INLINE | {"p"}:
                     break  # an end tag without a start tag inside this element
@@ -104,13 +117,13 @@ def parse(page: str) -> Element:
         if name in ENDS_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag not in INLINE:
                     break
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in SIBLINGS.get(name, ()):
-                del stack[k:]
+        for k in range(len(stack) - 1, 0, -1) if name in SIBLINGS else ():
+            if stack[k].tag in SIBLINGS[name]:
+                close(k)
                 break
             if stack[k].tag in FENCES:
                 break
@@ -123,6 +136,7 @@ def parse(page: str) -> Element:
             at = end.end() if end else n
         elif name not in VOID:
             stack.append(element)
+            opened[name] += 1
     return root
 
 
@@ -158,6 +172,15 @@ def _regions(root: Element) -> list[Element]:
     return out
 
 
+def _name(subtree: int, inner: bool) -> int:
+    """How a subtree is known in the counts: its last bit says whether it is a container inside main content."""
+    return subtree & ~1 | inner
+
+
+def _is_inner(node: Element, region: Element, lengths: dict[int, tuple[int, int]]) -> bool:
+    return node.tag in CONTAINERS and node is not region and lengths[id(node)][0] <= INNER_PART * lengths[id(region)][0]
+
+
 def template_candidates(page: str) -> tuple[int, list[int]]:
     """A hash of the page's text outside of what is dropped in any case, by which copies of a page are known,
     and the hashes of its subtrees that may be template, each once."""
@@ -165,14 +188,18 @@ def template_candidates(page: str) -> tuple[int, list[int]]:
     hashes: dict[int, int] = {}
     lengths: dict[int, tuple[int, int]] = {}
     _hashes(root, hashes, lengths)
-    regions = {id(x) for x in _regions(root)}
-    found, texts, queue = set(), [], [(root, False)]
+    regions = {id(x): x for x in _regions(root)}
+    found, texts = set(), []
+    queue: list[tuple[Element, Element | None]] = [(root, None)]
     while queue:
         node, inside = queue.pop()
-        inside |= id(node) in regions
+        inside = inside or regions.get(id(node))
         letters, in_links = lengths[id(node)]
-        if letters and node.tag not in NEVER and id(node) not in regions and (not inside or 2 * in_links > letters):
-            found.add(hashes[id(node)])
+        if letters and node.tag not in NEVER and id(node) not in regions:
+            if not inside or 2 * in_links > letters:
+                found.add(_name(hashes[id(node)], False))
+            if inside and _is_inner(node, inside, lengths):
+                found.add(_name(hashes[id(node)], True))
         if not (node.marked or node.tag in DROPPED):
             queue.extend((c, inside) for c in node.children if c.tag != "#text")
             texts += [hashes[id(c)] for c in node.children if c.tag == "#text" and hashes[id(c)]]
@@ -187,6 +214,15 @@ def main_text(page: str, template: set[int]) -> str:
     if template:
         _hashes(root, hashes, lengths)
     regions = _regions(root)
+
+    def recurs(node: Element, region: Element) -> bool:
+        if not template:
+            return False
+        letters, in_links = lengths[id(node)]
+        if _name(hashes[id(node)], False) in template and (not regions or 2 * in_links > letters):
+            return True
+        return bool(regions) and _name(hashes[id(node)], True) in template and _is_inner(node, region, lengths)
+
     blocks: list[str] = []
     line: list[str] = []
 
@@ -204,7 +240,7 @@ def main_text(page: str, template: set[int]) -> str:
                 flush()
             elif node.tag == "#text":
                 line.append(node.text)
-            elif node is not region and (node.marked or node.tag in DROPPED or hashes.get(id(node)) in template and (not regions or 2 * lengths[id(node)][1] > lengths[id(node)][0])):
+            elif node is not region and (node.marked or node.tag in DROPPED or recurs(node, region)):
                 if node.tag not in INLINE:
                     flush()
             elif node.tag == "br":
@@ -250,7 +286,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     votes = seen.groupBy("host", "content").agg(F.min("found").alias("found")).select("host", F.explode("found").alias("subtree"))
     each = seen.select("host", "page", F.explode("found").alias("subtree"))
     counted = votes.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).join(hosts, "host")
-    repeated = counted.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "subtree")
+    inner = F.col("subtree").bitwiseAND(F.lit(1)) == 1
+    often = F.when(inner, (F.col("n") >= INNER_PAGES) & (F.col("n") >= INNER_SHARE * F.col("pages"))).otherwise(F.col("n") >= MIN_SHARE * F.col("pages"))
+    repeated = counted.where(often).select("host", "subtree")
     # pages are told their template subtrees; only hashes are moved for that
     of_page = each.join(repeated, ["host", "subtree"]).groupBy("page").agg(F.collect_set("subtree").alias("template"))
     joined = pages.withColumn("page", F.xxhash64("key")).join(of_page, "page", "left").select("page_id", "url", "html", "template")

@@ -77,3 +77,59 @@ def test_copies_of_a_page_have_one_vote(spark):
     assert {got[i] for i in range(6)} == {"A story\nin two paragraphs"}
     assert got[103] == "Story number 3"
     assert got[200] == "Our great site\nA story\nin two paragraphs"
+
+
+def test_counted_containers_go_inside_articles(spark):
+    """What only the count can tell: unmarked notices, bylines and link lists inside articles, none of them marked by tag or class."""
+    notice, byline = "<div><b>Read us</b> every week, by mail</div>", "<section>The editors of Example wrote this</section>"
+    links = "<ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul>"
+    story = lambda k: " ".join(f"word{k}x{j}" for j in range(60))
+    rows = [(i, f"http://a.example/{i}", f"<article><h1>Title {i}</h1>{byline}<p>Same line</p><p>{story(i)}</p>{notice}{links}</article>") for i in range(12)]
+    # too few pages to say so
+    rows += [(100 + i, "http://b.example/", f"<article>{notice}<p>{story(i)}</p></article>") for i in range(4)]
+    # near copies of one article: its body comes back, but is the article
+    rows += [(200 + i, "http://c.example/", f"<article><h1>Copy {i}</h1><div><p>{story(7)}</p></div></article>") for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[i] == f"Title {i}\nSame line\n{story(i)}" for i in range(12))
+    assert got[101] == f"Read us every week, by mail\n{story(1)}"
+    assert got[203] == f"Copy 3\n{story(7)}"
+
+
+def test_unmatched_end_tags_take_linear_time():
+    import time
+
+    page = "<article>" + "<div>" * 20_000 + "</b></td></span>" * 20_000 + "deep</article>"
+    began = time.time()
+    assert main_text(page, set()) == "deep" and time.time() - began < 5
+
+
+def brute(pages):
+    """Whole texts by the definition, one page and host at a time, for pages of articles only."""
+    from collections import Counter
+
+    from retentide.llm import site_templates as st
+
+    votes, sizes = {}, {}
+    for _, url, page in pages:
+        content, found = template_candidates(page)
+        votes.setdefault(url.split("/")[2], {})[content] = found
+    out = {}
+    for host, own in votes.items():
+        sizes[host] = len(own)
+        n = Counter(x for found in own.values() for x in found)
+        out[host] = {x for x, k in n.items() if (k >= 5 and k >= 0.2 * len(own) if x & 1 else k >= 3 and k >= 0.05 * len(own))}
+    return {i: st.main_text(page, out[url.split("/")[2]]) for i, url, page in pages}
+
+
+def test_counts_equal_brute_force(spark):
+    import random
+
+    draw = random.Random(6)
+    parts = [f"<div>{'abc'[k % 3]} block {k}</div>" for k in range(6)] + [f"<ul><li><a href=/{k}>to {k}</a></ul>" for k in range(4)] + ["<p>same</p>", "<section><p>x</p></section>"]
+    rows = []
+    for i in range(120):
+        body = "".join(draw.choices(parts, k=draw.randrange(4))) + f"<p>{'own text ' * draw.randrange(1, 9)}{i}</p>" + "".join(draw.choices(parts, k=2))
+        rows.append((i, f"http://h{draw.randrange(4)}.example/{i}", f"<article>{body}</article>" if draw.random() < 0.6 else body))
+    got = {r["page_id"]: r["text"] for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    want = brute(rows)
+    assert got == want and any(got[i] != main_text(page, set()) for i, _, page in rows)
