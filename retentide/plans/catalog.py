@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from retentide.functions import bitmaps as bits
 from retentide.functions.calendar import (
     last_day_of,
+    parse_day,
     period_from_index,
     period_index,
     period_start,
@@ -198,6 +199,15 @@ def job_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_warehouse(spark, sf_dir).events).select(*EVENTS.fieldNames(), "event_date")
 
 
+@query
+def job_day_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each loaded day as the command line takes it, with the day before, whose bitmaps its load reads."""
+    days = jobs.built_days(spark, _warehouse(spark, sf_dir))
+    texts = [f"{d:%Y%m%d}" for d in days]
+    rows = [(t, parse_day(t), parse_day(t) - timedelta(days=1)) for t in texts]
+    return spark.createDataFrame(rows, "argument string, day date, day_before date")
+
+
 @query
 def job_login_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_warehouse(spark, sf_dir).bitmaps).select(*bitmaps.COLUMNS)

@@ -638,6 +638,9 @@ FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)""",
         "job_login_bitmaps": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
         "job_user_states": _ranges(CLEAN, ALL, 14),
         "job_user_states_stepped": _ranges(CLEAN, ALL, 14),
+        "job_day_arguments": _with(ODD)
+        + """SELECT strftime(d, '%Y%m%d') AS argument, d AS day, CAST(d - 1 AS DATE) AS day_before FROM (
+  SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS d FROM ev)""",
         "job_load_ledger": _with(ODD.replace("\nev AS (", "\nodd_ev AS (", 1))
         + f""", loaded AS (SELECT *, {FIRST_ROW} AS rn FROM odd_ev),
 days AS (SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS event_date FROM odd_ev)

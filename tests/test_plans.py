@@ -8,8 +8,8 @@ from retentide.plans.catalog import REGISTRY as QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 FORBIDDEN = (
-    "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
-    "BroadcastNestedLoopJoin",
+    "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsIn",
+    "FlatMapCoGroupsIn", "CartesianProduct", "BroadcastNestedLoopJoin",
 )
 
 
