@@ -14,7 +14,7 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 #: Texts handled at once: as many as have so many bytes, and one at least.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93

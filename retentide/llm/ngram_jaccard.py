@@ -25,20 +25,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retentide.llm.arrow_text import PLACES, TOKENS, mix, slices, windows, words
+from retentide.llm.arrow_text import PLACES, TOKENS, mix, slices, text_groups, windows, words
 from retentide.llm.components import connected_components
 from retentide.llm.spark_util import bitmap_of, checkpoint, in_bitmap
 
 #: Frequent shingles whose counts decide the order; the order changes the work, never the result.
 FREQUENT = 1 << 19
 #: A task looks for shingles that come up this often among so many shingles.
-LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 22
+LOCALLY_FREQUENT, LOCAL_WINDOW = 4, 1 << 21
 BLOCK_ROWS = 2048
 #: Leaders of a long list, and how many members it takes for one more; the leaders tried in each round.
 LEADERS, LEADERS_EVERY = 64, 4
 LEADER_ROUNDS = ((1, 3), (4, 12), (13, 64))
 #: Places of a set's sketch for each of its shingles, at least.
 SKETCH_BITS = 2
+#: Shingles whose sets are sketched at once, beyond a single set.
+SKETCHED_AT_ONCE = 1 << 16
 #: Of the shingles that two prefixes must share, one in so many is looked for.
 SHARE_JOINED = 4
 
@@ -84,11 +86,16 @@ def parity_sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     places than the sets do in shingles."""
     sizes = np.diff(bounds)
     bits = np.where(sizes > 0, np.maximum(64, 1 << np.ceil(np.log2(np.maximum(sizes * SKETCH_BITS, 1))).astype(np.int64)), 0)
-    starts = np.concatenate([[0], np.cumsum(bits)])
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    flips = np.bincount(starts[owner] + (values & (bits[owner] - 1).astype(np.uint64)).astype(np.int64), minlength=starts[-1]) & 1
-    packed = np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
-    return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    out: list[bytes] = []
+    for first, last in text_groups(bounds, SKETCHED_AT_ONCE):
+        some = bits[first:last]
+        starts = np.concatenate([[0], np.cumsum(some)])
+        owner = np.repeat(np.arange(last - first), sizes[first:last])
+        place = values[bounds[first] : bounds[last]] & (some[owner] - 1).astype(np.uint64)
+        flips = np.bincount(starts[owner] + place.astype(np.int64), minlength=starts[-1]) & 1
+        packed = np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+        out += [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    return out
 
 
 def sketch_distance(a: bytes, b: bytes) -> int:

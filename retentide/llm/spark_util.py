@@ -47,16 +47,19 @@ def bitmap_of(keys: DataFrame, key: str) -> Broadcast:
     return bitmap(keys.sparkSession, keys, F.col(key), min(high, max(low, keys.count().bit_length() + PLACES_PER_KEY)))
 
 
-def flag_keys(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """`rows` with a boolean column `flag`: false only where `keys` doesn't have the row's `key` (a hash, not NULL)."""
-    wanted = bitmap_of(keys, key)
+def flag_keys(rows: DataFrame, key: str, flags: dict[str, DataFrame]) -> DataFrame:
+    """`rows` with a boolean column for each of `flags`, false only where its keys (a column `key`) don't have the row's `key`,
+    a hash that isn't NULL."""
+    wanted = [bitmap_of(keys, key) for keys in flags.values()]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = in_bitmap(wanted.value, batch.column(key).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], [*batch.schema.names, flag])
+            hashes = batch.column(key).to_numpy().view(np.uint64)
+            found = [pa.array(in_bitmap(w.value, hashes), pa.bool_()) for w in wanted]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *flags])
 
-    return rows.mapInArrow(scan, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {flag} boolean")
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{name}` boolean" for name in flags]
+    return rows.mapInArrow(scan, ", ".join(columns))
 
 
 def in_bitmap(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
