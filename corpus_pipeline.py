@@ -43,13 +43,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__key": ngram_jaccard.row_key()})
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """`docs` without the rows in `gone` (__id, __key). A bitmap of these keeps the texts of most others from being moved."""
-    rows = flag_keys(_keyed(docs), gone, "__key", "__may_go")
-    kept = rows.where("__may_go").join(gone, ["__id", "__key"], "left_anti")
-    return kept.unionByName(rows.where("NOT __may_go")).select(*docs.columns)
-
-
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the least doc_id (a NULL comes last), of its texts the one of the least key.
     Documents without words are in no group and stay, equal ones as one row."""
@@ -60,9 +53,11 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = grouped.join(first, "component").where("__id <> first.__id OR __key <> first.__key").select("__id", "__key").distinct()
     # a row that is there twice is a group, too
     twice = checkpoint(rows.groupBy("__id", "__key").agg(F.count("*").alias("n")).where("n > 1").select("__id", "__key"))
-    kept = flag_keys(_keyed(_without(docs, checkpoint(gone))), twice, "__key", "__twice")
-    once = kept.where("__twice").dropDuplicates(["__id", "__key"])
-    return once.unionByName(kept.where("NOT __twice")).select(*docs.columns)
+    gone = checkpoint(gone)
+    # bitmaps of the keys keep the texts of most others from being moved
+    flagged = flag_keys(_keyed(docs), "__key", {"__may_go": gone, "__twice": twice})
+    moved = flagged.where("__may_go OR __twice").join(gone, ["__id", "__key"], "left_anti").dropDuplicates(["__id", "__key"])
+    return moved.unionByName(flagged.where("NOT (__may_go OR __twice)")).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +65,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows = _keyed(docs).select(F.col("__key").alias("doc_id"), "text")
     found = decontaminate.find_contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     keys = checkpoint(found.select(F.col("doc_id").alias("__key")).distinct())
-    flagged = flag_keys(_keyed(docs), keys, "__key", "__may_go")
+    flagged = flag_keys(_keyed(docs), "__key", {"__may_go": keys})
     kept = flagged.where("__may_go").join(keys, "__key", "left_anti")
     return kept.unionByName(flagged.where("NOT __may_go")).select(*docs.columns)
 
