@@ -50,15 +50,15 @@ def bitmap_of(keys: DataFrame, key: str) -> Broadcast:
 def flag_keys(rows: DataFrame, key: str, flags: dict[str, DataFrame]) -> DataFrame:
     """`rows` with a boolean column for each of `flags`, false only where its keys (a column `key`) don't have the row's `key`,
     a hash that isn't NULL."""
-    wanted = [bitmap_of(keys, key) for keys in flags.values()]
+    names, wanted = list(flags), [bitmap_of(keys, key) for keys in flags.values()]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column(key).to_numpy().view(np.uint64)
             found = [pa.array(in_bitmap(w.value, hashes), pa.bool_()) for w in wanted]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *flags])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
 
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{name}` boolean" for name in flags]
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{name}` boolean" for name in names]
     return rows.mapInArrow(scan, ", ".join(columns))
 
 
