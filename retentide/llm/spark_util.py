@@ -26,6 +26,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows that go to a Python worker at once; the default of 10,000 whole texts takes tens of megabytes on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session, unless it has smaller ones."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(setting))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def bitmap(spark: SparkSession, keys: DataFrame, key: Column, bits: int) -> Broadcast:
     """Broadcast a bitmap of 2**bits places, whatever the number of keys: `key` hashes of `keys`,
     by their upper bits. At most 2**bits / 64 words come to the driver."""
