@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 
 from retentide.llm import decontaminate, language_id, ngram_jaccard, secret_forest, soft_mixing
 from retentide.llm.queries import TARGETS
-from retentide.llm.spark_util import checkpoint, flag_keys
+from retentide.llm.spark_util import checkpoint, flag_keys, small_batches
 
 LEAST_SHARE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of NULL or empty text go, as no language can be told; equal rows are judged alike; a NULL doc_id doesn't matter."""
+    small_batches(spark)
     model = language_id.fit_languages(language_id.training_rows(docs))
     found = language_id.predict_languages(docs, model)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
@@ -46,6 +47,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the least doc_id (a NULL comes last), of its texts the one of the least key.
     Documents without words are in no group and stay, equal ones as one row."""
+    small_batches(spark)
     groups = ngram_jaccard.similar_components(docs, keyed=True)
     rows = checkpoint(groups.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("key").alias("__key"), "component", (F.col("n_shingles") > 0).alias("full")))
     grouped = rows.where("full")
@@ -62,6 +64,7 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row goes if its text holds an item; each text is judged by itself, also where an id comes with several or is NULL."""
+    small_batches(spark)
     rows = _keyed(docs).select(F.col("__key").alias("doc_id"), "text")
     found = decontaminate.find_contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     keys = checkpoint(found.select(F.col("doc_id").alias("__key")).distinct())
@@ -72,11 +75,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row stays, secrets in its text are replaced; NULL and empty texts have none."""
+    small_batches(spark)
     return secret_forest.redact(docs, secret_forest.fit_forest(checkpoint(secret_forest.find_candidates(docs))))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row gets its rate, also where doc_id is NULL or repeated; rows of rate 0 go."""
+    small_batches(spark)
     labelled = soft_mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return soft_mixing.mix_documents(docs, labelled, TARGETS).where("rate > 0")
 
