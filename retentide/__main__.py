@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     command("run-day", "load a day and everything that follows from it", "day", raw=True)
     command("backfill", "load many days at once", "first", "last", raw=True)
     command("check", "report the data-quality checks of a day", "day", raw=True)
+    command("reconcile", "compare days of bronze with the raw log by content", "first", "last", raw=True)
     return top
 
 
@@ -59,6 +60,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             for row in found:
                 print(f"{row['check']}: {row['n_bad']}")
             return int(any(row["n_bad"] for row in found))
+        elif args.job == "reconcile":
+            found = jobs.reconcile_bronze(spark, args.raw, args.first, args.last).orderBy("event_date").collect()
+            for row in found:
+                print(f"{row['event_date']}: {row['source_rows']} in the log, {row['table_rows']} loaded, {row['missing']} missing, {row['extra']} too many")
+            return int(any(row["missing"] or row["extra"] for row in found))
     except jobs.FailedChecks as failed:
         print(f"stopped by checks: {failed}")
         return 1

@@ -24,7 +24,7 @@ from retentide.functions.calendar import (
     period_index,
     period_start,
 )
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, rolling, states
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, reconcile, rolling, states
 from retentide.schemas import (
     BRONZE_EVENTS,
     CLEAN_EVENTS,
@@ -37,7 +37,7 @@ from retentide.schemas import (
 )
 from retentide.plans import jobs
 from retentide.session import shared_path
-from retentide.sources import raw_events, tables
+from retentide.sources import quoted_lines, raw_events, tables
 from retentide.sources.sample_tables import (
     loyalty_events,
     order_events,
@@ -96,6 +96,22 @@ def bronze_csv_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.groupBy("platform", "country").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def bronze_quoted_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw log with line breaks inside quoted values: at their ends, several in a row, beside quotes."""
+    events = loyalty_events(spark, sf_dir)
+    k, category = F.col("event_id") % 5, F.coalesce("transaction_category", F.lit("none"))
+    broken = (
+        F.when(k == 0, F.concat(category, F.lit("\n")))
+        .when(k == 1, F.concat(F.lit('\n\n"'), category))
+        .when(k == 2, F.concat(category, F.lit(',\n"x"\n,,,')))
+        .otherwise(F.col("transaction_category"))
+    )
+    path = shared_path(spark, "quoted-lines")
+    raw_events.write_raw_events(events.withColumn("transaction_category", broken), path)
+    return raw_events.with_event_date(quoted_lines.read_quoted_lines(spark, path))
+
+
 def _bounds(spark: SparkSession, sf_dir: str):
     """First and last day of the sample events."""
     days = loyalty_events(spark, sf_dir).agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
@@ -316,6 +332,34 @@ def job_session_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.withColumn("sessions_per_active_day", F.round("sessions_per_active_day", 4))
 
 
+@query
+def job_session_frequency_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = spark.table(_stepped(spark, sf_dir).sessions).select(*SESSION_FREQUENCY.fieldNames())
+    return sessions.withColumn("sessions_per_active_day", F.round("sessions_per_active_day", 4))
+
+
+@query
+def job_open_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who may go on after the last day's midnight, as the last daily step left it."""
+    return spark.table(_stepped(spark, sf_dir).open_sessions)
+
+
+@query
+def job_indexed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day of a log without folders of days, from the files that the log's index names."""
+    _, last = _bounds(spark, sf_dir)
+    path = shared_path(spark, "raw-files")
+    raw_events.write_raw_events(_odd_categories(loyalty_events(spark, sf_dir)).repartitionByRange(16, "event_time"), path)
+    return raw_events.day_slice(jobs.read_raw(spark, path, last, names=_warehouse(spark, sf_dir)), last)
+
+
+@query
+def job_reconcile_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log against the bronze table that the batch has built from it."""
+    first, last = _bounds(spark, sf_dir)
+    return jobs.reconcile_bronze(spark, _raw_log(spark, sf_dir), first, last, _warehouse(spark, sf_dir))
+
+
 @query
 def job_check_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = _bounds(spark, sf_dir)
@@ -642,6 +686,33 @@ def dq_bronze_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_count_differences(events, events.withColumn("event_date", moved))
 
 
+def _damaged_copy(events: DataFrame) -> DataFrame:
+    """A copy that lost rows, has others twice, and in which values were swapped, emptied or put on another day."""
+    k = F.col("event_id")
+    copies = F.when(k % 211 == 0, 0).when(k % 89 == 0, 2).otherwise(1)
+    return events.where(copies > 0).withColumns(
+        {
+            "country": F.when(k % 97 == 0, "SG").otherwise(F.col("country")),
+            "miles_amount": F.when(k % 61 != 0, F.col("miles_amount")),
+            "event_date": F.when(k % 131 == 0, F.date_add("event_date", 1)).otherwise(F.col("event_date")),
+            "copy": F.explode(F.sequence(F.lit(1), copies)),
+        }
+    )
+
+
+@query
+def dq_reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows by which a damaged copy differs, found through fingerprints."""
+    events = loyalty_events(spark, sf_dir)
+    return reconcile.row_differences(events, _damaged_copy(events), EVENTS.fieldNames())
+
+
+@query
+def dq_reconcile_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = loyalty_events(spark, sf_dir)
+    return reconcile.day_differences(events, _damaged_copy(events), EVENTS.fieldNames())
+
+
 @query
 def dq_bronze_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = order_events(spark, sf_dir)

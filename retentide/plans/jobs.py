@@ -7,6 +7,7 @@ leave no gap: a day before the latest one also rebuilds what follows from it. On
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
@@ -14,13 +15,13 @@ from datetime import date, timedelta
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retentide import schemas
 from retentide.functions.calendar import PERIODS, period_from_index, period_index, period_start
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, rolling, snapshot, states
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, reconcile, rolling, snapshot, states
 from retentide.session import require_utc
 from retentide.sources import raw_events, tables
 
@@ -57,6 +58,14 @@ class TableNames:
     def ledger(self) -> str:
         return _beside(self.events, "load_ledger")
 
+    @property
+    def raw_files(self) -> str:
+        return _beside(self.events, "raw_log_files")
+
+    @property
+    def open_sessions(self) -> str:
+        return _beside(self.sessions, "dwm_open_sessions")
+
     @property
     def snapshot(self) -> str:
         return _beside(self.activity, "dwm_user_snapshot")
@@ -108,6 +117,8 @@ def create_tables(
     tables.create_day_table(spark, names.snapshot, schemas.USER_SNAPSHOT, "event_date")
     tables.create_day_table(spark, names.numbers, schemas.USER_NUMBERS, "event_date")
     tables.create_day_table(spark, names.active_bitmaps, schemas.ACTIVE_BITMAPS, "event_date")
+    tables.create_day_table(spark, names.open_sessions, schemas.OPEN_SESSIONS, "event_date")
+    tables.create_table(spark, names.raw_files, schemas.RAW_FILES, "log_id")
     # Serving tables of a few rows a day: a partition for each period or offset, not for each day.
     tables.create_table(spark, names.rolling, schemas.ROLLING_USERS, "window_days")
     tables.create_table(spark, names.growth, schemas.GROWTH_ACCOUNTING, "period")
@@ -129,17 +140,11 @@ def built_days(spark: SparkSession, names: TableNames = TableNames()) -> list[da
     return tables.partition_days(spark, names.ledger)
 
 
-def fingerprint() -> Column:
-    """An order-free fingerprint of the rows of a group: the sum of their hashes."""
-    columns = schemas.EVENTS.fieldNames()
-    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
-
-
 def ledger_rows(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> DataFrame:
     """What the ledger has to say of some days: rows of bronze and of the cleaned events, and the fingerprint
     of bronze; a row for each day."""
     calendar = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("event_date"))
-    events = _days(spark, names.events, first, last).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events"), fingerprint().alias("fingerprint"))
+    events = _days(spark, names.events, first, last).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events"), reconcile.fingerprint(schemas.EVENTS.fieldNames()).cast("string").alias("fingerprint"))
     clean = _days(spark, names.clean, first, last).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_clean"))
     found = calendar.join(events, "event_date", "left").join(clean, "event_date", "left")
     return found.fillna(0, ["n_events", "n_clean"]).fillna("0", ["fingerprint"])
@@ -159,8 +164,30 @@ def _forget(spark: SparkSession, first: date, last: date, names: TableNames) ->
             tables.drop_day(spark, names.ledger, day)
 
 
-def read_raw(spark: SparkSession, raw_path: str, first: date, last: date | None = None) -> DataFrame:
-    return raw_events.read_raw_events(spark, raw_events.paths_of_days(raw_path, first, last))
+def log_index(spark: SparkSession, raw_path: str, names: TableNames = TableNames()) -> DataFrame:
+    """The index of a raw log's files, brought up to date: files that are new or have changed are read once,
+    those that are gone leave it."""
+    log_id = hashlib.md5(raw_path.encode()).hexdigest()
+    held = spark.table(names.raw_files).where(F.col("log_id") == log_id).drop("log_id")
+    now = raw_events.list_files(spark, raw_path)
+    known = held.join(now, [*raw_events.FILE_KEY], "left_semi")
+    fresh = now.join(held, [*raw_events.FILE_KEY], "left_anti")
+    if tables.has_rows(fresh) or tables.has_rows(held.join(now, [*raw_events.FILE_KEY], "left_anti")):
+        rows = known.unionByName(raw_events.index_files(spark, fresh)).withColumn("log_id", F.lit(log_id))
+        tables.replace_where(rows, names.raw_files, F.lit(True), lambda v: v == log_id)
+    return spark.table(names.raw_files).where(F.col("log_id") == log_id)
+
+
+def read_raw(
+    spark: SparkSession, raw_path: str, first: date, last: date | None = None, names: TableNames = TableNames()
+) -> DataFrame:
+    """The raw events of some days, and maybe others. Of a log without folders of days only the files that its
+    index names are opened; a log of a single file is read whole, as it changes whenever events come in."""
+    if "{day}" in raw_path or tables.table_missing(spark, names.raw_files):
+        return raw_events.read_raw_events(spark, raw_events.paths_of_days(raw_path, first, last))
+    if len(raw_events.list_files(spark, raw_path).take(2)) < 2:
+        return raw_events.read_raw_events(spark, raw_path)
+    return raw_events.read_files(spark, raw_events.files_of_days(log_index(spark, raw_path, names), first, last))
 
 
 def load_bronze(
@@ -168,7 +195,7 @@ def load_bronze(
 ) -> int:
     """Replace one day of bronze events from the raw log; returns the number of rows."""
     _forget(spark, day, day, names)
-    raw = read_raw(spark, raw_path, day)
+    raw = read_raw(spark, raw_path, day, names=names)
     events = raw_events.with_event_date(raw_events.day_slice(raw, day))
     return tables.replace_day(events, names.events, day)
 
@@ -178,7 +205,7 @@ def load_bronze_days(
 ) -> None:
     """Replace many days of bronze events in one pass over the raw log."""
     _forget(spark, first, last, names)
-    raw = raw_events.day_slice(read_raw(spark, raw_path, first, last), first, last)
+    raw = raw_events.day_slice(read_raw(spark, raw_path, first, last, names), first, last)
     tables.replace_days(raw_events.with_event_date(raw), names.events, first, last)
 
 
@@ -361,11 +388,12 @@ def _rolling(spark: SparkSession, first: date, last: date, names: TableNames) ->
 
 
 def _forget_snapshots(spark: SparkSession, day: date, names: TableNames) -> None:
-    """Drop the snapshots that include ``day``, as what they were made of is about to change."""
-    if not tables.table_missing(spark, names.snapshot):
-        for held in tables.partition_days(spark, names.snapshot):
-            if held >= day:
-                tables.drop_day(spark, names.snapshot, held)
+    """Drop the snapshots and open sessions that include ``day``, as what they were made of is about to change."""
+    for table in (names.snapshot, names.open_sessions):
+        if not tables.table_missing(spark, table):
+            for held in tables.partition_days(spark, table):
+                if held >= day:
+                    tables.drop_day(spark, table, held)
 
 
 def step_gold(spark: SparkSession, day: date, names: TableNames = TableNames(), metrics: bool = True) -> bool:
@@ -464,7 +492,7 @@ def _step_metrics(spark: SparkSession, now: DataFrame, daily: DataFrame, day: da
             balances,
             lambda: put(engagement.with_ratios(spark.createDataFrame(depth, of_depth)), names.engagement),
             lambda: tables.replace_day(activity.active_users_by_source(events), names.sources, day),
-            lambda: _rebuild_sessions(spark, day, day, names),
+            lambda: _step_sessions(spark, events, day, names),
             lambda: _rolling(spark, day, day, names),
         ],
     )
@@ -492,6 +520,24 @@ def _rebuild_sessions(spark: SparkSession, first: date, last: date, names: Table
         F.col("period_start").between(F.lit(edge["low"]), F.lit(edge["high"])),
         lambda v: edge["low"] <= date.fromisoformat(v) <= edge["high"],
     )
+    last_events = tables.day_partition(spark, names.clean, last)
+    tables.replace_day(engagement.open_sessions(last_events, last), names.open_sessions, last)
+
+
+def _step_sessions(spark: SparkSession, events: DataFrame, day: date, names: TableNames) -> None:
+    """Add the sessions of ``day`` to its period, from its events and the sessions that were open at midnight."""
+    before = day - timedelta(days=1)
+    still_open = tables.day_partition(spark, names.open_sessions, before)
+    if before not in tables.partition_days(spark, names.open_sessions):
+        # nobody's, or written before there was such a table: the last gap of the day before tells
+        still_open = engagement.open_sessions(tables.day_partition(spark, names.clean, before), before)
+    found = engagement.day_sessions(events, still_open, day, SESSION_PERIOD)
+    start = spark.range(1).select(period_start(F.lit(day), SESSION_PERIOD).alias("start")).first()["start"]
+    held = tables.day_partition(spark, names.sessions, start, "period_start")
+    of_period = F.col("period_start") == F.lit(start)
+    tables.replace_where(engagement.merged_sessions(held.select(*found.columns), found), names.sessions, of_period, lambda v: v == str(start))
+    tables.replace_day(engagement.open_sessions(events, day), names.open_sessions, day)
+    tables.drop_day(spark, names.open_sessions, before)
 
 
 def _range_end(spark: SparkSession, first: date, last: date, names: TableNames) -> date:
@@ -587,7 +633,7 @@ def check_bronze(
 
     Events without a time belong to no day and never reach the table, so they are counted in the log.
     """
-    raw = read_raw(spark, raw_path, day, last)
+    raw = read_raw(spark, raw_path, day, last, names)
     of_log = raw.agg(
         F.count_if(raw_events.is_on(day, last)).alias("source_rows"),
         F.lit(0).cast("bigint").alias("table_rows"),
@@ -617,3 +663,12 @@ def check_bitmaps(
         _days(spark, names.bitmaps, day, last or day),
         bitmaps.active_devices(_days(spark, names.clean, day, last or day)),
     )
+
+
+def reconcile_bronze(
+    spark: SparkSession, raw_path: str, first: date, last: date, names: TableNames = TableNames()
+) -> DataFrame:
+    """For each of some days: its rows in the raw log and in bronze, those that bronze lacks, and those that it
+    has too many, by content. Days without any row on either side are left out."""
+    raw = raw_events.with_event_date(raw_events.day_slice(read_raw(spark, raw_path, first, last, names), first, last))
+    return reconcile.day_differences(raw, _days(spark, names.events, first, last), schemas.EVENTS.fieldNames())

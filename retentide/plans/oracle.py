@@ -63,6 +63,17 @@ ev AS (
 )""".replace("\\\\", "\\")
 )
 
+# The raw log with line breaks inside quotes.
+QUOTED_BREAKS = EVENTS.replace("ev AS (", "plain_ev AS (", 1) + """,
+ev AS (
+  SELECT * REPLACE (CASE event_id % 5
+    WHEN 0 THEN coalesce(transaction_category, 'none') || chr(10)
+    WHEN 1 THEN chr(10) || chr(10) || '"' || coalesce(transaction_category, 'none')
+    WHEN 2 THEN coalesce(transaction_category, 'none') || ',' || chr(10) || '"x"' || chr(10) || ',,,'
+    ELSE transaction_category END AS transaction_category)
+  FROM plain_ev
+)"""
+
 FIRST_ROW = (
     "row_number() OVER (PARTITION BY event_time, user_id, event_type ORDER BY "
     "gender NULLS FIRST, transaction_category NULLS FIRST, miles_amount NULLS FIRST, "
@@ -432,6 +443,21 @@ dmg AS (
   FROM ev
 )"""
 
+# Rows of the events and of a damaged copy, each row once.
+COMPARED = f"""
+copied AS (
+  SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN 'SG' ELSE country END AS country,
+    CASE WHEN event_id % 61 <> 0 THEN miles_amount END AS miles_amount,
+    event_date + CASE WHEN event_id % 131 = 0 THEN 1 ELSE 0 END AS event_date),
+    unnest(range(CASE WHEN event_id % 211 = 0 THEN 0 WHEN event_id % 89 = 0 THEN 2 ELSE 1 END)) AS copy
+  FROM ev
+),
+compared AS (
+  SELECT {CONTRACT}, event_date, CAST(sum(s) AS BIGINT) AS source_rows, CAST(sum(t) AS BIGINT) AS table_rows
+  FROM (SELECT {CONTRACT}, event_date, 1 AS s, 0 AS t FROM ev UNION ALL SELECT {CONTRACT}, event_date, 0, 1 FROM copied)
+  GROUP BY {CONTRACT}, event_date
+)"""
+
 ORDER_CALENDAR = """
 days AS (
   SELECT CAST(unnest(generate_series((SELECT min(event_date) FROM ord),
@@ -458,6 +484,7 @@ def build() -> dict[str, str]:
         # Bronze
         "bronze_events": events + f"SELECT {CONTRACT}, event_date FROM ev",
         "bronze_csv_roundtrip": _with(ODD) + f"SELECT {CONTRACT}, event_date FROM ev",
+        "bronze_quoted_line_breaks": _with(QUOTED_BREAKS) + f"SELECT {CONTRACT}, event_date FROM ev",
         "bronze_csv_two_columns": _with(ODD) + "SELECT platform, country, count(*) AS n FROM ev GROUP BY platform, country",
         "bronze_day_slice": events
         + f"SELECT {CONTRACT} FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)",
@@ -563,6 +590,11 @@ FROM (
   SELECT event_date, 1 AS s, 0 AS t FROM ev
   UNION ALL SELECT event_date + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END, 0, 1 FROM ev
 ) GROUP BY event_date""",
+        "dq_reconcile_rows": _with(EVENTS, COMPARED) + "SELECT * FROM compared WHERE source_rows <> table_rows",
+        "dq_reconcile_days": _with(EVENTS, COMPARED)
+        + """SELECT event_date, CAST(sum(source_rows) AS BIGINT) AS source_rows, CAST(sum(table_rows) AS BIGINT) AS table_rows,
+  CAST(sum(greatest(source_rows - table_rows, 0)) AS BIGINT) AS missing, CAST(sum(greatest(table_rows - source_rows, 0)) AS BIGINT) AS extra
+FROM compared GROUP BY event_date""",
         "dq_bronze_not_empty": _with(ORDERS, ORDER_CALENDAR)
         + _rules({"table_not_empty": "has_rows"}, "cov"),
         "dq_source_not_empty": events
@@ -659,6 +691,14 @@ FROM days d LEFT JOIN loaded l ON l.event_date = d.event_date GROUP BY d.event_d
         "job_daily_activity": _with(CLEAN, DAILY) + "SELECT * FROM daily",
         "job_active_by_source": _with(CLEAN) + BY_SOURCE,
         "job_session_frequency": _with(CLEAN) + SESSIONS,
+        "job_session_frequency_stepped": _with(CLEAN) + SESSIONS,
+        "job_open_sessions": _with(CLEAN)
+        + """SELECT user_id, max(event_time) AS last_time, event_date FROM ev
+WHERE event_date = (SELECT max(event_date) FROM ev) AND event_time >= event_date + 1 - INTERVAL 30 MINUTE GROUP BY user_id, event_date""",
+        "job_indexed_day": _with(ODD) + f"SELECT {CONTRACT} FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)",
+        "job_reconcile_bronze": _with(ODD)
+        + """SELECT event_date, count(*) AS source_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra
+FROM ev GROUP BY event_date""",
         "job_check_bronze": _with(ODD)
         + _rules({"row_counts_match": "true", "table_not_empty": "true", "source_not_empty": "true"}, "ev")
         + "\nUNION ALL\n"

@@ -216,3 +216,25 @@ ROLLING_USERS = T.StructType(
         T.StructField("active_users", T.LongType()),
     ]
 )
+
+# The last events of users whose sessions may go on after midnight.
+OPEN_SESSIONS = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("last_time", T.TimestampType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
+# The files of a raw log that has no folders of days, with the times of their events.
+RAW_FILES = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("first_time", T.TimestampType()),
+        T.StructField("last_time", T.TimestampType()),
+        T.StructField("n_without_time", T.LongType()),
+        T.StructField("log_id", T.StringType()),
+    ]
+)

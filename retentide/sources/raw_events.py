@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ def read_raw_events(spark: SparkSession, path: str | list[str], multiline: bool
     """Typed scan of the raw CSV; a bad record or a differing header fails the load.
 
     Every column of a record is checked, also when a query reads only some. A line break inside quotes
-    fails as well, as files are split at line ends; ``multiline`` reads such files, each in one task.
+    fails as well, as files are split at line ends; ``multiline`` reads such files, each in one task, and
+    ``quoted_lines.read_quoted_lines`` in many.
     """
     return (
         require_utc(spark)
@@ -46,6 +49,56 @@ def paths_of_days(path: str, first: date, last: date | None = None) -> str | lis
     return [path.replace("{day}", str(first + timedelta(days=k))) for k in range(n)]
 
 
+# The index of a log's files
+
+FILE_KEY = ("file", "size", "modified")
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, size, modified) of a log's files; none is opened."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
+def path_of(file: str) -> str:
+    """The path to read a file by. Names come encoded as in a URL, and may hold what a reader takes for a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(file))
+
+
+def index_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """The files of :func:`list_files` with their least and greatest ``event_time``, in one pass over them.
+
+    A file without events has NULL times. Events without a time are counted.
+    """
+    names = [r["file"] for r in files.collect()]
+    if not names:
+        events = spark.createDataFrame([], EVENTS).withColumn("file", F.lit(""))
+    else:
+        events = read_files(spark, names).select("event_time", F.col("_metadata.file_path").alias("file"))
+    times = events.groupBy("file").agg(
+        F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"), F.count_if(F.col("event_time").isNull()).alias("n_without_time")
+    )
+    return files.join(times, "file", "left").fillna(0, ["n_without_time"])
+
+
+def files_of_days(index: DataFrame, first: date, last: date | None = None) -> list[str]:
+    """The files that may hold events of some days, or events without a time, which belong to none."""
+    touches = (F.col("first_time") < _start_of((last or first) + timedelta(days=1))) & (F.col("last_time") >= _start_of(first))
+    return [r["file"] for r in index.where(touches | (F.col("n_without_time") > 0)).select("file").collect()]
+
+
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Typed scan of files by the names that :func:`list_files` gives, which may be none."""
+    return read_raw_events(spark, [path_of(f) for f in files]) if files else spark.createDataFrame([], EVENTS)
+
+
+def _start_of(day: date) -> Column:
+    return F.lit(f"{day} 00:00:00").cast("timestamp")
+
+
 def is_on(first: date, last: date | None = None) -> Column:
     """Whether an event is on the UTC day ``first``, or on one from ``first`` to ``last``.
 
@@ -53,9 +106,7 @@ def is_on(first: date, last: date | None = None) -> Column:
     cast to a date does not.
     """
     after = (last or first) + timedelta(days=1)
-    return (F.col("event_time") >= F.lit(f"{first} 00:00:00").cast("timestamp")) & (
-        F.col("event_time") < F.lit(f"{after} 00:00:00").cast("timestamp")
-    )
+    return (F.col("event_time") >= _start_of(first)) & (F.col("event_time") < _start_of(after))
 
 
 def day_slice(events: DataFrame, first: date, last: date | None = None) -> DataFrame:
