@@ -164,16 +164,19 @@ def _forget(spark: SparkSession, first: date, last: date, names: TableNames) ->
             tables.drop_day(spark, names.ledger, day)
 
 
-def log_index(spark: SparkSession, raw_path: str, names: TableNames = TableNames()) -> DataFrame:
+def log_index(spark: SparkSession, raw_path: str, names: TableNames = TableNames()) -> DataFrame | None:
     """The index of a raw log's files, brought up to date: files that are new or have changed are read once,
-    those that are gone leave it."""
-    log_id = hashlib.md5(raw_path.encode()).hexdigest()
+    those that are gone leave it. None for a log of a single file."""
+    log_id, key = hashlib.md5(raw_path.encode()).hexdigest(), [*raw_events.FILE_KEY]
     held = spark.table(names.raw_files).where(F.col("log_id") == log_id).drop("log_id")
     now = raw_events.list_files(spark, raw_path)
-    known = held.join(now, [*raw_events.FILE_KEY], "left_semi")
-    fresh = now.join(held, [*raw_events.FILE_KEY], "left_anti")
-    if tables.has_rows(fresh) or tables.has_rows(held.join(now, [*raw_events.FILE_KEY], "left_anti")):
-        rows = known.unionByName(raw_events.index_files(spark, fresh)).withColumn("log_id", F.lit(log_id))
+    sides = now.withColumn("here", F.lit(1)).join(held.select(*key, F.lit(1).alias("known")), key, "full")
+    n = sides.agg(F.count("here").alias("here"), F.count("known").alias("known"), F.count(F.col("here") + F.col("known")).alias("both")).first()
+    if n["here"] < 2:
+        return None
+    if n["here"] > n["both"] or n["known"] > n["both"]:
+        fresh = raw_events.index_files(spark, now.join(held, key, "left_anti"))
+        rows = held.join(now, key, "left_semi").unionByName(fresh).withColumn("log_id", F.lit(log_id))
         tables.replace_where(rows, names.raw_files, F.lit(True), lambda v: v == log_id)
     return spark.table(names.raw_files).where(F.col("log_id") == log_id)
 
@@ -185,9 +188,10 @@ def read_raw(
     index names are opened; a log of a single file is read whole, as it changes whenever events come in."""
     if "{day}" in raw_path or tables.table_missing(spark, names.raw_files):
         return raw_events.read_raw_events(spark, raw_events.paths_of_days(raw_path, first, last))
-    if len(raw_events.list_files(spark, raw_path).take(2)) < 2:
+    index = log_index(spark, raw_path, names)
+    if index is None:
         return raw_events.read_raw_events(spark, raw_path)
-    return raw_events.read_files(spark, raw_events.files_of_days(log_index(spark, raw_path, names), first, last))
+    return raw_events.read_files(spark, raw_events.files_of_days(index, first, last))
 
 
 def load_bronze(
