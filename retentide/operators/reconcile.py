@@ -1,7 +1,8 @@
 """Reconciliation of two feeds by content, where equal counts prove nothing.
 
 Both feeds are folded into fingerprints of (day, bucket of the row's hash) on the map side; only rows of the
-buckets whose fingerprints differ are compared. Equal feeds therefore shuffle a few numbers a day and bucket,
+buckets whose fingerprints differ are compared. The fingerprints are worked out when a function here is called,
+as the plan depends on how many differ. Equal feeds therefore shuffle a few numbers a day and bucket,
 and a damaged row costs the rows of two buckets of its day.
 
 Rows are compared as a multiset, NULL being equal to NULL. Rows without a day form a day of their own. Empty
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1024
+# So many damaged buckets are named to all tasks, a few megabytes; if there are more, the rows are joined with them.
+BROADCAST_BUCKETS = 100_000
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -52,9 +55,15 @@ def _bucket_counts(both: DataFrame) -> DataFrame:
 def _rows_that_differ(both: DataFrame, columns: Sequence[str]) -> DataFrame:
     found = _bucket_counts(both).where(F.col("_drift") | (F.col("source_rows") != F.col("table_rows")))
     damaged = found.select(F.col("_day").alias("_damaged_day"), F.col("_bucket").alias("_damaged_bucket"))
-    here = F.col("_day").eqNullSafe(F.col("_damaged_day")) & (F.col("_bucket") == F.col("_damaged_bucket"))
-    rows = both.join(damaged, here, "left_semi").groupBy("_day", *[f"c_{c}" for c in columns]).agg(*_counts())
-    return rows.where("source_rows <> table_rows")
+    known = damaged.take(BROADCAST_BUCKETS + 1)
+    if not known:
+        at_fault = both.where(F.lit(False))
+    else:
+        if len(known) <= BROADCAST_BUCKETS:
+            damaged = F.broadcast(both.sparkSession.createDataFrame(known, damaged.schema))
+        here = F.col("_day").eqNullSafe(F.col("_damaged_day")) & (F.col("_bucket") == F.col("_damaged_bucket"))
+        at_fault = both.join(damaged, here, "left_semi")
+    return at_fault.groupBy("_day", *[f"c_{c}" for c in columns]).agg(*_counts()).where("source_rows <> table_rows")
 
 
 def row_differences(source: DataFrame, table: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
