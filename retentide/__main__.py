@@ -29,8 +29,9 @@ def parser() -> argparse.ArgumentParser:
     command("activity", "build one day of user activity", "day")
     command("states", "rebuild the user state ranges", "day")
     command("metrics", "rebuild the balance and serving tables", "day")
-    command("run-day", "load a day and everything that follows from it", "day", raw=True)
-    command("backfill", "load many days at once", "first", "last", raw=True)
+    for name, about, *days in (("run-day", "load a day and everything that follows from it", "day"), ("backfill", "load many days at once", "first", "last")):
+        command(name, about, *days, raw=True)
+        commands.choices[name].add_argument("--blocks-only", action="store_true", help="keep login histories in blocks; don't store the bitmaps of each day")
     command("check", "report the data-quality checks of a day", "day", raw=True)
     command("reconcile", "compare days of bronze with the raw log by content", "first", "last", raw=True)
     return top
@@ -51,9 +52,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         elif args.job == "metrics":
             jobs.rebuild_metrics(spark, args.day)
         elif args.job == "run-day":
-            print(jobs.run_day(spark, args.raw, args.day))
+            print(jobs.run_day(spark, args.raw, args.day, stored=not args.blocks_only))
         elif args.job == "backfill":
-            jobs.backfill(spark, args.raw, args.first, args.last)
+            jobs.backfill(spark, args.raw, args.first, args.last, stored=not args.blocks_only)
         elif args.job == "check":
             checks = jobs.check_bronze(spark, args.raw, args.day)
             found = checks.unionByName(jobs.check_bitmaps(spark, args.day)).collect()

@@ -195,14 +195,21 @@ def build_bitmaps(
     only the days of its blocks. With ``buckets``, for a table bucketed by device, the histories go to
     their bucket instead.
     """
-    start = F.col("first")
-    if from_day is not None:
-        start = F.greatest(start, F.unix_date(as_date(from_day)))
-    first, end, block, day = F.col("first"), F.col("end"), F.col("block"), F.col("day")
     if prev is None:
         histories = device_histories(events, as_of)
     else:
         histories = extended_histories(prev, events, from_day, as_of)
+    return unfolded(histories, from_day, buckets, tasks)
+
+
+def unfolded(
+    histories: DataFrame, from_day: date | str | Column | None = None, buckets: int | None = None, tasks: int | None = None
+) -> DataFrame:
+    """The bitmaps of each day up to the ends of histories, in rows placed as :func:`build_bitmaps` says."""
+    start = F.col("first")
+    if from_day is not None:
+        start = F.greatest(start, F.unix_date(as_date(from_day)))
+    first, end, block, day = F.col("first"), F.col("end"), F.col("block"), F.col("day")
     histories = histories.withColumn("start", start).where("start <= end")
     if buckets:
         placed = histories.repartition(buckets, "device")
@@ -210,7 +217,7 @@ def build_bitmaps(
     else:
         opening = block * BLOCK_DAYS
         closing = F.least(end, opening + (BLOCK_DAYS - 1))
-        tasks = tasks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = tasks or int(histories.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = (
             histories.withColumn("block", F.explode(F.sequence(_block("start"), _block("end"))))
             .withColumn("history", F.substring("history", F.lit(1), closing - first + 1))

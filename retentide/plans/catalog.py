@@ -24,12 +24,13 @@ from retentide.functions.calendar import (
     period_index,
     period_start,
 )
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, reconcile, rolling, states
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, login_blocks, quality, reconcile, rolling, states
 from retentide.schemas import (
     BRONZE_EVENTS,
     CLEAN_EVENTS,
     DEVICE_PATTERN,
     EVENTS,
+    LOGIN_BLOCKS,
     MILES,
     SESSION_FREQUENCY,
     USER_DAILY_ACTIVITY,
@@ -229,6 +230,30 @@ def job_login_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_warehouse(spark, sf_dir).bitmaps).select(*bitmaps.COLUMNS)
 
 
+@lru_cache(maxsize=None)
+def _blocks_warehouse(spark: SparkSession, sf_dir: str) -> jobs.TableNames:
+    """Tables of the batch that keep login histories in blocks only: a late backfill, two daily runs, a day once more."""
+    names, raw = _fresh_names(), _raw_log(spark, sf_dir)
+    first, last = _bounds(spark, sf_dir)
+    middle = first + (last - first) // 2
+    for low, high in ((middle, last - timedelta(days=1)), (first, middle - timedelta(days=1)), (last, last), (middle, middle)):
+        if low <= high:
+            jobs.backfill(spark, raw, low, high, names, strict=False, metrics=False, stored=False)
+    return names
+
+
+@query
+def job_login_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(_blocks_warehouse(spark, sf_dir).blocks).select(*LOGIN_BLOCKS.fieldNames())
+
+
+@query
+def job_bitmaps_of_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bitmaps of all days, of which none is stored."""
+    first, last = _bounds(spark, sf_dir)
+    return jobs.bitmaps_of_days(spark, first, last, _blocks_warehouse(spark, sf_dir))
+
+
 @query
 def job_user_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_warehouse(spark, sf_dir).states).select("user_id", "user_state", "start_date", "end_date")
@@ -423,13 +448,17 @@ def bitmap_to_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("event_date", "device", F.posexplode("words").alias("place", "bits"))
 
 
-def _order_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bitmaps of ``orders`` on their last day: histories of years, in one row a user."""
-    orders = order_events(spark, sf_dir).select(
+def _order_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_events(spark, sf_dir).select(
         "*",
         F.col("event_date").cast("timestamp").alias("event_time"),
         *[F.lit(v).alias(c) for c, v in [("platform", "web"), ("country", "SG"), ("utm_source", "")]],
     )
+
+
+def _order_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of ``orders`` on their last day: histories of years, in one row a user."""
+    orders = _order_logins(spark, sf_dir)
     last = last_day_of(orders)
     return bitmaps.build_bitmaps(orders, last, from_day=last)
 
@@ -440,6 +469,29 @@ def bitmap_to_words_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_bitmaps(spark, sf_dir).select("user_id", words).select("user_id", F.posexplode("words").alias("place", "bits"))
 
 
+@query
+def silver_login_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of histories of years."""
+    return login_blocks.login_blocks(_order_logins(spark, sf_dir)).select("user_id", "block", "days")
+
+
+@query
+def silver_bitmaps_of_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the bitmaps that come from the blocks, on the last day."""
+    orders = _order_logins(spark, sf_dir)
+    last = last_day_of(orders)
+    words = bits.bitmap_to_words(F.col("login_bitmap")).alias("words")
+    found = login_blocks.bitmaps_of(login_blocks.login_blocks(orders), last, last)
+    return found.select("user_id", words).select("user_id", F.posexplode("words").alias("place", "bits"))
+
+
+@query
+def silver_block_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active days of the last two quarters, counted in the blocks that they touch."""
+    orders = _order_logins(spark, sf_dir)
+    return login_blocks.window_counts(login_blocks.login_blocks(orders), last_day_of(orders), 90)
+
+
 def _as_doubles(df: DataFrame) -> DataFrame:
     """Miles as doubles, as the SQL of the tests has them."""
     return df.withColumns({f.name: F.col(f.name).cast("double") for f in df.schema if f.dataType == MILES})

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from retentide import schemas
 from retentide.functions.calendar import PERIODS, period_from_index, period_index, period_start
-from retentide.operators import activity, bitmaps, cleaning, engagement, growth, quality, reconcile, rolling, snapshot, states
+from retentide.operators import activity, bitmaps, cleaning, engagement, growth, login_blocks, quality, reconcile, rolling, snapshot, states
 from retentide.session import require_utc
 from retentide.sources import raw_events, tables
 
@@ -62,6 +62,10 @@ class TableNames:
     def raw_files(self) -> str:
         return _beside(self.events, "raw_log_files")
 
+    @property
+    def blocks(self) -> str:
+        return _beside(self.bitmaps, "fct_login_blocks")
+
     @property
     def open_sessions(self) -> str:
         return _beside(self.sessions, "dwm_open_sessions")
@@ -109,6 +113,7 @@ def create_tables(
     tables.create_day_table(spark, names.events, schemas.BRONZE_EVENTS, "event_date")
     tables.create_day_table(spark, names.clean, schemas.CLEAN_EVENTS, "event_date")
     tables.create_day_table(spark, names.bitmaps, schemas.LOGIN_BITMAPS, "event_date", buckets)
+    tables.create_day_table(spark, names.blocks, schemas.LOGIN_BLOCKS, "block")
     tables.create_day_table(spark, names.activity, schemas.USER_DAILY_ACTIVITY, "event_date")
     tables.create_day_table(spark, names.states, schemas.USER_STATE_RANGES, "start_date")
     tables.create_day_table(spark, names.balance, schemas.USER_MILES_BALANCE, "event_date")
@@ -225,6 +230,46 @@ def clean_days(
     tables.replace_days(cleaning.clean(events), names.clean, first, last)
 
 
+def step_blocks(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> None:
+    """Bring the login blocks of some days up to date with the cleaned events.
+
+    Days that the blocks don't have yet are added to them; nothing but those days' events and the blocks they are in
+    is read, whatever days come later. Where one of the days is loaded again, the blocks are built from their events.
+    """
+    if tables.table_missing(spark, names.blocks):
+        return
+    if not tables.partition_days(spark, names.blocks):
+        # the first load, or days that were loaded before there was such a table
+        tables.rebuild(login_blocks.login_blocks(spark.table(names.clean)), names.blocks)
+        return
+    low, high = login_blocks.block_start(first), login_blocks.block_start(last)
+    touched = F.col("block").between(F.lit(low), F.lit(high))
+    held = spark.table(names.blocks).where(touched)
+    if tables.has_rows(held.where(login_blocks.days_between(first, last) != 0)):
+        events = _days(spark, names.clean, low, high + timedelta(days=login_blocks.BLOCK_DAYS - 1))
+        rows = login_blocks.login_blocks(events)
+    else:
+        rows = login_blocks.merged(held, _days(spark, names.clean, first, last))
+    tables.replace_where(rows, names.blocks, touched, lambda v: low <= date.fromisoformat(v) <= high)
+
+
+def bitmaps_of_days(spark: SparkSession, first: date, last: date, names: TableNames = TableNames()) -> DataFrame:
+    """The login bitmaps of some days: as they are stored, or else made from the blocks."""
+    stored = any(first <= d <= last for d in tables.partition_days(spark, names.bitmaps))
+    if stored or tables.table_missing(spark, names.blocks):
+        return _days(spark, names.bitmaps, first, last)
+    return login_blocks.bitmaps_of(spark.table(names.blocks), first, last).where(F.col("event_date") <= F.lit(last))
+
+
+def _blocks_only(spark: SparkSession, first: date, last: date, names: TableNames) -> None:
+    """Build some days without storing their bitmaps; those stored from ``first`` on go, as they are of other days."""
+    step_blocks(spark, first, last, names)
+    for day in tables.partition_days(spark, names.bitmaps):
+        if day >= first:
+            tables.drop_day(spark, names.bitmaps, day)
+    _record(spark, first, last, names)
+
+
 def step_bitmaps(
     spark: SparkSession, day: date, names: TableNames = TableNames(), key: str = "device"
 ) -> int:
@@ -238,7 +283,7 @@ def step_bitmaps(
     before = day - timedelta(days=1)
     if before not in built and any(d < day for d in built):
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
-    prev = tables.day_partition(spark, names.bitmaps, before)
+    prev = bitmaps_of_days(spark, before, before, names)
     events = tables.day_partition(spark, names.clean, day)
     in_buckets = (
         key == "device"
@@ -269,7 +314,7 @@ def rebuild_bitmaps(
     if before not in built and any(d < from_day for d in built):
         raise MissingDay(f"{names.bitmaps} has earlier days but not {before}")
     buckets = tables.buckets_of(spark, names.bitmaps)
-    prev = tables.day_partition(spark, names.bitmaps, before)
+    prev = bitmaps_of_days(spark, before, before, names)
     events = _days(spark, names.clean, from_day, as_of)
     # At most so many rows come out: a bound of the devices for each day of the range.
     devices = prev.count() + events.select("platform", "user_id").distinct().count()
@@ -283,6 +328,7 @@ def bitmaps_and_later(spark: SparkSession, day: date, names: TableNames = TableN
     """Clean a day, build its bitmaps and rebuild those of the days after it; returns the day's rows."""
     end = _range_end(spark, day, day, names)
     clean_days(spark, day, day, names)
+    step_blocks(spark, day, day, names)
     if end == day:
         return step_bitmaps(spark, day, names)
     rebuild_bitmaps(spark, day, end, names, day)
@@ -563,14 +609,18 @@ def _stop_if_bad(checks: DataFrame, what: str) -> None:
 
 
 def _derive(
-    spark: SparkSession, first: date, last: date, names: TableNames, strict: bool, metrics: bool
+    spark: SparkSession, first: date, last: date, names: TableNames, strict: bool, metrics: bool, stored: bool
 ) -> None:
     """Everything that follows from the bronze events of ``first`` to ``last``."""
     end = _range_end(spark, first, last, names)
-    if first == last:
+    if not stored:
+        clean_days(spark, first, last, names)
+        _blocks_only(spark, first, last, names)
+    elif first == last:
         bitmaps_and_later(spark, first, names)
     else:
         clean_days(spark, first, last, names)
+        step_blocks(spark, first, last, names)
         rebuild_bitmaps(spark, first, end, names, last)
     step_activity_days(spark, first, last, names)
     if strict:
@@ -591,18 +641,20 @@ def run_day(
     names: TableNames = TableNames(),
     strict: bool = True,
     metrics: bool = True,
+    stored: bool = True,
 ) -> dict[str, int]:
     """Load a day and everything that follows from it; returns the rows of each partition.
 
     A day before the latest one also rebuilds the days after it. With ``strict``, events that break their
-    contract stop the load after bronze, and wrong bitmaps stop it before gold.
+    contract stop the load after bronze, and wrong bitmaps stop it before gold. Without ``stored``, login histories
+    are kept in blocks only (:mod:`login_blocks`), and bitmaps are made from them when they are asked for.
     """
     create_tables(spark, names)
     _range_end(spark, day, day, names)
     counts = {"events": load_bronze(spark, raw_path, day, names)}
     if strict:
         _stop_if_bad(check_bronze(spark, raw_path, day, names), f"events of {day}")
-    _derive(spark, day, day, names, strict, metrics)
+    _derive(spark, day, day, names, strict, metrics, stored)
     for key, table in (("clean", names.clean), ("bitmaps", names.bitmaps), ("activity", names.activity)):
         counts[key] = tables.partition_row_count(spark, table, day)
     return counts
@@ -616,17 +668,19 @@ def backfill(
     names: TableNames = TableNames(),
     strict: bool = True,
     metrics: bool = True,
+    stored: bool = True,
 ) -> None:
     """Load many days at once: one pass over the raw log, then one per table.
 
-    Days that are built already and come after ``last`` are rebuilt on the new ones.
+    Days that are built already and come after ``last`` are rebuilt on the new ones; kept in blocks only, without
+    ``stored``, they stay as they are.
     """
     create_tables(spark, names)
     _range_end(spark, first, last, names)
     load_bronze_days(spark, raw_path, first, last, names)
     if strict:
         _stop_if_bad(check_bronze(spark, raw_path, first, names, last), f"events of {first} to {last}")
-    _derive(spark, first, last, names, strict, metrics)
+    _derive(spark, first, last, names, strict, metrics, stored)
 
 
 def check_bronze(
@@ -664,7 +718,7 @@ def check_bitmaps(
 ) -> DataFrame:
     """(check, n_bad) for some days of bitmaps against the devices of their events."""
     return quality.bitmap_checks(
-        _days(spark, names.bitmaps, day, last or day),
+        bitmaps_of_days(spark, day, last or day, names),
         bitmaps.active_devices(_days(spark, names.clean, day, last or day)),
     )
 

@@ -91,6 +91,9 @@ CLEANED = (
     "CASE WHEN event_type = 'reward_search' THEN transaction_category END AS search_brand, "
     "event_type IN ('miles_earned', 'miles_redeemed') AS is_transactional FROM {rows}"
 )
+# The block of 32 days that a day is in, and its days as bits.
+BLOCK = "CAST(DATE '1970-01-01' + CAST((event_date - DATE '1970-01-01') // 32 * 32 AS INT) AS DATE)"
+BLOCK_BITS = "CAST(bit_or(CAST(1 AS BIGINT) << CAST((event_date - DATE '1970-01-01') % 32 AS INT)) AS BIGINT)"
 BOUNDS = "bounds AS (SELECT min(event_date) AS low, max(event_date) AS high, " \
     "min(event_date) + CAST((max(event_date) - min(event_date)) // 2 AS INT) AS middle FROM ev)"
 
@@ -480,6 +483,18 @@ def build() -> dict[str, str]:
         "transaction_category, miles_amount, platform, utm_source, country, event_date FROM ev"
     )
     first_row = FIRST_ROW
+    order_words = (
+        _with(ORDERS)
+        + """, d AS (SELECT DISTINCT user_id, event_date FROM ord),
+u AS (SELECT user_id, min(event_date) AS reg, (SELECT max(event_date) FROM ord) AS last_day FROM d GROUP BY user_id),
+cal AS (SELECT user_id, CAST(unnest(generate_series(reg, last_day, INTERVAL 1 DAY)) AS DATE) AS day FROM u),
+maps AS (
+  SELECT c.user_id, string_agg(CASE WHEN d.user_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY c.day) AS login_bitmap
+  FROM cal c LEFT JOIN d ON d.user_id = c.user_id AND d.event_date = c.day GROUP BY c.user_id
+)
+"""
+        + _words("maps", "user_id")
+    )
     return {
         # Bronze
         "bronze_events": events + f"SELECT {CONTRACT}, event_date FROM ev",
@@ -502,16 +517,12 @@ def build() -> dict[str, str]:
         "silver_step_device_key": _step("device"),
         "silver_step_user_key": _step("user_id"),
         "bitmap_to_words": all_silver + _words("silver", "event_date, device"),
-        "bitmap_to_words_orders": _with(ORDERS)
-        + """, d AS (SELECT DISTINCT user_id, event_date FROM ord),
-u AS (SELECT user_id, min(event_date) AS reg, (SELECT max(event_date) FROM ord) AS last_day FROM d GROUP BY user_id),
-cal AS (SELECT user_id, CAST(unnest(generate_series(reg, last_day, INTERVAL 1 DAY)) AS DATE) AS day FROM u),
-maps AS (
-  SELECT c.user_id, string_agg(CASE WHEN d.user_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY c.day) AS login_bitmap
-  FROM cal c LEFT JOIN d ON d.user_id = c.user_id AND d.event_date = c.day GROUP BY c.user_id
-)
-"""
-        + _words("maps", "user_id"),
+        "bitmap_to_words_orders": order_words,
+        "silver_bitmaps_of_blocks": order_words,
+        "silver_login_blocks": _with(ORDERS) + f"SELECT user_id, {BLOCK} AS block, {BLOCK_BITS} AS days FROM ord GROUP BY 1, 2",
+        "silver_block_windows": _with(ORDERS)
+        + """, d AS (SELECT DISTINCT user_id, event_date, (SELECT max(event_date) FROM ord) - event_date AS age FROM ord)
+SELECT user_id, count(*) FILTER (age < 90) AS current_days, count(*) FILTER (age >= 90) AS prior_days FROM d WHERE age < 180 GROUP BY user_id""",
         "user_daily_activity": _with(EVENTS, DAILY) + "SELECT * FROM daily",
         "user_miles_balance": _with(EVENTS, DAILY) + BALANCE,
         # State ranges
@@ -668,6 +679,11 @@ FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)""",
         + "SELECT event_date, count(DISTINCT user_id) AS n_users FROM ev, bounds WHERE event_date > middle GROUP BY 1",
         "job_bronze_events": _with(ODD) + f"SELECT {CONTRACT}, event_date FROM ev",
         "job_login_bitmaps": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
+        "job_bitmaps_of_blocks": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
+        "job_login_blocks": _with(CLEAN)
+        + f"""SELECT platform, user_id, {BLOCK_BITS} AS days, min(event_time) AS first_time,
+  first(country ORDER BY event_time, country, utm_source) AS country, first(utm_source ORDER BY event_time, country, utm_source) AS utm_source,
+  {BLOCK} AS block FROM ev GROUP BY platform, user_id, {BLOCK}""",
         "job_user_states": _ranges(CLEAN, ALL, 14),
         "job_user_states_stepped": _ranges(CLEAN, ALL, 14),
         "job_day_arguments": _with(ODD)

@@ -63,6 +63,19 @@ LOGIN_BITMAPS = T.StructType(
     ]
 )
 
+# The login days of a device in a block of days, as the bits of a word, with its first event in the block.
+LOGIN_BLOCKS = T.StructType(
+    [
+        T.StructField("platform", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("days", T.LongType()),
+        T.StructField("first_time", T.TimestampType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("utm_source", T.StringType()),
+        T.StructField("block", T.DateType()),
+    ]
+)
+
 USER_DAILY_ACTIVITY = T.StructType(
     [
         T.StructField("event_date", T.DateType()),
