@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from retentide.functions.calendar import parse_day
 from retentide.plans import jobs
+from retentide.sources import published
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,6 +33,9 @@ def parser() -> argparse.ArgumentParser:
     for name, about, *days in (("run-day", "load a day and everything that follows from it", "day"), ("backfill", "load many days at once", "first", "last")):
         command(name, about, *days, raw=True)
         commands.choices[name].add_argument("--blocks-only", action="store_true", help="keep login histories in blocks; don't store the bitmaps of each day")
+    command("publish", "show readers all tables as they are now, at once")
+    command("vacuum", "delete published versions")
+    commands.choices["vacuum"].add_argument("--keep", type=int, default=2, help="versions that stay")
     command("check", "report the data-quality checks of a day", "day", raw=True)
     command("reconcile", "compare days of bronze with the raw log by content", "first", "last", raw=True)
     return top
@@ -55,6 +59,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             print(jobs.run_day(spark, args.raw, args.day, stored=not args.blocks_only))
         elif args.job == "backfill":
             jobs.backfill(spark, args.raw, args.first, args.last, stored=not args.blocks_only)
+        elif args.job == "publish":
+            print(jobs.publish(spark).number)
+        elif args.job == "vacuum":
+            print(published.vacuum(spark, jobs.published_root(spark), args.keep))
         elif args.job == "check":
             checks = jobs.check_bronze(spark, args.raw, args.day)
             found = checks.unionByName(jobs.check_bitmaps(spark, args.day)).collect()

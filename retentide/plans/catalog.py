@@ -38,7 +38,7 @@ from retentide.schemas import (
 )
 from retentide.plans import jobs
 from retentide.session import shared_path
-from retentide.sources import quoted_lines, raw_events, tables
+from retentide.sources import published, quoted_lines, raw_events, tables
 from retentide.sources.sample_tables import (
     loyalty_events,
     order_events,
@@ -276,6 +276,41 @@ def _stepped(spark: SparkSession, sf_dir: str) -> jobs.TableNames:
     return names
 
 
+@lru_cache(maxsize=None)
+def _published(spark: SparkSession, sf_dir: str) -> tuple[published.Version, published.Version]:
+    """Two versions: before and after the last day was loaded."""
+    names, raw = _fresh_names(), _raw_log(spark, sf_dir)
+    first, last = _bounds(spark, sf_dir)
+    jobs.backfill(spark, raw, first, last - timedelta(days=1), names, strict=False)
+    before = jobs.publish(spark, names)
+    jobs.run_day(spark, raw, last, names, strict=False)
+    return before, jobs.publish(spark, names)
+
+
+def _of_version(version: published.Version, table: str) -> DataFrame:
+    """A table of a version, by the last part of its name."""
+    return version.table(next(t for t in version.tables if t.endswith(f".{table}")))
+
+
+@query
+def job_published_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of_version(_published(spark, sf_dir)[1], "fct_daily_user_login_bitmap").select(*bitmaps.COLUMNS)
+
+
+@query
+def job_published_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State ranges of the version before the last day, read after that day was loaded and published."""
+    held = _of_version(_published(spark, sf_dir)[0], "scd2_user_state")
+    return held.select("user_id", "user_state", "start_date", "end_date")
+
+
+@query
+def job_published_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth of both versions."""
+    before, now = (_of_version(v, "dws_growth_accounting") for v in _published(spark, sf_dir))
+    return before.withColumn("version", F.lit("before")).unionByName(now.withColumn("version", F.lit("now")))
+
+
 @query
 def job_load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger, and whether bronze still is what it says."""

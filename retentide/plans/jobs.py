@@ -23,7 +23,7 @@ from retentide import schemas
 from retentide.functions.calendar import PERIODS, period_from_index, period_index, period_start
 from retentide.operators import activity, bitmaps, cleaning, engagement, growth, login_blocks, quality, reconcile, rolling, snapshot, states
 from retentide.session import require_utc
-from retentide.sources import raw_events, tables
+from retentide.sources import published, raw_events, tables
 
 # Rows of bitmaps that a task of a backfill writes.
 TASK_ROWS = 2_000_000
@@ -86,6 +86,11 @@ class TableNames:
     def rolling(self) -> str:
         return _beside(self.growth, "dws_rolling_active_users")
 
+    @property
+    def for_readers(self) -> list[str]:
+        """The tables of the contract, the ledger of the days they hold, and what they are kept in more briefly."""
+        return [*(getattr(self, f.name) for f in fields(self)), self.blocks, self.rolling, self.ledger]
+
     @classmethod
     def prefixed(cls, prefix: str) -> TableNames:
         """The same tables in databases of their own."""
@@ -100,6 +105,10 @@ class FailedChecks(RuntimeError):
     """A load that its data-quality checks stopped."""
 
 
+class Unsettled(RuntimeError):
+    """Tables of which some hold days that others don't have yet."""
+
+
 def create_tables(
     spark: SparkSession, names: TableNames = TableNames(), bitmap_buckets: int | None = None
 ) -> None:
@@ -683,6 +692,37 @@ def backfill(
     _derive(spark, first, last, names, strict, metrics, stored)
 
 
+# Publication
+
+
+def published_root(spark: SparkSession, names: TableNames = TableNames()) -> str:
+    return f"{tables.location_of(spark, names.growth).rpartition('/')[0]}/_published"
+
+
+def settled(spark: SparkSession, names: TableNames = TableNames()) -> bool:
+    """Whether all tables are of the same days: no load is running, was broken off, or left out the serving tables.
+
+    A load takes its days out of the ledger when it begins, and drops the snapshot, or holds two, until all tables are written."""
+    built = built_days(spark, names)
+    if not built or tables.partition_days(spark, names.snapshot) != [built[-1]]:
+        return False
+    whole = len(built) == (built[-1] - built[0]).days + 1 and {*tables.partition_days(spark, names.events)} <= {*built}
+    held = tables.day_partition(spark, names.snapshot, built[-1]).select("metrics").first()
+    return whole and bool(held["metrics"])
+
+
+def publish(spark: SparkSession, names: TableNames = TableNames()) -> published.Version:
+    """Show readers all tables as they are now, at once; refused in the middle of a load."""
+    if not settled(spark, names):
+        raise Unsettled(f"{names.growth} and its neighbours hold a load that isn't complete")
+    return published.publish(spark, names.for_readers, published_root(spark, names))
+
+
+def published_tables(spark: SparkSession, names: TableNames = TableNames()) -> published.Version | None:
+    """The current version, to read tables that belong together; it stays the same while the next one is made."""
+    return published.current(spark, published_root(spark, names))
+
+
 def check_bronze(
     spark: SparkSession, raw_path: str, day: date, names: TableNames = TableNames(), last: date | None = None
 ) -> DataFrame:

@@ -45,6 +45,7 @@ CONTRACT = (
     "utm_source, country"
 )
 ALL = "SELECT * FROM ev"
+BEFORE_LAST = "SELECT * FROM ev WHERE event_date < (SELECT max(event_date) FROM ev)"
 W = 2  # the window of the queries on the sample events
 
 # The raw log of the batch: the events with categories that CSV has to quote.
@@ -684,6 +685,10 @@ FROM ev WHERE event_date = (SELECT max(event_date) FROM ev)""",
         + f"""SELECT platform, user_id, {BLOCK_BITS} AS days, min(event_time) AS first_time,
   first(country ORDER BY event_time, country, utm_source) AS country, first(utm_source ORDER BY event_time, country, utm_source) AS utm_source,
   {BLOCK} AS block FROM ev GROUP BY platform, user_id, {BLOCK}""",
+        "job_published_bitmaps": clean_silver + f"SELECT {SILVER_COLUMNS} FROM silver",
+        "job_published_before": _ranges(CLEAN, BEFORE_LAST, 14),
+        "job_published_growth": f"SELECT 'before' AS version, * FROM ({_periods(lambda p: _growth(CLEAN, BEFORE_LAST, p))})"
+        f"\nUNION ALL\nSELECT 'now' AS version, * FROM ({_periods(lambda p: _growth(CLEAN, ALL, p))})",
         "job_user_states": _ranges(CLEAN, ALL, 14),
         "job_user_states_stepped": _ranges(CLEAN, ALL, 14),
         "job_day_arguments": _with(ODD)

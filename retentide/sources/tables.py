@@ -41,13 +41,14 @@ def location_of(spark: SparkSession, table: str) -> str:
     return f"{warehouse}/{database}.db/{name}" if database else f"{warehouse}/{name}"
 
 
-def _path(spark: SparkSession, location: str):
+def hadoop_path(spark: SparkSession, location: str):
+    """A path with its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, location: str) -> bool:
-    path, fs = _path(spark, location)
+    path, fs = hadoop_path(spark, location)
     return fs.exists(path)
 
 
@@ -63,7 +64,7 @@ def create_table(
     if not table_missing(spark, table):
         return False
     buckets_of.cache_clear()
-    _partition_column.cache_clear()
+    partition_column.cache_clear()
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     location = location_of(spark, table)
@@ -109,7 +110,7 @@ def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
 
 
 @lru_cache(maxsize=None)
-def _partition_column(spark: SparkSession, table: str) -> str:
+def partition_column(spark: SparkSession, table: str) -> str:
     return next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
 
 
@@ -158,9 +159,9 @@ def partition_days(spark: SparkSession, table: str) -> list[date]:
 
 def drop_partition(spark: SparkSession, table: str, value: str) -> None:
     """Take a partition out of the catalog and delete its files."""
-    column = _partition_column(spark, table)
+    column = partition_column(spark, table)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
-    path, fs = _path(spark, f"{location_of(spark, table)}/{column}={value}")
+    path, fs = hadoop_path(spark, f"{location_of(spark, table)}/{column}={value}")
     fs.delete(path, True)
 
 
@@ -171,7 +172,7 @@ def drop_day(spark: SparkSession, table: str, day: date) -> None:
 def _overwrite(df: DataFrame, table: str) -> set[str]:
     """Replace the partitions that ``df`` has rows for; returns their values as text."""
     spark = df.sparkSession
-    column = _partition_column(spark, table)
+    column = partition_column(spark, table)
     written = Observation()
     rows = df.observe(written, F.collect_set(F.col(column).cast("string")).alias("found"))
     rows.write.insertInto(table, overwrite=True)
@@ -213,7 +214,7 @@ def replace_where(df: DataFrame, table: str, rows_of: Column, is_part, laid_out:
     """Replace the partitions whose value ``is_part`` accepts by the rows that ``rows_of`` picks."""
     spark = df.sparkSession
     rows = df.where(rows_of).select(*spark.table(table).columns)
-    rows = rows if laid_out else _laid_out(rows, table, _partition_column(spark, table))
+    rows = rows if laid_out else _laid_out(rows, table, partition_column(spark, table))
     before = {v for v in partition_values(spark, table) if is_part(v)}
     found = _overwrite(rows, table)
     for value in sorted(before - found):
