@@ -16,14 +16,21 @@ def device_id(platform: Column, user_id: Column) -> Column:
 def bitmap_to_words(bitmap: Column) -> Column:
     """The whole bitmap as integers of 63 bits, the newest days first: the newest day is the lowest bit
     of the first word, so that bitmaps of any length that end on the same day line up."""
-    count = F.greatest(F.lit(1), F.ceil(F.length(bitmap) / WORD_BITS).cast("int"))
 
-    def word(k: Column) -> Column:
-        end = F.length(bitmap) - k * WORD_BITS
-        start = F.greatest(F.lit(1), end - (WORD_BITS - 1))
-        return F.conv(F.substring(bitmap, start, end - start + 1), 2, 10).cast("bigint")
+    def words_of(digits: Column) -> Column:
+        length = F.length(digits)
+        count = F.greatest(F.lit(1), F.ceil(length / WORD_BITS).cast("int"))
 
-    return F.transform(F.sequence(F.lit(0), count - 1), word)
+        def word(k: Column) -> Column:
+            end = length - k * WORD_BITS
+            start = F.greatest(F.lit(1), end - (WORD_BITS - 1))
+            return F.conv(F.substring(digits, start, end - start + 1).cast("string"), 2, 10).cast("bigint")
+
+        return F.transform(F.sequence(F.lit(0), count - 1), word)
+
+    # Bytes are cut at once, where a string is walked character by character from its start for each word. As the
+    # element of an array the bitmap is computed once, not for each word.
+    return F.get(F.transform(F.array(bitmap.cast("binary")), words_of), F.lit(0))
 
 
 def word_at(words: Column, k: int | Column) -> Column:

@@ -108,3 +108,12 @@ def test_histories_extended_by_new_days_equal_those_of_all_events(spark):
         assert {tuple(r) for r in built.collect()} == whole
     first = bitmaps.build_bitmaps(source, day(14), day(0), None, empty(spark))
     assert {tuple(r) for r in first.collect()} == {tuple(r) for r in bitmaps.build_bitmaps(source, day(14)).collect()}
+
+
+def test_words_compute_the_bitmap_once(spark):
+    # a bitmap that is named inside the loop over words is computed again, and walked from its start, for each word
+    df = spark.createDataFrame([("1" * 80,)], "b string")
+    words = df.select(bitmap_to_words(F.reverse("b")).alias("words"))
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(") == 1
+    assert [r[0] for r in words.collect()] == [[2**63 - 1, 2**17 - 1]]
