@@ -41,6 +41,8 @@ LEADER_ROUNDS = ((1, 3), (4, 12), (13, 64))
 SKETCH_BITS = 2
 #: Shingles whose sets are sketched at once, beyond a single set.
 SKETCHED_AT_ONCE = 1 << 16
+#: Longs of the sketch that a posting carries into the join, and the largest sets that they tell apart.
+JOINED_LONGS, JOINED_SETS = 8, 768
 #: Of the shingles that two prefixes must share, one in so many is looked for.
 SHARE_JOINED = 4
 
@@ -80,12 +82,12 @@ def set_names(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, np.maximum(names, np.uint64(1)), np.uint64(0))
 
 
-def parity_sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+def parity_sketches(values: np.ndarray, bounds: np.ndarray, least: int = 64) -> list[bytes]:
     """For each set, the parity of its shingles in each of as many places as SKETCH_BITS times its size, rounded up
-    to a power of two: a shingle that only one of two sets has flips one place, so two sketches never differ in more
+    to a power of two, or in `least` if that is more: a shingle that only one of two sets has flips one place, so two sketches never differ in more
     places than the sets do in shingles."""
     sizes = np.diff(bounds)
-    bits = np.where(sizes > 0, np.maximum(64, 1 << np.ceil(np.log2(np.maximum(sizes * SKETCH_BITS, 1))).astype(np.int64)), 0)
+    bits = np.where(sizes > 0, np.maximum(least, 1 << np.ceil(np.log2(np.maximum(sizes * SKETCH_BITS, 1))).astype(np.int64)), 0)
     out: list[bytes] = []
     for first, last in text_groups(bounds, SKETCHED_AT_ONCE):
         some = bits[first:last]
@@ -140,7 +142,7 @@ def describe_sets(docs: DataFrame, size: int) -> DataFrame:
             ids, keys = batch.column("doc_id"), batch.column("key")
             for first, last, values, bounds, names in _sets_in(batch, size):
                 n = last - first
-                sketches: list[bytes | None] = parity_sketches(values, bounds)
+                sketches: list[bytes | None] = parity_sketches(values, bounds, 64 * JOINED_LONGS)
                 for k, name in enumerate(names.tolist()):
                     if name in drawn or not name:
                         sketches[k] = None
@@ -338,28 +340,46 @@ def _linked(percent: int, shared: str = "shared") -> F.Column:
     return F.expr(f"100 * {shared} >= {percent} * (n_a + n_b - {shared})")
 
 
-def cross_pairs(lists: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different components that share a prefix shingle and whose sizes and
-    positions leave room for the similarity. Blocks that can't have such a pair aren't joined."""
+def joined_sketches(documents: DataFrame) -> DataFrame:
+    """(node, s0, s1, ...): sketches folded to JOINED_LONGS longs, NULL for sets that are too large to be told apart by them."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = [np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, JOINED_LONGS), axis=0) for x in batch.column("sketch").to_pylist()]
+            large = batch.column("n").to_numpy() > JOINED_SETS
+            longs = np.array(folded, np.int64).reshape(-1, JOINED_LONGS)
+            columns = [pa.array(longs[:, k], mask=large) for k in range(JOINED_LONGS)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], ["node", *(f"s{k}" for k in range(JOINED_LONGS))])
+
+    return documents.select("node", "n", "sketch").mapInArrow(scan, "node long, " + ", ".join(f"s{k} long" for k in range(JOINED_LONGS)))
+
+
+def cross_pairs(lists: DataFrame, component: DataFrame, percent: int, documents: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share a prefix shingle and whose sizes,
+    positions and sketches leave room for the similarity. Blocks that can't have such a pair aren't joined."""
     rows = lists.join(component, "node", "left").select("shingle", "n", "node", "pos", "block", F.coalesce("component", "node").alias("component"))
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("shingle")
-    rows = checkpoint(rows.join(mixed, "shingle"))
+    rows = checkpoint(rows.join(mixed, "shingle").join(joined_sketches(documents), "node"))
     blocks = rows.groupBy("shingle", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("c1"), F.max("component").alias("c2"))
     x, y = (blocks.select("shingle", *(F.col(c).alias(c + side) for c in ("block", "low", "high", "c1", "c2"))) for side in "xy")
     meet = x.join(y, "shingle").where(f"blockx <= blocky AND lowy * {percent} <= highx * 100 AND NOT (c1x = c2x AND c1y = c2y AND c1x = c1y)")
-    left, right = (rows.select("shingle", *(F.col(c).alias(c + side) for c in ("block", "n", "node", "pos", "component"))) for side in "xy")
+    carried = ("block", "n", "node", "pos", "component", *(f"s{k}" for k in range(JOINED_LONGS)))
+    left, right = (rows.select("shingle", *(F.col(c).alias(c + side) for c in carried)) for side in "xy")
     need = f"ceil({percent} * (nx + ny) / {100 + percent})"
     # Shingles beyond a prefix are at most so many: the prefixes have to share the others. The first `first`
     # of those stand where enough places follow in both prefixes, so the entries after that aren't joined.
     shared = f"greatest(1, {need} - greatest(ceil({percent} * nx / 100), ceil({percent} * ny / 100)) + 1)"
     first = f"ceil({shared} / {SHARE_JOINED})"
     reach = lambda side: f"pos{side} < n{side} - ceil({percent} * n{side} / 100) + 1 - {shared} + {first}"
+    # as in `possible`, before the pair is a row; NULL sketches rule nothing out
+    apart = " + ".join(f"bit_count(s{k}x ^ s{k}y)" for k in range(JOINED_LONGS))
+    near = f"coalesce({apart} <= {100 - percent} * (nx + ny) div {100 + percent}, true)"
     pairs = (
         meet.select("shingle", "blockx", "blocky")
         .join(left, ["shingle", "blockx"])
         .join(right, ["shingle", "blocky"])
         .where(f"componentx <> componenty AND (blockx < blocky OR nodex < nodey) AND nx * 100 >= ny * {percent} AND ny * 100 >= nx * {percent}")
-        .where(f"least(posx, posy) + least(nx - posx, ny - posy) >= {need} AND {reach('x')} AND {reach('y')}")
+        .where(f"least(posx, posy) + least(nx - posx, ny - posy) >= {need} AND {reach('x')} AND {reach('y')} AND {near}")
     )
     pairs = pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b"), F.expr(first).alias("first"))
     return pairs.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("first").alias("first")).where("times >= first").select("a", "b")
@@ -412,7 +432,7 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, keyed:
     first = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
     lead = links.withColumn("place", F.row_number().over(first)).where("place = 1").select("a", "b", F.expr("n_a - shared").alias("own"), F.expr("n_b - shared").alias("lost"))
     lead = checkpoint(lead)
-    pairs = checkpoint(possible(cross_pairs(lists, component, percent), documents, percent))
+    pairs = checkpoint(possible(cross_pairs(lists, component, percent, documents), documents, percent))
     for side in "ab":
         of = lead.select(F.col("a").alias(side), F.col("b").alias("lead_" + side), F.col("own").alias("own_" + side), F.col("lost").alias("lost_" + side))
         pairs = pairs.join(of, side, "left").withColumn("lead_" + side, F.coalesce("lead_" + side, side)).fillna(0, ["own_" + side, "lost_" + side])

@@ -128,3 +128,25 @@ def test_sketches_never_differ_in_more_places_than_the_sets():
         apart = len(np.setxor1d(*sets))
         assert ngram_jaccard.sketch_distance(a, b) <= apart
         assert (ngram_jaccard.sketch_distance(a, b) - apart) % 2 == 0
+
+
+def test_far_pairs_are_ruled_out_in_the_join(spark, monkeypatch):
+    import numpy as np
+
+    base = [f"w{k}" for k in range(200)]
+    texts = [base, base[:160] + [f"x{k}" for k in range(40)], base[:194] + [f"y{k}" for k in range(6)]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    described = ngram_jaccard.describe_sets(docs, 5).where("shingle IS NULL").cache()
+    node = {r["doc_id"]: r["node"] for r in described.collect()}
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    lists = ngram_jaccard.shared_postings(ngram_jaccard.postings(docs, 5, 80, nothing), 80)
+    alone = spark.createDataFrame([], "node long, component long")
+
+    def joined():
+        found = ngram_jaccard.cross_pairs(lists, alone, 80, described.select("node", "n", "sketch"))
+        return {frozenset((r["a"], r["b"])) for r in found.collect()}
+
+    near, far = frozenset((node[0], node[2])), frozenset((node[0], node[1]))
+    assert joined() == {near}
+    monkeypatch.setattr(ngram_jaccard, "JOINED_SETS", 0)  # no sketches
+    assert joined() >= {near, far}
